@@ -8,24 +8,50 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Size of a vector and what parts two tokens.
+# Size of a vector, and the characters of which tokens consist.
 DIMENSION = 384
-TOKEN_BREAK = "[^a-z0-9]+"
+TOKEN_CHARACTERS = b"abcdefghijklmnopqrstuvwxyz0123456789"
+
+_IN_TOKEN = np.zeros(256, dtype=bool)
+_IN_TOKEN[list(TOKEN_CHARACTERS)] = True
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """All tokens of a batch in order, and the row each one is from.
+
+    Works on the bytes of the whole batch at once. Bytes of other than ASCII characters
+    are never token characters, so a token cannot begin or end inside a character.
+    """
+    texts = pc.fill_null(texts, "")
+    _, ends, characters = texts.buffers()
+    offsets = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(characters or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = _IN_TOKEN[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    row_starts = offsets[:-1][offsets[:-1] < len(data)]
+    begins[row_starts] = inside[row_starts]
+    per_row = np.diff(np.searchsorted(np.flatnonzero(begins), offsets))
+    letters = data[inside]
+    bounds = np.append(np.flatnonzero(begins[inside]), len(letters)).astype(np.int32)
+    found = pa.StringArray.from_buffers(
+        len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(letters)
+    )
+    return np.repeat(np.arange(len(texts)), per_row), found
 
 
 def _hash_cells(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(cell of row * dim + dimension, sign) of every token of the lower-cased texts."""
-    tokens = pc.split_pattern_regex(texts, pattern=TOKEN_BREAK)
-    rows = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
-    coded = pc.list_flatten(tokens).dictionary_encode()
-    # Each distinct token of the batch is hashed once.
-    digests = [hashlib.md5(token.encode()).digest() for token in coded.dictionary.to_pylist()]
-    dims = np.array([int.from_bytes(d[:4], "big") % dim for d in digests], dtype=np.int64)
-    signs = np.array([1 if d[4] < 128 else -1 for d in digests], dtype=np.int64)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    real = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)[codes]
-    codes, rows = codes[real], rows[real]
-    return rows.astype(np.int64) * dim + dims[codes], signs[codes]
+    rows, found = tokens(texts)
+    coded = found.dictionary_encode()
+    # Each distinct token of the batch is hashed once: the first four bytes of its digest
+    # choose the dimension, the top bit of the fifth the sign.
+    digests = b"".join(hashlib.md5(t.encode()).digest() for t in coded.dictionary.to_pylist())
+    dims = np.frombuffer(digests, ">u4")[::4].astype(np.int64) % dim
+    signs = np.where(np.frombuffer(digests, np.uint8)[4::16] < 128, 1.0, -1.0)
+    codes = coded.indices.to_numpy()
+    return rows * dim + dims[codes], signs[codes]
 
 
 def hash_counts(texts: pa.Array, dim: int = DIMENSION) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -84,11 +85,19 @@ def hash_weights(
     return lowered.mapInArrow(weigh, f"{key} {kind}, dim int, weight bigint")
 
 
-def embedding_metadata(embedded: DataFrame, model: str, dim: int = vec.DIMENSION) -> DataFrame:
+def embedding_metadata(
+    embedded: DataFrame,
+    model: str,
+    dim: int = vec.DIMENSION,
+    created_at: dt.datetime | None = None,
+    snapshot_id: int | None = None,
+) -> DataFrame:
     """One row for each chunk that has a vector, without the vector itself."""
     return embedded.filter(F.col("embedding").isNotNull()).select(
         "chunk_id",
         "doc_id",
         F.lit(model).alias("embedding_model"),
         F.lit(dim).alias("vector_dimension"),
+        F.lit(created_at).cast("timestamp").alias("created_at"),
+        F.lit(snapshot_id).cast("bigint").alias("snapshot_id"),
     )

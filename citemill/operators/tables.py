@@ -96,26 +96,46 @@ def upload_stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     return lengths.join(counts.withColumnRenamed("num_chunks", "chunks_created"), "doc_id")
 
 
-def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
-    """Each chunk with the document it was cut from and the snapshot that brought it.
-
-    ``documents`` carries ``snapshot_id``. Left joins keep chunks whose origin is unknown.
-    """
-    origin = documents.select(
+def _origin(documents: DataFrame) -> DataFrame:
+    return documents.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("filename").alias("source_file"),
         F.col("file_size"),
         F.md5(F.encode("content", "UTF-8")).alias("file_hash"),
         "snapshot_id",
     )
+
+
+def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
+    """Each chunk with the document it was cut from and the snapshot that brought it.
+
+    ``documents`` carries ``snapshot_id``. Left joins keep chunks whose origin is unknown.
+    """
     commits = log.select("snapshot_id", "committed_at", "operation")
     return (
         chunks.select("chunk_id", "doc_id", "chunk_index", "chunking_strategy")
-        .join(origin, "doc_id", "left")
+        .join(_origin(documents), "doc_id", "left")
         .join(commits, "snapshot_id", "left")
     )
 
 
+def hits_with_lineage(hits: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
+    """``hits`` with a struct ``data_lineage``, null where the document is unknown.
+
+    Documents are first cut down to those that were hit: that list is small, so Spark can
+    broadcast it, and the table of documents is not shuffled for a handful of rows.
+    """
+    wanted = hits.select("doc_id").distinct()
+    named = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    origin = _origin(named.join(wanted, "doc_id", "left_semi"))
+    commits = log.select("snapshot_id", "committed_at", "operation")
+    fields = ["snapshot_id", "committed_at", "operation", "source_file", "file_size", "file_hash"]
+    traced = origin.join(commits, "snapshot_id", "left").select(
+        "doc_id", F.struct(*fields).alias("data_lineage")
+    )
+    return hits.join(traced, "doc_id", "left")
+
+
 def quality_checks(documents: DataFrame, text: str = "content", lang: str = "lang") -> DataFrame:
     content = F.col(text)
     return documents.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citemill.functions import text as tx, vectors as vec
+from citemill.operators.embed import KNOWN_MODELS
 from citemill.operators.search import MAX_TOP_K, MIN_TOP_K
 
 # What an upload must look like.
@@ -55,6 +56,12 @@ def check_vectors(points: DataFrame, dim: int = vec.DIMENSION, vector: str = "em
     return points.withColumn("reject_reason", reason)
 
 
+def check_models(metadata: DataFrame, known: tuple[str, ...] = KNOWN_MODELS) -> DataFrame:
+    """``metadata`` with a ``reject_reason`` for vectors of a model nobody has heard of."""
+    unknown = ~F.coalesce(F.col("embedding_model").isin(*known), F.lit(False))
+    return metadata.withColumn("reject_reason", F.when(unknown, F.lit("unknown_model")))
+
+
 def check_queries(queries: DataFrame) -> DataFrame:
     """``queries`` with a ``reject_reason`` for requests outside the accepted bounds."""
     reason = (

@@ -81,8 +81,7 @@ def _weights(name: str, key: str, text: str, table: str) -> str:
     GROUP BY ALL)"""
 
 
-HITS = f"""{CHUNKS},
-questions AS (SELECT item_id AS q_id, text AS query FROM benchmark),
+SEARCH = f"""questions AS (SELECT item_id AS q_id, text AS query FROM benchmark),
 {_weights('cw', 'chunk_id', 'chunk_text', 'chunks')},
 {_weights('qw', 'q_id', 'query', 'questions')},
 cn AS (SELECT chunk_id, sqrt(CAST(sum(weight * weight) AS DOUBLE)) AS norm FROM cw GROUP BY 1),
@@ -101,6 +100,7 @@ ranked AS (
 hits AS (
     SELECT q_id, rk, score, chunk_id, doc_id, chunk_index, filename, chunk_text AS text
     FROM ranked JOIN chunks USING (chunk_id))"""
+HITS = f"{CHUNKS}, {SEARCH}"
 
 CONTEXT = """SELECT q_id, count(*) AS num_sources,
     string_agg('[Source ' || rk || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY rk)
@@ -320,6 +320,24 @@ ORACLE: dict[str, str] = {
         FROM questions q LEFT JOIN hits h
             ON h.q_id = q.q_id AND rk <= 20 AND score >= {TEXT_MIN_SCORE}
         GROUP BY 1""",
+    "hits_lineage": f"""WITH {VERSIONED}, {_windows('chunks', 200, 50)}, {SEARCH}
+        SELECT q_id, rk, chunk_id, v.snapshot_id,
+            strftime(l.committed_at, '%Y-%m-%d') AS committed_at,
+            v.filename AS source_file, md5(v.content) AS file_hash
+        FROM hits h JOIN versioned v ON v.doc_id = h.doc_id
+            JOIN log l ON l.snapshot_id = v.snapshot_id
+        WHERE rk <= 3""",
+    "search_collection": f"""WITH {DOCS}, {_windows('first', 200, 50)},
+        {_windows('second', 500, 100)},
+        labelled AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id FROM labels),
+        chunks AS (
+            SELECT * FROM first WHERE doc_id NOT IN (SELECT doc_id FROM labelled)
+            UNION ALL
+            SELECT * FROM second WHERE doc_id IN (SELECT doc_id FROM labelled)),
+        {SEARCH}
+        SELECT q_id, rk, round(score, 6) AS score, chunk_id, doc_id, chunk_index, filename,
+            'txt' AS file_type
+        FROM hits WHERE rk <= 5""",
     "query_log": f"""WITH {HITS} SELECT q.q_id, q.query, e.value AS latency_ms,
             count(h.chunk_id) AS num_results
         FROM questions q LEFT JOIN events e ON e.event_id = q.q_id

@@ -132,6 +132,16 @@ def search_texts(
     return hits.withColumnRenamed("chunk_text", "text")
 
 
+def search_points(
+    requests: DataFrame,
+    stored: DataFrame,
+    carry: tuple[str, ...] = ("doc_id", "chunk_index", "text", "filename", "file_type"),
+    dim: int = vec.DIMENSION,
+) -> DataFrame:
+    """Best points of a stored collection for each request, with their payload."""
+    return search.top_k(requests, stored, dim=dim, carry=carry)
+
+
 def answer_inputs(queries: DataFrame, chunks: DataFrame, top_k: int = search.TOP_K) -> DataFrame:
     """Flagship: questions in; prompt with cited context and its confidence out."""
     return ctx.prompts(queries, search_texts(queries, chunks, top_k))

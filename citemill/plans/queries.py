@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -442,6 +443,40 @@ def hits_per_query(spark, sf):
     return found.select("q_id", "num_results", "total_documents", best.alias("best_chunk_id"))
 
 
+@query
+def hits_lineage(spark, sf):
+    """Where the text of each hit came from."""
+    versioned = _versioned(spark, sf)
+    traced = tb.hits_with_lineage(_text_hits(spark, sf), versioned, _log(versioned))
+    found = F.col("data_lineage")
+    return traced.select(
+        "q_id",
+        "rk",
+        "chunk_id",
+        found["snapshot_id"].alias("snapshot_id"),
+        F.date_format(found["committed_at"], "yyyy-MM-dd").alias("committed_at"),
+        found["source_file"].alias("source_file"),
+        found["file_hash"].alias("file_hash"),
+    )
+
+
+@query
+def search_collection(spark, sf):
+    """Chunks are stored as points, some documents once more, and then searched."""
+    folder, now = work_dir(spark, "points"), FIRST_COMMIT
+    store = SnapshotTable(spark, folder, pipeline.POINTS)
+    documents = src.raw_documents(spark, sf).withColumn("file_type", F.lit("txt"))
+    pipeline.reingest(documents, folder, "points", now, chunk.chunk_fixed)
+    labelled = src.table(spark, sf, "labels").select(F.col("doc_id").cast("string"))
+    again = documents.join(labelled, "doc_id", "left_semi")
+    pipeline.upsert(again, store, now, chunker=partial(chunk.chunk_fixed, size=500, overlap=100))
+    requests = pipeline.embed_queries(src.questions(spark, sf), top_k=5)
+    hits = pipeline.search_points(requests, pipeline.searchable(store))
+    return hits.select(
+        "q_id", "rk", _score(), "chunk_id", "doc_id", "chunk_index", "filename", "file_type"
+    )
+
+
 @query
 def query_log(spark, sf):
     """Latencies are those of the events with the same number."""

@@ -74,11 +74,9 @@ def visible_range(log: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
 
 def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | None = None) -> DataFrame:
     """Rows of a table as they were at ``at``. A partition filter on ``snapshot_id``."""
-    seen = visible_range(log, at)
-    return rows.filter(
-        (F.col("snapshot_id") >= seen.select("base").scalar())
-        & (F.col("snapshot_id") <= seen.select("last").scalar())
-    )
+    seen = visible_range(log, at).select(F.struct("base", "last")).scalar()
+    snapshot = F.col("snapshot_id")
+    return rows.filter((snapshot >= seen["base"]) & (snapshot <= seen["last"]))
 
 
 def current(rows: DataFrame, key: str = "doc_id") -> DataFrame:
