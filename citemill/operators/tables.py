@@ -11,13 +11,14 @@ from citemill.operators import validate as val
 def chunks_per_filename(chunks: DataFrame, documents: DataFrame) -> DataFrame:
     """Number of chunks under each file name; documents of one name are counted together.
 
-    Chunks are counted per document before the join, so a document with very many of them
-    meets the join as a single row and no chunk text is shuffled.
+    Both sides are counted per document before the join, so a document with very many
+    rows meets the join as a single one and no chunk text is shuffled.
     """
     counted = chunks.groupBy("doc_id").agg(F.count("*").alias("n"))
     named = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "filename")
+    named = named.groupBy("doc_id", "filename").agg(F.count("*").alias("times"))
     joined = named.join(counted, "doc_id")
-    return joined.groupBy("filename").agg(F.sum("n").alias("num_chunks"))
+    return joined.groupBy("filename").agg(F.sum(F.col("n") * F.col("times")).alias("num_chunks"))
 
 
 def chunks_per_document(documents: DataFrame, chunks: DataFrame) -> DataFrame:

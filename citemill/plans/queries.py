@@ -27,8 +27,8 @@ from citemill.streaming import ingest as stream_ingest, metrics as stream_metric
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-FIRST_COMMIT = dt.datetime(2024, 1, 1)
-AS_OF = dt.datetime(2024, 1, 7, 12)
+FIRST_COMMIT = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+AS_OF = "2024-01-07 12:00:00"
 FAR_DIMENSION, GIVEN_DIMENSION = 384, 64
 CENTROID_MIN_SCORE = 0.3
 TEXT_MIN_SCORE = 0.75
@@ -269,7 +269,7 @@ def _log(versioned: DataFrame) -> DataFrame:
     operation = F.when(F.col("snapshot_id") == 4, "overwrite").otherwise("append")
     return versioned.groupBy("snapshot_id").agg(F.count("*").alias("added_rows")).select(
         "snapshot_id",
-        (F.lit(FIRST_COMMIT) + day).alias("committed_at"),
+        (F.lit("2024-01-01").cast("timestamp") + day).alias("committed_at"),
         operation.alias("operation"),
         "added_rows",
     )

@@ -9,15 +9,27 @@ from citemill.functions import ids, text as tx
 from citemill.operators import validate as val
 
 
+# The accepted suffixes, in either case, as a file pattern.
+TEXT_FILES = "*.{[tT][xX][tT],[mM][dD]}"
+PARSER_FILES = "*.[pP][dD][fF]"
+
+
 def scan(spark: SparkSession, folder: str) -> DataFrame:
-    """All files below ``folder`` with an accepted suffix, in either case."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.*")
-        .load(folder)
+    """All files below ``folder`` with an accepted suffix, in either case.
+
+    Other files are left out when the folder is listed. PDF files are listed, but as
+    nothing can read them their content is not fetched.
+    """
+
+    def files(pattern: str) -> DataFrame:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        return reader.option("pathGlobFilter", pattern).load(folder)
+
+    unread = files(PARSER_FILES).select(
+        "path", "modificationTime", "length", F.lit(None).cast("binary").alias("content")
     )
-    return files.filter(tx.has_supported_suffix(F.col("path")))
+    found = files(TEXT_FILES).unionByName(unread)
+    return found.filter(tx.has_supported_suffix(F.col("path")))
 
 
 def stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:

@@ -58,13 +58,15 @@ def latest_snapshot(log: DataFrame) -> DataFrame:
     )
 
 
-def visible_range(log: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:
-    """One row ``base, last``: the first and last snapshot seen at ``as_of``.
+def visible_range(log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
+    """One row ``base, last``: the first and last snapshot seen at ``at``.
 
     ``last`` was committed at or before that time; ``base`` is the last overwrite up to
     there, or the first snapshot of all.
     """
-    seen = log if as_of is None else log.filter(F.col("committed_at") <= F.lit(as_of))
+    seen = log
+    if at is not None:
+        seen = log.filter(F.col("committed_at") <= F.lit(at).cast("timestamp"))
     overwritten = F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id")))
     return seen.agg(
         F.coalesce(overwritten, F.min("snapshot_id")).alias("base"),
@@ -72,7 +74,7 @@ def visible_range(log: DataFrame, as_of: dt.datetime | None = None) -> DataFrame
     )
 
 
-def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | None = None) -> DataFrame:
+def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
     """Rows of a table as they were at ``at``. A partition filter on ``snapshot_id``."""
     seen = visible_range(log, at).select(F.struct("base", "last")).scalar()
     snapshot = F.col("snapshot_id")
@@ -89,7 +91,7 @@ def current(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     pairs = rows.select(key, "snapshot_id").distinct()
     newest = F.max("snapshot_id").over(Window.partitionBy(key))
     outdated = pairs.withColumn("newest", newest).filter("snapshot_id < newest").drop("newest")
-    return rows.join(outdated, [key, "snapshot_id"], "left_anti")
+    return rows.join(outdated, [key, "snapshot_id"], "left_anti").select(*rows.columns)
 
 
 class SnapshotTable:
@@ -114,7 +116,7 @@ class SnapshotTable:
         number = T.StructField("snapshot_id", T.LongType())
         return self._stored("data", T.StructType([*self.schema.fields, number]))
 
-    def read(self, at: dt.datetime | None = None) -> DataFrame:
+    def read(self, at: dt.datetime | str | None = None) -> DataFrame:
         seen = visible_range(self.log(), at).first()
         if seen["last"] is None:
             if at is not None:
@@ -122,7 +124,7 @@ class SnapshotTable:
             return self.rows().filter(F.lit(False))
         return self.rows().filter(F.col("snapshot_id").between(seen["base"], seen["last"]))
 
-    def current(self, at: dt.datetime | None = None, key: str = "doc_id") -> DataFrame:
+    def current(self, at: dt.datetime | str | None = None, key: str = "doc_id") -> DataFrame:
         return current(self.read(at), key)
 
     def commit(

@@ -45,7 +45,7 @@ def query_events(spark: SparkSession, folder: str) -> DataFrame:
 def as_query_log(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("q_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         (F.col("event_type") == "error").alias("failed"),
         F.col("value").alias("latency_ms"),
     )

@@ -17,10 +17,12 @@ def running_daily(log: DataFrame, watermark: str | None = None) -> DataFrame:
 
     Without a watermark every day is kept and late rows count, for complete mode. With one,
     closed days leave the state, and rows that come later than the watermark are dropped:
-    for unbounded streams whose rows arrive roughly in order.
+    for unbounded streams whose rows arrive roughly in order. A watermark needs a
+    ``TIMESTAMP``, and its days are those of UTC.
     """
-    timed = log if watermark is None else log.withWatermark("ts", watermark)
-    return mt.daily_metrics(timed)
+    if watermark is not None:
+        log = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    return mt.daily_metrics(log)
 
 
 def start(
