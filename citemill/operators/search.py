@@ -170,6 +170,7 @@ def top_k(
     encoder: Callable[[], Encoder] | None = None,
     carry: tuple[str, ...] = (),
     block_bytes: int = QUERY_BLOCK_BYTES,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """The ``top_k`` items of each query by cosine, ties by rising id.
 
@@ -182,7 +183,21 @@ def top_k(
     Queries that fit into ``block_bytes`` are sent to all tasks together. More are first
     written to the shared folder and done block by block, each block one pass over
     ``items``, so neither driver nor tasks ever hold more than one block.
+
+    Each task hands on up to ``top_k`` rows for each query. For tables of very many parts
+    ``seed`` may name a small part of ``items``, such as one of its files: it is searched
+    first, and what scores below its ``top_k``-th hit cannot be a hit at all and is never
+    handed on. The result is the same.
     """
+    if seed is not None:
+        first = top_k(queries, seed, item_id, vector, dim, encoder, (), block_bytes)
+        reached = first.groupBy("q_id").agg(
+            F.count("*").alias("seeded"), F.min("score").alias("reached")
+        )
+        full = F.when(F.col("seeded") == F.col("top_k"), F.col("reached"))
+        queries = queries.join(reached, "q_id", "left").withColumn(
+            "min_score", F.greatest("min_score", full)
+        )
     usable = queries.filter(
         (F.size("embedding") == dim)
         & F.exists("embedding", lambda v: v != 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from citemill import schemas
 from citemill.functions import ids, vectors as vec
@@ -60,12 +60,15 @@ def reingest(
 ) -> DataFrame:
     """Replace a collection by the points of ``documents``; returns its totals.
 
-    The points are written once and counted from what was written. The new snapshot
-    becomes visible only when it is complete.
+    The documents are read once: they are counted while they are written as points, and
+    the points are counted from what was written. The new snapshot becomes visible only
+    when it is complete.
     """
     store = SnapshotTable(documents.sparkSession, folder, POINTS)
-    store.commit(points(documents, indexed_at, chunker, load, dim), "overwrite", indexed_at)
-    return tb.ingest_stats(store.read(), documents, collection)
+    seen = Observation()
+    counted = documents.observe(seen, F.count(F.lit(1)).alias("documents"))
+    store.commit(points(counted, indexed_at, chunker, load, dim), "overwrite", indexed_at)
+    return tb.ingest_stats(store.read(), seen.get["documents"], collection)
 
 
 def reingest_folder(spark: SparkSession, source: str, folder: str, collection: str, **options):

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from citemill import schemas
 
@@ -81,51 +80,62 @@ def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | str | None = None)
     return rows.filter((snapshot >= seen["base"]) & (snapshot <= seen["last"]))
 
 
-def current(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+def current(rows: DataFrame, key: str = "doc_id", base: int | None = None) -> DataFrame:
     """For each key only the rows of its newest snapshot.
 
-    Only pairs of key and snapshot are grouped, and what is joined to the rows is the
-    list of outdated pairs: without re-ingested documents it is empty, and while it is
-    small Spark broadcasts it, so that the rows themselves are not shuffled.
+    What is joined to the rows is one small row for each key that came with a later
+    snapshot than ``base``, the first one there is. Given ``base``, only the later
+    snapshots are read for that, and if they are small Spark broadcasts the result, so
+    that neither the keys of the base nor the rows themselves are shuffled.
     """
-    pairs = rows.select(key, "snapshot_id").distinct()
-    newest = F.max("snapshot_id").over(Window.partitionBy(key))
-    outdated = pairs.withColumn("newest", newest).filter("snapshot_id < newest").drop("newest")
-    return rows.join(outdated, [key, "snapshot_id"], "left_anti").select(*rows.columns)
+    later = rows if base is None else rows.filter(F.col("snapshot_id") > base)
+    newest = later.groupBy(F.col(key).alias("newest_key")).agg(
+        F.max("snapshot_id").alias("newest_snapshot")
+    )
+    outdated = (F.col(key) == F.col("newest_key")) & (
+        F.col("snapshot_id") < F.col("newest_snapshot")
+    )
+    return rows.join(newest, outdated, "left_anti")
 
 
 class SnapshotTable:
-    """A table under ``folder`` that keeps its history."""
+    """A table under ``folder`` that keeps its history; made, without rows, unless it is there."""
 
     def __init__(self, spark: SparkSession, folder: str, schema: T.StructType) -> None:
-        self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
-
-    def _stored(self, part: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.folder}/{part}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        self.spark, self.schema = spark, schema
+        self._data, self._log = f"{folder.rstrip('/')}/data", f"{folder.rstrip('/')}/log"
+        for made, kind in ((f"{self._data}/snapshot_id=0", schema), (self._log, schemas.SNAPSHOT_LOG)):
+            spark.createDataFrame([], kind).coalesce(1).write.mode("ignore").parquet(made)
 
     def log(self) -> DataFrame:
-        return self._stored("log", schemas.SNAPSHOT_LOG)
+        return self.spark.read.schema(schemas.SNAPSHOT_LOG).parquet(self._log)
 
     def rows(self) -> DataFrame:
         """Everything stored, also what no snapshot shows any more."""
         number = T.StructField("snapshot_id", T.LongType())
-        return self._stored("data", T.StructType([*self.schema.fields, number]))
+        schema = T.StructType([*self.schema.fields, number])
+        return self.spark.read.schema(schema).parquet(self._data)
 
-    def read(self, at: dt.datetime | str | None = None) -> DataFrame:
+    def _range(self, at: dt.datetime | str | None):
         seen = visible_range(self.log(), at).first()
+        if seen["last"] is None and at is not None:
+            raise ValueError(f"no snapshot at or before {at}")
+        return seen
+
+    def _between(self, seen) -> DataFrame:
         if seen["last"] is None:
-            if at is not None:
-                raise ValueError(f"no snapshot at or before {at}")
             return self.rows().filter(F.lit(False))
         return self.rows().filter(F.col("snapshot_id").between(seen["base"], seen["last"]))
 
+    def read(self, at: dt.datetime | str | None = None) -> DataFrame:
+        """All visible rows, those of later snapshots beside those they outdate."""
+        return self._between(self._range(at))
+
     def current(self, at: dt.datetime | str | None = None, key: str = "doc_id") -> DataFrame:
-        return current(self.read(at), key)
+        """Visible rows without those a later snapshot outdates."""
+        seen = self._range(at)
+        rows = self._between(seen)
+        return rows if seen["base"] == seen["last"] else current(rows, key, seen["base"])
 
     def commit(
         self,
@@ -148,13 +158,13 @@ class SnapshotTable:
                 return None
         last = log.agg(F.max("snapshot_id")).first()[0]
         snapshot = (last or 0) + 1
-        place = f"{self.folder}/data/snapshot_id={snapshot}"
+        place = f"{self._data}/snapshot_id={snapshot}"
         rows.select(*self.schema.names).write.mode("overwrite").parquet(place)
         added = self.spark.read.schema(self.schema).parquet(place).count()
         at = at or dt.datetime.now(dt.timezone.utc)
         entry = [(snapshot, at, operation, added, stream_id, batch_id)]
         line = self.spark.createDataFrame(entry, schemas.SNAPSHOT_LOG)
-        line.coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+        line.coalesce(1).write.mode("append").parquet(self._log)
         return snapshot
 
     def compact(self, key: str = "doc_id", at: dt.datetime | None = None) -> int:

@@ -92,6 +92,16 @@ def test_each_query_has_its_own_limits(spark):
     assert found(spark, queries, items) == exact(queries, items)
 
 
+def test_seed_does_not_change_the_result(spark):
+    queries, items = data(700, 9, 7, k=6)
+    queries[3] = (3, queries[3][1], 6, 0.6)
+    items = [(i, queries[0][1] if n % 3 == 0 else v) for n, (i, v) in enumerate(items)]
+    want = exact(queries, items)
+    for size in (3, 50, 700):
+        seed = spark.createDataFrame(items[-size:], ITEMS)
+        assert found(spark, queries, items, seed=seed) == want
+
+
 def test_no_query_finds_nothing(spark):
     _, items = data(20, 1, 5)
     assert found(spark, [(1, None, 3, None)], items) == set()
