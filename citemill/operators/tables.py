@@ -72,19 +72,6 @@ def collection_stats(points: DataFrame, name: str, metric: str = "cosine") -> Da
     ).select(F.lit(name).alias("collection"), "*", F.lit(metric).alias("distance_metric"))
 
 
-def ingest_stats(indexed: DataFrame, documents: int, collection: str) -> DataFrame:
-    """One row of totals for an ingest: documents, chunks and vectors."""
-    return indexed.agg(
-        F.count("*").alias("chunks"), F.count("embedding").alias("vectors")
-    ).select(
-        F.lit("success").alias("status"),
-        F.lit(documents).cast("bigint").alias("documents"),
-        "chunks",
-        "vectors",
-        F.lit(collection).alias("collection"),
-    )
-
-
 def upload_stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """Chunks made and text length of every document."""
     counts = chunks_per_document(documents, chunks)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from citemill import schemas
 from citemill.functions import ids, vectors as vec
-from citemill.operators import chunk, context as ctx, embed, search, tables as tb, validate as val
+from citemill.operators import chunk, context as ctx, embed, search, validate as val
 from citemill.sources import files, lake
 from citemill.sources.lake import SnapshotTable
 
@@ -20,6 +20,8 @@ POINTS = T.StructType(
     + [T.StructField("embedding", T.ArrayType(T.FloatType()))]
 )
 
+INGEST_STATS = "status string, documents bigint, chunks bigint, vectors bigint, collection string"
+
 
 def points(
     documents: DataFrame,
@@ -60,15 +62,21 @@ def reingest(
 ) -> DataFrame:
     """Replace a collection by the points of ``documents``; returns its totals.
 
-    The documents are read once: they are counted while they are written as points, and
-    the points are counted from what was written. The new snapshot becomes visible only
-    when it is complete.
+    Documents, chunks and vectors are counted while they are written, so nothing is read
+    a second time. The new snapshot becomes visible only when it is complete.
     """
-    store = SnapshotTable(documents.sparkSession, folder, POINTS)
-    seen = Observation()
-    counted = documents.observe(seen, F.count(F.lit(1)).alias("documents"))
-    store.commit(points(counted, indexed_at, chunker, load, dim), "overwrite", indexed_at)
-    return tb.ingest_stats(store.read(), seen.get["documents"], collection)
+    spark = documents.sparkSession
+    read, made = Observation(), Observation()
+    source = documents.observe(read, F.count(F.lit(1)).alias("documents"))
+    indexed = points(source, indexed_at, chunker, load, dim).observe(
+        made, F.count(F.lit(1)).alias("chunks"), F.count("embedding").alias("vectors")
+    )
+    SnapshotTable(spark, folder, POINTS).commit(indexed, "overwrite", indexed_at)
+    totals = {**read.get, **made.get}
+    return spark.createDataFrame(
+        [("success", totals["documents"], totals["chunks"], totals["vectors"], collection)],
+        INGEST_STATS,
+    )
 
 
 def reingest_folder(spark: SparkSession, source: str, folder: str, collection: str, **options):
