@@ -47,7 +47,8 @@ def _hash_cells(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     coded = found.dictionary_encode()
     # Each distinct token of the batch is hashed once: the first four bytes of its digest
     # choose the dimension, the top bit of the fifth the sign.
-    digests = b"".join(hashlib.md5(t.encode()).digest() for t in coded.dictionary.to_pylist())
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    digests = b"".join([hashlib.md5(token.encode()).digest() for token in distinct])
     dims = np.frombuffer(digests, ">u4")[::4].astype(np.int64) % dim
     signs = np.where(np.frombuffer(digests, np.uint8)[4::16] < 128, 1.0, -1.0)
     codes = coded.indices.to_numpy()

@@ -56,13 +56,33 @@ def _arrays(block: pa.Table, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray
     )
 
 
-def _exact(q: _Queries, qi: np.ndarray, x: np.ndarray, xn: np.ndarray, xi: np.ndarray):
+def _single(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and their lengths in single precision; length 0 for rows without direction.
+
+    Rows whose squares leave the range of single precision are scaled to length 1 first.
+    """
+    with np.errstate(over="ignore", invalid="ignore"):
+        rows = np.asarray(x, dtype=np.float32)
+        norm = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        odd = np.flatnonzero(~((norm > 1e-15) & (norm < 1e15)))
+        if len(odd):
+            exact = x[odd].astype(np.float64)
+            length = np.sqrt((exact**2).sum(axis=1))
+            fine = np.isfinite(length) & (length > 0)
+            rows = rows.copy()
+            rows[odd] = np.where(fine[:, None], exact / np.where(fine, length, 1)[:, None], 0)
+            norm[odd] = fine
+    return rows, norm
+
+
+def _exact(q: _Queries, qi: np.ndarray, x: np.ndarray, xi: np.ndarray) -> np.ndarray:
     """Cosine in double of the pairs (qi, xi); the same for equal rows wherever they lie."""
     scores = np.empty(len(qi))
     for at in range(0, len(qi), _PAIRS_PER_PRODUCT):
-        a, b = qi[at : at + _PAIRS_PER_PRODUCT], xi[at : at + _PAIRS_PER_PRODUCT]
-        dots = (q.matrix[a] * x[b]).sum(axis=1)
-        scores[at : at + _PAIRS_PER_PRODUCT] = dots / (q.norm[a] * xn[b])
+        part = slice(at, at + _PAIRS_PER_PRODUCT)
+        a, b = qi[part], x[xi[part]].astype(np.float64)
+        dots = (q.matrix[a] * b).sum(axis=1)
+        scores[part] = dots / (q.norm[a] * np.sqrt((b**2).sum(axis=1)))
     return scores
 
 
@@ -73,27 +93,27 @@ def _best_of_batch(q: _Queries, best: np.ndarray, x: np.ndarray, rank: np.ndarra
     rows within that bound are scored again in double. ``best`` holds each query's best
     scores so far, in falling order, and is brought up to date.
     """
-    x = x.astype(np.float64)
-    norm = np.sqrt((x**2).sum(axis=1))
-    usable = np.flatnonzero(np.isfinite(norm) & (norm > 0))
-    x, norm, rank = x[usable], norm[usable], rank[usable]
+    single, norm = _single(x)
+    usable = np.flatnonzero(norm > 0)
+    if len(usable) < len(x):
+        x, single, norm, rank = x[usable], single[usable], norm[usable], rank[usable]
     rows, dim = x.shape
     if not rows:
         return
-    unit = (x / norm[:, None]).astype(np.float32).T
     error = (dim + 8) * 2.0**-23
     width = best.shape[1]
     for start in range(0, len(q.k), _QUERIES_PER_PRODUCT):
         block = slice(start, start + _QUERIES_PER_PRODUCT)
-        near = q.unit[block] @ unit
+        near = q.unit[block] @ single.T
+        near /= norm
         kth_best = best[block][np.arange(len(near)), q.k[block] - 1]
         seen = np.maximum(kth_best, q.floor[block])
         limit = seen - error
         if rows > width and np.isneginf(kth_best).any():
             kth = np.partition(near, rows - width, axis=1)[:, rows - width]
             limit = np.maximum(limit, kth - 2 * error)
-        qi, xi = np.nonzero(near >= limit[:, None])
-        scores = _exact(q, qi + start, x, norm, xi)
+        qi, xi = np.nonzero(~(near < limit[:, None].astype(np.float32)))
+        scores = _exact(q, qi + start, x, xi)
         good = scores >= seen[qi]
         qi, xi, scores = qi[good], xi[good], scores[good]
         order = np.lexsort((rank[xi], -scores, qi))

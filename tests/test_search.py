@@ -86,6 +86,28 @@ def test_rows_without_direction_are_left_out(spark):
     assert found(spark, queries, items) == exact(usable, items)
 
 
+def test_very_long_and_very_short_vectors(spark):
+    queries, items = data(60, 5, 8, k=20)
+    scale = [1e-30, 1e-20, 1.0, 1e20, 1e30]
+    items = [(i, [scale[n % 5] * e for e in v]) for n, (i, v) in enumerate(items)]
+    assert found(spark, queries, items) == exact(queries, items)
+
+
+def test_vectors_in_double_precision(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=DIM)
+    items = [(f"c{i:03d}", (base + 1e-9 * rng.normal(size=DIM)).tolist()) for i in range(99)]
+    stored = spark.createDataFrame(items, "chunk_id string, embedding array<double>")
+    query = rng.normal(size=DIM)
+    requests = spark.createDataFrame([(1, query.tolist(), 20, None)], REQUESTS.replace("float", "double"))
+    hits = search.top_k(requests, stored, dim=DIM).orderBy("rk").collect()
+    def score(v):
+        v = np.array(v)
+        return (v * query).sum() / (np.sqrt((query**2).sum()) * np.sqrt((v**2).sum()))
+    want = sorted(items, key=lambda item: (-score(item[1]), item[0]))[:20]
+    assert [h.chunk_id for h in hits] == [i for i, _ in want]
+
+
 def test_each_query_has_its_own_limits(spark):
     queries, items = data(200, 4, 4)
     queries = [(j, v, 1 + 3 * j, (None, 0.2, 0.9, -1.0)[j]) for j, v, _, _ in queries]
