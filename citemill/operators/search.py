@@ -201,8 +201,9 @@ def top_k(
     come back with each hit.
 
     Queries that fit into ``block_bytes`` are sent to all tasks together. More are first
-    written to the shared folder and done block by block, each block one pass over
-    ``items``, so neither driver nor tasks ever hold more than one block.
+    written to the shared folder in files of at most that size and done file by file, each
+    one pass over ``items``, so neither driver nor tasks ever hold more than one block.
+    Each query has its own ``q_id``.
 
     Each task hands on up to ``top_k`` rows for each query. For tables of very many parts
     ``seed`` may name a small part of ``items``, such as one of its files: it is searched
@@ -237,14 +238,9 @@ def top_k(
 
     spark = items.sparkSession
     folder = work_dir(spark, "query-blocks")
-    count = usable.count()
-    # Twice as many blocks as needed, as hashing does not fill them evenly.
-    blocks = 2 * math.ceil(count / block_rows)
-    number = F.pmod(F.xxhash64("q_id"), F.lit(blocks)).alias("block")
-    usable.select("*", number).write.partitionBy("block").parquet(f"{folder}/queries")
-    stored = spark.read.parquet(f"{folder}/queries")
-    for block in range(blocks):
-        part = stored.filter(F.col("block") == block).drop("block").toArrow()
-        if part.num_rows:
-            _hits_of_block(part, *args).write.mode("append").parquet(f"{folder}/hits")
+    blocks = usable.repartition(math.ceil(usable.count() / block_rows))
+    blocks.write.option("maxRecordsPerFile", block_rows).parquet(f"{folder}/queries")
+    for block in spark.read.parquet(f"{folder}/queries").inputFiles():
+        hits = _hits_of_block(spark.read.parquet(block).toArrow(), *args)
+        hits.write.mode("append").parquet(f"{folder}/hits")
     return spark.read.parquet(f"{folder}/hits")

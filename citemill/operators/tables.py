@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from citemill.functions import text as tx
 from citemill.operators import validate as val
@@ -30,6 +30,16 @@ def chunks_per_document(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
+def latest_version(documents: DataFrame) -> DataFrame:
+    """The newest row of each ``doc_id`` by ``created_at``, of equally new ones by content.
+
+    The limit reaches below the shuffle: each task hands on one row per document only.
+    """
+    newest = Window.partitionBy("doc_id").orderBy(F.desc("created_at"), F.desc("content"))
+    ranked = documents.withColumn("version", F.row_number().over(newest))
+    return ranked.filter("version = 1").drop("version")
+
+
 def chunk_preview(chunks: DataFrame, limit: int | None = 10) -> DataFrame:
     """Beginnings of chunks in document order; all of them if ``limit`` is None."""
     shown = chunks.select(

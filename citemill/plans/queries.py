@@ -537,6 +537,7 @@ def stream_ingest_documents(spark, sf):
         F.concat("doc_id", F.lit(".txt")).alias("filename"),
         F.col("text").alias("content"),
         F.lit("txt").alias("file_type"),
+        F.lit(FIRST_COMMIT).alias("created_at"),
     )
     checked = val.validate(files)
     stream_ingest.start(checked, store, rejects, f"{folder}/checkpoint").awaitTermination()

@@ -32,12 +32,18 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.filter(tx.has_supported_suffix(F.col("path")))
 
 
-def stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same files as a stream, and those added later; unlisted suffixes included."""
+def stream(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, pattern: str = "*"
+) -> DataFrame:
+    """Files as a stream, and those added later.
+
+    With the default pattern files of other types arrive too, to be listed as rejects.
+    """
     return (
         spark.readStream.format("binaryFile")
         .schema(schemas.BINARY_FILE)
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citemill import schemas
-from citemill.operators import validate as val
+from citemill.operators import tables as tb, validate as val
 from citemill.plans import pipeline
 from citemill.sources.lake import SnapshotTable
 
@@ -25,7 +25,7 @@ def start(
 ) -> StreamingQuery:
     """Chunk, embed and upsert a stream of documents that carry a ``reject_reason``.
 
-    Each micro-batch is one snapshot. A batch that is run again after a failure finds
+    Of several documents with one id the newest counts, in a batch as across batches. Each micro-batch is one snapshot. A batch that is run again after a failure finds
     itself in the log and writes nothing; the checkpoint folder names the stream.
     """
 
@@ -35,11 +35,12 @@ def start(
         try:
             accepted, rejected = val.split(batch)
             rejects.commit(rejected, at=now, stream_id=checkpoint, batch_id=batch_id)
-            pipeline.upsert(accepted, store, now, checkpoint, batch_id, **options)
+            newest = tb.latest_version(accepted)
+            pipeline.upsert(newest, store, now, checkpoint, batch_id, **options)
         finally:
             batch.unpersist()
 
-    needed = ["doc_id", "filename", "content", "file_type", "reject_reason"]
+    needed = ["doc_id", "filename", "content", "file_type", "created_at", "reject_reason"]
     return (
         documents.select(*[F.col(name) for name in needed])
         .writeStream.foreachBatch(ingest)

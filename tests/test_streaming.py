@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -43,6 +44,19 @@ def test_stream_of_files_equals_one_batch(spark, tmp_path):
     assert {r.reject_reason for r in kept.collect()} == {"bad_encoding", "unsupported_type"}
 
 
+def test_the_newest_of_equally_named_files_counts(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    for n, text in enumerate(["old text, a long one " * 40, "new text of a file", "middle text " * 20]):
+        (inbox / str(n)).mkdir(parents=True)
+        (inbox / str(n) / "readme.txt").write_text(text)
+        os.utime(inbox / str(n) / "readme.txt", (1000 + 10 * (n % 2), 1000 + 10 * (n % 2)))
+    store = SnapshotTable(spark, str(tmp_path / "points"), pipeline.POINTS)
+    rejects = SnapshotTable(spark, str(tmp_path / "rejects"), ingest.REJECTS)
+    arriving = files.uploaded(files.stream(spark, str(inbox), pattern="*.txt"))
+    ingest.start(arriving, store, rejects, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r.text for r in store.current().collect()] == ["new text of a file"]
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     documents = spark.createDataFrame(
         [("d", "d.txt", "some longer text " * 30, "txt")],
