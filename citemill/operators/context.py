@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from citemill.functions import scores as sc, text as tx
+from citemill.operators.embed import HASH_MODEL
 
 # Wording and layout of context and prompt.
 SOURCE_HEAD = "[Source %d]\n%s"
@@ -80,7 +81,9 @@ def prompts(queries: DataFrame, hits: DataFrame, model: str = ANSWER_MODEL) -> D
     )
 
 
-def envelopes(queries: DataFrame, hits: DataFrame, collection: DataFrame) -> DataFrame:
+def envelopes(
+    queries: DataFrame, hits: DataFrame, collection: DataFrame, model: str = HASH_MODEL
+) -> DataFrame:
     """One row for each query, also without hits: its results in rank order and counts."""
     fields = [c for c in hits.columns if c not in ("q_id", "rk")]
     results = F.array_sort(F.collect_list(F.struct("rk", *fields)))
@@ -94,6 +97,7 @@ def envelopes(queries: DataFrame, hits: DataFrame, collection: DataFrame) -> Dat
         .select(
             "q_id",
             "query",
+            F.lit(model).alias("query_embedding_model"),
             "results",
             F.coalesce("num_results", F.lit(0)).cast("bigint").alias("num_results"),
             total.alias("total_documents"),

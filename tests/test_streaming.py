@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from citemill.operators import metrics as mt, validate as val
 from citemill.plans import pipeline
-from citemill.sources import files, tables as src
+from citemill.sources import files, querylog, tables as src
 from citemill.sources.lake import SnapshotTable
 from citemill.streaming import ingest, metrics as running
 
@@ -104,3 +104,22 @@ def test_append_mode_closes_days_in_order(spark, tmp_path):
     days = mt.daily_metrics(src.as_query_log(events))
     assert got.exceptAll(days).isEmpty()
     assert got.select(F.count_distinct("day")).first()[0] == got.count() >= 28
+
+
+def test_metrics_of_a_stored_query_log(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    asked = "q_id bigint, query string, latency_ms double"
+    hits = spark.createDataFrame([(1, "c1"), (1, "c2")], "q_id bigint, chunk_id string")
+    now = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
+    good = spark.createDataFrame([(1, "a", 10.0), (2, "b", 30.0)], asked)
+    querylog.append(mt.query_log(good, hits), folder, now)
+    bad = spark.createDataFrame([(3, "c", 99.0)], asked)
+    querylog.append(mt.query_log(bad, hits), folder, now + dt.timedelta(days=1), failed=True)
+    stored = querylog.read(spark, folder)
+    assert {r.q_id: r.num_results for r in stored.collect()} == {1: 2, 2: 0, 3: 0}
+    out = str(tmp_path / "out")
+    totals = running.running_totals(querylog.stream(spark, folder))
+    running.start(totals, out, str(tmp_path / "cp")).awaitTermination()
+    assert tuple(running.latest(spark, out).first()) == (3, 2, 1, 66.67, 13.33)
+    assert tuple(mt.query_metrics(stored).first())[:5] == (3, 2, 1, 66.67, 13.33)
+    assert mt.daily_metrics(stored).count() == 2
