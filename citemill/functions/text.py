@@ -26,6 +26,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def has_content(text: Column) -> Column:
+    """Whether anything but white space is in the text; looks no further than needed."""
+    return text.rlike(f"[^{WHITESPACE}]")
+
+
 def strip_markup(html: Column) -> Column:
     """Remove tags. Character entities are left as they are."""
     return F.regexp_replace(html, MARKUP, "")

@@ -22,7 +22,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     Works on the bytes of the whole batch at once. Bytes of other than ASCII characters
     are never token characters, so a token cannot begin or end inside a character.
     """
-    texts = pc.fill_null(texts, "")
+    texts = pc.fill_null(texts, "").cast(pa.string())
     _, ends, characters = texts.buffers()
     offsets = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(characters or b"", np.uint8)[offsets[0] : offsets[-1]]

@@ -42,14 +42,16 @@ class _Queries:
 def _arrays(block: pa.Table, dim: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """A block of queries as plain arrays, the form in which it is sent to tasks."""
     block = block.combine_chunks()
+    ids = block.column("q_id")
+    if pa.types.is_large_string(ids.type):
+        ids = ids.cast(pa.string())
     if not block.num_rows:
         empty = np.empty(0)
-        ids = pa.array([], block.schema.field("q_id").type)
-        return ids, np.empty((0, dim)), empty.astype(np.int64), empty
+        return pa.array([], ids.type), np.empty((0, dim)), empty.astype(np.int64), empty
     column = {name: block.column(name).chunk(0) for name in block.column_names}
     floor = pc.fill_null(column["min_score"], -math.inf)
     return (
-        column["q_id"],
+        ids.chunk(0),
         vec.list_matrix(column["embedding"], dim),
         column["top_k"].to_numpy(),
         floor.to_numpy(zero_copy_only=False),
@@ -144,9 +146,8 @@ def _hits_of_block(
     arrays = _arrays(block, dim)
     sent = items.sparkSession.sparkContext.broadcast(arrays)
     top = int(arrays[2].max(initial=1))
-    id_field = T.StructField("q_id", T.StringType())
-    if not pa.types.is_string(block.schema.field("q_id").type):
-        id_field = T.StructField("q_id", T.LongType())
+    named = pa.types.is_string(arrays[0].type)
+    id_field = T.StructField("q_id", T.StringType() if named else T.LongType())
     kept = [source.schema[name] for name in (item_id, *carry)]
     schema = T.StructType(
         [id_field, T.StructField("top_k", T.LongType()), T.StructField("score", T.DoubleType())]

@@ -84,13 +84,15 @@ def collection_stats(points: DataFrame, name: str, metric: str = "cosine") -> Da
 
 def upload_stats(documents: DataFrame, chunks: DataFrame) -> DataFrame:
     """Chunks made and text length of every document."""
-    counts = chunks_per_document(documents, chunks)
+    counted = chunks.groupBy("doc_id").agg(F.count("*").alias("n"))
     lengths = documents.select(
         F.col("doc_id").cast("string").alias("doc_id"),
         "filename",
         F.length("content").alias("text_length"),
     )
-    return lengths.join(counts.withColumnRenamed("num_chunks", "chunks_created"), "doc_id")
+    return lengths.join(counted, "doc_id", "left").select(
+        *lengths.columns, F.coalesce("n", F.lit(0)).cast("bigint").alias("chunks_created")
+    )
 
 
 def _origin(documents: DataFrame) -> DataFrame:
@@ -103,17 +105,19 @@ def _origin(documents: DataFrame) -> DataFrame:
     )
 
 
+def _with_commit(rows: DataFrame, log: DataFrame) -> DataFrame:
+    commits = log.select("snapshot_id", "committed_at", "operation")
+    return rows.join(commits, "snapshot_id", "left")
+
+
 def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
     """Each chunk with the document it was cut from and the snapshot that brought it.
 
     ``documents`` carries ``snapshot_id``. Left joins keep chunks whose origin is unknown.
     """
-    commits = log.select("snapshot_id", "committed_at", "operation")
-    return (
-        chunks.select("chunk_id", "doc_id", "chunk_index", "chunking_strategy")
-        .join(_origin(documents), "doc_id", "left")
-        .join(commits, "snapshot_id", "left")
-    )
+    origin = _with_commit(_origin(documents), log)
+    traced = chunks.select("chunk_id", "doc_id", "chunk_index", "chunking_strategy")
+    return traced.join(origin, "doc_id", "left")
 
 
 def hits_with_lineage(hits: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
@@ -125,9 +129,8 @@ def hits_with_lineage(hits: DataFrame, documents: DataFrame, log: DataFrame) ->
     wanted = hits.select("doc_id").distinct()
     named = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
     origin = _origin(named.join(wanted, "doc_id", "left_semi"))
-    commits = log.select("snapshot_id", "committed_at", "operation")
     fields = ["snapshot_id", "committed_at", "operation", "source_file", "file_size", "file_hash"]
-    traced = origin.join(commits, "snapshot_id", "left").select(
+    traced = _with_commit(origin, log).select(
         "doc_id", F.struct(*fields).alias("data_lineage")
     )
     return hits.join(traced, "doc_id", "left")

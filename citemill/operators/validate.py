@@ -29,7 +29,7 @@ def reject_reason(name: Column, content: Column) -> Column:
         .when(ends_with(PARSER_SUFFIXES), F.lit("unsupported_parser"))
         .when(~F.is_valid_utf8(content), F.lit("bad_encoding"))
         .when(content.isNull() | (F.length(content) < MIN_CHARS), F.lit("too_short"))
-        .when(tx.strip(content) == "", F.lit("no_chunks"))
+        .when(~tx.has_content(content), F.lit("no_chunks"))
     )
 
 

@@ -141,6 +141,21 @@ def test_texts_and_stored_vectors_give_the_same_hits(spark, small):
     assert a == b and len(a) == 160
 
 
+def test_named_queries_and_large_arrow_types(spark):
+    asked = spark.createDataFrame([("first", "red fox"), ("second", "blue")], "q_id string, query string")
+    texts = spark.createDataFrame([("a", "A blue sky"), ("b", "The red, red fox")], "chunk_id string, chunk_text string")
+    key = "spark.sql.execution.arrow.useLargeVarTypes"
+    for large in ("false", "true"):
+        spark.conf.set(key, large)
+        try:
+            hits = pipeline.search_texts(asked, texts, 1, carry=()).collect()
+            cells = embed.hash_weights(texts, "chunk_id", "chunk_text").count()
+        finally:
+            spark.conf.unset(key)
+        assert {(h.q_id, h.chunk_id) for h in hits} == {("first", "b"), ("second", "a")}
+        assert cells == 6
+
+
 def test_hits_found_again_by_threshold(spark):
     """Hits above a score are those of the plain ranking that reach it."""
     queries, items = data(300, 5, 6, k=20)
