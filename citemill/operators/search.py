@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from citemill.functions import vectors as vec
@@ -132,7 +133,7 @@ def _best_of_batch(q: _Queries, best: np.ndarray, x: np.ndarray, rank: np.ndarra
 
 
 def _hits_of_block(
-    block: pa.Table,
+    sent: Broadcast,
     items: DataFrame,
     item_id: str,
     vector: str,
@@ -140,11 +141,11 @@ def _hits_of_block(
     encoder: Callable[[], Encoder] | None,
     carry: tuple[str, ...],
 ) -> DataFrame:
+    """Ranked hits of the queries in ``sent``; one pass over ``items``."""
     source = items.select(vector, item_id, *carry)
     if encoder is None:
         source = source.filter(F.size(vector) == dim)
-    arrays = _arrays(block, dim)
-    sent = items.sparkSession.sparkContext.broadcast(arrays)
+    arrays = sent.value
     top = int(arrays[2].max(initial=1))
     named = pa.types.is_string(arrays[0].type)
     id_field = T.StructField("q_id", T.StringType() if named else T.LongType())
@@ -231,17 +232,24 @@ def top_k(
         F.col("top_k").cast("bigint").alias("top_k"),
         F.col("min_score").cast("double").alias("min_score"),
     )
-    block_rows = max(1, block_bytes // (8 * dim))
+    spark = items.sparkSession
     args = (items, item_id, vector, dim, encoder, carry)
+
+    def send(block: pa.Table) -> Broadcast:
+        return spark.sparkContext.broadcast(_arrays(block, dim))
+
+    block_rows = max(1, block_bytes // (8 * dim))
     head = usable.limit(block_rows + 1).toArrow()
     if head.num_rows <= block_rows:
-        return _hits_of_block(head, *args)
+        return _hits_of_block(send(head), *args)
 
-    spark = items.sparkSession
     folder = work_dir(spark, "query-blocks")
-    blocks = usable.repartition(math.ceil(usable.count() / block_rows))
-    blocks.write.option("maxRecordsPerFile", block_rows).parquet(f"{folder}/queries")
-    for block in spark.read.parquet(f"{folder}/queries").inputFiles():
-        hits = _hits_of_block(spark.read.parquet(block).toArrow(), *args)
-        hits.write.mode("append").parquet(f"{folder}/hits")
+    usable.write.parquet(f"{folder}/queries")
+    stored = spark.read.parquet(f"{folder}/queries")
+    blocks = stored.repartition(math.ceil(stored.count() / block_rows))
+    blocks.write.option("maxRecordsPerFile", block_rows).parquet(f"{folder}/blocks")
+    for block in spark.read.parquet(f"{folder}/blocks").inputFiles():
+        sent = send(spark.read.parquet(block).toArrow())
+        _hits_of_block(sent, *args).write.mode("append").parquet(f"{folder}/hits")
+        sent.destroy()
     return spark.read.parquet(f"{folder}/hits")

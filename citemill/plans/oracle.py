@@ -42,18 +42,20 @@ SENTENCES = f"""sentences AS (
         lambda s: s <> '') AS ss
     FROM docs)"""
 
-TAIL = f"""array_to_string(list_filter(
-                string_split_regex(cur, {WORDS_RE}), lambda w: w <> '')[-100:], ' ')"""
 
-SMART = f"""WITH RECURSIVE {DOCS}, {SENTENCES},
+def smart(size: int, overlap: int) -> str:
+    """Sentence chunks by a recursive query: one step for each sentence."""
+    tail = f"""array_to_string(list_filter(
+                string_split_regex(cur, {WORDS_RE}), lambda w: w <> '')[-{overlap}:], ' ')"""
+    return f"""WITH RECURSIVE {DOCS}, {SENTENCES},
 fold(doc_id, i, cur, emit) AS (
     SELECT doc_id, 0, CAST('' AS VARCHAR), CAST(NULL AS VARCHAR) FROM sentences WHERE len(ss) > 0
     UNION ALL
     SELECT doc_id, i + 1,
-        CASE WHEN length(cur) + length(ss[i + 1]) <= 500 THEN cur || ' ' || ss[i + 1]
+        CASE WHEN length(cur) + length(ss[i + 1]) <= {size} THEN cur || ' ' || ss[i + 1]
              WHEN cur = '' THEN ss[i + 1]
-             ELSE {TAIL} || ' ' || ss[i + 1] END,
-        CASE WHEN length(cur) + length(ss[i + 1]) > 500 AND cur <> '' THEN cur END
+             ELSE {tail} || ' ' || ss[i + 1] END,
+        CASE WHEN length(cur) + length(ss[i + 1]) > {size} AND cur <> '' THEN cur END
     FROM fold JOIN sentences USING (doc_id) WHERE i < len(ss)),
 closed AS (
     SELECT doc_id, i, emit AS cur FROM fold WHERE emit IS NOT NULL
@@ -61,7 +63,7 @@ closed AS (
     SELECT doc_id, i + 1, cur FROM fold JOIN sentences USING (doc_id) WHERE i = len(ss)),
 smart AS (
     SELECT substr(md5(doc_id || '-' || chunk_index), 1, 16) AS chunk_id, *,
-        'smart-500-overlap-100' AS chunking_strategy
+        'smart-{size}-overlap-{overlap}' AS chunking_strategy
     FROM (
         SELECT doc_id,
             CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS chunk_index,
@@ -69,6 +71,9 @@ smart AS (
         FROM closed))"""
 
 
+SMART = smart(500, 100)
+
+
 def _weights(name: str, key: str, text: str, table: str) -> str:
     return f"""{name} AS (
     SELECT {key}, CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % 384 AS dim,

@@ -1,11 +1,13 @@
 import hashlib
 import random
-import re
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from citemill.operators import chunk
+from citemill.plans import oracle
 
 
 def documents(spark, texts):
@@ -81,20 +83,6 @@ def test_ids_and_labels(spark):
     assert row.chunking_strategy == "smart-500-overlap-100"
 
 
-def packed(text, size, overlap):
-    """Straightforward packing, with the unstripped length of each chunk."""
-    parts = [p.strip() for p in re.split("[.!?]+", text)]
-    done, current = [], ""
-    for part in [p for p in parts if p]:
-        over = len(current) + len(part) > size
-        if over and current:
-            done.append(current)
-            current = " ".join(current.split()[-overlap:]) + " " + part
-        else:
-            current = part if over else current + " " + part
-    return [(c.strip(), len(c)) for c in (done + [current] if current else done)]
-
-
 def test_sentence_chunks(spark):
     texts = [
         "aa bb cc. dd ee ff! gg hh ii? jj.",
@@ -115,21 +103,28 @@ def test_sentence_chunks(spark):
     assert rows["4"] == [("x" * 10, 11), ("x" * 10 + " " + "y" * 10, 21)]
 
 
-@pytest.mark.parametrize("size, overlap", [(500, 100), (40, 3)])
-def test_sentence_chunks_equal_brute_force(spark, size, overlap):
-    texts = random_texts(80, 5) + [""]
+def by_recursive_query(texts, size, overlap):
+    rows = [(str(i), t, "x", "en") for i, t in enumerate(texts)]
+    frame = pd.DataFrame(rows, columns=["doc_id", "text", "source", "lang"])
+    db = duckdb.connect()
+    db.register("documents", frame)
+    columns = "doc_id, chunk_index, chunk_text, chunk_size, chunk_id"
+    return set(db.execute(f"{oracle.smart(size, overlap)} SELECT {columns} FROM smart").fetchall())
+
+
+@pytest.mark.parametrize("size, overlap", [(500, 100), (40, 3), (1, 1)])
+def test_sentence_chunks_equal_a_recursive_query(spark, size, overlap):
+    texts = random_texts(80, 5) + ["", "no end"]
     found = chunk.chunk_sentences(documents(spark, texts), size, overlap)
-    rows = {}
-    for r in sorted(found.collect(), key=lambda r: (r.doc_id, r.chunk_index)):
-        rows.setdefault(r.doc_id, []).append((r.chunk_text, r.chunk_size))
-    for i, text in enumerate(texts):
-        assert rows.get(str(i), []) == packed(text, size, overlap)
+    columns = ["doc_id", "chunk_index", "chunk_text", "chunk_size", "chunk_id"]
+    got = [tuple(r) for r in found.select(*columns).collect()]
+    assert set(got) == by_recursive_query(texts, size, overlap) and len(set(got)) == len(got)
 
 
 def test_many_chunks_of_one_text_come_in_several_batches(spark):
     text = " ".join(f"s{i}." for i in range(6000))
-    found = chunk.chunk_sentences(documents(spark, [text]), 1, 1)
-    assert by_document(found)["0"] == [c for c, _ in packed(text, 1, 1)]
+    found = by_document(chunk.chunk_sentences(documents(spark, [text]), 1, 1))["0"]
+    assert found == ["s0"] + [f"s{i} s{i + 1}" for i in range(5999)]
 
 
 def test_sentence_overlap_must_be_positive(spark):
