@@ -9,6 +9,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citemill.functions import ids, scores as sc, text as tx
+from citemill.functions.joins import same_key
 from citemill.operators import (
     chunk,
     context as ctx,
@@ -387,9 +388,11 @@ def topk_min_score(spark, sf):
 def cosine_own_centroid(spark, sf):
     """Every vector against the mean of its label."""
     vectors = src.table(spark, sf, "embeddings")
-    means = _centroids(vectors).withColumnRenamed("embedding", "mean")
+    means = _centroids(vectors).toDF("mean_label", "mean")
     near = sc.cosine(F.col("embedding"), F.col("mean"))
-    return vectors.join(means, "label").select("vec_id", F.round(near, 6).alias("score"))
+    return vectors.join(means, same_key("label", "mean_label")).select(
+        "vec_id", F.round(near, 6).alias("score")
+    )
 
 
 def _text_hits(spark, sf, top_k: int = search.TOP_K, min_score: float | None = None):

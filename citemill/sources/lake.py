@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from citemill import schemas
+from citemill.functions.joins import same_key
 
 # Names of the database and its tables.
 DATABASE = "rag_data_lake"
@@ -92,7 +93,7 @@ def current(rows: DataFrame, key: str = "doc_id", base: int | None = None) -> Da
     newest = later.groupBy(F.col(key).alias("newest_key")).agg(
         F.max("snapshot_id").alias("newest_snapshot")
     )
-    outdated = (F.col(key) == F.col("newest_key")) & (
+    outdated = same_key(key, "newest_key") & (
         F.col("snapshot_id") < F.col("newest_snapshot")
     )
     return rows.join(newest, outdated, "left_anti")
