@@ -16,7 +16,7 @@ PREVIEW_CHARS = 50
 SOURCE_PREVIEW_CHARS = 100
 DISPLAY_PREVIEW_CHARS = 200
 ELLIPSIS = "..."
-TABLE_SUFFIXES = (".txt", ".md", ".pdf")
+LOADER_SUFFIXES = (".txt", ".md", ".pdf")
 EMAIL = r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"[0-9][0-9 ().-]{7,}[0-9]"
 
@@ -81,7 +81,7 @@ def upload_file_type(name: Column) -> Column:
 
 
 def has_supported_suffix(path: Column) -> Column:
-    return F.lower(file_suffix(path)).isin(*TABLE_SUFFIXES)
+    return F.lower(file_suffix(path)).isin(*LOADER_SUFFIXES)
 
 
 def strategy_label(prefix: str, size: int, overlap: int) -> str:

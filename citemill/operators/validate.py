@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from citemill.functions import text as tx, vectors as vec
 from citemill.operators.embed import KNOWN_MODELS
-from citemill.operators.search import MAX_TOP_K, MIN_TOP_K
+from citemill.operators.search import MAX_TOP_K, MIN_SCORE, MIN_TOP_K, TOP_K
 
 # What an upload must look like.
 TEXT_SUFFIXES = (".txt", ".md")
@@ -62,6 +62,16 @@ def check_models(metadata: DataFrame, known: tuple[str, ...] = KNOWN_MODELS) ->
     return metadata.withColumn("reject_reason", F.when(unknown, F.lit("unknown_model")))
 
 
+def request_defaults(queries: DataFrame) -> DataFrame:
+    """``queries`` with the defaults of a request where it names no limit."""
+    return queries.withColumns(
+        {
+            "top_k": F.coalesce("top_k", F.lit(TOP_K)),
+            "min_score": F.coalesce("min_score", F.lit(MIN_SCORE)),
+        }
+    )
+
+
 def check_queries(queries: DataFrame) -> DataFrame:
     """``queries`` with a ``reject_reason`` for requests outside the accepted bounds."""
     reason = (

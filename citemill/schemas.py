@@ -5,15 +5,15 @@ from pyspark.sql import types as T
 S, I, L, D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
 
-def _struct(**fields: T.DataType) -> T.StructType:
+def struct_of(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Column names and types of the lake tables.
-RAW_DOCUMENTS = _struct(
+RAW_DOCUMENTS = struct_of(
     doc_id=S, filename=S, content=S, file_type=S, file_size=L, ingestion_date=T.DateType()
 )
-DOCUMENT_CHUNKS = _struct(
+DOCUMENT_CHUNKS = struct_of(
     chunk_id=S,
     doc_id=S,
     chunk_index=I,
@@ -22,7 +22,7 @@ DOCUMENT_CHUNKS = _struct(
     chunking_strategy=S,
     created_at=T.TimestampType(),
 )
-EMBEDDINGS_METADATA = _struct(
+EMBEDDINGS_METADATA = struct_of(
     chunk_id=S,
     doc_id=S,
     embedding_model=S,
@@ -31,7 +31,7 @@ EMBEDDINGS_METADATA = _struct(
     snapshot_id=L,
 )
 
-LOADED_DOCUMENT = _struct(
+LOADED_DOCUMENT = struct_of(
     doc_id=S,
     filename=S,
     content=S,
@@ -40,7 +40,7 @@ LOADED_DOCUMENT = _struct(
     created_at=T.TimestampType(),
     metadata=T.MapType(S, S),
 )
-POINT_PAYLOAD = _struct(
+POINT_PAYLOAD = struct_of(
     chunk_id=S,
     doc_id=S,
     chunk_index=I,
@@ -51,11 +51,10 @@ POINT_PAYLOAD = _struct(
     strategy=S,
     indexed_at=T.TimestampType(),
 )
-QUERY = _struct(q_id=L, query=S, top_k=I, min_score=D)
-QUERY_LOG = _struct(
+QUERY_LOG = struct_of(
     q_id=L, query=S, latency_ms=D, num_results=L, failed=T.BooleanType(), ts=T.TimestampType()
 )
-SNAPSHOT_LOG = _struct(
+SNAPSHOT_LOG = struct_of(
     snapshot_id=L,
     committed_at=T.TimestampType(),
     operation=S,
@@ -65,6 +64,6 @@ SNAPSHOT_LOG = _struct(
 )
 
 # What the binary file source yields; a stream must be told this in advance.
-BINARY_FILE = _struct(
+BINARY_FILE = struct_of(
     path=S, modificationTime=T.TimestampType(), length=L, content=T.BinaryType()
 )

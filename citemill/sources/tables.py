@@ -9,14 +9,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Tables of up to this many splits, some gigabytes, are worth a shuffle to spread them.
+SMALL_TABLE_SPLITS = 32
+_PARTS_PER_SPLIT = 8
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores for work on a table that is stored in fewer parts than there are.
+    """Use more cores for a small table that is stored in fewer splits than there are.
 
-    Large tables have many splits and are left alone, so they are not shuffled. Only for
-    a plain scan: asking a plan with a shuffle for its partitions would run it.
+    Tables of more splits are left alone, however many cores there are, so a large table
+    is never shuffled for this. Only for a plain scan: asking a plan with a shuffle for
+    its partitions would run it.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    splits = scan.rdd.getNumPartitions()
+    if splits >= min(cores, SMALL_TABLE_SPLITS):
+        return scan
+    return scan.repartition(min(cores, max(1, splits) * _PARTS_PER_SPLIT))
 
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:

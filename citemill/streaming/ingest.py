@@ -12,7 +12,7 @@ from citemill.operators import tables as tb, validate as val
 from citemill.plans import pipeline
 from citemill.sources.lake import SnapshotTable
 
-REJECTS = schemas._struct(filename=schemas.S, reject_reason=schemas.S)
+REJECTS = schemas.struct_of(filename=schemas.S, reject_reason=schemas.S)
 
 
 def start(

@@ -59,6 +59,11 @@ def test_request_bounds(spark):
         assert row.reject_reason == row.want, row
 
 
+def test_request_defaults(spark):
+    df = spark.createDataFrame([(None, None), (7, 0.1)], "top_k int, min_score double")
+    assert sorted(map(tuple, val.request_defaults(df).collect())) == [(3, 0.5), (7, 0.1)]
+
+
 def test_vector_contract(spark):
     rows = [([1.0, 2.0], None), ([0.0, 0.0], "empty_embedding"), (None, "empty_embedding"),
             ([1.0], "wrong_dimension"), ([1.0, None], "null_element")]

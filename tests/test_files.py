@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from citemill import schemas
 from citemill.functions import ids
 from citemill.operators import tables as tb, validate as val
 from citemill.plans import pipeline
@@ -44,6 +45,8 @@ def test_scan_and_load(spark, folder):
     assert c.content == "# Title\n\nSome <b>markdown</b> text."
     path = str(folder / "a.txt")
     assert a.doc_id == hashlib.md5(path.encode()).hexdigest()[:16]
+    made = files.loaded(files.scan(spark, str(folder))).drop("reject_reason").schema
+    assert made.simpleString() == schemas.LOADED_DOCUMENT.simpleString()
     assert a.metadata == {"path": path, "extension": ".txt"} and a.created_at is not None
 
 
