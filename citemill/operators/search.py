@@ -197,8 +197,8 @@ def top_k(
     """The ``top_k`` items of each query by cosine, ties by rising id.
 
     ``queries`` has ``q_id, embedding, top_k, min_score``; a null ``min_score`` keeps all.
-    Rows of ``queries`` without a vector of ``dim`` elements find nothing, and items
-    without one cannot be found. With ``encoder``, column ``vector`` of ``items`` holds
+    Rows of ``queries`` without a vector of ``dim`` finite elements, not all 0, find
+    nothing, and such items cannot be found. With ``encoder``, column ``vector`` of ``items`` holds
     texts that are turned into vectors on the fly and never stored. ``carry`` columns
     come back with each hit.
 
@@ -221,13 +221,15 @@ def top_k(
         queries = queries.join(reached, "q_id", "left").withColumn(
             "min_score", F.greatest("min_score", full)
         )
+    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < math.inf, F.lit(False)))
+    named = queries.schema["q_id"].dataType == T.StringType()
     usable = queries.filter(
         (F.size("embedding") == dim)
         & F.exists("embedding", lambda v: v != 0)
-        & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v))
+        & finite
+        & (F.col("top_k") >= MIN_TOP_K)
     ).select(
-        F.col("q_id") if queries.schema["q_id"].dataType == T.StringType()
-        else F.col("q_id").cast("bigint").alias("q_id"),
+        F.col("q_id").cast("string" if named else "bigint").alias("q_id"),
         "embedding",
         F.col("top_k").cast("bigint").alias("top_k"),
         F.col("min_score").cast("double").alias("min_score"),

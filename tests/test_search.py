@@ -17,7 +17,7 @@ def exact(queries, items):
         a = np.array(qv, dtype=np.float32).astype(float)
         scored = []
         for i, v in items:
-            b = np.array(v if v is not None else [], dtype=np.float32).astype(float)
+            b = np.array(v if v is not None and None not in v else [], dtype=np.float32).astype(float)
             if len(b) != len(a) or not np.isfinite(b).all() or not b.any() or not a.any():
                 continue
             score = (a * b).sum() / (np.sqrt((a**2).sum()) * np.sqrt((b**2).sum()))
@@ -81,7 +81,11 @@ def test_near_ties_are_ranked_in_double_precision(spark):
 def test_rows_without_direction_are_left_out(spark):
     queries, items = data(30, 2, 3, k=20)
     items += [("z1", [0.0] * DIM), ("z2", None), ("z3", [1.0] * 3), ("z4", [float("nan")] * DIM)]
+    items += [("z5", [float("inf")] + [1.0] * (DIM - 1)), ("z6", [1.0, None] * (DIM // 2))]
     queries += [(8, [0.0] * DIM, 3, None), (9, None, 3, None), (10, [1.0], 3, None)]
+    for q, bad in enumerate((float("nan"), float("inf"), -float("inf"), None), 11):
+        queries.append((q, [bad] + [1.0] * (DIM - 1), 3, None))
+    queries.append((20, [1.0] * DIM, 0, None))
     usable = [q for q in queries if q[0] < 8]
     assert found(spark, queries, items) == exact(usable, items)
 
