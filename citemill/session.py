@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,18 +36,13 @@ def get_spark(app: str = "citemill", master: str | None = None, **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, else the warehouse's.
 
-    Only a local session that names none gets a temporary folder of its own.
+    Both are read from the session and neither is changed. A path of scheme ``file`` must be
+    a mount that all machines share.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="citemill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
