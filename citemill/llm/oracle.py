@@ -2,4 +2,65 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_quality": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+        windows AS (
+            SELECT doc_id, unnest(range(1, len(words) - 6)) AS i, words FROM w WHERE len(words) >= 8
+        ),
+        texts AS (SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS win FROM windows),
+        twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM texts),
+        covered AS (
+            SELECT doc_id, count(DISTINCT p) AS n FROM (
+                SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice WHERE n > 1
+            ) GROUP BY doc_id
+        ),
+        lines AS (
+            SELECT doc_id, line,
+                len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+                len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+                len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+                len(regexp_extract_all(line, '!')) AS shouts,
+                len([x FOR x IN regexp_extract_all(line, '[^\x20\x09-\x0D]+')
+                    IF x IN ('|', '»', '›', '·', '•', '>', '/')]) AS seps
+            FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+        ),
+        judged AS (
+            SELECT *, (symbols * 10 > chars) OR (shouts >= 3 AND shouts * 3 > words)
+                OR (words >= 10 AND NOT regexp_matches(line, '[.!?…。！？]'))
+                OR (seps > 0 AND seps * 5 >= words)
+                OR regexp_matches(line, '(?i)\b(accept (all )?cookies|uses? cookies|cookie (policy|settings)|privacy policy|terms of (use|service)|all rights reserved|enable javascript|lorem ipsum|licen[sc]ed under|subscribe to our|sign up for|click here|skip to content|share on (facebook|twitter))\b') AS failed
+            FROM lines
+        ),
+        by_doc AS (
+            SELECT doc_id,
+                count(*) FILTER (WHERE chars > 0) - count(DISTINCT line) FILTER (WHERE chars > 0) AS dup,
+                count(*) FILTER (WHERE failed) AS gone,
+                coalesce(sum(chars) FILTER (WHERE failed), 0)::BIGINT AS chars_gone
+            FROM judged GROUP BY doc_id
+        ),
+        base AS (
+            SELECT w.doc_id, len(words)::BIGINT AS n_words,
+                len(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+                len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                by_doc.dup::BIGINT AS n_dup_lines,
+                coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+                by_doc.gone::BIGINT AS lines_removed, chars_gone AS chars_removed
+            FROM w JOIN by_doc USING (doc_id) LEFT JOIN covered USING (doc_id)
+        )
+        SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+                AND chars_removed <= 0.5 * word_chars AS kept
+        FROM base
+    """,
+    "op3_exact_dedup": r"""
+        SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+            doc_id = min(doc_id) OVER g AS kept, sha256(body) AS text_sha256
+        FROM (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body
+            FROM documents
+        )
+        WINDOW g AS (PARTITION BY body)
+    """,
+}

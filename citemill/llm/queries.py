@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, sharding
+from citemill.llm import common, exact_dedup, quality, sharding
 
 SHARDS = 24
 
@@ -23,7 +23,17 @@ def op1_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.documents(spark, folder).select("doc_id", "text")
+    return quality.clean_lines(rows).drop("text", "cleaned")
+
+
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.documents(spark, folder).select("doc_id", "text")
+    return exact_dedup.exact_groups(rows).withColumnRenamed("digest", "text_sha256")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards,)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup)
 }
