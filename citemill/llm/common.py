@@ -91,3 +91,25 @@ def in_order(frame: DataFrame, keys: list[str], sums: dict[str, str], purpose: s
         *[c for c in frame.columns], *[(F.col(n) + F.col(f"{n}_")).alias(n) for n in sums]
     )
     return joined, so_far
+
+
+def byte_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a string or binary column, and where each row's begin and end."""
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    kind = np.int64 if wide else np.int32
+    _, offsets, data = column.buffers()
+    if not len(column) or offsets is None:
+        return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    content = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return content[at[0] : at[-1]], at - at[0]
+
+
+def runs(offsets: np.ndarray, most_bytes: int, most_rows: int) -> Iterator[tuple[int, int]]:
+    """Consecutive rows of at most so many bytes and rows; a longer row comes alone."""
+    first, rows = 0, len(offsets) - 1
+    while first < rows:
+        last = int(np.searchsorted(offsets, offsets[first] + most_bytes, "right")) - 1
+        last = min(max(last, first + 1), first + most_rows, rows)
+        yield first, last
+        first = last

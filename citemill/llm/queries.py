@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, exact_dedup, quality, sharding
+from citemill.llm import common, exact_dedup, langid, quality, sharding
 
 SHARDS = 24
 
@@ -33,7 +33,15 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(rows).withColumnRenamed("digest", "text_sha256")
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.documents(spark, folder).select(
+        "doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out")
+    )
+    model = langid.fit(rows.filter(~F.col("held_out")), "doc_id", "text", "lang")
+    return langid.predict(rows.drop("lang"), model).drop("text")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id)
 }
