@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, exact_dedup, langid, quality, sharding
+from citemill.llm import common, exact_dedup, langid, quality, sharding, simhash
 
 SHARDS = 24
 
@@ -41,7 +41,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(rows.drop("lang"), model).drop("text")
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(common.documents(spark, folder).select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op8_simhash)
 }
