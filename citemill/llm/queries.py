@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, exact_dedup, langid, quality, sharding, simhash
+from citemill.llm import common, exact_dedup, langid, packing, quality, sharding, simhash
 
-SHARDS = 24
+SHARDS, SEQUENCE = 24, 2048
 
 
 def op1_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +46,20 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, folder).select("doc_id", "text"))
 
 
+def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(common.documents(spark, folder).select("doc_id", "text"))
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    found = packing.pieces(rows, vocabulary, SEQUENCE).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    limits = packing.Limits(SEQUENCE, SEQUENCE, SEQUENCE * SEQUENCE)
+    return packing.pack(found, "length", ["doc_id", "piece"], limits)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op8_simhash)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op8_simhash, op10_vector_best_fit)
 }
