@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 from citemill.llm.common import byte_buffer, each_batch, in_order, runs, stored
 
 END = 0
-_WS = r"\t-\r \x85\xa0  -     　"
+# The characters of Unicode white space.
+_WS_CODES = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_WS = "".join(map(chr, _WS_CODES))
 # The splitting rule of byte-level BPE, with Unicode white space spelled out.
 SPLIT = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _WS + r"\p{L}\p{N}]+"

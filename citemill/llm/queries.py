@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, exact_dedup, langid, packing, quality, sharding, simhash
+from citemill.llm import common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup
 
 SHARDS, SEQUENCE = 24, 2048
 
@@ -42,6 +42,10 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(rows.drop("lang"), model).drop("text")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_report(common.documents(spark, folder).select("doc_id", "text"))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, folder).select("doc_id", "text"))
 
@@ -61,5 +65,5 @@ def packed(rows: DataFrame) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op8_simhash, op10_vector_best_fit)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op8_simhash, op10_vector_best_fit)
 }
