@@ -56,7 +56,7 @@ def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 def packed(rows: DataFrame) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    found = packing.pieces(rows, vocabulary, SEQUENCE).select(
+    found = packing.pieces(rows, vocabulary, public_tokenizers.PATTERN, SEQUENCE).select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
     )
     limits = packing.Limits(SEQUENCE, SEQUENCE, SEQUENCE * SEQUENCE)
