@@ -17,7 +17,7 @@ import base64
 import json
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from citemill.llm.quality import let
 
@@ -31,7 +31,7 @@ SAMPLE_BYTES = 64 << 20
 WORDS = 300_000
 
 
-def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
+def read_ranks(path: str) -> dict[bytes, int]:
     """The vocabulary file, whose size does not depend on any data."""
     with open(path, "rb") as lines:
         return {base64.b64decode(t): int(n) for t, n in (x.split() for x in lines if x.strip())}
@@ -168,7 +168,7 @@ def encode(rows: DataFrame, path: str, pattern: str, text: str = "text",
     A column ``ids`` is replaced. Rows that repeat are encoded alike; an empty table gives
     an empty one. A word of any length is folded, in time that grows with its square.
     """
-    table = rank_map(read_ranks(rows.sparkSession, path))
+    table = rank_map(read_ranks(path))
     words = frequent_words(rows, text, pattern, sample_bytes, most_words)
     known = dictionary(rows, table, words)
     number = F.lit(max(1, len(words)))

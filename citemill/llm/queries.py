@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup
+from citemill.llm import bpe, common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup
 
 SHARDS, SEQUENCE = 24, 2048
 
@@ -46,6 +46,18 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.repeat_report(common.documents(spark, folder).select("doc_id", "text"))
 
 
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = common.documents(spark, folder).select("doc_id", "text")
+    encoded = bpe.encode(rows, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), bpe.read_ranks(path)), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, folder).select("doc_id", "text"))
 
@@ -65,5 +77,5 @@ def packed(rows: DataFrame) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op8_simhash, op10_vector_best_fit)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op10_vector_best_fit)
 }
