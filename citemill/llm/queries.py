@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import bpe, common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup
+from citemill.llm import bpe, common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup, warc
 
 SHARDS, SEQUENCE = 24, 2048
 
@@ -62,6 +62,61 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(common.documents(spark, folder).select("doc_id", "text"))
 
 
+def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page as a response of its own minute and a revisit half a minute later."""
+    records = warc.parse_records(warc_records(common.pages(spark, folder)))
+    captured = F.to_timestamp(F.col("warc")["warc-date"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    records = records.select(
+        "record_id", "page_id", F.col("warc")["warc-target-uri"].alias("url"), captured.alias("captured"),
+        "status", "headers", F.md5(F.coalesce("body", F.lit(""))).alias("payload_md5"),
+    )
+    return warc.resolve_revisits(records, ("page_id", "payload_md5")).select(
+        "record_id", F.col("page_id").alias("payload_page_id"), "canonical_url", "refers_to", "outcome",
+        F.array_join(
+            F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])),
+            "\n",
+        ).alias("headers"),
+        "payload_md5",
+    )
+
+
+def warc_records(pages: DataFrame) -> DataFrame:
+    """WARC records made from pages. The revisit's validators depend on the page's id."""
+    tag = F.md5(F.coalesce("html", F.lit("")))
+    date = lambda shift: F.date_format(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60 + shift), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    )
+    head = lambda kind, url, shift: F.concat(
+        F.lit(f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Target-URI: "), F.coalesce(url, F.lit("")),
+        F.lit("\r\nWARC-Date: "), date(shift), F.lit("\r\n\r\n"),
+    )
+    changed = F.concat(F.lit("\r\nLast-Modified: day "), (F.col("page_id") % 7).cast("string"))
+    response = F.concat(
+        head("response", F.col("url"), 0),
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nServer: a\r\nContent-Length: "),
+        F.octet_length(F.coalesce("html", F.lit(""))).cast("string"),
+        F.lit("\r\nETag: \""), tag, F.lit("\""), changed, F.lit("\r\n\r\n"), F.coalesce("html", F.lit("")),
+    )
+    kind = F.pmod(F.col("page_id"), F.lit(5))
+    validator = (
+        F.when(kind == 0, F.concat(F.lit("\r\nETag: \""), tag, F.lit("\"")))
+        .when(kind == 1, F.concat(F.lit("\r\nETag: W/\""), tag, F.lit("\"")))
+        .when(kind == 2, changed)
+        .when(kind == 3, F.lit("\r\nETag: \"other\""))
+        .otherwise(F.lit(""))
+    )
+    again = F.concat(
+        head("revisit", F.concat(F.col("url"), F.lit("#again")), 30),
+        F.lit("HTTP/1.1 304 Not Modified\r\nConnection: close\r\nServer: b\r\nContent-Length: 0\r\nCache-Control: max-age="),
+        (F.col("page_id") % 100).cast("string"), validator, F.lit("\r\n\r\n"),
+    )
+    records = F.array(
+        F.struct((F.col("page_id") * 2).alias("record_id"), response.alias("record")),
+        F.struct((F.col("page_id") * 2 + 1).alias("record_id"), again.alias("record")),
+    )
+    return pages.select("page_id", F.inline(records))
+
+
 def op10_vector_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packed(common.documents(spark, folder).select("doc_id", "text"))
 
@@ -77,5 +132,5 @@ def packed(rows: DataFrame) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op10_vector_best_fit)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op9_warc_revisits, op10_vector_best_fit)
 }
