@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import bpe, common, exact_dedup, langid, packing, quality, sharding, simhash, suffix_dedup, warc
+from citemill.llm import bpe, common, exact_dedup, html_extract, langid, packing, quality, sharding, simhash, suffix_dedup, warc
 
 SHARDS, SEQUENCE = 24, 2048
 
@@ -34,6 +34,12 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(rows).withColumnRenamed("digest", "text_sha256")
 
 
+def op4_html_trees(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.pages(spark, folder).select("page_id", "url", "html")
+    found = html_extract.main_text(rows, html_extract.train())
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     rows = common.documents(spark, folder).select(
         "doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out")
@@ -132,5 +138,5 @@ def packed(rows: DataFrame) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op9_warc_revisits, op10_vector_best_fit)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op4_html_trees, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op9_warc_revisits, op10_vector_best_fit)
 }
