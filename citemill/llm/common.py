@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,12 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pages.parquet")
 
 
+def unused(rows: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns, with as many underscores in front as none of ``rows`` has."""
+    taken = {c.lower() for c in rows.columns}
+    return [next(n for k in count(1) if (n := "_" * k + name).lower() not in taken) for name in names]
+
+
 def each_batch(
     work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -57,8 +64,8 @@ def in_order(frame: DataFrame, keys: list[str], sums: dict[str, str], purpose: s
     over all rows. Keys may be null (nulls first); summed columns may not.
     """
     spark = frame.sparkSession
-    kinds = ", ".join(f"`{name}` bigint" for name in sums)
-    schema = frame.limit(0).selectExpr("*", *[f"cast(0 as bigint) `{n}`" for n in sums], "0 as _part").schema
+    part_name, *offset_names = unused(frame, "part", *[f"{name}_before" for name in sums])
+    schema = frame.limit(0).selectExpr("*", *[f"cast(0 as bigint) `{n}`" for n in sums], f"0 as {part_name}").schema
     columns = list(sums.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,22 +80,23 @@ def in_order(frame: DataFrame, keys: list[str], sums: dict[str, str], purpose: s
                 so_far[name] = int(upto[-1]) if len(upto) else so_far[name]
             parts = pa.array(np.full(batch.num_rows, part, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *added, parts], names=[*batch.schema.names, *sums, "_part"]
+                [*batch.columns, *added, parts], names=[*batch.schema.names, *sums, part_name]
             )
 
     placed = stored(
         frame.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema), purpose
     )
     totals = [F.count("*") if of is None else F.sum(of) for of in sums.values()]
-    rows = placed.groupBy("_part").agg(*[t.alias(n) for t, n in zip(totals, sums)]).collect()
+    rows = placed.groupBy(F.col(part_name).alias("part")).agg(*[t.alias(n) for t, n in zip(totals, sums)]).collect()
     so_far, offsets = dict.fromkeys(sums, 0), []
-    for row in sorted(rows, key=lambda r: r["_part"]):
-        offsets.append((row["_part"], *so_far.values()))
+    for row in sorted(rows, key=lambda r: r["part"]):
+        offsets.append((row["part"], *so_far.values()))
         so_far = {name: so_far[name] + row[name] for name in sums}
-    before = spark.createDataFrame(offsets, f"_part int, {kinds.replace('` bigint', '_` bigint')}")
+    kinds = ", ".join(f"`{name}` bigint" for name in offset_names)
+    before = spark.createDataFrame(offsets, f"`{part_name}` int, {kinds}")
     # One row for each task of the sort.
-    joined = placed.join(F.broadcast(before), "_part").select(
-        *[c for c in frame.columns], *[(F.col(n) + F.col(f"{n}_")).alias(n) for n in sums]
+    joined = placed.join(F.broadcast(before), part_name).select(
+        *frame.columns, *[(F.col(n) + F.col(o)).alias(n) for n, o in zip(sums, offset_names)]
     )
     return joined, so_far
 

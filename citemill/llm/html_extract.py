@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from citemill.llm import boosting
-from citemill.llm.common import byte_buffer, each_batch, runs
+from citemill.llm.common import byte_buffer, each_batch, runs, unused
 from citemill.llm.html_dom import Blocks
 
 TRAINING_PAGES = 900
@@ -198,8 +198,10 @@ def main_text(rows: DataFrame, model: boosting.Trees, html: str = "html") -> Dat
     markup is one block. Pages of any length are parsed whole, in time linear in their
     length. No shuffle; an empty table gives an empty one.
     """
-    rows = rows.drop("text", "_page")
-    given = rows.withColumn("_page", F.coalesce(F.col(html), F.lit("")))
+    rows = rows.drop("text") if html != "text" else rows
+    (page,) = unused(rows, "page")
+    given = rows.withColumn(page, F.coalesce(F.col(html), F.lit("")))
+    rows = rows.drop("text")
     schema = rows.selectExpr("*", "'' text").limit(0).schema
     for field in schema:
         field.nullable = True
@@ -207,10 +209,10 @@ def main_text(rows: DataFrame, model: boosting.Trees, html: str = "html") -> Dat
     keep = rows.columns
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        _, offsets = byte_buffer(batch.column("_page"))
+        _, offsets = byte_buffer(batch.column(page))
         for first, last in runs(offsets, _RUN_BYTES, _RUN_ROWS):
             part = batch.slice(first, last - first)
-            found = extract(shared.value, part.column("_page").to_pylist())
+            found = extract(shared.value, part.column(page).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*[part.column(c) for c in keep], pa.array(found, pa.string())], names=[*keep, "text"]
             )

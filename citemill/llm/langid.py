@@ -20,7 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citemill.llm.common import byte_buffer, each_batch, runs, stored
+from citemill.llm.common import byte_buffer, each_batch, runs, stored, unused
 
 SAMPLE = 1500  # texts a language, in expectation
 DIMS = 8192
@@ -200,8 +200,9 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ``und`` with score 0 and rejected, as is every text if the model has no language. Ties
     go to the language that sorts first. An empty table gives an empty one.
     """
-    rows = rows.drop("lang_pred", "score", "rejected", "_body")
-    given = rows.withColumn("_body", _padded(F.col(text)))
+    rows = rows.drop("lang_pred", "score", "rejected")
+    (body,) = unused(rows, "body")
+    given = rows.withColumn(body, _padded(F.col(text)))
     schema = rows.selectExpr(
         "*", "'' lang_pred", "0.0D score", "true rejected"
     ).limit(0).schema
@@ -211,7 +212,7 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        column = batch.column("_body")
+        column = batch.column(body)
         data, offsets = byte_buffer(column)
         best = np.zeros(batch.num_rows, np.float64)
         lang = np.full(batch.num_rows, -1)
@@ -226,10 +227,10 @@ def predict(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
         names = np.array([*model.languages, "und"], object)[lang]
         lowest = np.append(model.lowest, np.inf)[lang]
         far = (best < lowest) & ((np.diff(offsets) >= EVIDENCE) | (lang < 0))
-        kept = [batch.column(n) for n in batch.schema.names if n != "_body"]
+        kept = [batch.column(n) for n in batch.schema.names if n != body]
         yield pa.RecordBatch.from_arrays(
             [*kept, pa.array(names, pa.string()), pa.array(best), pa.array(far)],
-            names=[*(n for n in batch.schema.names if n != "_body"), "lang_pred", "score", "rejected"],
+            names=[*(n for n in batch.schema.names if n != body), "lang_pred", "score", "rejected"],
         )
 
     return given.mapInArrow(each_batch(run), schema)

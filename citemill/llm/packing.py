@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from citemill.llm.common import byte_buffer, each_batch, in_order, runs, stored
+from citemill.llm.common import byte_buffer, each_batch, in_order, runs, stored, unused
 
 END = 0
 _RUN_BYTES, _RUN_ROWS = 2 << 20, 4096
@@ -213,28 +213,29 @@ def pack(rows: DataFrame, length: str, order: list[str], limits: Limits) -> Data
     number for each length. Columns named like the new ones are replaced; an empty table
     gives an empty one.
     """
-    rows = rows.drop("sequence_id", "offset", "_size", "_nth")
+    rows = rows.drop("sequence_id", "offset")
+    size, nth = unused(rows, "size", "nth")
     keep = rows.columns
-    sized = rows.withColumn("_size", -F.greatest(F.coalesce(F.col(length).cast("bigint"), F.lit(0)), F.lit(0)))
+    sized = rows.withColumn(size, -F.greatest(F.coalesce(F.col(length).cast("bigint"), F.lit(0)), F.lit(0)))
     sized = stored(sized, "pieces")
-    histogram = {-r["_size"]: r["count"] for r in sized.groupBy("_size").count().collect()}
+    histogram = {-r["size"]: r["count"] for r in sized.groupBy(F.col(size).alias("size")).count().collect()}
     plan = best_fit(histogram, limits)
-    placed, _ = in_order(sized, ["_size", *order], {"_nth": None}, "pieces-by-length")
+    placed, _ = in_order(sized, [size, *order], {nth: None}, "pieces-by-length")
     steps = [np.array(x, np.int64) for x in (plan.first, plan.length, plan.bin, plan.each, plan.offset)]
     schema = rows.selectExpr("*", "0L sequence_id", "0L offset").limit(0).schema
     for column in schema:
         column.nullable = True
 
     def place(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        first, size, bin_, each, offset = steps
-        nth = batch.column("_nth").to_numpy(zero_copy_only=False)
-        k = np.searchsorted(first, nth, "right") - 1
-        within = nth - first[k]
+        first, long, bin_, each, offset = steps
+        rank = batch.column(nth).to_numpy(zero_copy_only=False)
+        k = np.searchsorted(first, rank, "right") - 1
+        within = rank - first[k]
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(c) for c in keep],
                 pa.array(bin_[k] + within // each[k]),
-                pa.array(offset[k] + within % each[k] * size[k]),
+                pa.array(offset[k] + within % each[k] * long[k]),
             ],
             names=[*keep, "sequence_id", "offset"],
         )

@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from citemill.llm.common import in_order, stored
+from citemill.llm.common import in_order, stored, unused
 
 # Positions asked for in a round. About 1 MB on the driver, whatever the input.
 SUMMARY = 20_000
@@ -141,26 +141,29 @@ def minimax_shards(rows: DataFrame, group: str, size: str, row_id: str, shards:
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    rows = rows.drop("shard", "slot", "_weight", "_start", "_nth")
+    rows = rows.drop("shard", "slot")
     keep = rows.columns
-    weighted = rows.withColumn("_weight", F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(1)), F.lit(1)))
+    weight, begin, nth = unused(rows, "weight", "start", "nth")
+    sized = F.greatest(F.coalesce(F.col(size).cast("bigint"), F.lit(1)), F.lit(1))
     keys = list(dict.fromkeys([group, row_id]))
-    placed, total = in_order(stored(weighted, "shard-rows"), keys, {"_start": "_weight", "_nth": None}, "shard-order")
-    if not total["_nth"]:
+    placed, total = in_order(
+        stored(rows.withColumn(weight, sized), "shard-rows"), keys, {begin: weight, nth: None}, "shard-order"
+    )
+    if not total[nth]:
         return rows.selectExpr("*", "cast(null as int) shard", "cast(null as bigint) slot")
     groups = stored(
-        placed.groupBy(F.col(group)).agg(
-            F.max(F.col("_start") + F.col("_weight")).alias("end"), F.sum("_weight").alias("weight")
-        ).select("end", "weight"),
+        placed.groupBy(F.col(group))
+        .agg(F.max(F.col(begin) + F.col(weight)).alias("end"), F.sum(weight).alias("weight"))
+        .select("end", "weight"),
         "shard-groups",
     )
     largest = groups.agg(F.max("weight")).first()[0]
-    _, starts = plan(groups, total["_start"], largest, shards)
-    shard = sum((F.col("_start") >= s).cast("int") for s in starts) if starts else F.lit(0)
+    _, starts = plan(groups, total[begin], largest, shards)
+    shard = sum((F.col(begin) >= s).cast("int") for s in starts) if starts else F.lit(0)
     dealt = placed.withColumn("shard", shard.cast("int"))
     first, so_far = {}, 0
     for row in sorted(dealt.groupBy("shard").count().collect(), key=lambda r: r["shard"]):
         first[row["shard"]] = so_far
         so_far += row["count"]
     offset = F.coalesce(*[F.when(F.col("shard") == k, F.lit(v).cast("bigint")) for k, v in first.items()])
-    return dealt.select(*keep, "shard", (F.col("_nth") - offset).alias("slot"))
+    return dealt.select(*keep, "shard", (F.col(nth) - offset).alias("slot"))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citemill.functions.joins import same_key
-from citemill.llm.common import byte_buffer, each_batch, stored
+from citemill.llm.common import byte_buffer, each_batch, stored, unused
 
 LENGTH, GRAM = 200, 64
 CROWDED = 4096
@@ -438,14 +438,13 @@ def without_repeats(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
     spans = repeated_spans(rows, row_id, text, crowded)
     kept = _kept(rows, spans, row_id, text).select("k", "size", "kept")
     whole = spans.filter("whole").select("k", "size", F.lit(b"").alias("kept"))
-    changed = stored(kept.unionByName(whole), "changed-texts").withColumnsRenamed({"k": "_k", "size": "_size"})
-    body = F.col(f"`{text}`").cast("binary")
-    keyed = rows.drop("_k", "_size", "kept").join(
-        changed, (F.xxhash64(body) == F.col("_k")) & (F.octet_length(body) == F.col("_size")), "left"
-    )
-
-    return keyed.select(*[
-        F.coalesce(valid_text(F.col("kept")), F.col(c)).alias(c) if c == text else F.col(c) for c in given
+    k, size, left = unused(rows, "k", "size", "kept")
+    changed = stored(kept.unionByName(whole), "changed-texts")
+    changed = changed.withColumnsRenamed({"k": k, "size": size, "kept": left})
+    body = F.col(text).cast("binary")
+    joined = rows.join(changed, (F.xxhash64(body) == F.col(k)) & (F.octet_length(body) == F.col(size)), "left")
+    return joined.select(*[
+        F.coalesce(valid_text(F.col(left)), F.col(c)).alias(c) if c == text else F.col(c) for c in given
     ])
 
 

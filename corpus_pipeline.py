@@ -24,10 +24,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the smallest id stays; of rows that repeat, one."""
     columns = docs.columns
     kept = exact_dedup.exact_groups(docs).filter("kept").select("doc_id", "digest")
-    kept = kept.withColumnsRenamed({"doc_id": "_kept_id", "digest": "_kept_digest"})
-    keyed = docs.withColumn("_digest", exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).select(*columns)
+    digest, kept_id, kept_digest = common.unused(docs, "digest", "kept_id", "kept_digest")
+    kept = kept.withColumnsRenamed({"doc_id": kept_id, "digest": kept_digest})
+    keyed = docs.withColumn(digest, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
+    same = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_digest))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest]).select(*columns)
 
 
 def _row_id() -> Column:
@@ -39,10 +40,11 @@ def _row_id() -> Column:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id."""
     columns = docs.columns
-    keyed = docs.withColumn("_row", _row_id())
-    groups = simhash.near_duplicates(keyed, "_row")
-    kept = groups.filter(F.col("_row") == F.col("component_id")).select("_row")
-    return keyed.join(kept, "_row", "left_semi").select(*columns)
+    (row,) = common.unused(docs, "row")
+    keyed = docs.withColumn(row, _row_id())
+    groups = simhash.near_duplicates(keyed, row)
+    kept = groups.filter(F.col(row) == F.col("component_id")).select(row)
+    return keyed.join(kept, row, "left_semi").select(*columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
