@@ -76,6 +76,7 @@ def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
         "record_id", "page_id", F.col("warc")["warc-target-uri"].alias("url"), captured.alias("captured"),
         "status", "headers", F.md5(F.coalesce("body", F.lit(""))).alias("payload_md5"),
     )
+    records = common.stored(records, "warc-records")  # parsed once, used for both sides of the join
     return warc.resolve_revisits(records, ("page_id", "payload_md5")).select(
         "record_id", F.col("page_id").alias("payload_page_id"), "canonical_url", "refers_to", "outcome",
         F.array_join(
