@@ -28,7 +28,7 @@ BLANK = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 _SLOTS, _SHIFTS, _SPREAD = 262_139, 131_101, 48_271_117
 _BITS = 18  # of an id
 SAMPLE_BYTES = 64 << 20
-WORDS = 300_000
+WORDS = 120_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
