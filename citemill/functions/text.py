@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Patterns, defaults and limits that results depend on.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+WHITESPACE = "".join(
+    map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
 MARKUP = "<[^<]+?>"
 SENTENCE_END = "[.!?]+"
@@ -42,9 +41,14 @@ def sentences(text: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def words(text: Column) -> Column:
-    """Array of words parted by white space."""
-    return F.filter(F.split(text, "[" + WHITESPACE + "]+"), lambda w: w != "")
+def word_count(text: Column) -> Column:
+    """Number of words parted by white space; no array of them is made."""
+    return F.regexp_count(text, F.lit(f"[^{WHITESPACE}]+"))
+
+
+def sentence_count(text: Column) -> Column:
+    """Number of non-empty sentences: runs without closing punctuation that hold a word."""
+    return F.regexp_count(text, F.lit(f"[^.!?{WHITESPACE}][^.!?]*"))
 
 
 def universal_newlines(text: Column) -> Column:
@@ -90,8 +94,7 @@ def strategy_label(prefix: str, size: int, overlap: int) -> str:
 
 def words_per_sentence(text: Column) -> Column:
     """Readability measure: mean sentence length in words, 0 for a text without words."""
-    count = F.size(sentences(text))
-    return F.round(F.size(words(text)) / F.greatest(count, F.lit(1)), 2)
+    return F.round(word_count(text) / F.greatest(sentence_count(text), F.lit(1)), 2)
 
 
 def contains_pii(text: Column) -> Column:

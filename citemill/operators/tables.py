@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from citemill.functions import text as tx
+from citemill.functions.joins import same_key
 from citemill.operators import validate as val
+from citemill.operators.embed import HASH_MODEL
 
 
 def chunks_per_filename(chunks: DataFrame, documents: DataFrame) -> DataFrame:
@@ -31,13 +33,21 @@ def chunks_per_document(documents: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def latest_version(documents: DataFrame) -> DataFrame:
-    """The newest row of each ``doc_id`` by ``created_at``, of equally new ones by content.
+    """The newest row of each ``doc_id`` by ``created_at``, of equally new ones by digest.
 
-    The limit reaches below the shuffle: each task hands on one row per document only.
+    Documents are ranked by ids, times and digests alone, one row per document and task;
+    contents are not sorted. Rows equal in all three count as one and stay once.
     """
-    newest = Window.partitionBy("doc_id").orderBy(F.desc("created_at"), F.desc("content"))
-    ranked = documents.withColumn("version", F.row_number().over(newest))
-    return ranked.filter("version = 1").drop("version")
+    marked = documents.withColumn("digest", F.md5(F.encode("content", "UTF-8")))
+    rank = F.max(F.struct(F.col("created_at"), F.col("digest")))
+    newest = marked.groupBy(F.col("doc_id").alias("newest_id")).agg(rank.alias("newest"))
+    same = (
+        same_key("doc_id", "newest_id")
+        & F.col("created_at").eqNullSafe(F.col("newest.created_at"))
+        & F.col("digest").eqNullSafe(F.col("newest.digest"))
+    )
+    kept = marked.join(newest, same, "left_semi")
+    return kept.dropDuplicates(["doc_id", "created_at", "digest"]).drop("digest")
 
 
 def chunk_preview(chunks: DataFrame, limit: int | None = 10) -> DataFrame:
@@ -61,8 +71,12 @@ def lake_summary(documents: DataFrame, chunks: DataFrame) -> DataFrame:
 
 
 def missing_embeddings(chunks: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Chunks that have no vector yet."""
-    return chunks.join(metadata.select("chunk_id"), "chunk_id", "left_anti")
+    """Chunks that have no vector yet.
+
+    Ids of 64 bits may collide in a large lake, so the document must be the same, too.
+    """
+    place = ["chunk_id", "doc_id"]
+    return chunks.join(metadata.select(*place), place, "left_anti")
 
 
 def embedding_models(metadata: DataFrame) -> DataFrame:
@@ -107,7 +121,8 @@ def _origin(documents: DataFrame) -> DataFrame:
 
 def _with_commit(rows: DataFrame, log: DataFrame) -> DataFrame:
     commits = log.select("snapshot_id", "committed_at", "operation")
-    return rows.join(commits, "snapshot_id", "left")
+    commits = commits.withColumnRenamed("snapshot_id", "commit_id")
+    return rows.join(commits, same_key("snapshot_id", "commit_id"), "left").drop("commit_id")
 
 
 def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
@@ -120,20 +135,40 @@ def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFram
     return traced.join(origin, "doc_id", "left")
 
 
-def hits_with_lineage(hits: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
+def hits_with_lineage(
+    hits: DataFrame, documents: DataFrame, log: DataFrame, model: str = HASH_MODEL
+) -> DataFrame:
     """``hits`` with a struct ``data_lineage``, null where the document is unknown.
 
+    It tells the snapshot and time that brought the document, its file, the steps from there
+    to the hit (chunking strategy, where the hit carries it, and model) and its quality.
+
     Documents are first cut down to those that were hit: that list is small, so Spark can
     broadcast it, and the table of documents is not shuffled for a handful of rows.
     """
     wanted = hits.select("doc_id").distinct()
     named = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
-    origin = _origin(named.join(wanted, "doc_id", "left_semi"))
+    named = named.join(wanted, "doc_id", "left_semi")
+    origin = _origin(named).join(_quality(named), "doc_id")
     fields = ["snapshot_id", "committed_at", "operation", "source_file", "file_size", "file_hash"]
     traced = _with_commit(origin, log).select(
-        "doc_id", F.struct(*fields).alias("data_lineage")
+        F.col("doc_id").alias("origin_id"), F.struct(*fields, "quality").alias("found")
+    )
+    strategy = F.col("chunking_strategy") if "chunking_strategy" in hits.columns else F.lit(None)
+    steps = F.array_compact(F.array(strategy.cast("string"), F.lit(model)))
+    record = F.struct("found.*", steps.alias("transformations"))
+    return hits.join(traced, same_key("doc_id", "origin_id"), "left").select(
+        *[F.col(c) for c in hits.columns],
+        F.when(F.col("origin_id").isNotNull(), record).alias("data_lineage"),
+    )
+
+
+def _quality(documents: DataFrame) -> DataFrame:
+    checked = quality_checks(documents) if "lang" in documents.columns else quality_checks(
+        documents.withColumn("lang", F.lit(None).cast("string"))
     )
-    return hits.join(traced, "doc_id", "left")
+    fields = [c for c in checked.columns if c != "doc_id"]
+    return checked.select("doc_id", F.struct(*fields).alias("quality"))
 
 
 def quality_checks(documents: DataFrame, text: str = "content", lang: str = "lang") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citemill.functions import text as tx, vectors as vec
@@ -51,6 +53,7 @@ def check_vectors(points: DataFrame, dim: int = vec.DIMENSION, vector: str = "em
         F.when(column.isNull(), F.lit("empty_embedding"))
         .when(F.size(column) != dim, F.lit("wrong_dimension"))
         .when(F.exists(column, lambda v: v.isNull()), F.lit("null_element"))
+        .when(~F.forall(column, lambda v: F.abs(v) < math.inf), F.lit("not_finite"))
         .when(~F.exists(column, lambda v: v != 0), F.lit("empty_embedding"))
     )
     return points.withColumn("reject_reason", reason)
@@ -62,13 +65,13 @@ def check_models(metadata: DataFrame, known: tuple[str, ...] = KNOWN_MODELS) ->
     return metadata.withColumn("reject_reason", F.when(unknown, F.lit("unknown_model")))
 
 
-def request_defaults(queries: DataFrame) -> DataFrame:
-    """``queries`` with the defaults of a request where it names no limit."""
+def request_defaults(
+    queries: DataFrame, top_k: int = TOP_K, min_score: float | None = MIN_SCORE
+) -> DataFrame:
+    """``queries`` with the defaults of a request where it names no limit, as column or value."""
+    defaults = {"top_k": F.lit(top_k), "min_score": F.lit(min_score).cast("double")}
     return queries.withColumns(
-        {
-            "top_k": F.coalesce("top_k", F.lit(TOP_K)),
-            "min_score": F.coalesce("min_score", F.lit(MIN_SCORE)),
-        }
+        {n: F.coalesce(F.col(n), d) if n in queries.columns else d for n, d in defaults.items()}
     )
 
 

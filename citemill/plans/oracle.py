@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from citemill.functions.text import EMAIL, PHONE, WHITESPACE
-from citemill.operators.context import SYSTEM_PROMPT, USER_PROMPT
-from citemill.plans.queries import CENTROID_MIN_SCORE, TEXT_MIN_SCORE
-
-WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
+# Fixed values, given here once more: nothing is taken from the code under test.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+PHONE = r"[0-9][0-9 ().-]{7,}[0-9]"
+SYSTEM_PROMPT = (
+    "You are a helpful assistant that answers questions based ONLY on the provided context. \n"
+    "                    If the context doesn't contain enough information, say so. \n"
+    "                    Be concise and accurate. Cite source numbers when referencing information."
+)
+USER_PROMPT = (
+    "Context from documents:\n\n%s\n\nQuestion: %s\n\n"
+    "Answer the question using ONLY the context above. Be specific and cite sources."
+)
+CENTROID_MIN_SCORE, TEXT_MIN_SCORE = 0.3, 0.75
+WS = (
+    "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31)"
+    " || chr(32) || chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194)"
+    " || chr(8195) || chr(8196) || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201)"
+    " || chr(8202) || chr(8232) || chr(8233) || chr(8239) || chr(8287) || chr(12288)"
+)
 WORDS_RE = f"'[' || {WS} || ']+'"
 
 DOCS = """docs AS (
@@ -33,6 +47,11 @@ def _windows(name: str, size: int, overlap: int, docs: str = "docs", keep: bool
         {where}))"""
 
 
+BLANKED = """docs AS (
+    SELECT CAST(page_id AS VARCHAR) AS doc_id, url AS filename,
+        regexp_replace(regexp_replace(html, '<script.*?</script>|<[^<>]*>',
+            repeat(' ', 40), 'g'), '[&%$#*!]', ' ', 'g') AS content
+    FROM pages)"""
 CHUNKS = f"{DOCS}, {_windows('chunks', 200, 50)}"
 CHUNK_COLUMNS = "chunk_id, doc_id, chunk_index, chunk_text, chunk_size, chunking_strategy"
 
@@ -148,7 +167,14 @@ METRICS = """count(*) AS total_queries,
     round(100.0::DOUBLE * count(*) FILTER (WHERE event_type <> 'error') / count(*), 2)
         AS success_rate,
     round(coalesce(sum(value) FILTER (WHERE event_type <> 'error'), 0) / count(*), 2)
-        AS avg_latency_ms"""
+        AS avg_latency_ms,
+    CAST(round(CAST(list_transform([list_sort(list(value))], lambda s: CASE
+        WHEN floor(0.95 * (len(s) - 1)) = ceil(0.95 * (len(s) - 1))
+            THEN s[CAST(0.95 * (len(s) - 1) AS BIGINT) + 1]
+        ELSE (ceil(0.95 * (len(s) - 1)) - 0.95::DOUBLE * (len(s) - 1))
+                * s[CAST(floor(0.95 * (len(s) - 1)) AS BIGINT) + 1]
+            + (0.95::DOUBLE * (len(s) - 1) - floor(0.95 * (len(s) - 1)))
+                * s[CAST(ceil(0.95 * (len(s) - 1)) AS BIGINT) + 1] END)[1] AS DECIMAL(18, 6)), 2) AS DOUBLE) AS p95_latency_ms"""
 DAILY = f"""SELECT strftime(ts, '%Y-%m-%d') AS day, {METRICS} FROM events GROUP BY 1"""
 
 FILES = f"""{DOCS},
@@ -169,11 +195,19 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+QUALITY = f"""doc_id, CAST(length(content) AS INTEGER) AS text_length, lang AS language,
+            round(CAST(len(list_filter(string_split_regex(content, {WORDS_RE}),
+                lambda w: w <> '')) AS DOUBLE) / greatest(len(ss), 1), 2) AS readability_score,
+            regexp_matches(content, {_quoted(EMAIL)})
+                OR regexp_matches(content, {_quoted(PHONE)}) AS contains_pii"""
+
 USER = _quoted(USER_PROMPT).replace("%s", "' || context || '", 1).replace("%s", "' || query || '")
 
 ORACLE: dict[str, str] = {
     "chunk_fixed": f"WITH {CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
-    "chunk_fixed_keep_empty": f"""WITH {DOCS}, {_windows('chunks', 200, 50, keep=True)}
+    "chunk_fixed_keep_empty": f"""WITH {BLANKED}, {_windows('chunks', 60, 10, keep=True)}
+        SELECT {CHUNK_COLUMNS} FROM chunks""",
+    "chunk_fixed_drop_empty": f"""WITH {BLANKED}, {_windows('chunks', 60, 10)}
         SELECT {CHUNK_COLUMNS} FROM chunks""",
     "chunk_sentences": f"{SMART} SELECT {CHUNK_COLUMNS} FROM smart",
     "sentence_split": f"""WITH {DOCS}, {SENTENCES}
@@ -202,30 +236,41 @@ ORACLE: dict[str, str] = {
     "doc_sizes": f"""WITH {DOCS} SELECT doc_id, CAST(length(content) AS INTEGER) AS characters,
             CAST(strlen(content) AS INTEGER) AS bytes FROM docs""",
     "quality_checks": f"""WITH {DOCS}, {SENTENCES}
-        SELECT doc_id, CAST(length(content) AS INTEGER) AS text_length, lang AS language,
-            round(CAST(len(list_filter(string_split_regex(content, {WORDS_RE}),
-                lambda w: w <> '')) AS DOUBLE) / greatest(len(ss), 1), 2) AS readability_score,
-            regexp_matches(content, {_quoted(EMAIL)})
-                OR regexp_matches(content, {_quoted(PHONE)}) AS contains_pii
-        FROM docs JOIN sentences USING (doc_id)""",
+        SELECT {QUALITY} FROM docs JOIN sentences USING (doc_id)""",
     "validate_documents": f"WITH {FILES} SELECT doc_id, filename, outcome FROM checked",
     "rejects_by_reason": f"""WITH {FILES} SELECT outcome AS reject_reason, count(*) AS n
         FROM checked WHERE outcome <> 'accepted' GROUP BY 1""",
-    "vector_dim_check": """SELECT vec_id, CAST(expected AS INTEGER) AS expected,
-            CAST(len(embedding) AS INTEGER) AS dimension,
-            CASE WHEN embedding IS NULL THEN 'empty_embedding'
-                 WHEN len(embedding) <> expected THEN 'wrong_dimension'
-                 WHEN len(list_filter(embedding, lambda v: v IS NULL)) > 0 THEN 'null_element'
-                 WHEN len(list_filter(embedding, lambda v: v <> 0)) = 0 THEN 'empty_embedding'
+    "vector_dim_check": """WITH damaged AS (
+            SELECT vec_id, CASE vec_id % 10
+                WHEN 1 THEN NULL
+                WHEN 2 THEN embedding[1:63]
+                WHEN 3 THEN list_concat(embedding[1:63], [CAST(NULL AS FLOAT)])
+                WHEN 4 THEN list_concat(embedding[1:63], [CAST('nan' AS FLOAT)])
+                WHEN 5 THEN list_concat(embedding[1:63], [CAST('-inf' AS FLOAT)])
+                WHEN 6 THEN [CAST(0 AS FLOAT) FOR v IN embedding]
+                ELSE embedding END AS embedding
+            FROM embeddings)
+        SELECT vec_id, CAST(expected AS INTEGER) AS expected,
+            CAST(coalesce(len(embedding), 0) AS INTEGER) AS dimension,
+            CASE WHEN vec_id % 10 = 1 THEN 'empty_embedding'
+                 WHEN expected <> 64 OR vec_id % 10 = 2 THEN 'wrong_dimension'
+                 WHEN vec_id % 10 = 3 THEN 'null_element'
+                 WHEN vec_id % 10 IN (4, 5) THEN 'not_finite'
+                 WHEN vec_id % 10 = 6 THEN 'empty_embedding'
                  ELSE 'accepted' END AS outcome
-        FROM embeddings, (VALUES (64), (384)) AS t(expected)""",
-    "query_validation": """SELECT conv_id, turn, CASE
-            WHEN coalesce(length(text), 0) < 1 THEN 'empty_query'
-            WHEN NOT turn BETWEEN 1 AND 20 THEN 'top_k_out_of_range'
-            WHEN NOT (conv_id % 5) / 4.0::DOUBLE + 0.1 BETWEEN 0.0 AND 1.0
-                THEN 'min_score_out_of_range'
+        FROM damaged, (VALUES (64), (384)) AS t(expected)""",
+    "query_validation": """SELECT conv_id, turn, top_k, CASE
+            WHEN coalesce(length(query), 0) < 1 THEN 'empty_query'
+            WHEN NOT coalesce(top_k, 3) BETWEEN 1 AND 20 THEN 'top_k_out_of_range'
+            WHEN NOT coalesce(min_score, 0.5) BETWEEN 0.0 AND 1.0 THEN 'min_score_out_of_range'
             ELSE 'accepted' END AS outcome
-        FROM conversations""",
+        FROM (
+            SELECT conv_id, turn, coalesce(asked, 3) AS top_k, query, min_score FROM (
+                SELECT conv_id, turn, CASE WHEN conv_id % 7 = 0 THEN '' ELSE text END AS query,
+                    CASE WHEN conv_id % 3 = 0 THEN NULL ELSE turn * 9 END AS asked,
+                    CASE WHEN conv_id % 4 = 0 THEN NULL
+                        ELSE (conv_id % 5) / 4.0::DOUBLE + 0.1 END AS min_score
+                FROM conversations))""",
     "payload_defaults": f"""WITH {DOCS} SELECT doc_id,
             coalesce(nullif(filename, 'src0'), 'unknown') AS filename,
             coalesce(nullif(lang, 'en'), 'txt') AS file_type,
@@ -237,7 +282,7 @@ ORACLE: dict[str, str] = {
         FROM chunks c JOIN docs d ON c.doc_id = d.doc_id GROUP BY d.filename""",
     "chunk_counts_all_docs": f"""{SMART}
         SELECT d.doc_id, count(chunk_id) AS num_chunks
-        FROM docs d LEFT JOIN smart s ON s.doc_id = d.doc_id AND length(d.content) >= 300
+        FROM docs d LEFT JOIN smart s ON s.doc_id = d.doc_id
         GROUP BY 1""",
     "upload_stats": f"""WITH {CHUNKS}
         SELECT d.doc_id, d.filename, CAST(length(content) AS INTEGER) AS text_length,
@@ -325,11 +370,13 @@ ORACLE: dict[str, str] = {
         FROM questions q LEFT JOIN hits h
             ON h.q_id = q.q_id AND rk <= 20 AND score >= {TEXT_MIN_SCORE}
         GROUP BY 1""",
-    "hits_lineage": f"""WITH {VERSIONED}, {_windows('chunks', 200, 50)}, {SEARCH}
+    "hits_lineage": f"""WITH {VERSIONED}, {_windows('chunks', 200, 50)}, {SEARCH}, {SENTENCES},
+        quality AS (SELECT {QUALITY} FROM docs JOIN sentences USING (doc_id))
         SELECT q_id, rk, chunk_id, v.snapshot_id,
             strftime(l.committed_at, '%Y-%m-%d') AS committed_at,
-            v.filename AS source_file, md5(v.content) AS file_hash
-        FROM hits h JOIN versioned v ON v.doc_id = h.doc_id
+            v.filename AS source_file, md5(v.content) AS file_hash,
+            'fixed-200-overlap-50 > hashed-tokens-384' AS steps, readability_score, contains_pii
+        FROM hits h JOIN quality USING (doc_id) JOIN versioned v ON v.doc_id = h.doc_id
             JOIN log l ON l.snapshot_id = v.snapshot_id
         WHERE rk <= 3""",
     "search_collection": f"""WITH {DOCS}, {_windows('first', 200, 50)},
@@ -348,8 +395,7 @@ ORACLE: dict[str, str] = {
         FROM questions q LEFT JOIN events e ON e.event_id = q.q_id
             LEFT JOIN hits h ON h.q_id = q.q_id AND rk <= 20 AND score >= {TEXT_MIN_SCORE}
         GROUP BY ALL""",
-    "query_metrics": f"""SELECT {METRICS},
-            round(quantile_cont(value, 0.95), 2) AS p95_latency_ms FROM events""",
+    "query_metrics": f"SELECT {METRICS} FROM events",
     "query_metrics_daily": DAILY,
     "stream_query_metrics": f"SELECT {METRICS} FROM events",
     "stream_query_metrics_daily": DAILY,

@@ -20,9 +20,31 @@ POINTS = T.StructType(
     + [T.StructField("embedding", T.ArrayType(T.FloatType()))]
 )
 
+# How vectors of a collection are compared.
+METRIC = "cosine"
+
 INGEST_STATS = "status string, documents bigint, chunks bigint, vectors bigint, collection string"
 
 
+def collection(
+    spark: SparkSession, folder: str, dim: int = vec.DIMENSION, metric: str = METRIC
+) -> SnapshotTable:
+    """A table of points that declares its dimension and metric, and refuses other vectors."""
+    return SnapshotTable(spark, folder, POINTS, {"dimension": dim, "metric": metric})
+
+
+def _held_to_contract(made: DataFrame, dim: int) -> DataFrame:
+    """The same points; a vector that breaks the collection's contract stops the write.
+
+    Points without a vector are kept, as they are when an encoder finds nothing in a text.
+    """
+    checked = val.check_vectors(made, dim)
+    broken = F.col("embedding").isNotNull() & F.col("reject_reason").isNotNull()
+    message = F.concat(F.lit("vector of "), F.col("chunk_id"), F.lit(": "), F.col("reject_reason"))
+    held = F.when(broken, F.raise_error(message)).otherwise(F.col("embedding"))
+    return checked.withColumn("embedding", held).drop("reject_reason")
+
+
 def points(
     documents: DataFrame,
     indexed_at: dt.datetime,
@@ -36,7 +58,7 @@ def points(
     """
     cut = chunker(documents, carry=("filename", "file_type"))
     made = embed.embed_chunks(cut, load, dim)
-    return made.select(
+    made = made.select(
         ids.point_id(F.col("chunk_id")).alias("point_id"),
         "chunk_id",
         "doc_id",
@@ -49,6 +71,10 @@ def points(
         F.lit(indexed_at).cast("timestamp").alias("indexed_at"),
         "embedding",
     )
+    return _held_to_contract(made, dim)
+
+
+_open_collection = collection  # the name is a parameter below
 
 
 def reingest(
@@ -71,7 +97,7 @@ def reingest(
     indexed = points(source, indexed_at, chunker, load, dim).observe(
         made, F.count(F.lit(1)).alias("chunks"), F.count("embedding").alias("vectors")
     )
-    SnapshotTable(spark, folder, POINTS).commit(indexed, "overwrite", indexed_at)
+    _open_collection(spark, folder, dim).commit(indexed, "overwrite", indexed_at)
     totals = {**read.get, **made.get}
     return spark.createDataFrame(
         [("success", totals["documents"], totals["chunks"], totals["vectors"], collection)],
@@ -95,7 +121,8 @@ def upsert(
     **options,
 ) -> int | None:
     """Add documents to a collection; earlier points of the same documents are outdated."""
-    made = points(documents, indexed_at, **options)
+    dim = int(store.properties.get("dimension", vec.DIMENSION))
+    made = points(documents, indexed_at, **{"dim": dim, **options})
     return store.commit(made, "append", indexed_at, stream_id, batch_id)
 
 
@@ -111,10 +138,19 @@ def embed_queries(
     load: Callable[[], embed.Encoder] | None = None,
     dim: int = vec.DIMENSION,
 ) -> DataFrame:
-    """Questions ``(q_id, query)`` as search requests, with defaults where they name none."""
-    made = embed.embed_chunks(queries, load, dim, text="query")
-    defaults = {"top_k": F.lit(top_k), "min_score": F.lit(min_score).cast("double")}
-    return made.withColumns({n: c for n, c in defaults.items() if n not in queries.columns})
+    """Questions ``(q_id, query)`` as search requests, with defaults where they name none.
+
+    Requests outside the accepted bounds are left out; ``check_requests`` gives them.
+    """
+    accepted, _ = check_requests(queries, top_k, min_score)
+    return embed.embed_chunks(accepted, load, dim, text="query")
+
+
+def check_requests(
+    queries: DataFrame, top_k: int = search.TOP_K, min_score: float | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Requests with defaults filled in, and the rejected ones with their reason."""
+    return val.split(val.check_queries(val.request_defaults(queries, top_k, min_score)))
 
 
 def search_texts(

@@ -52,9 +52,24 @@ def chunk_fixed(spark, sf):
     return chunk.chunk_fixed(src.raw_documents(spark, sf))
 
 
+def _blanked_pages(spark, sf) -> DataFrame:
+    """Pages with long runs of blanks where markup was, so that some windows are empty."""
+    pages = src.dealt(src.table(spark, sf, "pages"))
+    bare = F.regexp_replace("html", "<script.*?</script>|<[^<>]*>", " " * 40)
+    return pages.select(
+        F.col("page_id").alias("doc_id"),
+        F.regexp_replace(bare, "[&%$#*!]", " ").alias("content"),
+    )
+
+
 @query
 def chunk_fixed_keep_empty(spark, sf):
-    return chunk.chunk_fixed(src.raw_documents(spark, sf), keep_empty=True)
+    return chunk.chunk_fixed(_blanked_pages(spark, sf), 60, 10, keep_empty=True)
+
+
+@query
+def chunk_fixed_drop_empty(spark, sf):
+    return chunk.chunk_fixed(_blanked_pages(spark, sf), 60, 10)
 
 
 @query
@@ -75,7 +90,7 @@ def chunk_preview(spark, sf):
 @query
 def chunk_conversations(spark, sf):
     """The second text corpus: turns as documents."""
-    turns = src.spread(src.table(spark, sf, "conversations")).select(
+    turns = src.dealt(src.table(spark, sf, "conversations")).select(
         F.format_string("%d/%d", "conv_id", "turn").alias("doc_id"),
         F.col("text").alias("content"),
     )
@@ -84,7 +99,7 @@ def chunk_conversations(spark, sf):
 
 @query
 def strip_markup(spark, sf):
-    pages = src.spread(src.table(spark, sf, "pages").select("page_id", "html"))
+    pages = src.dealt(src.table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", tx.strip_markup(F.col("html")).alias("text"))
 
 
@@ -155,15 +170,35 @@ def rejects_by_reason(spark, sf):
     return tb.rejects_by_reason(val.validate(_named_files(spark, sf)))
 
 
+def _damaged(spark, sf) -> DataFrame:
+    """Vectors of which some break the contract, each in a way that its number gives."""
+    kind, vector = F.col("vec_id") % 10, F.col("embedding")
+    short = F.slice(vector, 1, GIVEN_DIMENSION - 1)
+
+    def ending(value: str | None) -> Column:
+        return F.concat(short, F.array(F.lit(value).cast("float")))
+
+    return src.table(spark, sf, "embeddings").withColumn(
+        "embedding",
+        F.when(kind == 1, F.lit(None))
+        .when(kind == 2, short)
+        .when(kind == 3, ending(None))
+        .when(kind == 4, ending("NaN"))
+        .when(kind == 5, ending("-Infinity"))
+        .when(kind == 6, F.transform(vector, lambda _: F.lit(0).cast("float")))
+        .otherwise(vector),
+    )
+
+
 @query
 def vector_dim_check(spark, sf):
-    points = src.table(spark, sf, "embeddings")
+    points = _damaged(spark, sf)
     checked = None
     for dim in (GIVEN_DIMENSION, FAR_DIMENSION):
         part = val.check_vectors(points, dim).select(
             "vec_id",
             F.lit(dim).alias("expected"),
-            F.size("embedding").alias("dimension"),
+            F.coalesce(F.when(F.col("embedding").isNotNull(), F.size("embedding")), F.lit(0)).alias("dimension"),
             F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"),
         )
         checked = part if checked is None else checked.unionByName(part)
@@ -172,15 +207,17 @@ def vector_dim_check(spark, sf):
 
 @query
 def query_validation(spark, sf):
+    """Requests of which some name no limit, some a wrong one, and some no question."""
+    number = F.col("conv_id")
     asked = src.table(spark, sf, "conversations").select(
         "conv_id",
         "turn",
-        F.col("text").alias("query"),
-        F.col("turn").alias("top_k"),
-        (F.col("conv_id") % 5 / 4.0 + 0.1).cast("double").alias("min_score"),
+        F.when(number % 7 == 0, "").otherwise(F.col("text")).alias("query"),
+        F.when(number % 3 != 0, F.col("turn") * 9).alias("top_k"),
+        F.when(number % 4 != 0, number % 5 / 4.0 + 0.1).cast("double").alias("min_score"),
     )
-    return val.check_queries(asked).select(
-        "conv_id", "turn", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
+    return val.check_queries(val.request_defaults(asked)).select(
+        "conv_id", "turn", "top_k", F.coalesce("reject_reason", F.lit("accepted")).alias("outcome")
     )
 
 
@@ -207,10 +244,8 @@ def chunks_per_document(spark, sf):
 
 @query
 def chunk_counts_all_docs(spark, sf):
-    """Documents of at least 300 characters are cut; the others have no chunk."""
     documents = src.raw_documents(spark, sf)
-    long = documents.filter(F.length("content") >= 300)
-    return tb.chunks_per_document(documents, chunk.chunk_sentences(long))
+    return tb.chunks_per_document(documents, chunk.chunk_sentences(documents))
 
 
 @query
@@ -231,8 +266,7 @@ def chunks_missing_embedding(spark, sf):
     cut = chunk.chunk_fixed(src.raw_documents(spark, sf))
     labelled = src.table(spark, sf, "labels").select(F.col("doc_id").cast("string"))
     done = cut.join(labelled, "doc_id", "left_semi")
-    missing = tb.missing_embeddings(cut.select("chunk_id", "doc_id", "chunk_index"), done)
-    return missing.select("chunk_id", "doc_id", "chunk_index")
+    return tb.missing_embeddings(cut.select("chunk_id", "doc_id", "chunk_index"), done)
 
 
 @query
@@ -250,8 +284,15 @@ def embedding_models(spark, sf):
 
 @query
 def collection_stats(spark, sf):
-    points = src.table(spark, sf, "embeddings").withColumnRenamed("label", "doc_id")
-    return tb.collection_stats(points, "embeddings")
+    """Vectors are stored in a collection that declares what it holds, and described from it."""
+    points = src.table(spark, sf, "embeddings").select(
+        "vec_id", F.col("label").cast("string").alias("doc_id"), "embedding"
+    )
+    folder = work_dir(spark, "vectors")
+    declared = {"dimension": GIVEN_DIMENSION, "metric": pipeline.METRIC}
+    SnapshotTable(spark, folder, points.schema, declared).commit(points)
+    store = SnapshotTable(spark, folder, points.schema)
+    return tb.collection_stats(store.read(), "embeddings", store.properties["metric"])
 
 
 # --- snapshots -------------------------------------------------------------------------
@@ -366,7 +407,7 @@ def _centroid_queries(spark, sf, top_k: int, min_score: float | None) -> DataFra
 def _centroid_hits(spark, sf, top_k: int, min_score: float | None = None) -> DataFrame:
     hits = search.top_k(
         _centroid_queries(spark, sf, top_k, min_score),
-        src.spread(src.table(spark, sf, "embeddings")),
+        src.dealt(src.table(spark, sf, "embeddings")),
         item_id="vec_id",
         dim=GIVEN_DIMENSION,
         carry=("label",),
@@ -395,9 +436,9 @@ def cosine_own_centroid(spark, sf):
     )
 
 
-def _text_hits(spark, sf, top_k: int = search.TOP_K, min_score: float | None = None):
+def _text_hits(spark, sf, top_k: int = search.TOP_K, min_score: float | None = None, **options):
     chunks = chunk.chunk_fixed(src.raw_documents(spark, sf), carry=("filename",))
-    return pipeline.search_texts(src.questions(spark, sf), chunks, top_k, min_score)
+    return pipeline.search_texts(src.questions(spark, sf), chunks, top_k, min_score, **options)
 
 
 @query
@@ -450,7 +491,8 @@ def hits_per_query(spark, sf):
 def hits_lineage(spark, sf):
     """Where the text of each hit came from."""
     versioned = _versioned(spark, sf)
-    traced = tb.hits_with_lineage(_text_hits(spark, sf), versioned, _log(versioned))
+    hits = _text_hits(spark, sf, carry=("doc_id", "chunk_index", "chunk_text", "chunking_strategy"))
+    traced = tb.hits_with_lineage(hits, versioned, _log(versioned))
     found = F.col("data_lineage")
     return traced.select(
         "q_id",
@@ -460,6 +502,9 @@ def hits_lineage(spark, sf):
         F.date_format(found["committed_at"], "yyyy-MM-dd").alias("committed_at"),
         found["source_file"].alias("source_file"),
         found["file_hash"].alias("file_hash"),
+        F.array_join(found["transformations"], " > ").alias("steps"),
+        found["quality"]["readability_score"].alias("readability_score"),
+        found["quality"]["contains_pii"].alias("contains_pii"),
     )
 
 
@@ -467,7 +512,7 @@ def hits_lineage(spark, sf):
 def search_collection(spark, sf):
     """Chunks are stored as points, some documents once more, and then searched."""
     folder, now = work_dir(spark, "points"), FIRST_COMMIT
-    store = SnapshotTable(spark, folder, pipeline.POINTS)
+    store = pipeline.collection(spark, folder)
     documents = src.raw_documents(spark, sf).withColumn("file_type", F.lit("txt"))
     pipeline.reingest(documents, folder, "points", now, chunk.chunk_fixed)
     labelled = src.table(spark, sf, "labels").select(F.col("doc_id").cast("string"))
@@ -533,7 +578,7 @@ def stream_query_metrics_daily(spark, sf):
 def stream_ingest_documents(spark, sf):
     """Documents as a stream: checked, chunked, embedded and stored."""
     folder = work_dir(spark, "stream")
-    store = SnapshotTable(spark, f"{folder}/points", pipeline.POINTS)
+    store = pipeline.collection(spark, f"{folder}/points")
     rejects = SnapshotTable(spark, f"{folder}/rejects", stream_ingest.REJECTS)
     files = _stream(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"),

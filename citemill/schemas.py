@@ -62,6 +62,7 @@ SNAPSHOT_LOG = struct_of(
     stream_id=S,
     batch_id=L,
 )
+PROPERTIES = struct_of(name=S, value=S)
 
 # What the binary file source yields; a stream must be told this in advance.
 BINARY_FILE = struct_of(

@@ -1,9 +1,10 @@
 """Lake tables: catalog tables, and tables that keep their snapshots.
 
 A snapshot table is a folder with ``data`` partitioned by ``snapshot_id`` and a ``log``
-with one row for each commit. Data are written first and logged last, and the next id is
-one more than the last logged id: what a failed job left behind is never visible and is
-overwritten by the next try. There may be one writer at a time and any number of readers.
+with one entry for each commit. Data are written first and logged last, and the next id is
+the first after the last logged one that nobody has claimed. A claim is a file that only
+one writer can create, so two writers never share a number; what a failed job left behind
+under its number is never read. Any number of readers and writers.
 """
 
 from __future__ import annotations
@@ -75,8 +76,13 @@ def visible_range(log: DataFrame, at: dt.datetime | str | None = None) -> DataFr
 
 
 def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
-    """Rows of a table as they were at ``at``. A partition filter on ``snapshot_id``."""
-    seen = visible_range(log, at).select(F.struct("base", "last")).scalar()
+    """Rows of a table as they were at ``at``. A partition filter on ``snapshot_id``.
+
+    A time before the first commit is an error, raised when the rows are read.
+    """
+    none = F.raise_error(F.lit(f"no snapshot at or before {at}"))
+    found = F.when(F.col("last").isNull(), none).otherwise(F.struct("base", "last"))
+    seen = visible_range(log, at).select(found).scalar()
     snapshot = F.col("snapshot_id")
     return rows.filter((snapshot >= seen["base"]) & (snapshot <= seen["last"]))
 
@@ -100,16 +106,38 @@ def current(rows: DataFrame, key: str = "doc_id", base: int | None = None) -> Da
 
 
 class SnapshotTable:
-    """A table under ``folder`` that keeps its history; made, without rows, unless it is there."""
+    """A table under ``folder`` that keeps its history; made, without rows, unless it is there.
 
-    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType) -> None:
+    ``properties`` are stored when the table is made. Whoever opens it later gets those that
+    are stored, and is refused if they differ from what is asked for.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        schema: T.StructType,
+        properties: dict[str, str] | None = None,
+    ) -> None:
         self.spark, self.schema = spark, schema
-        self._data, self._log = f"{folder.rstrip('/')}/data", f"{folder.rstrip('/')}/log"
-        for made, kind in ((f"{self._data}/snapshot_id=0", schema), (self._log, schemas.SNAPSHOT_LOG)):
-            spark.createDataFrame([], kind).coalesce(1).write.mode("ignore").parquet(made)
+        folder = folder.rstrip("/")
+        self._data, self._log, self._claims = f"{folder}/data", f"{folder}/log", f"{folder}/claims"
+        asked = {name: str(value) for name, value in (properties or {}).items()}
+        for made, kind, lines in (
+            (f"{self._data}/snapshot_id=0", schema, []),
+            (f"{self._log}/entry=0", schemas.SNAPSHOT_LOG, []),
+            (f"{folder}/properties", schemas.PROPERTIES, list(asked.items())),
+        ):
+            spark.createDataFrame(lines, kind).coalesce(1).write.mode("ignore").parquet(made)
+        stored = spark.read.schema(schemas.PROPERTIES).parquet(f"{folder}/properties")
+        self.properties = {row["name"]: row["value"] for row in stored.collect()}
+        for name, value in asked.items():
+            if self.properties.get(name) != value:
+                raise ValueError(f"{name} is {self.properties.get(name)}, not {value}")
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(schemas.SNAPSHOT_LOG).parquet(self._log)
+        entries = self.spark.read.schema(schemas.SNAPSHOT_LOG).parquet(self._log)
+        return entries.select(*schemas.SNAPSHOT_LOG.names)
 
     def rows(self) -> DataFrame:
         """Everything stored, also what no snapshot shows any more."""
@@ -124,9 +152,23 @@ class SnapshotTable:
         return seen
 
     def _between(self, seen) -> DataFrame:
+        """Rows of the logged snapshots of a range; no other folder is listed or read."""
         if seen["last"] is None:
             return self.rows().filter(F.lit(False))
-        return self.rows().filter(F.col("snapshot_id").between(seen["base"], seen["last"]))
+        logged = self.log().filter(F.col("snapshot_id").between(seen["base"], seen["last"]))
+        numbers = sorted(row["snapshot_id"] for row in logged.select("snapshot_id").collect())
+        schema = T.StructType([*self.schema.fields, T.StructField("snapshot_id", T.LongType())])
+        places = [f"{self._data}/snapshot_id={n}" for n in numbers]
+        return self.spark.read.schema(schema).option("basePath", self._data).parquet(*places)
+
+    def _claim(self) -> int:
+        """The next number, claimed by a file that cannot be created twice."""
+        paths = self.spark._jvm.org.apache.hadoop.fs
+        store = paths.Path(self._claims).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        number = (self.log().agg(F.max("snapshot_id")).first()[0] or 0) + 1
+        while not store.createNewFile(paths.Path(f"{self._claims}/{number}")):
+            number += 1
+        return number
 
     def read(self, at: dt.datetime | str | None = None) -> DataFrame:
         """All visible rows, those of later snapshots beside those they outdate."""
@@ -157,15 +199,21 @@ class SnapshotTable:
             same = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
             if not log.filter(same).isEmpty():
                 return None
-        last = log.agg(F.max("snapshot_id")).first()[0]
-        snapshot = (last or 0) + 1
+        snapshot = self._claim()
         place = f"{self._data}/snapshot_id={snapshot}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(place)
+        # Floating-point vectors hardly repeat, so a dictionary of them only costs time.
+        plain = {
+            f"parquet.enable.dictionary#{f.name}.list.element": "false"
+            for f in self.schema
+            if isinstance(f.dataType, T.ArrayType)
+        }
+        rows.select(*self.schema.names).write.mode("overwrite").options(**plain).parquet(place)
         added = self.spark.read.schema(self.schema).parquet(place).count()
         at = at or dt.datetime.now(dt.timezone.utc)
         entry = [(snapshot, at, operation, added, stream_id, batch_id)]
         line = self.spark.createDataFrame(entry, schemas.SNAPSHOT_LOG)
-        line.coalesce(1).write.mode("append").parquet(self._log)
+        # A folder of its own, as writers that append to one folder disturb each other.
+        line.coalesce(1).write.parquet(f"{self._log}/entry={snapshot}")
         return snapshot
 
     def compact(self, key: str = "doc_id", at: dt.datetime | None = None) -> int:

@@ -5,33 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
+# Session setting: into how many partitions scans of the given tables are dealt. Unset, as
+# it should be for large tables, they are read in the splits that Spark makes of their files.
+SCAN_PARTITIONS = "spark.citemill.scanPartitions"
 
-# Tables of up to this many splits, some gigabytes, are worth a shuffle to spread them.
-SMALL_TABLE_SPLITS = 32
-_PARTS_PER_SPLIT = 8
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use more cores for a small table that is stored in fewer splits than there are.
 
-    Tables of more splits are left alone, however many cores there are, so a large table
-    is never shuffled for this. Only for a plain scan: asking a plan with a shuffle for
-    its partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    if splits >= min(cores, SMALL_TABLE_SPLITS):
-        return scan
-    return scan.repartition(min(cores, max(1, splits) * _PARTS_PER_SPLIT))
+def dealt(scan: DataFrame) -> DataFrame:
+    """``scan`` in the number of partitions that the session names, if it names one."""
+    parts = scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan.repartition(int(parts)) if parts else scan
 
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Table ``documents`` in the lake's terms, its source standing in for a file name."""
     scan = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return spread(scan).select(
+    return dealt(scan).select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.col("source").alias("filename"),
         F.col("text").alias("content"),

@@ -9,7 +9,7 @@ from citemill.operators import metrics as mt
 
 
 def running_totals(log: DataFrame) -> DataFrame:
-    return log.groupBy().agg(*mt.summary_columns())
+    return log.groupBy().agg(*mt.summary_columns(), mt.latency_percentile())
 
 
 def running_daily(log: DataFrame, watermark: str | None = None) -> DataFrame:

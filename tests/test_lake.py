@@ -1,6 +1,8 @@
 import datetime as dt
 import os
+from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -159,3 +161,73 @@ def test_reingest_replaces_the_collection_and_is_repeatable(spark, tmp_path, sma
     old = store.read(day(1)).drop("snapshot_id", "indexed_at")
     assert old.exceptAll(after).isEmpty() and after.exceptAll(old).isEmpty()
     assert after.select("point_id").distinct().count() == after.count() == before.count()
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    one = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    two = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    with ThreadPoolExecutor(4) as pool:
+        jobs = [
+            pool.submit((one, two)[n % 2].commit, rows(spark, (f"k{n}", n))) for n in range(6)
+        ]
+        numbers = [j.result() for j in jobs]
+    assert sorted(numbers) == sorted(set(numbers))
+    assert values(one.read()) == [(f"k{n}", n) for n in range(6)]
+
+
+def test_what_a_failed_writer_left_is_never_read(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1)))
+    number = table._claim()
+    rows(spark, ("lost", 0)).write.parquet(f"{tmp_path}/t/data/snapshot_id={number}")
+    assert table.commit(rows(spark, ("b", 2))) == number + 1
+    assert values(table.read()) == values(table.current()) == [("a", 1), ("b", 2)]
+
+
+def test_a_time_before_the_first_commit_is_an_error(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1)), at=day(2))
+    with pytest.raises(Exception, match="no snapshot at or before"):
+        lake.as_of(table.rows(), table.log(), day(1)).collect()
+
+
+def test_a_collection_keeps_to_what_it_declares(spark, tmp_path):
+    folder = str(tmp_path / "points")
+    store = pipeline.collection(spark, folder, 4)
+    assert store.properties == {"dimension": "4", "metric": "cosine"}
+    assert SnapshotTable(spark, folder, pipeline.POINTS).properties == store.properties
+    for other in ({"dim": 5}, {"metric": "dot"}):
+        with pytest.raises(ValueError):
+            pipeline.collection(spark, folder, **{"dim": 4, **other})
+    documents = spark.createDataFrame(
+        [("d", "d.txt", "text", "txt")], "doc_id string, filename string, content string, file_type string"
+    )
+    for bad in (np.nan, np.inf):
+        with pytest.raises(Exception, match="not_finite"):
+            pipeline.upsert(documents, store, day(1), load=lambda: lambda t: np.full((len(t), 4), bad))
+    assert store.log().isEmpty()
+    pipeline.upsert(documents, store, day(1), load=lambda: lambda t: np.ones((len(t), 4)))
+    assert pipeline.searchable(store).count() == 1
+
+
+def test_every_reason_to_refuse_a_vector(spark):
+    given = [None, [1.0], [1.0, None], [1.0, float("nan")], [float("-inf"), 1.0], [0.0, 0.0], [1.0, 2.0]]
+    checked = val.check_vectors(spark.createDataFrame([(v,) for v in given], "embedding array<double>"), 2)
+    assert [r.reject_reason for r in checked.collect()] == [
+        "empty_embedding", "wrong_dimension", "null_element", "not_finite", "not_finite", "empty_embedding", None
+    ]
+
+
+def test_requests_are_checked_before_they_are_searched(spark):
+    asked = spark.createDataFrame(
+        [(1, "a text", None, None), (2, "", 3, 0.5), (3, "a text", 21, 0.5), (4, "a text", 1, 1.5)],
+        "q_id bigint, query string, top_k int, min_score double",
+    )
+    documents = spark.createDataFrame([("d", f"a text number {n}", "f") for n in range(9)], "doc_id string, content string, filename string")
+    chunks = chunk.chunk_fixed(documents, carry=("filename",))
+    assert {r.q_id for r in pipeline.search_texts(asked, chunks).collect()} == {1}
+    assert pipeline.search_texts(asked, chunks).count() == 3
+    accepted, rejected = pipeline.check_requests(asked)
+    assert {r.q_id: r.reject_reason for r in rejected.collect()} == {
+        2: "empty_query", 3: "top_k_out_of_range", 4: "min_score_out_of_range"
+    }

@@ -33,11 +33,22 @@ def test_percentile_equals_numpy(spark, p, kind):
         value = F.when(F.col("id") % 3 > 0, F.lit(42.0)).otherwise(value)
     rows = spark.range(n).select(value.cast("double").alias("v"))
     want = np.quantile(rows.toPandas()["v"].to_numpy(), p)
-    # Without a lower limit the bracket is used even for inputs this small.
-    limits = [10**6] if kind == "few" else [0, 10**6]
-    for limit in limits:
-        got = mt.percentile(rows, "v", p, limit).first()[0]
-        assert got == pytest.approx(want, rel=1e-12)
+    assert mt.percentile(rows, "v", p) == pytest.approx(want, rel=1e-12)
+
+
+def test_percentile_of_nothing_and_of_wild_values(spark):
+    assert mt.percentile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
+    wild = [(x,) for x in (-1e300, 1e-300, 0.0, 5e-324, 1e300, 2.0, None)] * 3
+    rows = spark.createDataFrame(wild, "v double")
+    want = np.quantile([x for (x,) in wild if x is not None], 0.4)
+    assert mt.percentile(rows, "v", 0.4) == pytest.approx(want)
+
+
+def test_cells_far_coarser_than_the_sketch_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(mt, "_CELLS", 2)
+    rows = spark.range(5000).select((F.pmod(F.xxhash64("id"), F.lit(997)) / 3.0).alias("v"))
+    want = np.quantile(rows.toPandas()["v"].to_numpy(), 0.95)
+    assert mt.percentile(rows, "v", 0.95) == pytest.approx(want, rel=1e-12)
 
 
 def test_daily_totals_add_up(spark):

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def test_running_metrics_equal_batch(spark, tmp_path):
     events.repartition(3).write.parquet(str(log))
     batch = src.as_query_log(events)
     for name, aggregate, want in (
-        ("total", running.running_totals, batch.agg(*mt.summary_columns())),
+        ("total", running.running_totals, batch.agg(*mt.summary_columns(), mt.latency_percentile())),
         ("daily", running.running_daily, mt.daily_metrics(batch)),
     ):
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
@@ -120,6 +121,21 @@ def test_metrics_of_a_stored_query_log(spark, tmp_path):
     out = str(tmp_path / "out")
     totals = running.running_totals(querylog.stream(spark, folder))
     running.start(totals, out, str(tmp_path / "cp")).awaitTermination()
-    assert tuple(running.latest(spark, out).first()) == (3, 2, 1, 66.67, 13.33)
+    assert tuple(running.latest(spark, out).first()) == (3, 2, 1, 66.67, 13.33, 92.1)
     assert tuple(mt.query_metrics(stored).first())[:5] == (3, 2, 1, 66.67, 13.33)
     assert mt.daily_metrics(stored).count() == 2
+    assert mt.query_metrics(stored).first().p95_latency_ms == 92.1
+
+
+def test_a_new_checkpoint_under_an_old_path_loses_nothing(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "points"), pipeline.POINTS)
+    rejects = SnapshotTable(spark, str(tmp_path / "rejects"), ingest.REJECTS)
+    for n, text in enumerate(("a first text of some length", "another text of some length")):
+        inbox = tmp_path / f"inbox{n}"
+        inbox.mkdir()
+        (inbox / f"{n}.txt").write_text(text)
+        arriving = files.uploaded(files.stream(spark, str(inbox)))
+        checkpoint = tmp_path / "checkpoint"
+        ingest.start(arriving, store, rejects, str(checkpoint)).awaitTermination()
+        shutil.rmtree(checkpoint)
+    assert store.log().count() == 2 and store.current().count() == 2

@@ -1,21 +1,16 @@
 from citemill.sources import tables as src
 
 
-def test_only_small_tables_are_spread(spark, small, tmp_path):
-    one = src.spread(src.table(spark, small, "documents"))
-    assert one.rdd.getNumPartitions() == min(8, spark.sparkContext.defaultParallelism)
-    folder = str(tmp_path / "many.parquet")
-    spark.range(0, 1000, 1, 40).write.parquet(folder)
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1KB")
+def test_scans_are_dealt_only_as_the_session_says(spark, small):
+    scan = src.table(spark, small, "documents")
+    assert src.dealt(scan) is scan
+    spark.conf.set(src.SCAN_PARTITIONS, "5")
     try:
-        many = src.table(spark, str(tmp_path), "many")
-        splits = many.rdd.getNumPartitions()
-        assert splits >= 8 and src.spread(many) is many
+        assert src.dealt(scan).rdd.getNumPartitions() == 5
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset(src.SCAN_PARTITIONS)
 
 
 def test_empty_table(spark, tmp_path):
     spark.range(0).write.parquet(str(tmp_path / "none.parquet"))
-    assert src.spread(src.table(spark, str(tmp_path), "none")).count() == 0
+    assert src.dealt(src.table(spark, str(tmp_path), "none")).count() == 0
