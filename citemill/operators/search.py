@@ -18,14 +18,15 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from citemill.functions import vectors as vec
 from citemill.operators.embed import Encoder
-from citemill.session import work_dir
 
 # Limits and defaults of a search request.
 TOP_K, MIN_TOP_K, MAX_TOP_K = 3, 1, 20
 MIN_SCORE = 0.5
 
-# Queries sent to every task at once may take up this much; more are done in blocks.
+# Queries are sent to the tasks in blocks of this size at most.
 QUERY_BLOCK_BYTES = 64 << 20
+# Vectors that a task gathers before it goes through several blocks.
+_GATHERED_BYTES = 64 << 20
 _QUERIES_PER_PRODUCT = 256
 _PAIRS_PER_PRODUCT = 16384
 
@@ -132,22 +133,103 @@ def _best_of_batch(q: _Queries, best: np.ndarray, x: np.ndarray, rank: np.ndarra
         yield qi + start, usable[xi], scores
 
 
-def _hits_of_block(
-    sent: Broadcast,
+def _pack(usable: DataFrame, block_rows: int) -> DataFrame:
+    """Queries as blocks of at most ``block_rows``, each an Arrow stream in one row."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, block_rows):
+                block = pa.Table.from_batches([batch.slice(at, block_rows)])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, block.schema) as stream:
+                    stream.write_table(block)
+                made = [pa.array([block.num_rows]), pa.array([sink.getvalue().to_pybytes()])]
+                yield pa.RecordBatch.from_arrays(made, ["n", "block"])
+
+    return usable.mapInArrow(pack, "n bigint, block binary")
+
+
+def _sent_blocks(usable: DataFrame, dim: int, block_rows: int) -> list[Broadcast]:
+    """All queries, a broadcast for each ``block_rows`` of them; the driver holds one block."""
+    context = usable.sparkSession.sparkContext
+    sent, held, rows = [], [], 0
+
+    def send() -> None:
+        if held:
+            sent.append(context.broadcast(_arrays(pa.concat_tables(held), dim)))
+
+    for row in _pack(usable, block_rows).toLocalIterator():
+        if rows and rows + row["n"] > block_rows:
+            send()
+            held, rows = [], 0
+        held.append(pa.ipc.open_stream(row["block"]).read_all())
+        rows += row["n"]
+    send()
+    return sent
+
+
+class _Found:
+    """The best rows of a block of queries so far, as Arrow rows ready to be handed on."""
+
+    def __init__(self, block: Broadcast, names: list[str]):
+        self.block, self.names = block, names
+        self.best: np.ndarray | None = None
+        self.rows: list[pa.RecordBatch] = []
+        self.held = 0
+
+    def add(self, q: _Queries, x: np.ndarray, rank: np.ndarray, batch: pa.RecordBatch) -> None:
+        if self.best is None:
+            self.best = np.full((len(q.k), int(q.k.max(initial=1))), -math.inf)
+        for qi, xi, scores in _best_of_batch(q, self.best, x, rank):
+            if not len(qi):
+                continue
+            at = pa.array(xi)
+            kept = [batch.column(i).take(at) for i in range(1, batch.num_columns)]
+            found = [pa.array(qi), pa.array(q.k[qi]), pa.array(scores), *kept]
+            self.rows.append(pa.RecordBatch.from_arrays(found, self.names))
+            self.held += len(qi)
+        if self.held > 4 * self.best.size:
+            self._cut()
+
+    def _cut(self) -> None:
+        """Leave ``top_k`` rows for each query, ties by rising item id."""
+        table = pa.Table.from_batches(self.rows)
+        order = pc.sort_indices(
+            table, [("q_id", "ascending"), ("score", "descending"), (self.names[3], "ascending")]
+        ).to_numpy()
+        q = table.column("q_id").to_numpy()[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        kept = order[place < table.column("top_k").to_numpy()[order]]
+        self.rows = table.take(pa.array(kept)).combine_chunks().to_batches()
+        self.held = len(kept)
+
+    def hand_on(self, ids: pa.Array) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            self._cut()
+            for rows in self.rows:
+                yield rows.set_column(0, "q_id", ids.take(rows.column(0)))
+
+
+def _hits(
+    sent: list[Broadcast],
     items: DataFrame,
     item_id: str,
     vector: str,
     dim: int,
     encoder: Callable[[], Encoder] | None,
     carry: tuple[str, ...],
+    named: bool,
+    top: int,
 ) -> DataFrame:
-    """Ranked hits of the queries in ``sent``; one pass over ``items``."""
+    """Ranked hits of all queries in ``sent``; one pass over ``items``.
+
+    Each batch of items is turned into vectors once and multiplied with one block of
+    queries after the other. With several blocks, batches are gathered up to a fixed size
+    first, so that a block is not opened for a handful of items.
+    """
     source = items.select(vector, item_id, *carry)
     if encoder is None:
         source = source.filter(F.size(vector) == dim)
-    arrays = sent.value
-    top = int(arrays[2].max(initial=1))
-    named = pa.types.is_string(arrays[0].type)
     id_field = T.StructField("q_id", T.StringType() if named else T.LongType())
     kept = [source.schema[name] for name in (item_id, *carry)]
     schema = T.StructType(
@@ -157,23 +239,34 @@ def _hits_of_block(
     names = [f.name for f in schema]
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = _Queries(*sent.value)
         to_matrix = encoder() if encoder else lambda lists: vec.list_matrix(lists, dim)
-        best = np.full((len(q.k), top), -math.inf)
+        found = [_Found(block, names) for block in sent]
+        one = _Queries(*sent[0].value) if len(sent) == 1 else None
+        gathered: list[tuple] = []
+
+        def search() -> None:
+            for block in found:
+                queries = one or _Queries(*block.block.value)
+                for each in gathered:
+                    block.add(queries, *each)
+                if one is None:
+                    vars(block.block).pop("_value", None)  # this worker's copy; read again when needed
+            gathered.clear()
+
+        held = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             rank = pc.rank(batch.column(1), "ascending", tiebreaker="first").to_numpy()
             x = to_matrix(batch.column(0))
-            for qi, xi, scores in _best_of_batch(q, best, x, rank):
-                if not len(qi):
-                    continue
-                rows = pa.array(xi)
-                yield pa.RecordBatch.from_arrays(
-                    [q.ids.take(pa.array(qi)), pa.array(q.k[qi]), pa.array(scores)]
-                    + [batch.column(i + 1).take(rows) for i in range(len(kept))],
-                    names,
-                )
+            gathered.append((x, rank, batch))
+            held += x.nbytes
+            if one is not None or held >= _GATHERED_BYTES:
+                search()
+                held = 0
+        search()
+        for block in found:
+            yield from block.hand_on(block.block.value[0])
 
     found = source.mapInArrow(local_best, schema)
     by_score = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc(item_id))
@@ -202,12 +295,11 @@ def top_k(
     texts that are turned into vectors on the fly and never stored. ``carry`` columns
     come back with each hit.
 
-    Queries that fit into ``block_bytes`` are sent to all tasks together. More are first
-    written to the shared folder in files of at most that size and done file by file, each
-    one pass over ``items``, so neither driver nor tasks ever hold more than one block.
-    Each query has its own ``q_id``.
+    Queries are sent to the tasks in blocks of at most ``block_bytes``, however many there
+    are; ``items`` are read, and encoded, once. Each query has its own ``q_id``, and
+    ``top_k`` is at most ``MAX_TOP_K``, so what a task keeps for a block is bounded, too.
 
-    Each task hands on up to ``top_k`` rows for each query. For tables of very many parts
+    Each task hands on at most ``top_k`` rows for each query. For tables of very many parts
     ``seed`` may name a small part of ``items``, such as one of its files: it is searched
     first, and what scores below its ``top_k``-th hit cannot be a hit at all and is never
     handed on. The result is the same.
@@ -227,31 +319,12 @@ def top_k(
         (F.size("embedding") == dim)
         & F.exists("embedding", lambda v: v != 0)
         & finite
-        & (F.col("top_k") >= MIN_TOP_K)
+        & F.col("top_k").between(MIN_TOP_K, MAX_TOP_K)
     ).select(
         F.col("q_id").cast("string" if named else "bigint").alias("q_id"),
         "embedding",
         F.col("top_k").cast("bigint").alias("top_k"),
         F.col("min_score").cast("double").alias("min_score"),
     )
-    spark = items.sparkSession
-    args = (items, item_id, vector, dim, encoder, carry)
-
-    def send(block: pa.Table) -> Broadcast:
-        return spark.sparkContext.broadcast(_arrays(block, dim))
-
-    block_rows = max(1, block_bytes // (8 * dim))
-    head = usable.limit(block_rows + 1).toArrow()
-    if head.num_rows <= block_rows:
-        return _hits_of_block(send(head), *args)
-
-    folder = work_dir(spark, "query-blocks")
-    usable.write.parquet(f"{folder}/queries")
-    stored = spark.read.parquet(f"{folder}/queries")
-    blocks = stored.repartition(math.ceil(stored.count() / block_rows))
-    blocks.write.option("maxRecordsPerFile", block_rows).parquet(f"{folder}/blocks")
-    for block in spark.read.parquet(f"{folder}/blocks").inputFiles():
-        sent = send(spark.read.parquet(block).toArrow())
-        _hits_of_block(sent, *args).write.mode("append").parquet(f"{folder}/hits")
-        sent.destroy()
-    return spark.read.parquet(f"{folder}/hits")
+    sent = _sent_blocks(usable, dim, max(1, block_bytes // (8 * dim)))
+    return _hits(sent, items, item_id, vector, dim, encoder, carry, named, MAX_TOP_K)

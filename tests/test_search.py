@@ -170,3 +170,23 @@ def test_hits_found_again_by_threshold(spark):
     )
     kept = every.filter(F.col("score") >= 0.4)
     assert kept.exceptAll(limited).isEmpty() and limited.exceptAll(kept).isEmpty()
+
+
+def test_items_are_read_and_encoded_once_for_any_number_of_blocks(spark, tmp_path):
+    queries, items = data(90, 40, 12)
+    spark.createDataFrame(items, ITEMS).repartition(3).write.parquet(str(tmp_path / "items"))
+    encoded = spark.sparkContext.accumulator(0)
+
+    def load():
+        def encode(lists):
+            encoded.add(len(lists))
+            return np.array(lists.to_pylist(), np.float32)
+
+        return encode
+
+    requests = spark.createDataFrame(queries, REQUESTS)
+    stored = spark.read.parquet(str(tmp_path / "items"))
+    hits = search.top_k(requests, stored, dim=DIM, encoder=load, block_bytes=8 * DIM * 3)
+    assert hits._jdf.queryExecution().toString().count("Scan parquet") <= 2  # spark and physical plan
+    assert {(r.q_id, r.chunk_id, r.rk) for r in hits.collect()} == exact(queries, items)
+    assert encoded.value == 90
