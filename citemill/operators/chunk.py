@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from citemill.functions import ids, text as tx
+from citemill.functions import ids, text as tx, vectors as vec
 
 # Defaults of the two chunkers.
 FIXED_SIZE, FIXED_OVERLAP = 200, 50
@@ -17,6 +20,7 @@ SENTENCE_SIZE, SENTENCE_OVERLAP_WORDS = 500, 100
 # Output rows of the sentence chunker handed back to Spark at a time.
 _ROWS_PER_BATCH = 2048
 _CHARS_PER_BATCH = 8 << 20
+_BLANK = re.compile(" ")
 
 
 def fixed_windows(
@@ -67,27 +71,37 @@ def chunk_fixed(
     )
 
 
-def _pack(text: str, size: int, overlap: int) -> Iterator[str]:
-    """Unstripped chunks of one text: sentences packed up to ``size`` characters.
+def _packed(text: str, size: int, overlap: int) -> Iterator[tuple[str, int]]:
+    """Chunks of one text and their lengths, cut out of it by offsets.
 
-    The space that joins a sentence to the chunk is not counted against ``size``, the
-    first sentence is joined to an empty chunk (hence a leading space), and the overlap
-    is a number of words.
+    The words of a chunk follow each other in the text, so a chunk is given by its first
+    word, its first new sentence and the sentence after its last. That one is found by
+    bisection of the summed lengths; words are counted and joined once for the whole text,
+    and a chunk is two slices: repeated words, which one blank parts, and new sentences as
+    they stand. The blank that joins a sentence to a chunk is not counted against
+    ``size``; before the first sentence of all it only counts for the length.
     """
-    chunk = ""
-    for part in re.split(tx.SENTENCE_END, text):
-        sentence = part.strip()
-        if not sentence:
-            continue
-        if len(chunk) + len(sentence) <= size:
-            chunk = f"{chunk} {sentence}"
-        elif chunk:
-            yield chunk
-            chunk = " ".join([*chunk.split()[-overlap:], sentence])
-        else:
-            chunk = sentence
-    if chunk:
-        yield chunk
+    sentences = [s for part in re.split(tx.SENTENCE_END, text) if (s := part.strip())]
+    if not sentences:
+        return
+    words = [s.split() for s in sentences]
+    lengths = [len(s) for s in sentences]
+    raw = " ".join(sentences)
+    at = list(itertools.accumulate((n + 1 for n in lengths), initial=0))
+    word = list(itertools.accumulate(map(len, words), initial=0))
+    plain = " ".join(itertools.chain.from_iterable(words))
+    starts = [0, *(m.end() for m in _BLANK.finditer(plain)), len(plain) + 1]
+    first, last, tail = 0, 0, ""
+    while last < len(sentences):
+        new = last
+        lead = f"{tail} " if new else ""
+        extra = 1 if not new and lengths[0] <= size else 0
+        room = size - (len(lead) + extra + lengths[new]) + at[new + 1] + 1
+        last = max(new + 1, bisect.bisect_right(at, room) - 1)
+        chunk = lead + raw[at[new] : at[last] - 1]
+        yield chunk, len(chunk) + extra
+        first = max(first, word[last] - overlap)
+        tail = plain[starts[first] : starts[word[last]] - 1]
 
 
 def chunk_sentences(
@@ -96,12 +110,14 @@ def chunk_sentences(
     overlap: int = SENTENCE_OVERLAP_WORDS,
     text: str = "content",
     carry: tuple[str, ...] = (),
+    load: Callable[[], Callable[[pa.Array], np.ndarray]] | None = None,
 ) -> DataFrame:
     """Chunks of whole sentences; each repeats the last ``overlap`` words before it.
 
-    Packing depends on all earlier sentences of the text, so it runs as a fold over each
-    document in Arrow batches. Ids and labels are added by Spark. ``chunk_size`` counts
-    the chunk before stripping, as its length decided where to cut.
+    Where a chunk ends depends on all earlier sentences of the text, so texts are cut in
+    Arrow batches. Ids and labels are added by Spark. ``chunk_size`` counts the chunk before
+    stripping, as its length decided where to cut. With ``load``, which gives an encoder, a
+    column ``embedding`` is made in the same pass, null where the encoder finds nothing.
     """
     if overlap < 1:
         raise ValueError("sentence chunks need an overlap of at least one word")
@@ -115,37 +131,43 @@ def chunk_sentences(
             T.StructField("chunk_text", T.StringType()),
             T.StructField("chunk_size", T.IntegerType()),
         ]
+        + ([T.StructField("embedding", T.ArrayType(T.FloatType()))] if load else [])
     )
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = load() if load else None
         for batch in batches:
             texts = batch.column(len(names))
             rows: list[int] = []
             index: list[int] = []
             chunks: list[str] = []
+            sizes: list[int] = []
             chars = 0
 
             def flush() -> pa.RecordBatch:
                 kept = [batch.column(i).take(pa.array(rows, pa.int32())) for i in range(len(names))]
                 made = [
                     pa.array(index, pa.int32()),
-                    pa.array([chunk.strip() for chunk in chunks], pa.string()),
-                    pa.array([len(chunk) for chunk in chunks], pa.int32()),
+                    pa.array(chunks, pa.string()),
+                    pa.array(sizes, pa.int32()),
                 ]
+                if encoder:
+                    made.append(vec.matrix_lists(np.asarray(encoder(made[1]))))
                 return pa.RecordBatch.from_arrays(kept + made, [f.name for f in schema])
 
             for row in range(batch.num_rows):
                 content = texts[row].as_py()
                 if content is None:
                     continue
-                for i, chunk in enumerate(_pack(content, size, overlap)):
+                for i, (chunk, length) in enumerate(_packed(content, size, overlap)):
                     rows.append(row)
                     index.append(i)
                     chunks.append(chunk)
+                    sizes.append(length)
                     chars += len(chunk)
                     if len(rows) >= _ROWS_PER_BATCH or chars >= _CHARS_PER_BATCH:
                         yield flush()
-                        rows, index, chunks, chars = [], [], [], 0
+                        rows, index, chunks, sizes, chars = [], [], [], [], 0
             if rows:
                 yield flush()
 
@@ -158,6 +180,7 @@ def chunk_sentences(
         "chunk_size",
         F.lit(tx.strategy_label("smart", size, overlap)).alias("chunking_strategy"),
         *carry,
+        *(["embedding"] if load else []),
     )
 
 

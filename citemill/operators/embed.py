@@ -28,6 +28,13 @@ def hash_encoder(dim: int = vec.DIMENSION) -> Encoder:
     return lambda texts: vec.hash_counts(texts, dim)
 
 
+def hash_text_encoder(dim: int = vec.DIMENSION) -> Encoder:
+    """The same for texts that are not yet in lower case."""
+    return lambda texts: vec.hash_counts(
+        pa.array([t.lower() for t in texts.to_pylist()], pa.string()), dim
+    )
+
+
 def encode_column(
     text: Column, load: Callable[[], Encoder] = hash_encoder, dim: int = vec.DIMENSION
 ) -> Column:

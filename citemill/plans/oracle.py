@@ -318,6 +318,27 @@ ORACLE: dict[str, str] = {
         WHERE doc_id NOT IN (SELECT doc_id FROM labelled)
         UNION ALL SELECT chunk_id, doc_id, chunk_index, chunk_size, 2 FROM second
         WHERE doc_id IN (SELECT doc_id FROM labelled)""",
+    "stored_history": f"""WITH {DOCS}, parts AS (SELECT *, CAST(doc_id AS BIGINT) % 4 AS n FROM docs)
+        SELECT CAST(day AS INTEGER) AS day, CAST(4 AS BIGINT) AS latest, count(*) AS documents,
+            CAST(sum(length(content)) AS BIGINT) AS characters
+        FROM parts, (VALUES (1), (2), (3), (4)) AS t(day)
+        WHERE n < day AND (day < 3 OR n >= 2) GROUP BY 1""",
+    "files_round_trip": f"""WITH {DOCS} SELECT filename AS name, 'txt' AS file_type,
+            count(*) AS documents, CAST(sum(length(content) + 1) AS BIGINT) AS characters,
+            CAST(sum(strlen(content) + 1) AS BIGINT) AS bytes
+        FROM docs GROUP BY 1""",
+    "catalog_chunks": f"""WITH {CHUNKS} SELECT filename, count(*) AS num_chunks,
+            CAST(sum(chunk_size) AS BIGINT) AS characters FROM chunks GROUP BY 1""",
+    "letter_embedding": f"""WITH {CHUNKS} SELECT * FROM (
+            SELECT chunk_id, CAST(i AS INTEGER) AS dim, CAST(length(chunk_text) - length(replace(
+                replace(chunk_text, chr(97 + i), ''), chr(65 + i), '')) AS BIGINT) AS weight
+            FROM chunks, (SELECT CAST(unnest(range(26)) AS INTEGER) AS i))
+        WHERE weight > 0""",
+    "query_log_append": f"""WITH {HITS} SELECT *, num_results = 0 AS failed FROM (
+            SELECT q.q_id, q.query, e.value AS latency_ms, count(h.chunk_id) AS num_results
+            FROM questions q LEFT JOIN events e ON e.event_id = q.q_id
+                LEFT JOIN hits h ON h.q_id = q.q_id AND rk <= 20 AND score >= {TEXT_MIN_SCORE}
+            GROUP BY ALL)""",
     "ingest_append": """SELECT CAST(1 AS BIGINT) AS snapshot_id, count(*) AS added_rows,
             CAST(sum(length(text)) AS BIGINT) AS characters FROM documents
         UNION ALL SELECT 2, count(*), CAST(sum(length(text)) AS BIGINT) FROM benchmark""",

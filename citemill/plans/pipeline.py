@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import inspect
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -54,10 +56,15 @@ def points(
 ) -> DataFrame:
     """Chunks of documents as points of a collection. One pass, no shuffle.
 
-    Chunks without a vector keep a null and are left out when the points are indexed.
+    A chunker that can make vectors (it takes ``load``) does so in its own pass. Chunks without
+    a vector keep a null and are left out when the points are indexed.
     """
-    cut = chunker(documents, carry=("filename", "file_type"))
-    made = embed.embed_chunks(cut, load, dim)
+    carry = ("filename", "file_type")
+    if "load" in inspect.signature(chunker).parameters:
+        encoder = load or partial(embed.hash_text_encoder, dim)
+        made = chunker(documents, carry=carry, load=encoder)
+    else:
+        made = embed.embed_chunks(chunker(documents, carry=carry), load, dim)
     made = made.select(
         ids.point_id(F.col("chunk_id")).alias("point_id"),
         "chunk_id",

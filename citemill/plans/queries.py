@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citemill.functions import ids, scores as sc, text as tx
@@ -21,7 +23,7 @@ from citemill.operators import (
 )
 from citemill.plans import pipeline
 from citemill.session import work_dir
-from citemill.sources import lake, tables as src
+from citemill.sources import files, lake, querylog, tables as src
 from citemill.sources.lake import SnapshotTable
 from citemill.streaming import ingest as stream_ingest, metrics as stream_metrics
 
@@ -347,6 +349,29 @@ def upsert_latest(spark, sf):
     )
 
 
+@query
+def stored_history(spark, sf):
+    """Four commits to a stored table, the third an overwrite, read as of each day and now."""
+    documents = src.raw_documents(spark, sf).select("doc_id", "content")
+    store = SnapshotTable(spark, work_dir(spark, "history"), documents.schema)
+    for n in range(4):
+        part = documents.filter(F.col("doc_id").cast("bigint") % 4 == n)
+        at = FIRST_COMMIT + dt.timedelta(days=n)
+        store.commit(part, "overwrite" if n == 2 else "append", at)
+    last = lake.latest_snapshot(store.log()).select("snapshot_id").scalar()
+    seen = None
+    for n in range(4):
+        rows = lake.as_of(store.rows(), store.log(), FIRST_COMMIT + dt.timedelta(days=n, hours=12))
+        found = rows.agg(
+            F.lit(n + 1).alias("day"),
+            last.alias("latest"),
+            F.count("*").alias("documents"),
+            F.sum(F.length("content")).alias("characters"),
+        )
+        seen = found if seen is None else seen.unionByName(found)
+    return seen
+
+
 @query
 def ingest_append(spark, sf):
     """Appends documents to a stored table, then questions, and reads both back."""
@@ -377,6 +402,47 @@ def reingest_stats(spark, sf):
     )
 
 
+@query
+def files_round_trip(spark, sf):
+    """Documents written as text files, a line each, then found and loaded as files."""
+    folder = work_dir(spark, "files")
+    lines = src.raw_documents(spark, sf).select(
+        F.col("filename").alias("name"), F.translate("content", "\n", " ").alias("value")
+    )
+    lines.write.partitionBy("name").text(folder)
+    loaded = files.loaded(files.scan(spark, folder))
+    name = F.regexp_extract(F.col("metadata")["path"], "/name=([^/]*)/", 1)
+    return loaded.groupBy(name.alias("name"), "file_type").agg(
+        F.sum(F.size(F.split("content", "\n")) - 1).alias("documents"),
+        F.sum(F.length("content")).alias("characters"),
+        F.sum("file_size").alias("bytes"),
+    )
+
+
+@query
+def catalog_chunks(spark, sf):
+    """Create the catalog's tables, append documents and their chunks, join them in SQL."""
+    folder = work_dir(spark, "catalog")
+    database = f"citemill_{uuid.uuid4().hex}"
+    lake.create_tables(spark, database, folder)
+    documents = src.raw_documents(spark, sf).select(
+        "content",
+        "filename",
+        "doc_id",
+        F.lit("txt").alias("file_type"),
+        F.length("content").cast("bigint").alias("file_size"),
+        F.lit(FIRST_COMMIT).cast("date").alias("ingestion_date"),
+    )
+    lake.append(documents, f"{database}.raw_documents")
+    cut = chunk.chunk_fixed(spark.table(f"{database}.raw_documents"))
+    pipeline.write_chunks(cut, FIRST_COMMIT, f"{database}.document_chunks")
+    return spark.sql(
+        f"""SELECT d.filename, count(*) AS num_chunks, sum(c.chunk_size) AS characters
+        FROM {database}.document_chunks c JOIN {database}.raw_documents d ON c.doc_id = d.doc_id
+        GROUP BY d.filename"""
+    )
+
+
 # --- vectors and search ----------------------------------------------------------------
 
 
@@ -385,6 +451,26 @@ def hash_embedding(spark, sf):
     return embed.hash_weights(src.raw_documents(spark, sf))
 
 
+def _letter_counts() -> embed.Encoder:
+    """A second encoder, to be loaded once a task: how often each of a to z is in a text."""
+
+    def encode(texts) -> np.ndarray:
+        rows = [np.frombuffer(t.encode(), np.uint8) | 32 for t in texts.to_pylist()]
+        kinds = [np.frombuffer(t.encode(), np.uint8) for t in texts.to_pylist()]
+        letters = [r[(k >= 65) & (k < 123) & (r >= 97) & (r < 123)] for r, k in zip(rows, kinds)]
+        return np.array([np.bincount(x - 97, minlength=26) for x in letters], np.float32)
+
+    return encode
+
+
+@query
+def letter_embedding(spark, sf):
+    cut = chunk.chunk_fixed(src.raw_documents(spark, sf))
+    made = embed.embed_chunks(cut, _letter_counts, 26)
+    long = made.select("chunk_id", F.posexplode("embedding").alias("dim", "weight"))
+    return long.filter("weight > 0").withColumn("weight", F.col("weight").cast("bigint"))
+
+
 def _centroids(vectors: DataFrame) -> DataFrame:
     """Mean vector of each label, from sums that are added up before the shuffle."""
     cells = vectors.select("label", F.posexplode("embedding").alias("at", "v"))
@@ -534,6 +620,16 @@ def query_log(spark, sf):
     return mt.query_log(asked, hits)
 
 
+@query
+def query_log_append(spark, sf):
+    """Answered queries are added to a stored log, then the others as failed; read back."""
+    folder = work_dir(spark, "query-log")
+    log = query_log(spark, sf)
+    querylog.append(log.filter("num_results > 0"), folder, FIRST_COMMIT)
+    querylog.append(log.filter("num_results = 0"), folder, FIRST_COMMIT, failed=True)
+    return querylog.read(spark, folder).select("q_id", "query", "latency_ms", "num_results", "failed")
+
+
 # --- metrics ---------------------------------------------------------------------------
 
 
@@ -580,14 +676,14 @@ def stream_ingest_documents(spark, sf):
     folder = work_dir(spark, "stream")
     store = pipeline.collection(spark, f"{folder}/points")
     rejects = SnapshotTable(spark, f"{folder}/rejects", stream_ingest.REJECTS)
-    files = _stream(spark, sf, "documents").select(
+    arriving = _stream(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.concat("doc_id", F.lit(".txt")).alias("filename"),
         F.col("text").alias("content"),
         F.lit("txt").alias("file_type"),
         F.lit(FIRST_COMMIT).alias("created_at"),
     )
-    checked = val.validate(files)
+    checked = val.validate(arriving)
     stream_ingest.start(checked, store, rejects, f"{folder}/checkpoint").awaitTermination()
     return store.current().groupBy("doc_id").agg(
         F.count("*").alias("chunks"), F.count("embedding").alias("vectors")
