@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from citemill.plans.queries import QUERIES  # noqa: E402
 from citemill.session import get_spark  # noqa: E402
+from citemill.sources import tables  # noqa: E402
 
 HEADLINE = [
     "chunk_fixed",
@@ -52,6 +53,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
+        **{tables.SCAN_PARTITIONS.replace(".", "__"): cpus},
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

@@ -46,5 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused folder name under the shared folder."""
-    return os.path.join(shared_dir(spark), "citemill", f"{purpose}-{uuid.uuid4().hex}")
+    """A new, unused folder name under the shared folder; gone when the application ends."""
+    own = os.path.join(shared_dir(spark), "citemill", spark.sparkContext.applicationId)
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return f"{own}/{purpose}-{uuid.uuid4().hex}"
