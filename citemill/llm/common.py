@@ -19,12 +19,9 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     What is read no longer depends on what made it, so a lost executor costs no more than
     the tasks it had. The folder goes when the application ends.
     """
-    spark = frame.sparkSession
-    folder = work_dir(spark, purpose)
+    folder = work_dir(frame.sparkSession, purpose)
     frame.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(frame.schema).parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -63,4 +63,98 @@ ORACLE: dict[str, str] = {
         )
         WINDOW g AS (PARTITION BY body)
     """,
+    "op6_suffix_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
+        ),
+        windows AS (
+            SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS w FROM (
+                SELECT doc_id, h, unnest(range(0, n - 199)) AS s FROM d WHERE n >= 200)
+        ),
+        twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+        marked AS (
+            SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before
+            FROM windows SEMI JOIN twice USING (w)
+        ),
+        grouped AS (
+            SELECT doc_id, s, sum(CASE WHEN before IS NULL OR s > before + 200 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY doc_id ORDER BY s) AS g
+            FROM marked
+        ),
+        runs AS (SELECT doc_id, min(s) AS a, max(s) + 200 AS b FROM grouped GROUP BY doc_id, g),
+        gaps AS (
+            SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM runs
+        ),
+        cut AS (
+            SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+                string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a)
+                    || substr(any_value(h), 2 * max(b) + 1) AS kept
+            FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)
+    """,
+    "op9_warc_revisits": r"""
+        WITH parts AS (
+            SELECT *, md5(coalesce(html, '')) AS tag,
+                '^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^?#]*)(?:\?([^#]*))?' AS form
+            FROM pages
+        ),
+        split AS (
+            SELECT *, regexp_replace(lower(regexp_extract(url, form, 1)), '^www\d*\.', '') AS host,
+                regexp_extract(url, form, 2) AS port,
+                regexp_replace(regexp_extract(url, form, 3), '/+$', '') AS path,
+                array_to_string(list_sort([x FOR x IN string_split(regexp_extract(url, form, 4), '&')
+                    IF x <> '' AND NOT regexp_matches(lower(regexp_extract(x, '^([^=]*)', 1)),
+                        '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|jsessionid|phpsessid|sid)$')]), '&') AS params
+            FROM parts
+        ),
+        named AS (
+            SELECT *, CASE WHEN host = '' THEN trim(url) ELSE host
+                || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END
+                || CASE WHEN path = '' THEN '/' ELSE path END
+                || CASE WHEN params = '' THEN '' ELSE '?' || params END END AS c
+            FROM split
+        ),
+        responses AS (
+            SELECT page_id, c, page_id * 60 AS t, tag, 'day ' || (page_id % 7) AS changed,
+                strlen(coalesce(html, '')) AS size FROM named
+        ),
+        revisits AS (
+            SELECT page_id, c, page_id * 60 + 30 + (page_id % 4) * 6000 AS t,
+                CASE page_id % 5 WHEN 0 THEN '"' || tag || '"' WHEN 1 THEN 'W/"' || tag || '"'
+                    WHEN 3 THEN '"other"' END AS etag,
+                CASE WHEN page_id % 5 = 2 THEN 'day ' || (page_id % 7) END AS changed
+            FROM named
+        ),
+        joined AS (
+            SELECT r.page_id, r.c, r.etag, r.changed, s.page_id AS p, s.tag AS old_tag,
+                s.changed AS old_changed, s.size,
+                CASE WHEN s.page_id IS NULL THEN 'no_earlier_response'
+                    WHEN r.etag IS NOT NULL AND replace(r.etag, 'W/', '') = '"' || s.tag || '"' THEN 'resolved'
+                    WHEN r.etag IS NULL AND r.changed = s.changed THEN 'resolved'
+                    ELSE 'validator_mismatch' END AS outcome
+            FROM revisits r ASOF LEFT JOIN responses s ON r.c = s.c AND r.t > s.t
+        )
+        SELECT page_id * 2 AS record_id, page_id AS payload_page_id, c AS canonical_url,
+            CAST(-1 AS BIGINT) AS refers_to, 'full' AS outcome,
+            'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10) || 'etag: "' || tag
+                || '"' || chr(10) || 'last-modified: ' || changed || chr(10) || 'server: a' AS headers,
+            tag AS payload_md5
+        FROM responses
+        UNION ALL
+        SELECT page_id * 2 + 1, CASE WHEN outcome = 'resolved' THEN p ELSE page_id END, c,
+            CASE WHEN outcome = 'resolved' THEN p * 2 ELSE -1 END, outcome,
+            CASE WHEN outcome = 'resolved' THEN
+                'cache-control: max-age=' || (page_id % 100) || chr(10) || 'content-length: ' || size
+                || chr(10) || 'content-type: text/html' || chr(10) || 'etag: '
+                || coalesce(etag, '"' || old_tag || '"') || chr(10) || 'last-modified: '
+                || coalesce(changed, old_changed) || chr(10) || 'server: b'
+            ELSE 'cache-control: max-age=' || (page_id % 100) || chr(10) || 'connection: close' || chr(10)
+                || 'content-length: 0' || coalesce(chr(10) || 'etag: ' || etag, '')
+                || coalesce(chr(10) || 'last-modified: ' || changed, '') || chr(10) || 'server: b' END,
+            CASE WHEN outcome = 'resolved' THEN old_tag ELSE md5('') END
+        FROM joined
+    """,
 }

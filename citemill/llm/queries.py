@@ -69,7 +69,7 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
-    """Each page as a response of its own minute and a revisit half a minute later."""
+    """Each page as a response of its own minute and a revisit up to five hours later."""
     records = warc.parse_records(warc_records(common.pages(spark, folder)))
     captured = F.to_timestamp(F.col("warc")["warc-date"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
     records = records.select(
@@ -78,7 +78,8 @@ def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     )
     records = common.stored(records, "warc-records")  # parsed once, used for both sides of the join
     return warc.resolve_revisits(records, ("page_id", "payload_md5")).select(
-        "record_id", F.col("page_id").alias("payload_page_id"), "canonical_url", "refers_to", "outcome",
+        "record_id", F.col("page_id").alias("payload_page_id"), "canonical_url",
+        F.coalesce("refers_to", F.lit(-1).cast("bigint")).alias("refers_to"), "outcome",
         F.array_join(
             F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit(": "), e["value"])),
             "\n",
@@ -113,7 +114,7 @@ def warc_records(pages: DataFrame) -> DataFrame:
         .otherwise(F.lit(""))
     )
     again = F.concat(
-        head("revisit", F.concat(F.col("url"), F.lit("#again")), 30),
+        head("revisit", F.concat(F.col("url"), F.lit("#again")), 30 + F.pmod(F.col("page_id"), F.lit(4)) * 6000),
         F.lit("HTTP/1.1 304 Not Modified\r\nConnection: close\r\nServer: b\r\nContent-Length: 0\r\nCache-Control: max-age="),
         (F.col("page_id") % 100).cast("string"), validator, F.lit("\r\n\r\n"),
     )
