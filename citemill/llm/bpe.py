@@ -146,19 +146,17 @@ def frequent_words(rows: DataFrame, text: str, pattern: str, sample_bytes: int,
 
 
 def dictionary(rows: DataFrame, table: Column, words: list[str]) -> Column:
-    """Literal ``words`` and ``ids``, filed by checksum, for words folded once each."""
+    """Literal maps from words to ids, filed by checksum, for words folded once each."""
     spark = rows.sparkSession
     number = max(1, len(words))
     frame = spark.createDataFrame([(w,) for w in words], "w string").repartition(
         spark.sparkContext.defaultParallelism
     )
-    filed: list[list[str]] = [[] for _ in range(number)]
-    ids: list[list[list[int]]] = [[] for _ in range(number)]
-    for row in frame.select("w", let(table, lambda t: fold(t, F.col("w"))).alias("ids")).collect():
+    filed: list[dict[str, list[int]] | None] = [None] * number
+    for row in frame.select("w", let(table, lambda t: fold(t, F.col("w"))).alias("ids")).toLocalIterator():
         at = zlib.crc32(row["w"].encode()) % number
-        filed[at].append(row["w"])
-        ids[at].append(row["ids"])
-    return literal({"words": filed, "ids": ids}, "words array<array<string>>, ids array<array<array<int>>>")
+        filed[at] = {**(filed[at] or {}), row["w"]: row["ids"]}
+    return literal(filed, "array<map<string, array<int>>>")
 
 
 def encode(rows: DataFrame, path: str, pattern: str, text: str = "text",
@@ -174,15 +172,8 @@ def encode(rows: DataFrame, path: str, pattern: str, text: str = "text",
     number = F.lit(max(1, len(words)))
 
     def look_up(both: Column, word: Column) -> Column:
-        at = F.pmod(F.crc32(word.cast("binary")), number).cast("int")
-        found = let(
-            at,
-            lambda k: F.get(
-                F.get(both["known"]["ids"], k),
-                F.array_position(F.get(both["known"]["words"], k), word).cast("int") - 1,
-            ),
-        )
-        return F.coalesce(found, fold(both["table"], word))
+        at = (F.crc32(word.cast("binary")) % number).cast("int")
+        return F.coalesce(F.get(both["known"], at)[word], fold(both["table"], word))
 
     both = F.struct(known.alias("known"), table.alias("table"))
     ids = let(both, lambda b: F.flatten(F.transform(words_of(F.col(text), pattern), lambda w: look_up(b, w))))

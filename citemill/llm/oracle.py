@@ -68,8 +68,9 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
         ),
         windows AS (
-            SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS w FROM (
-                SELECT doc_id, h, unnest(range(0, n - 199)) AS s FROM d WHERE n >= 200)
+            SELECT doc_id, unnest(range(0, n - 199)) AS s,
+                unnest([md5(substr(h, 2 * s + 1, 400)) FOR s IN range(0, n - 199)]) AS w
+            FROM d WHERE n >= 200
         ),
         twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
         marked AS (
