@@ -87,3 +87,14 @@ def test_counts(spark, large, chunks, documents):
     assert rows == {r.filename: r["count"] for r in joined.collect()}
     per_document = tb.chunks_per_document(documents, chunks).agg(F.sum("num_chunks")).first()[0]
     assert per_document == ROWS
+
+
+def test_one_snapshot_brought_most_documents(spark, large, capsys):
+    """The only join here is that of documents with the log."""
+    many = spark.range(0, ROWS, 1, 8).selectExpr(
+        "string(id) doc_id", "string(id) content", "if(id % 5 = 0, id % 7 + 2, 1L) snapshot_id"
+    )
+    log = spark.range(1, 9).selectExpr("id snapshot_id", "timestamp'2024-01-01' committed_at", "'append' operation")
+    rows, plan = plan_after_run(tb._with_commit(many, log), capsys)
+    assert len(rows) == ROWS and all(r.operation == "append" for r in rows)
+    assert plan.split("Initial Plan")[0].count("Join") == 1 and "SortMergeJoin(skew=true)" in plan
