@@ -19,7 +19,7 @@ ORACLE: dict[str, str] = {
         lines AS (
             SELECT doc_id, line,
                 len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
-                len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+                len(regexp_extract_all(line, ' ')) + 1 AS words,
                 len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
                 len(regexp_extract_all(line, '!')) AS shouts,
                 len([x FOR x IN regexp_extract_all(line, '[^\x20\x09-\x0D]+')

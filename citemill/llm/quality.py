@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLANK = " \t\n\x0b\x0c\r"
-BLANKS, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = r"(?<![^\x20\x09-\x0D])[|»›·•>/](?![^\x20\x09-\x0D])"
 SENTENCE_END = ".!?…。！？"
@@ -35,8 +35,17 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANKS))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _number_of(text: Column, characters: str) -> Column:
+    """How many of some characters are in a text; most texts have none and are only searched."""
+    pattern = "[" + "".join("\\" + c for c in characters) + "]"
+    without = F.length(F.translate(text, characters, ""))
+    return F.when(text.rlike(pattern), F.length(text) - without).otherwise(F.lit(0))
+
+
+def _visible(text: Column) -> Column:
+    """Number of characters that are not blank."""
+    bare = F.replace(text, F.lit(" "), F.lit(""))
+    return F.length(bare) - _number_of(bare, BLANK[1:])
 
 
 def repeated_words(words: Column) -> Column:
@@ -76,18 +85,16 @@ def repeated_words(words: Column) -> Column:
 
 
 def line_failures(line: Column) -> Column:
-    """Names of the rules that a line breaks; lines without a word break none."""
-    count = F.regexp_count(line, F.lit(WORD))
-    bare = F.length(_without(line, BLANK))
-    symbols = bare - F.length(_without(line, BLANK + SYMBOLS))
-    shouts = F.length(line) - F.length(_without(line, "!"))
+    """Names of the rules that a line breaks; its spaces stand for its number of words."""
+    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    symbols = _number_of(line, SYMBOLS)
+    shouts = F.length(line) - F.length(F.replace(line, F.lit("!"), F.lit("")))
     separators = F.regexp_count(line, F.lit(SEPARATORS))
-    open_ended = F.length(_without(line, SENTENCE_END)) == F.length(line)
     rules = {
-        "punctuation": (symbols * 10 > bare)
-        | ((shouts >= 3) & (shouts * 3 > count))
-        | ((count >= 10) & open_ended),
-        "navigation": (separators > 0) & (separators * 5 >= count),
+        "punctuation": ((symbols > 0) & (symbols * 10 > _visible(line)))
+        | ((shouts >= 3) & (shouts * 3 > spaces + 1))
+        | ((spaces >= 9) & ~line.rlike(f"[{SENTENCE_END}]")),
+        "navigation": line.rlike(SEPARATORS) & (separators * 5 > spaces),
         "boilerplate": line.rlike(BOILERPLATE),
     }
     named = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])
@@ -116,19 +123,19 @@ def clean_lines(rows: DataFrame, text: str = "text", max_lost: float = 0.5, min_
             F.split(body, "\n"),
             lambda x: F.struct(
                 x.alias("line"),
-                F.length(_without(x, BLANK)).cast("bigint").alias("chars"),
+                _visible(x).cast("bigint").alias("chars"),
                 (F.size(line_failures(x)) > 0).alias("failed"),
             ),
         ).alias("_lines"),
     )
     lines = F.col("_lines")
     full = F.transform(F.filter(lines, lambda x: x["chars"] > 0), lambda x: x["line"])
-    visible = F.length(_without(F.col("_body"), BLANK)).cast("bigint")
+    visible = F.aggregate(lines, zero, lambda n, x: n + x["chars"])
     frame = frame.select(
         "*",
         F.size("_words").cast("bigint").alias("n_words"),
         visible.alias("word_chars"),
-        (F.length("_body") - F.length(_without(F.col("_body"), SYMBOLS))).cast("bigint").alias("n_symbols"),
+        _number_of(F.col("_body"), SYMBOLS).cast("bigint").alias("n_symbols"),
         let(full, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         repeated_words(F.col("_words")).alias("n_repeat_words"),
         F.size(F.filter(lines, lambda x: x["failed"])).cast("bigint").alias("lines_removed"),
