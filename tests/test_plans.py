@@ -1,9 +1,11 @@
 """What the plans must look like: no needless shuffle, no product, pruned scans."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
-from citemill.operators import chunk, embed, metrics as mt, tables as tb, validate as val
+from citemill.operators import chunk, embed, metrics as mt, search, tables as tb, validate as val
 from citemill.plans import pipeline
 from citemill.plans.queries import QUERIES
 from citemill.sources import lake, tables
@@ -85,3 +87,21 @@ def test_no_query_multiplies_tables(plan, spark, small, name):
 def test_metrics_are_one_aggregate(plan, spark, small):
     tree = plan(mt.query_metrics(tables.query_events(spark, small))).split("\n(1)")[0]
     assert "Window" not in tree and "Sort" not in tree and tree.count("Scan") == 1
+
+
+def test_points_of_sentence_chunks_take_one_python_stage(plan, documents):
+    given = documents.withColumn("file_type", F.lit("txt"))
+    made = pipeline.points(given, dt.datetime(2024, 1, 1), chunk.chunk_sentences)
+    tree = plan(made).split("\n(1)")[0]
+    assert tree.count("MapInArrow") == 1 and "EvalPython" not in tree and "Exchange" not in tree
+
+
+def test_any_number_of_questions_reads_the_items_once(plan, documents, spark):
+    asked = spark.range(300).selectExpr("id q_id", "concat('question ', id) query")
+    chunks = chunk.chunk_fixed(documents, carry=("filename",))
+    requests = pipeline.embed_queries(asked)
+    lowered = chunks.withColumn("searched", F.lower("chunk_text"))
+    found = search.top_k(
+        requests, lowered, vector="searched", encoder=embed.hash_encoder, block_bytes=8 * 384 * 50
+    )
+    assert plan(found).split("\n(1)")[0].count("Scan parquet") == 1
