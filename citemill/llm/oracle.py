@@ -63,6 +63,23 @@ ORACLE: dict[str, str] = {
         )
         WINDOW g AS (PARTITION BY body)
     """,
+    # All given pages mark their article by a tag, which SQL can go by; the operator cannot.
+    "op4_html_trees": r"""
+        WITH articles AS (
+            SELECT page_id, url, regexp_replace(regexp_replace(
+                regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+                '<br>', ' ', 'g'), '</?b>', '', 'g') AS body
+            FROM pages
+        ),
+        texts AS (
+            SELECT page_id, url, array_to_string([b FOR b IN [trim(regexp_replace(
+                regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'),
+                    '&quot;', '"'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))
+                FOR x IN string_split_regex(body, '</?(?:p|h1)>')] IF b <> ''], chr(10)) AS text
+            FROM articles
+        )
+        SELECT page_id, url, text, length(text) AS n_chars FROM texts
+    """,
     "op6_suffix_dedup": r"""
         WITH d AS (
             SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
