@@ -49,12 +49,15 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 def check_vectors(points: DataFrame, dim: int = vec.DIMENSION, vector: str = "embedding"):
     """``points`` with a ``reject_reason`` for vectors that break the collection's contract."""
     column = F.col(vector)
+    nan = F.lit(math.nan).cast(points.schema[vector].dataType.elementType)
+    # Neither true nor false if an element is null; NaN is above infinity in Spark's order.
+    has_nan, low, high = F.array_contains(column, nan), F.array_min(column), F.array_max(column)
     reason = (
         F.when(column.isNull(), F.lit("empty_embedding"))
         .when(F.size(column) != dim, F.lit("wrong_dimension"))
-        .when(F.exists(column, lambda v: v.isNull()), F.lit("null_element"))
-        .when(~F.forall(column, lambda v: F.abs(v) < math.inf), F.lit("not_finite"))
-        .when(~F.exists(column, lambda v: v != 0), F.lit("empty_embedding"))
+        .when(has_nan.isNull(), F.lit("null_element"))
+        .when(has_nan | (high == math.inf) | (low == -math.inf), F.lit("not_finite"))
+        .when((low == 0) & (high == 0), F.lit("empty_embedding"))
     )
     return points.withColumn("reject_reason", reason)
 
