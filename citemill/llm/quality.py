@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLANK = " \t\n\x0b\x0c\r"
-BLANKS = r"[\x20\x09-\x0D]+"
+BLANKS, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+# Found in lines whose words are not each followed by one space and a word, up to the last.
+UNEVEN = r"[\x09-\x0D]|\x20\x20|^\x20|\x20\z|^\z"
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = r"(?<![^\x20\x09-\x0D])[|»›·•>/](?![^\x20\x09-\x0D])"
 SENTENCE_END = ".!?…。！？"
@@ -84,17 +86,23 @@ def repeated_words(words: Column) -> Column:
     return F.when((F.size(words) > WINDOW) & repeats, exact).otherwise(F.lit(0).cast("bigint"))
 
 
-def line_failures(line: Column) -> Column:
-    """Names of the rules that a line breaks; its spaces stand for its number of words."""
+def _number_of_words(line: Column) -> Column:
+    """Number of words of a line; spaces are counted only where they tell it."""
     spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(line.rlike(UNEVEN), F.regexp_count(line, F.lit(WORD))).otherwise(spaces + 1)
+
+
+def line_failures(line: Column) -> Column:
+    """Names of the rules that a line breaks; lines without a word break none."""
+    words = _number_of_words(line)
     symbols = _number_of(line, SYMBOLS)
     shouts = F.length(line) - F.length(F.replace(line, F.lit("!"), F.lit("")))
     separators = F.regexp_count(line, F.lit(SEPARATORS))
     rules = {
         "punctuation": ((symbols > 0) & (symbols * 10 > _visible(line)))
-        | ((shouts >= 3) & (shouts * 3 > spaces + 1))
-        | ((spaces >= 9) & ~line.rlike(f"[{SENTENCE_END}]")),
-        "navigation": line.rlike(SEPARATORS) & (separators * 5 > spaces),
+        | ((shouts >= 3) & (shouts * 3 > words))
+        | ((words >= 10) & ~line.rlike(f"[{SENTENCE_END}]")),
+        "navigation": line.rlike(SEPARATORS) & (separators * 5 >= words),
         "boilerplate": line.rlike(BOILERPLATE),
     }
     named = F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()])

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from citemill.llm import quality
 from tests.llm.plans import plan_of
 
@@ -59,6 +61,38 @@ def test_lines_go_first_then_documents(spark):
     assert found["one bad line"].cleaned == prose and found["one bad line"].lines_removed == 2
 
 
+def failed_line(line):
+    """The rules for symbols, shouting, open ends and navigation, by words."""
+    words = WORD.findall(line)
+    separators = sum(w in tuple("|»›·•>/") for w in words)
+    return (
+        10 * len(re.findall(r"[#*$%&|<>]", line)) > sum(map(len, words))
+        or 3 <= line.count("!") and len(words) < 3 * line.count("!")
+        or len(words) >= 10 and not re.search("[.!?…。！？]", line)
+        or 0 < separators and len(words) <= 5 * separators
+    )
+
+
+def test_line_rules_count_words_whatever_parts_them(spark):
+    r = random.Random(6)
+    parts = (" ", "  ", "\t", " \t", "\x0b", "\x0c", "\r", "     ", "\xa0", "\u2028")
+    lines = ["", " ", "\t", " \t ", "!!!", " !!! ", "|", "\t/", "a", " a", "a ", "\u2028", "a \u2028"]
+    for part in parts:
+        for n in (1, 5, 8, 9, 10, 11, 12, 30):
+            words = [f"word{k}" for k in range(n)]
+            for extra in ([], ["end."], ["so!!!", "it."], ["·", "is."]):
+                line = part.join([*words, *extra])
+                lines += [line, part + line, line + part, "    " + line, line.replace(part, " ", 3)]
+    lines += ["".join(r.choice(("a", "b!", "/", "c.", "d")) + r.choice(parts[:8]) for _ in range(r.randrange(1, 40))) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    found = frame.select("id", F.size(quality.line_failures(F.col("line"))).alias("n")).collect()
+    assert {x.id: x.n > 0 for x in found} == {k: bool(failed_line(x)) for k, x in enumerate(lines)}
+    text = "\n".join(lines)
+    cleaned = quality.clean_lines(spark.createDataFrame([(text,)], "text string")).first()
+    assert cleaned.cleaned == "\n".join(x for x in lines if not failed_line(x))
+    assert cleaned.lines_removed == sum(map(bool, map(failed_line, lines)))
+
+
 def test_only_expressions(spark, small):
     text = plan_of(quality.clean_lines(spark.read.parquet(f"{small}/documents.parquet")))
     assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
