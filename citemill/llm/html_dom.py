@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from html import unescape
 
 import numpy as np
@@ -21,17 +22,16 @@ BLOCKS = frozenset(
     " tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-# Their text is never part of what a page says.
-SILENT = frozenset(
-    "script style template noscript iframe svg math object head title button select option textarea canvas audio"
-    " video datalist".split()
-)
+# Their text is never part of what a page says. What is inside the first kind is no markup, and without
+# a closing tag they go on to the end of the page.
+RAW = frozenset("script style iframe title textarea".split())
+SILENT = frozenset("template noscript svg math object button select option canvas audio video datalist".split())
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"},
 }
 _SCOPE = frozenset("table ul ol dl div section article body".split())
-_END = {t: re.compile(f"</{t}\\s*>", re.I) for t in SILENT}
+_END = {t: re.compile(f"</{t}\\s*>", re.I) for t in RAW}
 
 # What attributes and tags say, one bit each; a block has those of all that hold it, too.
 _SAYS = (
@@ -73,6 +73,52 @@ def _said(attributes: str, seen: dict[str, int]) -> int:
     return bits
 
 
+def _after_raw(html: str, at: int, name: str) -> int:
+    stop = _END[name].search(html, at)
+    return stop.end() if stop else len(html)
+
+
+def _silent_ends(html: str, at: int, around: list[str], name: str) -> dict[int, int]:
+    """Where silent elements end that are closed, by the place after their opening tags.
+
+    Looks at the page from the element ``name`` on that opens right before ``at``, inside the blocks
+    ``around``. An element is left open, and not listed, if a block around it closes first or its
+    closing tag belongs to another one.
+    """
+    stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = defaultdict(list)
+    ends = {}
+
+    def opened(name: str, start: int) -> None:
+        places[name].append(len(stack))
+        stack.append((name, start))
+
+    for block in around:
+        opened(block, -1)
+    opened(name, at)
+    while found := _TOKEN.search(html, at):
+        at = found.end()
+        end, name, attributes = found.groups()
+        name = name and name.lower()
+        if name in RAW:
+            if not end and not attributes.endswith("/"):
+                at = _after_raw(html, at, name)
+        elif name not in SILENT and (name not in BLOCKS or name in VOID):
+            continue
+        elif not end:
+            if name in BLOCKS or not attributes.endswith("/"):
+                opened(name, at)
+        elif places[name]:
+            k = places[name][-1]
+            if name == "p" and any(places[t] and places[t][-1] > k for t in SILENT):
+                continue
+            if name in SILENT:
+                ends[stack[k][1]] = at
+            while len(stack) > k:
+                places[stack.pop()[0]].pop()
+    return ends
+
+
 class Blocks:
     """Blocks of many pages, in columns; the children of a block come after it.
 
@@ -108,7 +154,10 @@ class Blocks:
         self.pages.append(len(self.parent))
         stack = [("", self._add(-1, 0, 0, None, 0, False))]
         text: list[str] = []
-        state = {"link": 0, "links": 0}
+        # Blocks around a silent element that is never closed, 0 outside of one: its text goes up to where a
+        # block opens or one around it closes.
+        state = {"link": 0, "links": 0, "silent": 0}
+        ends: dict[int, int] | None = None
 
         def flush() -> None:
             if text:
@@ -124,7 +173,7 @@ class Blocks:
             state["links"] = 0
 
         def say(part: str) -> None:
-            if part:
+            if part and not state["silent"]:
                 part = unescape(part) if "&" in part else part
                 text.append(part)
                 if state["link"]:
@@ -135,6 +184,8 @@ class Blocks:
                 if stack[k][0] in names:
                     flush()
                     del stack[k:]
+                    if k < state["silent"]:
+                        state["silent"] = 0
                     return
                 if stack[k][0] in until:
                     return
@@ -151,15 +202,23 @@ class Blocks:
                 state["link"] = 0 if end else 1
             elif name == "br":
                 text.append(" ")
+            elif name in RAW:
+                if not end and not attributes.endswith("/"):
+                    at = _after_raw(html, at, name)
             elif name in SILENT:
-                if not end and name != "head" and not attributes.endswith("/"):
-                    stop = _END[name].search(html, at)
-                    at = stop.end() if stop else len(html)
+                if not end and not attributes.endswith("/"):
+                    if ends is None:
+                        ends = _silent_ends(html, at, [block for block, _ in stack[1:]], name)
+                    if at in ends:
+                        at = ends[at]
+                    else:
+                        state["silent"] = state["silent"] or len(stack)
             elif name not in BLOCKS:
                 continue
             elif end:
                 close({name}, frozenset())
             else:
+                state["silent"] = 0
                 close({"p"}, _SCOPE)
                 if name in _CLOSES:
                     close(_CLOSES[name], _SCOPE - {name} if name != "tr" else frozenset({"table"}))

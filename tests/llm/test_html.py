@@ -44,6 +44,35 @@ def test_main_text(model, name):
     assert html_extract.extract(model, [html]) == [want]
 
 
+SILENT = "button select option object svg math video audio canvas template noscript datalist".split()
+
+
+@pytest.mark.parametrize("tag", SILENT)
+def test_silent_elements_end_where_they_do(model, tag):
+    article = f"<article><h1>Head</h1><p>{PROSE}</p><p>{PROSE} More.</p></article>"
+    want = f"Head\n{PROSE}\n{PROSE} More."
+    rest = f"<footer><{tag}>zzz</{tag}> &copy; nobody</footer></body>"
+    for page in (
+        f"<body><{tag}>zzz{article}",
+        f"<body><div><{tag}>zzz</div>{article}{rest}",
+        f"<body><{tag}>zzz{article}{rest}",
+        f"<body><{tag}>zzz{article}<div>&copy; nobody</{tag}></div>".replace(f"</{tag}>", ""),
+        f"<body>{article.replace('</h1>', f'<{tag}>zzz</h1>')}{rest}",
+        f"<body>{article.replace('</h1>', f' <{tag}><p>zzz</p><!-- </{tag}> -->zzz</{tag}></h1>')}{rest}",
+    ):
+        assert "zzz" not in (found := html_extract.extract(model, [page])[0]), page
+        assert found.startswith(want), page
+    for raw in ("script", "style", "textarea", "title"):
+        assert html_extract.extract(model, [f"<body>{article}<{raw}>zzz<p>{PROSE}</p>"]) == [want]
+
+
+def test_many_open_silent_elements_take_linear_time():
+    start = time.time()
+    for page in ("<svg>" * 100_000, "<div><svg></div>" * 50_000, "<svg></p>" * 50_000, "<select><option>x" * 50_000):
+        Blocks().add_page(page)
+    assert time.time() - start < 30
+
+
 def test_pages_do_not_influence_each_other(model):
     pages = [html for html, _ in CASES.values()]
     assert html_extract.extract(model, pages) == [html_extract.extract(model, [p])[0] for p in pages]
