@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PERCENTILE = 0.95
 # Values that part what is still open into this many cells in each round.
@@ -23,15 +23,16 @@ def query_log(queries: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def summary_columns() -> list[Column]:
-    """Aggregates over log rows with ``failed`` and ``latency_ms``.
+def summary_columns(n: str | None = None) -> list[Column]:
+    """Aggregates over log rows with ``failed`` and ``latency_ms``; each counts ``n`` times.
 
     The average divides the latency of successful queries by all queries; an empty log
     gives 0 everywhere.
     """
-    total = F.count(F.lit(1))
-    failed = F.count_if(F.col("failed"))
-    spent = F.coalesce(F.sum(F.when(~F.col("failed"), F.col("latency_ms"))), F.lit(0.0))
+    times = F.lit(1) if n is None else F.col(n)
+    total = F.coalesce(F.sum(times), F.lit(0))
+    failed = F.coalesce(F.sum(F.when(F.col("failed"), times)), F.lit(0))
+    spent = F.coalesce(F.sum(F.when(~F.col("failed"), F.col("latency_ms") * times)), F.lit(0.0))
     zero = F.lit(0.0)
     rate = F.try_divide(100.0 * (total - failed).cast("double"), total.cast("double"))
     return [
@@ -82,6 +83,46 @@ def percentile(rows: DataFrame, column: str, p: float) -> float | None:
     return (ranks[1] - at) * cells[first]["low"] + (at - ranks[0]) * cells[last]["low"]
 
 
+def percentiles(rows: DataFrame, p: float) -> DataFrame:
+    """The exact percentile of ``v`` for each ``key`` (string), as ``key, value``.
+
+    Each row counts ``n`` times. Works as ``percentile`` does, for all keys at once: what is
+    moved is a row for each cell, key and task, and a row for each key comes to the driver.
+    Keys without values are left out.
+    """
+    spark, bounds = rows.sparkSession, "key string, first long, last long, before long, low double, high double"
+    rows = rows.filter("v is not null")
+    grid = F.percentile_approx("v", [k / _CELLS for k in range(_CELLS + 1)], _ACCURACY)
+    at, still, found = {}, [], []
+    for key, total, low, high in rows.groupBy("key").agg(F.sum("n"), F.min("v"), F.max("v")).collect():
+        at[key] = p * (total - 1)
+        still.append((key, math.floor(at[key]), math.ceil(at[key]), 0, low, high))
+    while still:
+        inside = rows.join(F.broadcast(spark.createDataFrame(still, bounds)), "key")
+        inside = inside.filter(F.col("v").between(F.col("low"), F.col("high"))).drop("low", "high")
+        edges = inside.groupBy("key").agg(F.array_distinct(grid).alias("edges"))
+        placed = inside.join(F.broadcast(edges), "key")
+        cell = F.size(F.filter("edges", lambda e: e < F.col("v")))
+        cells = placed.groupBy("key", "first", "last", "before", cell.alias("cell")).agg(
+            F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy("key").orderBy("cell"))
+        cells = cells.withColumn("upto", upto).withColumn("of", F.struct("cell", "n", "upto", "low", "high"))
+        holding = [F.min(F.when(F.col("upto") > F.col(rank), F.col("of"))).alias(rank) for rank in ("first", "last")]
+        still_open = {x[0]: x for x in still}
+        still = []
+        for key, one, two in cells.groupBy("key").agg(*holding).collect():
+            _, first, last, *_ = still_open[key]
+            if one["cell"] == two["cell"] and one["low"] != one["high"]:
+                still.append((key, first, last, one["upto"] - one["n"], one["low"], one["high"]))
+            elif first == last:
+                found.append((key, one["high"]))
+            else:
+                # Neighbouring ranks: in two cells they are the end of one and the start of the next.
+                found.append((key, (last - at[key]) * one["high"] + (at[key] - first) * two["low"]))
+    return spark.createDataFrame(found, "key string, value double")
+
+
 def _rounded(value: Column) -> Column:
     """Two places, after what interpolation leaves behind the sixth is gone."""
     return F.round(F.round(value, 6), 2)
@@ -99,16 +140,48 @@ def query_metrics(log: DataFrame, p: float = PERCENTILE) -> DataFrame:
 
 
 def latency_percentile(p: float = PERCENTILE) -> Column:
-    """The exact percentile as an aggregate: for groups whose distinct latencies fit a task."""
+    """The exact percentile as an aggregate: for groups whose distinct latencies fit a task.
+
+    No query uses it: ``percentiles`` has no such limit.
+    """
     found = F.coalesce(F.percentile("latency_ms", p), F.lit(0.0))
     return _rounded(found).alias("p95_latency_ms")
 
 
-def daily_metrics(log: DataFrame) -> DataFrame:
-    """The same figures for each day of ``ts``."""
-    day = F.window(F.col("ts"), "1 day")
-    grouped = log.groupBy(day).agg(*summary_columns(), latency_percentile())
-    return grouped.select(
+def latency_counts(log: DataFrame, *by: Column) -> DataFrame:
+    """How many rows, ``n``, there are of each latency, failed or not."""
+    return log.groupBy(*by, "failed", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+
+
+def day_of(ts: str = "ts") -> Column:
+    return F.window(F.col(ts), "1 day")
+
+
+def total_figures(counts: DataFrame, p: float = PERCENTILE) -> DataFrame:
+    """``query_metrics`` from ``latency_counts``."""
+    values = percentiles(_values(counts, F.lit("")), p)
+    totals = counts.agg(*summary_columns("n"))
+    found = totals.join(F.broadcast(values), F.col("key") == "", "left")
+    return found.select(*totals.columns, _rounded(F.coalesce("value", F.lit(0.0))).alias("p95_latency_ms"))
+
+
+def daily_figures(counts: DataFrame, p: float = PERCENTILE) -> DataFrame:
+    """The same figures for each ``window``, a day, from ``latency_counts``."""
+    start = F.col("window.start").cast("string")
+    values = percentiles(_values(counts, start), p)
+    grouped = counts.groupBy("window").agg(*summary_columns("n"))
+    found = grouped.join(F.broadcast(values), start == F.col("key"), "left")
+    return found.select(
         F.date_format("window.start", "yyyy-MM-dd").alias("day"),
         *[c for c in grouped.columns if c != "window"],
+        _rounded(F.coalesce("value", F.lit(0.0))).alias("p95_latency_ms"),
     )
+
+
+def _values(counts: DataFrame, key: Column) -> DataFrame:
+    return counts.select(key.alias("key"), F.col("latency_ms").cast("double").alias("v"), "n")
+
+
+def daily_metrics(log: DataFrame) -> DataFrame:
+    """The same figures for each day of ``ts``; the percentiles are found first, by a few jobs."""
+    return daily_figures(log.select(day_of().alias("window"), "failed", "latency_ms", F.lit(1).alias("n")))

@@ -1,4 +1,8 @@
-"""Keep query metrics up to date from a growing query log."""
+"""Keep query metrics up to date from a growing query log.
+
+The state of a stream is a count for each latency (and day); the figures are found from the
+counts of each micro-batch, in parts, so no task holds all latencies.
+"""
 
 from __future__ import annotations
 
@@ -6,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citemill.operators import metrics as mt
+from citemill.session import work_dir
 
 
 def running_totals(log: DataFrame) -> DataFrame:
-    return log.groupBy().agg(*mt.summary_columns(), mt.latency_percentile())
+    """Counts of each latency, of which ``start`` makes the metrics of the whole log."""
+    return mt.latency_counts(log)
 
 
 def running_daily(log: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Metrics of each day.
+    """Counts of each day's latencies, of which ``start`` makes the metrics of each day.
 
     Without a watermark every day is kept and late rows count, for complete mode. With one,
     closed days leave the state, and rows that come later than the watermark are dropped:
@@ -22,7 +28,7 @@ def running_daily(log: DataFrame, watermark: str | None = None) -> DataFrame:
     """
     if watermark is not None:
         log = log.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
-    return mt.daily_metrics(log)
+    return mt.latency_counts(log, mt.day_of())
 
 
 def start(
@@ -32,10 +38,17 @@ def start(
     mode: str = "complete",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write the result of each micro-batch to its own folder; a rerun replaces it."""
+    """Write the metrics of each micro-batch to its own folder; a rerun replaces it.
+
+    The counts of a micro-batch are read several times and so stored first, in place of the last ones.
+    """
+    counts = work_dir(aggregated.sparkSession, "latency-counts")
+    figures = mt.daily_figures if "window" in aggregated.columns else mt.total_figures
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(counts)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(counts)
+        figures(stored).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
 
     return (
         aggregated.writeStream.outputMode(mode)

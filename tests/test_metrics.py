@@ -51,6 +51,30 @@ def test_cells_far_coarser_than_the_sketch_give_the_same(spark, monkeypatch):
     assert mt.percentile(rows, "v", 0.95) == pytest.approx(want, rel=1e-12)
 
 
+@pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])
+@pytest.mark.parametrize("cells", [2, 256])
+def test_percentiles_by_key_equal_numpy(spark, monkeypatch, p, cells):
+    monkeypatch.setattr(mt, "_CELLS", cells)
+    hash = F.pmod(F.xxhash64("id"), F.lit(10_007))
+    key = F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") < 9, "few").otherwise(F.concat(F.lit("k"), hash % 5))
+    value = F.when(F.col("id") % 7 == 0, F.lit(42.0)).when(F.col("id") % 1001 > 0, hash / 7.0)
+    rows = spark.range(20_000).select(key.alias("key"), value.alias("v"), (F.col("id") % 3 + 1).alias("n"))
+    given = rows.toPandas().dropna()
+    want = {k: np.quantile(np.repeat(g["v"].to_numpy(), g["n"]), p) for k, g in given.groupby("key")}
+    found = {x.key: x.value for x in mt.percentiles(rows, p).collect()}
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+    assert mt.percentiles(rows.limit(0), p).isEmpty()
+
+
+def test_no_group_holds_all_its_latencies(spark):
+    log = src.query_events(spark, "/root/testdata/sf0.01")
+    plan = mt.daily_metrics(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile(" not in plan
+    exact = log.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(mt.latency_percentile())
+    found = mt.daily_metrics(log).select("day", "p95_latency_ms")
+    assert found.exceptAll(exact).isEmpty() and exact.exceptAll(found).isEmpty()
+
+
 def test_daily_totals_add_up(spark):
     log = src.query_events(spark, "/root/testdata/sf0.01")
     days = mt.daily_metrics(log)

@@ -90,6 +90,22 @@ def test_running_metrics_equal_batch(spark, tmp_path):
         assert spark.read.parquet(out).select("batch_id").distinct().count() == 3
 
 
+def test_state_is_kept_by_latency(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events.repartition(2).write.parquet(str(tmp_path / "log"))
+    batch = src.as_query_log(events)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    arriving = src.as_query_log(stream.parquet(str(tmp_path / "log")))
+    for name, aggregated, by in (
+        ("total", running.running_totals(arriving), ["failed", "latency_ms"]),
+        ("daily", running.running_daily(arriving), [F.to_date("ts"), "failed", "latency_ms"]),
+    ):
+        started = running.start(aggregated, str(tmp_path / name), str(tmp_path / f"{name}-cp"))
+        started.awaitTermination()
+        (state,) = started.lastProgress["stateOperators"]
+        assert state["numRowsTotal"] == batch.select(*by).distinct().count() > 1000
+
+
 def test_append_mode_closes_days_in_order(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     log = tmp_path / "log"
