@@ -61,6 +61,7 @@ SNAPSHOT_LOG = struct_of(
     added_rows=L,
     stream_id=S,
     batch_id=L,
+    covers=L,
 )
 PROPERTIES = struct_of(name=S, value=S)
 

@@ -4,14 +4,21 @@ A snapshot table is a folder with ``data`` partitioned by ``snapshot_id`` and a
 with one entry for each commit. Data are written first and logged last, and the next id is
 the first after the last logged one that nobody has claimed. A claim is a file that only
 one writer can create, so two writers never share a number; what a failed job left behind
-under its number is never read. Any number of readers and writers.
+under its number is never read. Any number of readers and writers, on file systems that
+create a file only once (HDFS, local and shared mounts). Where creating is a check and a
+write, as on plain object stores, only one writer may commit at a time.
+
+An overwrite covers the numbers below its own and hides their rows. A compaction covers less:
+it stops before the first number that a writer may still be at work on, so what is appended
+meanwhile stays, whether its number is lower or higher.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from citemill import schemas
 from citemill.functions.joins import same_key
@@ -23,6 +30,8 @@ TABLES = {
     "document_chunks": (schemas.DOCUMENT_CHUNKS, ()),
     "embeddings_metadata": (schemas.EMBEDDINGS_METADATA, ()),
 }
+# A claimed number that has no log entry after so long is taken as given up.
+GIVEN_UP = dt.timedelta(days=1)
 
 
 def create_tables(spark: SparkSession, database: str = DATABASE, location: str | None = None):
@@ -59,32 +68,42 @@ def latest_snapshot(log: DataFrame) -> DataFrame:
     )
 
 
-def visible_range(log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
-    """One row ``base, last``: the first and last snapshot seen at ``at``.
+def _covered(log: DataFrame) -> Column:
+    """The last number whose rows an entry hides; null if it is no overwrite."""
+    own = F.col("covers") if "covers" in log.columns else F.lit(None).cast("bigint")
+    return F.when(F.col("operation") == "overwrite", F.coalesce(own, F.col("snapshot_id") - 1))
+
 
-    ``last`` was committed at or before that time; ``base`` is the last overwrite up to
-    there, or the first snapshot of all.
+def visible(log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
+    """Log entries of the snapshots seen at ``at``, with their place in time as ``nth``.
+
+    These are the entries committed at or before that time whose numbers no overwrite among
+    them covers. ``nth`` is the number itself, for an overwrite the last number it covers; of
+    overwrites that cover as much as each other, the first is shown.
     """
     seen = log
     if at is not None:
         seen = log.filter(F.col("committed_at") <= F.lit(at).cast("timestamp"))
-    overwritten = F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id")))
-    return seen.agg(
-        F.coalesce(overwritten, F.min("snapshot_id")).alias("base"),
-        F.max("snapshot_id").alias("last"),
-    )
+    covers, number = _covered(seen), F.col("snapshot_id")
+    base = seen.agg(F.max(F.struct(covers.alias("covers"), (-number).alias("first"))).alias("base")).select("base").scalar()
+    covered = F.when(covers.isNotNull(), number == -base["first"]).otherwise(number > F.coalesce(base["covers"], F.lit(0)))
+    return seen.filter(covered).withColumn("nth", F.coalesce(covers, number))
 
 
 def as_of(rows: DataFrame, log: DataFrame, at: dt.datetime | str | None = None) -> DataFrame:
-    """Rows of a table as they were at ``at``. A partition filter on ``snapshot_id``.
+    """Rows of a table as they were at ``at``: those of logged snapshots seen then.
 
+    A filter on ``snapshot_id`` that prunes partitions, and a semi-join with the entries.
     A time before the first commit is an error, raised when the rows are read.
     """
+    seen = visible(log, at)
     none = F.raise_error(F.lit(f"no snapshot at or before {at}"))
+    bounds = seen.agg(F.min("snapshot_id").alias("base"), F.max("snapshot_id").alias("last"))
     found = F.when(F.col("last").isNull(), none).otherwise(F.struct("base", "last"))
-    seen = visible_range(log, at).select(found).scalar()
+    bounds = bounds.select(found).scalar()
     snapshot = F.col("snapshot_id")
-    return rows.filter((snapshot >= seen["base"]) & (snapshot <= seen["last"]))
+    ranged = rows.filter((snapshot >= bounds["base"]) & (snapshot <= bounds["last"]))
+    return ranged.join(seen.select("snapshot_id"), "snapshot_id", "left_semi").select(*rows.columns)
 
 
 def current(rows: DataFrame, key: str = "doc_id", base: int | None = None) -> DataFrame:
@@ -145,40 +164,75 @@ class SnapshotTable:
         schema = T.StructType([*self.schema.fields, number])
         return self.spark.read.schema(schema).parquet(self._data)
 
-    def _range(self, at: dt.datetime | str | None):
-        seen = visible_range(self.log(), at).first()
-        if seen["last"] is None and at is not None:
+    def _seen(self, at: dt.datetime | str | None) -> list:
+        """Entries of the snapshots seen at ``at``: ``snapshot_id, nth``, one for each commit."""
+        seen = visible(self.log(), at).select("snapshot_id", "nth").collect()
+        if not seen and at is not None:
             raise ValueError(f"no snapshot at or before {at}")
-        return seen
+        return sorted(seen, key=lambda entry: entry["nth"])
 
-    def _between(self, seen) -> DataFrame:
-        """Rows of the logged snapshots of a range; no other folder is listed or read."""
-        if seen["last"] is None:
+    def _rows_of(self, seen: list) -> DataFrame:
+        """Rows of some snapshots; no other folder is listed or read."""
+        if not seen:
             return self.rows().filter(F.lit(False))
-        logged = self.log().filter(F.col("snapshot_id").between(seen["base"], seen["last"]))
-        numbers = sorted(row["snapshot_id"] for row in logged.select("snapshot_id").collect())
         schema = T.StructType([*self.schema.fields, T.StructField("snapshot_id", T.LongType())])
-        places = [f"{self._data}/snapshot_id={n}" for n in numbers]
+        places = [f"{self._data}/snapshot_id={entry['snapshot_id']}" for entry in seen]
         return self.spark.read.schema(schema).option("basePath", self._data).parquet(*places)
 
+    def _store(self):
+        paths = self.spark._jvm.org.apache.hadoop.fs
+        return paths, paths.Path(self._claims).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _claim(self) -> int:
         """The next number, claimed by a file that cannot be created twice."""
-        paths = self.spark._jvm.org.apache.hadoop.fs
-        store = paths.Path(self._claims).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        paths, store = self._store()
+
+        def taken(number: int) -> bool:
+            try:
+                return not store.createNewFile(paths.Path(f"{self._claims}/{number}"))
+            except Py4JJavaError as error:
+                # Another writer came between the look and the creation.
+                if "FileAlreadyExistsException" in str(error.java_exception):
+                    return True
+                raise
+
         number = (self.log().agg(F.max("snapshot_id")).first()[0] or 0) + 1
-        while not store.createNewFile(paths.Path(f"{self._claims}/{number}")):
+        while taken(number):
             number += 1
         return number
 
+    def _settled(self, log: DataFrame, below: int, given_up: dt.timedelta) -> int:
+        """The last number under ``below`` up to which each has its entry or is given up."""
+        paths, store = self._store()
+        now = dt.datetime.now().timestamp() * 1000
+        young = {
+            int(claim.getPath().getName())
+            for claim in store.listStatus(paths.Path(self._claims))
+            if now - claim.getModificationTime() < given_up.total_seconds() * 1000
+        }
+        logged = log.filter(F.col("snapshot_id") < below).select("snapshot_id").collect()
+        open_ = {n for n in young if n < below} - {row["snapshot_id"] for row in logged}
+        return min(open_, default=below) - 1
+
     def read(self, at: dt.datetime | str | None = None) -> DataFrame:
         """All visible rows, those of later snapshots beside those they outdate."""
-        return self._between(self._range(at))
+        return self._rows_of(self._seen(at))
 
     def current(self, at: dt.datetime | str | None = None, key: str = "doc_id") -> DataFrame:
         """Visible rows without those a later snapshot outdates."""
-        seen = self._range(at)
-        rows = self._between(seen)
-        return rows if seen["base"] == seen["last"] else current(rows, key, seen["base"])
+        return self._current(self._seen(at), key)
+
+    def _current(self, seen: list, key: str) -> DataFrame:
+        rows = self._rows_of(seen)
+        if len(seen) < 2:
+            return rows
+        own, number = seen[0]["snapshot_id"], F.col("snapshot_id")
+        if own < min(entry["snapshot_id"] for entry in seen[1:]):
+            return current(rows, key, own)
+        # A compaction's number is higher than those of appends that came beside it.
+        placed = rows.withColumn("snapshot_id", F.when(number == own, F.lit(0).cast("bigint")).otherwise(number))
+        kept = current(placed, key, 0)
+        return kept.withColumn("snapshot_id", F.when(number == 0, F.lit(own)).otherwise(number))
 
     def commit(
         self,
@@ -199,17 +253,30 @@ class SnapshotTable:
             same = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
             if not log.filter(same).isEmpty():
                 return None
-        snapshot = self._claim()
+        return self._write(rows, self._claim(), operation, at, stream_id, batch_id)
+
+    def _write(self, rows, snapshot, operation, at=None, stream_id=None, batch_id=None, covers=None) -> int:
         place = f"{self._data}/snapshot_id={snapshot}"
         rows.select(*self.schema.names).write.mode("overwrite").parquet(place)
         added = self.spark.read.schema(self.schema).parquet(place).count()
         at = at or dt.datetime.now(dt.timezone.utc)
-        entry = [(snapshot, at, operation, added, stream_id, batch_id)]
+        entry = [(snapshot, at, operation, added, stream_id, batch_id, covers)]
         line = self.spark.createDataFrame(entry, schemas.SNAPSHOT_LOG)
         # A folder of its own, as writers that append to one folder disturb each other.
         line.coalesce(1).write.parquet(f"{self._log}/entry={snapshot}")
         return snapshot
 
-    def compact(self, key: str = "doc_id", at: dt.datetime | None = None) -> int:
-        """Rewrite the current rows as one overwriting snapshot."""
-        return self.commit(self.current(key=key), "overwrite", at)
+    def compact(
+        self, key: str = "doc_id", at: dt.datetime | None = None, given_up: dt.timedelta = GIVEN_UP
+    ) -> int:
+        """Rewrite the current rows as one overwriting snapshot.
+
+        Snapshots that other writers add meanwhile are neither merged nor hidden. Writers
+        take no longer than ``given_up`` for a commit.
+        """
+        snapshot = self._claim()
+        log = self.log()
+        covers = self._settled(log, snapshot, given_up)
+        merged = visible(log.filter(F.col("snapshot_id") <= covers)).select("snapshot_id", "nth").collect()
+        rows = self._current(sorted(merged, key=lambda entry: entry["nth"]), key)
+        return self._write(rows, snapshot, "overwrite", at, covers=covers)

@@ -184,6 +184,66 @@ def test_what_a_failed_writer_left_is_never_read(spark, tmp_path):
     assert values(table.read()) == values(table.current()) == [("a", 1), ("b", 2)]
 
 
+def test_as_of_shows_logged_snapshots_only(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1)), at=day(1))
+    lost = table._claim()
+    rows(spark, ("lost", 0)).write.parquet(f"{tmp_path}/t/data/snapshot_id={lost}")
+    table.commit(rows(spark, ("b", 2)), at=day(2))
+    for at in (None, day(2)):
+        assert values(lake.as_of(table.rows(), table.log(), at)) == [("a", 1), ("b", 2)]
+        assert values(table.read(at)) == [("a", 1), ("b", 2)]
+
+
+def test_a_commit_that_lands_late_is_not_in_earlier_reads(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1)), at=day(1))
+    slow = table._claim()
+    table.commit(rows(spark, ("b", 3)), at=day(3))
+    before = values(table.read(day(3)))
+    table._write(rows(spark, ("slow", 9)), slow, "append", day(9))
+    for read in (table.read, lambda at: lake.as_of(table.rows(), table.log(), at)):
+        assert values(read(day(3))) == before == [("a", 1), ("b", 3)]
+        assert values(read(day(9))) == [("a", 1), ("b", 3), ("slow", 9)]
+
+
+def test_compaction_beside_appends_keeps_them(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1), ("b", 1)), at=day(1))
+    table.commit(rows(spark, ("a", 2)), at=day(2))
+    slow = table._claim()
+    claim = table._claim
+
+    def meanwhile():  # another writer commits between the claim and the read
+        number = claim()
+        table._claim = claim
+        table.commit(rows(spark, ("b", 5), ("c", 5)), at=day(3))
+        return number
+
+    table._claim = meanwhile
+    table.compact(at=day(4))
+    want = [("a", 2), ("b", 1), ("b", 5), ("c", 5)]
+    assert values(table.read()) == want
+    assert values(table.current()) == [("a", 2), ("b", 5), ("c", 5)]
+    table._write(rows(spark, ("a", 7)), slow, "append", day(5))
+    want = [("a", 7), ("b", 5), ("c", 5)]
+    assert values(table.current()) == want
+    assert values(lake.as_of(table.rows(), table.log(), day(2))) == [("a", 1), ("a", 2), ("b", 1)]
+    table.compact(at=day(6))
+    table.compact(at=day(7))
+    assert values(table.read()) == values(table.current()) == want
+    assert values(table.current(day(4))) == [("a", 2), ("b", 5), ("c", 5)]
+
+
+def test_an_overwrite_beside_a_compaction_wins(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
+    table.commit(rows(spark, ("a", 1)), at=day(1))
+    number = table._claim()
+    table.compact(at=day(2))
+    table._write(rows(spark, ("z", 1)), number, "overwrite", day(3))
+    assert values(table.current()) == values(table.read()) == [("z", 1)]
+
+
 def test_a_time_before_the_first_commit_is_an_error(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), ROW)
     table.commit(rows(spark, ("a", 1)), at=day(2))
