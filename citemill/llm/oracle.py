@@ -175,4 +175,58 @@ ORACLE: dict[str, str] = {
             CASE WHEN outcome = 'resolved' THEN old_tag ELSE md5('') END
         FROM joined
     """,
+    "op11_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h,
+                regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+            FROM documents
+        ),
+        drawn AS (
+            SELECT doc_id, t, units, len(units)::BIGINT AS n,
+                ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS c1,
+                ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS c2,
+                ('0x' || substr(h, 17, 8))::BIGINT % 100 AS r3,
+                ('0x' || substr(h, 25, 8))::BIGINT % 100 AS r4
+            FROM d
+        ),
+        parts AS (
+            SELECT doc_id, t, n,
+                CASE WHEN t = '' OR r3 >= 100 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                    THEN 'plain' WHEN r4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+                array_to_string(units[1:least(c1, c2)], '') AS p,
+                array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+                array_to_string(units[greatest(c1, c2) + 1:], '') AS s
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM parts
+    """,
+    "op12_hard_negatives": r"""
+        WITH v AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) = 64
+                AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64
+        ),
+        pairs AS (
+            SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
+                list_inner_product(a.x, b.x)::BIGINT AS score
+            FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id
+        ),
+        positives AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+            row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank
+        FROM positives JOIN pairs USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) <= 5
+    """,
 }

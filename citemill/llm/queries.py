@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citemill.llm import bpe, common, exact_dedup, html_extract, langid, packing, quality, sharding, simhash, suffix_dedup, warc
+from citemill.llm import bpe, common, exact_dedup, fim, html_extract, langid, negatives, packing, quality, sentencepieces, sharding, simhash, suffix_dedup, warc
 
-SHARDS, SEQUENCE = 24, 2048
+SHARDS, SEQUENCE, EMBEDDING_SIZE = 24, 2048, 64
 
 
 def op1_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -138,7 +144,54 @@ def packed(rows: DataFrame) -> DataFrame:
     return packing.pack(found, "length", ["doc_id", "piece"], limits)
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = common.documents(spark, folder).select("doc_id", "text")
+    made = fim.transform(rows, fim.Cutting("line", 100, 50, 7)).drop("text")
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", shifted), F.col("vec_id") % 100 == 0, EMBEDDING_SIZE)
+
+
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests are taken where the lists are made, as these are larger than the texts."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = common.documents(spark, folder).select("doc_id", "text")
+
+    def digests(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, model = batch.column("ids"), sentencepieces.model_of(path)
+        spelled = pa.array(map(str, range(len(model.shown)))).take(ids.values)
+        joined = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelled), ",").to_pylist()
+        sha256 = lambda content: hashlib.sha256(content).hexdigest()
+        spans = [x.values.to_numpy() for x in (batch.column("begins"), batch.column("ends"))]
+        bounds = ids.offsets.to_numpy().tolist()
+        crc = [zlib.crc32(spans[1][a:b], zlib.crc32(spans[0][a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
+                pa.array([sha256(x.encode()) for x in joined], pa.string()),
+                pa.array([sha256(x) for x in sentencepieces.texts_of(model, ids)], pa.string()),
+                pa.array(crc, pa.int64()),
+            ],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],
+        )
+
+    kinds = rows.selectExpr(
+        "doc_id", "cast(null as bigint) n_tokens", "cast(null as string) ids_sha256",
+        "cast(null as string) decoded_sha256", "cast(null as bigint) spans_crc32",
+    )
+    return sentencepieces.encode(rows, path, then=digests, schema=kinds.schema)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op4_html_trees, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op9_warc_revisits, op10_vector_best_fit)
+    for f in (op1_minimax_shards, op2_line_quality, op3_exact_dedup, op4_html_trees, op5_language_id, op6_suffix_dedup, op7_byte_bpe, op8_simhash, op9_warc_revisits, op10_vector_best_fit, op11_fill_in_middle, op12_hard_negatives, op13_sentencepiece)
 }
