@@ -1,34 +1,32 @@
-"""Byte-level BPE by Spark's higher-order functions alone.
+"""Byte-level BPE: distinct words of a batch are merged by rank, each once, and looked up.
 
-Ranks come as a literal map: for every two tokens whose bytes together are a token, that
-token's rank. A word is a list of tokens, at first its bytes; a fold merges the pair of lowest
-rank, the leftmost of equals, until none is left, and renews only the two ranks beside it.
-Ranks are ids, as in the file.
+Texts are split into words by Spark's regular expressions. In the tasks, the words of an
+Arrow batch become numbers of distinct words; words not seen before by the worker are taken as
+arrays of bytes and merged in rounds, in each of which every word merges its pair of lowest
+rank, the leftmost of equals. Ranks are ids, as in the file: for every two tokens whose bytes
+together are a token, the rank map has that token. Long words go through a queue instead, in
+time in proportion to their length but for a logarithm.
 
-Words that are frequent in a sample are folded once each and looked up; any other word is
-folded where it stands. The sample only decides how much is looked up, never the result.
-Decoding looks up the bytes of each id and joins them. Nothing is shuffled but the sample's
-counts.
+Decoding joins the binary pieces of all ids. Nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import base64
-import json
-import zlib
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from citemill.llm.quality import let
+from citemill.llm.common import byte_buffer, each_batch, runs, unused
+from citemill.llm.merging import Pairs
 
 # The characters of Unicode white space, for Java's regular expressions.
 BLANK = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-# Primes whose product exceeds every pair's key, so no two pairs agree in both remainders;
-# and a factor that spreads the keys.
-_SLOTS, _SHIFTS, _SPREAD = 262_139, 131_101, 48_271_117
-_BITS = 18  # of an id
-SAMPLE_BYTES = 64 << 20
-WORDS = 120_000
+_RUN_WORDS, _RUN_ROWS = 1 << 20, 8192
+_KEPT_WORDS = 300_000  # merged words that a worker keeps
+_SHORT = 48  # bytes of a word that is merged in rounds
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,96 +35,93 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(n) for t, n in (x.split() for x in lines if x.strip())}
 
 
-def _placed(entries: dict[int, int]) -> tuple[list[int | None], list[int]]:
-    """A table with a slot of its own for each key: remainder plus the shift of its group."""
-    groups: dict[int, list[int]] = {}
-    for key in entries:
-        groups.setdefault(key % _SHIFTS, []).append(key)
-    slots: list[int | None] = [None] * _SLOTS
-    shifts = [0] * _SHIFTS
-    for group, keys in sorted(groups.items(), key=lambda g: (-len(g[1]), g[0])):
-        shift = 0
-        while any(slots[(k * _SPREAD + shift) % _SLOTS] is not None for k in keys):
-            shift += 1
-        shifts[group] = shift
-        for k in keys:
-            slots[(k * _SPREAD + shift) % _SLOTS] = (k << _BITS) + entries[k]
-    return slots, shifts
-
-
-def literal(value: object, schema: str) -> Column:
-    """A literal of any type; the optimiser reads the text once and keeps the value."""
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), schema)
-
-
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The literal that ``fold`` needs: ``pairs`` and ``shifts``, and ``bytes``, ids of single bytes."""
-    entries = {}
-    for token, rank in ranks.items():
-        for cut in range(1, len(token)):
-            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
-            if left is not None and right is not None:
-                entries[(left << _BITS) + right] = rank
-    pairs, shifts = _placed(entries)
-    return literal(
-        {"pairs": pairs, "shifts": shifts, "bytes": [ranks[bytes([b])] for b in range(256)]},
-        "pairs array<bigint>, shifts array<int>, bytes array<int>",
-    )
-
-
-def _rank(table: Column, left: Column, right: Column) -> Column:
-    """Rank of two tokens together, null if they make none or one is missing."""
-
-    def at(key: Column) -> Column:
-        slot = ((key * _SPREAD + F.get(table["shifts"], (key % _SHIFTS).cast("int"))) % _SLOTS).cast("int")
-        return let(
-            F.get(table["pairs"], slot),
-            lambda entry: F.when(
-                F.shiftright(entry, _BITS) == key, entry.bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
-            ),
-        )
-
-    return let(F.shiftleft(left.cast("bigint"), _BITS) + right, at)
-
-
-def fold(table: Column, word: Column) -> Column:
-    """Ids of one word (string), by merging its bytes."""
-    characters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    single = F.transform(
-        F.filter(characters, lambda c: c != ""), lambda c: F.get(table["bytes"], F.ascii(c))
-    )
-    nothing = F.array(F.lit(None).cast("int"))
-
-    def begin(ids: Column) -> Column:
-        # ranks[i + 1] is that of ids[i] and the next; first and last stay null.
-        ranks = F.zip_with(ids, F.slice(ids, 2, F.size(ids)), lambda a, b: _rank(table, a, b))
-        return F.struct(ids.alias("ids"), F.concat(nothing, ranks).alias("ranks"))
-
-    def merged(state: Column, low: Column, at: Column) -> Column:
-        ids, ranks = state["ids"], state["ranks"]
-        return F.struct(
-            F.concat(F.slice(ids, 1, at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
-            F.concat(
-                F.slice(ranks, 1, at - 1),
-                F.array(_rank(table, F.get(ids, at - 2), low), _rank(table, low, F.get(ids, at + 1))),
-                F.slice(ranks, at + 3, F.size(ranks)),
-            ).alias("ranks"),
-        )
+class Encoding:
+    """The rank map of a vocabulary, and the words merged so far."""
 
-    def step(state: Column, _: Column) -> Column:
-        return let(
-            F.array_min(state["ranks"]),
-            lambda low: F.when(low.isNull(), state).otherwise(
-                let(F.array_position(state["ranks"], low).cast("int") - 1, lambda at: merged(state, low, at))
-            ),
+    def __init__(self, ranks: dict[bytes, int]):
+        self.pairs = Pairs(
+            {
+                (ranks[token[:cut]], ranks[token[cut:]]): rank
+                for token, rank in ranks.items()
+                for cut in range(1, len(token))
+                if token[:cut] in ranks and token[cut:] in ranks
+            }
         )
-
-    return let(
-        single,
-        lambda ids: F.when(F.size(ids) < 2, ids).otherwise(
-            F.aggregate(F.sequence(F.lit(2), F.size(ids)), begin(ids), step, lambda state: state["ids"])
-        ),
-    )
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.begins, self.ids = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and how many each has."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        long = size > _SHORT
+        short = np.flatnonzero(~long)
+        data = np.frombuffer(b"".join([words[k] for k in short.tolist()]), np.uint8)
+        ids, word = self.pairs.rounds(self.single[data], np.repeat(short, size[short]))
+        for k in np.flatnonzero(long).tolist():
+            found = self.pairs.queue(self.single[np.frombuffer(words[k], np.uint8)].tolist())
+            at = int(np.searchsorted(word, k))
+            ids = np.concatenate((ids[:at], np.array(found, np.int32), ids[at:]))
+            word = np.concatenate((word[:at], np.full(len(found), k), word[at:]))
+        return ids, np.bincount(word, minlength=len(words))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Each word's number in the store of merged words, where those go that are new."""
+        if len(self.words) > _KEPT_WORDS:
+            self._forget()
+        known = self.words
+        fresh = [w for w in words if w not in known]
+        ids, counts = self.merged(fresh)
+        known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+        self.ids = np.concatenate((self.ids, ids))
+        self.begins = np.concatenate((self.begins, self.begins[-1] + np.cumsum(counts)))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def encoded(self, words: pa.Array, texts: np.ndarray) -> pa.ListArray:
+        """Ids of texts, given all their words and the number of words before each text and the last."""
+        if not len(words):
+            return pa.ListArray.from_arrays(pa.array(np.zeros(len(texts), np.int32)), pa.array([], pa.int32()))
+        distinct = words.dictionary_encode()
+        number = self.numbers(distinct.dictionary.to_pylist())[distinct.indices.to_numpy()]
+        begin, count = self.begins[number], np.diff(self.begins)[number]
+        upto = np.cumsum(count)
+        ids = self.ids[np.repeat(begin - (upto - count), count) + np.arange(upto[-1])]
+        bounds = np.concatenate(([0], upto))[texts]
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
+
+    def decoded(self, lists: pa.ListArray) -> list[bytes]:
+        """The bytes of lists of ids; ids that are null or not in the vocabulary have none."""
+        flat = lists.flatten()
+        number = flat.fill_null(-1).to_numpy() if flat.null_count else flat.to_numpy()
+        known = (number >= 0) & (number < len(self.pieces))
+        found = self.pieces.take(pa.array(np.where(known, number, 0))) if len(self.pieces) else self.pieces
+        content, places = byte_buffer(found)
+        raw = content.tobytes()
+        bounds = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        if known.all():
+            at = places[bounds].tolist()
+            return [raw[a:b] for a, b in zip(at[:-1], at[1:])]
+        return [
+            b"".join(raw[places[k] : places[k + 1]] for k in range(a, b) if known[k])
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
+        ]
+
+
+_encodings: dict[str, Encoding] = {}
+
+
+def encoding_of(path: str) -> Encoding:
+    """The worker's encoding for a file, made once."""
+    if path not in _encodings:
+        _encodings[path] = Encoding(read_ranks(path))
+    return _encodings[path]
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -135,56 +130,52 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(spelled), F.lit(0))
 
 
-def frequent_words(rows: DataFrame, text: str, pattern: str, sample_bytes: int, most: int) -> list[str]:
-    """Words of a bounded sample of texts that occur in it twice, at most ``most``, the most frequent first."""
-    size = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    share = min(1.0, sample_bytes / max(size, 1))
-    draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    words = rows.filter(draw).select(F.explode(words_of(F.col(text), pattern)).alias("w"))
-    counts = words.groupBy("w").count().filter("count > 1 and length(w) <= 64")
-    return [r["w"] for r in counts.orderBy(F.desc("count"), "w").limit(most).collect()]
-
-
-def dictionary(rows: DataFrame, table: Column, words: list[str]) -> Column:
-    """Literal maps from words to ids, filed by checksum, for words folded once each."""
-    spark = rows.sparkSession
-    number = max(1, len(words))
-    frame = spark.createDataFrame([(w,) for w in words], "w string").repartition(
-        spark.sparkContext.defaultParallelism
-    )
-    filed: list[dict[str, list[int]] | None] = [None] * number
-    for row in frame.select("w", let(table, lambda t: fold(t, F.col("w"))).alias("ids")).toLocalIterator():
-        at = zlib.crc32(row["w"].encode()) % number
-        filed[at] = {**(filed[at] or {}), row["w"]: row["ids"]}
-    return literal(filed, "array<map<string, array<int>>>")
-
-
-def encode(rows: DataFrame, path: str, pattern: str, text: str = "text",
-           sample_bytes: int = SAMPLE_BYTES, most_words: int = WORDS) -> DataFrame:
+def encode(
+    rows: DataFrame,
+    path: str,
+    pattern: str,
+    text: str = "text",
+    then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
     """``rows`` with ``ids`` (array of int); a null text counts as empty, which has none.
 
     A column ``ids`` is replaced. Rows that repeat are encoded alike; an empty table gives
-    an empty one. A word of any length is folded, in time that grows with its square.
+    an empty one. ``then`` is applied to each batch of the result inside the task, so that ids
+    need not leave it; what it returns has ``schema``.
+    """
+    rows = rows.drop("ids")
+    (words,) = unused(rows, "words")
+    names = rows.columns
+    full = rows.selectExpr("*", "cast(null as array<int>) ids").schema
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        encoding = encoding_of(path)
+        lists = batch.column(words)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        for first, last in runs(offsets, _RUN_WORDS, _RUN_ROWS):
+            part = batch.slice(first, last - first)
+            own = lists.values.slice(offsets[first], offsets[last] - offsets[first]).cast(pa.binary())
+            ids = encoding.encoded(own, offsets[first : last + 1] - offsets[first])
+            made = pa.RecordBatch.from_arrays([*[part.column(c) for c in names], ids], names=[*names, "ids"])
+            yield then(made) if then else made
+
+    return rows.withColumn(words, words_of(F.col(text), pattern)).mapInArrow(each_batch(run), schema if then else full)
+
+
+def decode(rows: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """``rows`` with the bytes of their ids, joined, in ``to`` (binary).
+
+    A null list counts as empty; ids that are null or not in the vocabulary count as none.
     """
-    table = rank_map(read_ranks(path))
-    words = frequent_words(rows, text, pattern, sample_bytes, most_words)
-    known = dictionary(rows, table, words)
-    number = F.lit(max(1, len(words)))
-
-    def look_up(both: Column, word: Column) -> Column:
-        at = (F.crc32(word.cast("binary")) % number).cast("int")
-        return F.coalesce(F.get(both["known"], at)[word], fold(both["table"], word))
-
-    both = F.struct(known.alias("known"), table.alias("table"))
-    ids = let(both, lambda b: F.flatten(F.transform(words_of(F.col(text), pattern), lambda w: look_up(b, w))))
-    return rows.withColumn("ids", ids)
-
-
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of a list of ids, joined; ids that are not in the vocabulary count as none."""
-    pieces = [""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token.decode("latin-1")
-    vocabulary = literal(pieces, "array<string>")
-    joined = let(vocabulary, lambda v: F.array_join(F.transform(ids, lambda i: F.get(v, i)), ""))
-    return F.encode(joined, "ISO-8859-1")
+    rows = rows if to == ids else rows.drop(to)
+    (given,) = unused(rows, "given")
+    names = [c for c in rows.columns if c != to]
+    source = rows.select(*names, F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")).alias(given))
+    schema = rows.select(*names).selectExpr("*", f"cast(null as binary) `{to}`").schema
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        made = pa.array(encoding_of(path).decoded(batch.column(given)), pa.binary())
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], made], names=[*names, to])
+
+    return source.mapInArrow(each_batch(run), schema)

@@ -209,10 +209,10 @@ ORACLE: dict[str, str] = {
     "op12_hard_negatives": r"""
         WITH v AS (
             SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS x
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
             FROM embeddings
             WHERE label IS NOT NULL AND len(embedding) = 64
-                AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = 64
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
         ),
         pairs AS (
             SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,

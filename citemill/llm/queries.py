@@ -59,15 +59,36 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests are taken where the ids are made, as lists of ids are larger than the texts."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     rows = common.documents(spark, folder).select("doc_id", "text")
-    encoded = bpe.encode(rows, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), bpe.read_ranks(path)), 256).alias("decoded_sha256"),
+
+    def digests(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, encoding = batch.column("ids"), bpe.encoding_of(path)
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
+                _sha256(x.encode() for x in _spelled(ids, len(encoding.pieces), " ")),
+                _sha256(encoding.decoded(ids)),
+            ],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    kinds = rows.selectExpr(
+        "doc_id", "cast(null as bigint) n_tokens", "cast(null as string) ids_sha256", "cast(null as string) decoded_sha256"
     )
+    return bpe.encode(rows, path, public_tokenizers.PATTERN, then=digests, schema=kinds.schema)
+
+
+def _spelled(ids: pa.ListArray, number: int, between: str) -> list[str]:
+    """Lists of ids below ``number`` in decimals."""
+    words = pa.array(map(str, range(number))).take(ids.values)
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, words), between).to_pylist()
+
+
+def _sha256(contents) -> pa.Array:
+    return pa.array([hashlib.sha256(x).hexdigest() for x in contents], pa.string())
 
 
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,9 +188,6 @@ def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
     def digests(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, model = batch.column("ids"), sentencepieces.model_of(path)
-        spelled = pa.array(map(str, range(len(model.shown)))).take(ids.values)
-        joined = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelled), ",").to_pylist()
-        sha256 = lambda content: hashlib.sha256(content).hexdigest()
         spans = [x.values.to_numpy() for x in (batch.column("begins"), batch.column("ends"))]
         bounds = ids.offsets.to_numpy().tolist()
         crc = [zlib.crc32(spans[1][a:b], zlib.crc32(spans[0][a:b])) for a, b in zip(bounds[:-1], bounds[1:])]
@@ -177,8 +195,8 @@ def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
             [
                 batch.column("doc_id"),
                 pa.array(np.diff(ids.offsets.to_numpy()).astype(np.int64)),
-                pa.array([sha256(x.encode()) for x in joined], pa.string()),
-                pa.array([sha256(x) for x in sentencepieces.texts_of(model, ids)], pa.string()),
+                _sha256(x.encode() for x in _spelled(ids, len(model.shown), ",")),
+                _sha256(sentencepieces.texts_of(model, ids)),
                 pa.array(crc, pa.int64()),
             ],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],

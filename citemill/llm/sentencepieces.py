@@ -14,7 +14,6 @@ Inside, a space stands for the mark that the model writes for it, in pieces and
 
 from __future__ import annotations
 
-import heapq
 import struct
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -24,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from citemill.llm.common import byte_buffer, each_batch, runs, unused
+from citemill.llm.merging import Pairs
 
 MARK, SPACE, UNKNOWN_CHARACTER = "▁".encode(), b" ", "�".encode()
 # Kinds of pieces and of models in the model file.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
-_RUN_BYTES, _RUN_ROWS = 8 << 20, 8192
+_RUN_BYTES, _RUN_ROWS = 4 << 20, 8192
 _KEPT_WORDS = 400_000  # merged words that a worker keeps
 _SHORT = 48  # symbols of a word that is merged in a plain list
-_NEVER = 1 << 60
 
 
 def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -118,7 +117,7 @@ class Model:
         self.characters = CharacterMap(normalizer.get(2, b""))
         self.plain = self.characters.units is None and not self.squeezed
 
-        inner = [t.replace(MARK, SPACE) for t in texts]
+        self.inner = inner = [t.replace(MARK, SPACE) for t in texts]
         self.ids = {t: n for n, (t, kind) in enumerate(zip(inner, kinds)) if kind == NORMAL}
         # Higher scores merge first; pieces of one score share a rank.
         scores = [struct.unpack("<f", p.get(2, bytes(4)))[0] for p in pieces]
@@ -157,18 +156,13 @@ class Model:
         for t, n in symbols.items():
             if len(text := t.decode()) == 1:
                 self.symbol[ord(text)] = n
-        pairs = {}
+        made = {}
         for t, n in self.ids.items():
             for k in range(1, len(t)):
                 left, right = symbols.get(t[:k]), symbols.get(t[k:])
                 if left is not None and right is not None:
-                    pairs[left << 32 | right] = n
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ids = np.array([pairs[k] for k in sorted(pairs)], np.int32)
-        ranks = np.zeros(len(self.shown), np.int64)
-        for t, n in self.ids.items():
-            ranks[n] = self.rank[t]
-        self.pair_ranks = ranks[self.pair_ids] if len(self.pair_ids) else np.empty(0, np.int64)
+                    made[left, right] = n
+        self.pairs = Pairs(made, {n: self.rank[t] for t, n in self.ids.items()})
 
     def _forget(self) -> None:
         """Empty the store of merged words: each word's number, where its ids begin, and the ids."""
@@ -216,58 +210,20 @@ class Model:
 
     def merged(self, word: bytes) -> tuple[int, ...]:
         """Ids of a word by itself."""
-        symbols = [c.encode() for c in word.decode()]
-        symbols = self._few(symbols) if len(symbols) <= _SHORT else self._many(symbols)
+        text = word.decode()
+        symbols = self.symbol[np.frombuffer(text.encode("utf-32-le"), "<u4")].tolist()
         found: list[int] = []
-        for s in symbols:
-            number = self.ids.get(s)
-            found += (number,) if number is not None else map(self.byte_ids.__getitem__, s)
+        at = 0
+        for n in self.pairs.queue(symbols):
+            if 0 <= n < len(self.shown):
+                found.append(n)
+                at += len(self.inner[n])
+            else:  # a character that is no piece, spelled in bytes
+                size = _character(word, at)
+                found += map(self.byte_ids.__getitem__, word[at : at + size])
+                at += size
         return tuple(found)
 
-    def _few(self, symbols: list[bytes]) -> list[bytes]:
-        rank = self.rank
-        pairs = [rank.get(a + b, _NEVER) for a, b in zip(symbols, symbols[1:])]
-        while pairs:
-            low = min(pairs)
-            if low == _NEVER:
-                break
-            i = pairs.index(low)
-            both = symbols[i] + symbols[i + 1]
-            symbols[i : i + 2] = [both]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = rank.get(symbols[i - 1] + both, _NEVER)
-            if i < len(pairs):
-                pairs[i] = rank.get(both + symbols[i + 1], _NEVER)
-        return symbols
-
-    def _many(self, symbols: list[bytes]) -> list[bytes]:
-        """The same for long words, by a queue over a linked list."""
-        rank, n = self.rank, len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue: list[tuple[int, int, bytes]] = []
-
-        def offer(i: int, j: int) -> None:
-            both = symbols[i] + symbols[j]
-            if (low := rank.get(both)) is not None:
-                heapq.heappush(queue, (low, i, both))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
-        while queue:
-            _, i, both = heapq.heappop(queue)
-            j = after[i]
-            if j >= n or not symbols[i] or symbols[i] + symbols[j] != both:
-                continue
-            symbols[i], symbols[j] = both, b""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                offer(i, after[i])
-            if before[i] >= 0:
-                offer(before[i], i)
-        return [s for s in symbols if s]
-
     # --- a run of texts
 
     def laid_out(self, data: np.ndarray, offsets: np.ndarray):
@@ -333,41 +289,7 @@ class Model:
         place = np.flatnonzero(~alone)
         left = np.repeat(place, lengths[place])  # the word of each symbol
         code = np.frombuffer(b"".join(some).decode().encode("utf-32-le"), "<u4")
-        symbols = self.symbol[code]
-        done_symbols, done_words = [], []
-        if len(symbols):
-            low, made = self._looked_up(symbols[:-1], symbols[1:])
-            same = left[:-1] == left[1:]
-            low = np.append(np.where(same, low, _NEVER), _NEVER)
-            made = np.append(made, -1)
-        while len(symbols):
-            begins = np.flatnonzero(np.append(True, left[1:] != left[:-1]))
-            best = np.minimum.reduceat(low, begins)
-            size = np.diff(np.append(begins, len(symbols)))
-            going = np.repeat(best < _NEVER, size)
-            if not going.all():
-                done_symbols.append(symbols[~going])
-                done_words.append(left[~going])
-                symbols, left, low, made = symbols[going], left[going], low[going], made[going]
-                size, best = size[best < _NEVER], best[best < _NEVER]
-                if not len(symbols):
-                    break
-                begins = np.cumsum(size) - size
-            hit = np.flatnonzero(low == np.repeat(best, size))
-            at = hit[np.searchsorted(hit, begins)]  # the leftmost of each word
-            symbols[at] = made[at]
-            keep = np.ones(len(symbols), bool)
-            keep[at + 1] = False
-            at = at - np.arange(len(at))
-            symbols, left, low, made = symbols[keep], left[keep], low[keep], made[keep]
-            redo = np.concatenate((at, at[at > 0] - 1))
-            redo = redo[redo + 1 < len(symbols)]
-            same = left[redo] == left[redo + 1]
-            low[redo], made[redo] = self._looked_up(symbols[redo], symbols[redo + 1])
-            low[redo[~same]] = _NEVER
-            low[-1] = _NEVER
-        symbols = np.concatenate(done_symbols) if done_symbols else np.empty(0, np.int32)
-        left = np.concatenate(done_words) if done_words else np.empty(0, np.int64)
+        symbols, left = self.pairs.rounds(self.symbol[code], left)
         # Words with characters that are no pieces are spelled in bytes one by one.
         odd = np.zeros(len(words), bool)
         odd[left[(symbols < 0) | (symbols >= len(self.shown))]] = True
@@ -381,13 +303,6 @@ class Model:
         order = np.argsort(left, kind="stable")
         return symbols[order].astype(np.int32), np.bincount(left, minlength=len(words))
 
-    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and id of two symbols together."""
-        keys = left.astype(np.int64) << 32 | np.maximum(right, 0)
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        found = (self.pair_keys[at] == keys) & (left >= 0) & (right >= 0)
-        return np.where(found, self.pair_ranks[at], _NEVER), np.where(found, self.pair_ids[at], -1)
-
     def spans(self, ids: np.ndarray, counts: np.ndarray, data: np.ndarray, starts: np.ndarray, places) -> tuple[np.ndarray, np.ndarray]:
         """Where each piece begins and ends in the bytes of its own source text."""
         end = np.cumsum(self.sizes[ids], dtype=np.int64)
