@@ -100,7 +100,8 @@ def op9_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.parse_records(warc_records(common.pages(spark, folder)))
     captured = F.to_timestamp(F.col("warc")["warc-date"], "yyyy-MM-dd'T'HH:mm:ss'Z'")
     records = records.select(
-        "record_id", "page_id", F.col("warc")["warc-target-uri"].alias("url"), captured.alias("captured"),
+        "record_id", "page_id", F.col("warc")["warc-type"].alias("kind"), F.col("warc")["warc-target-uri"].alias("url"),
+        F.col("warc")["warc-payload-digest"].alias("payload_digest"), captured.alias("captured"),
         "status", "headers", F.md5(F.coalesce("body", F.lit(""))).alias("payload_md5"),
     )
     records = common.stored(records, "warc-records")  # parsed once, used for both sides of the join

@@ -174,21 +174,29 @@ def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("body",)) ->
     """One row per given record: what it stands for after its revisit is resolved.
 
     ``records`` has ``record_id`` (long, unique), ``url``, ``captured`` (timestamp), ``status`` and
-    ``headers`` (see ``parse_records``). Full responses have status 200, revisits 304; others
-    pass as they are. Results: ``record_id``, ``canonical_url``, ``refers_to``, ``outcome``,
+    ``headers`` (see ``parse_records``), and may have ``kind`` (the record's type, in any case) and
+    ``payload_digest``. Full responses are records of type ``response`` with status 200. Revisits are
+    those of type ``revisit``, whatever their status, and responses with status 304. Without ``kind``, or
+    where it is null, the status decides alone; others pass as they are. Results: ``record_id``, ``canonical_url``, ``refers_to``, ``outcome``,
     ``headers`` and the columns in ``carry``, which a resolved revisit takes from its response.
 
-    A 304's entity tag must equal the response's, weakness apart; without one its date of last
+    A revisit with a payload digest, other than a 304, must have that of the response if that has
+    one. Apart from that, a revisit's entity tag must equal the response's, weakness apart; without one its date of last
     change must; without either the response may have neither. Outcomes: ``full``, ``other``,
     ``resolved``, ``no_earlier_response`` (also where address or time is null),
     ``validator_mismatch``. Unresolved revisits keep their own headers and columns. Merged headers
     are the response's, replaced or extended by the revisit's but for ``NOT_MERGED``. Times that
     are equal are not earlier. A null id is resolved to nothing; an empty table gives an empty one.
     """
+    given = {c.lower() for c in records.columns}
+    text = lambda name: (F.col(name) if name in given else F.lit(None)).cast("string")
     records = records.select(
-        "record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured", "status", "headers", *carry
+        "record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured", "status", "headers",
+        F.lower(text("kind")).alias("_kind"), text("payload_digest").alias("_digest"), *carry
     )
-    full, again = F.col("status") == 200, F.col("status") == 304
+    response_like = F.coalesce(F.col("_kind") == "response", F.lit(True))
+    full = response_like & (F.col("status") == 200)
+    again = F.coalesce(F.col("_kind") == "revisit", F.lit(False)) | (response_like & (F.col("status") == 304))
     narrow = records.filter(full | again).select(
         F.col("canonical_url").alias("key"), F.col("captured").alias("time"),
         F.col("record_id").alias("id"), full.alias("full"),
@@ -196,13 +204,16 @@ def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("body",)) ->
     matches = latest_before(narrow).filter(F.col("match").isNotNull())
     found = records.join(matches, F.col("record_id") == F.col("id"), "left").drop("id")
     response = records.filter(full).select(
-        F.col("record_id").alias("match_"), F.col("headers").alias("old"), *[F.col(c).alias(f"old_{c}") for c in carry]
+        F.col("record_id").alias("match_"), F.col("headers").alias("old"), F.col("_digest").alias("_old_digest"), *[F.col(c).alias(f"old_{c}") for c in carry]
     )
     found = found.join(response, F.col("match") == F.col("match_"), "left")
     tag, old_tag = F.col("headers")["etag"], F.col("old")["etag"]
     changed, old_changed = F.col("headers")["last-modified"], F.col("old")["last-modified"]
+    not_modified = F.coalesce(F.col("status") == 304, F.lit(False))
+    digests = ~not_modified & F.col("_digest").isNotNull() & F.col("_old_digest").isNotNull()
     valid = (
-        F.when(tag.isNotNull(), _opaque(tag).eqNullSafe(_opaque(old_tag)))
+        F.when(digests, F.col("_digest") == F.col("_old_digest"))
+        .when(tag.isNotNull(), _opaque(tag).eqNullSafe(_opaque(old_tag)))
         .when(changed.isNotNull(), changed.eqNullSafe(old_changed))
         .otherwise(old_tag.isNull() & old_changed.isNull())
     )

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +72,40 @@ def test_nothing_to_learn_from(spark, documents):
 def test_ties_go_to_the_first_language():
     model = langid.Model(["aa", "bb"], np.array([0, 1]), np.ones((2, langid.DIMS), np.float32), np.ones(langid.DIMS, np.float32), np.zeros(2))
     assert model.owner[np.argmax(np.ones((1, 2)), axis=1)][0] == 0
+
+
+def plain_prediction(model, text):
+    """Language, cosine and rejection of one text, gram by gram, from the definition."""
+    if text is None or not any(c.isalpha() for c in text):
+        return "und", 0.0, True
+    data = f" {text.lower()} ".encode()
+    folded = [b if b >= 128 or ord("a") <= b <= ord("z") else 32 for b in data]
+    times = {}
+    for size, seed in ((2, 17), (3, 91)):
+        for k in range(len(folded) - size + 1):
+            gram = folded[k : k + size]
+            if any(a == b == 32 for a, b in zip(gram, gram[1:])):
+                continue
+            number = 0
+            for b in gram:
+                number = number << 8 | b
+            place = (number * 2654435761 + seed) % 2**32 * 0x9E3779B1 % 2**32 >> 19
+            times[place] = times.get(place, 0) + 1
+    weight = {p: math.log1p(n) * float(model.weights[p]) for p, n in times.items()}
+    length = math.sqrt(sum(w * w for w in weight.values())) or 1.0
+    cosines = [sum(w * float(c[p]) for p, w in weight.items()) / length for c in model.centroids]
+    best = max(range(len(cosines)), key=lambda k: (cosines[k], -k))
+    language = int(model.owner[best])
+    score = min(max(cosines[best], 0.0), 1.0)
+    return model.languages[language], score, score < model.lowest[language] and len(data) >= langid.EVIDENCE
+
+
+def test_predictions_equal_plain_ones(spark, documents, model):
+    extra = [(-1, None), (-2, ""), (-3, "1!"), (-4, "Жди меня " * 30), (-5, "the"), (-6, "Ÿ l'Été a  b"), (-7, "x\ty\n" * 30)]
+    rows = documents.select("doc_id", "text").limit(150).union(spark.createDataFrame(extra, "doc_id long, text string"))
+    found = langid.predict(rows, model).collect()
+    assert len(found) == 157
+    for x in found:
+        lang, score, rejected = plain_prediction(model, x.text)
+        assert (x.lang_pred, x.rejected) == (lang, rejected), x.doc_id
+        assert abs(x.score - score) < 1e-5

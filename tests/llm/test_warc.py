@@ -101,3 +101,27 @@ def test_validators_and_headers(spark):
 
 def test_empty_table(spark):
     assert warc.resolve_revisits(spark.createDataFrame([], RECORDS)).isEmpty()
+
+
+def test_the_type_of_a_record_decides(spark):
+    rows = [
+        (1, "http://x/p", at(1), 200, {"etag": "1", "server": "a"}, "first", "response", "sha1:A"),
+        (2, "http://x/p", at(2), 200, {"server": "b"}, "", "revisit", "sha1:A"),  # identical payload digest
+        (3, "http://x/p", at(3), 304, {"etag": "1"}, None, "Revisit", None),
+        (4, "http://x/p", at(4), 200, {"server": "c"}, "", "revisit", "sha1:B"),
+        (5, "http://x/p", at(5), 200, {"etag": "1"}, "", "revisit", None),
+        (6, "http://x/p", at(6), 200, {}, "asked", "request", None),
+        (7, "http://x/p", at(7), 304, {"etag": "1"}, None, None, None),
+        (8, "http://x/p", at(8), None, {"etag": "1"}, None, "revisit", None),
+        (9, "http://x/p", at(9), 304, {"etag": "2"}, None, "revisit", "sha1:A"),
+        (10, "http://x/p", at(10), 200, {"etag": "2"}, "second", None, None),
+        (11, "http://x/p", at(11), 304, {"etag": "2"}, None, "revisit", None),
+    ]
+    frame = spark.createDataFrame(rows, RECORDS + ", kind string, payload_digest string")
+    got = {x.record_id: (x.outcome, x.refers_to, x.body) for x in warc.resolve_revisits(frame).collect()}
+    assert got == {
+        1: ("full", None, "first"), 2: ("resolved", 1, "first"), 3: ("resolved", 1, "first"),
+        4: ("validator_mismatch", None, ""), 5: ("resolved", 1, "first"), 6: ("other", None, "asked"),
+        7: ("resolved", 1, "first"), 8: ("resolved", 1, "first"), 9: ("validator_mismatch", None, None),
+        10: ("full", None, "second"), 11: ("resolved", 10, "second"),
+    }
