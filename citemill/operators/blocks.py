@@ -32,13 +32,13 @@ def read_stream(block: bytes) -> pa.Table:
 def packed(
     rows: DataFrame,
     block_rows: int,
-    groups: int,
+    groups: int | None = None,
     arrange: Callable[[pa.Table], list[np.ndarray]] | None = None,
     slab_rows: int | None = None,
 ) -> DataFrame:
     """``rows`` as blocks of at most ``block_rows``: ``block_group`` (int) and ``block`` (binary).
 
-    Blocks go to the groups in turn. A task gathers ``slab_rows`` rows at a time; ``arrange``
+    Blocks go to the groups in turn, or get rising numbers if none are given. A task gathers ``slab_rows`` rows at a time; ``arrange``
     says which of them make each block, otherwise they are cut as they come. Nothing is shuffled.
     """
     slab_rows = slab_rows or block_rows
@@ -56,7 +56,7 @@ def packed(
             for part in parts:
                 block = write_stream(slab.take(pa.array(part)).combine_chunks())
                 turn += 1
-                columns = [pa.array([turn % groups], pa.int32()), pa.array([block], pa.binary())]
+                columns = [pa.array([turn % groups if groups else turn], pa.int32()), pa.array([block], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["block_group", "block"])
 
         for batch in batches:

@@ -17,7 +17,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from citemill.functions import vectors as vec
+from citemill.operators import blocks
 from citemill.operators.embed import Encoder
+from citemill.session import stored
 
 # Limits and defaults of a search request.
 TOP_K, MIN_TOP_K, MAX_TOP_K = 3, 1, 20
@@ -276,6 +278,23 @@ def _hits(
     return ranked.select("q_id", item_id, "score", "rk", *carry)
 
 
+def usable_queries(queries: DataFrame, dim: int) -> DataFrame:
+    """Queries that can find something, as ``q_id, embedding, top_k, min_score``."""
+    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < math.inf, F.lit(False)))
+    named = queries.schema["q_id"].dataType == T.StringType()
+    return queries.filter(
+        (F.size("embedding") == dim)
+        & F.exists("embedding", lambda v: v != 0)
+        & finite
+        & F.col("top_k").between(MIN_TOP_K, MAX_TOP_K)
+    ).select(
+        F.col("q_id").cast("string" if named else "bigint").alias("q_id"),
+        "embedding",
+        F.col("top_k").cast("bigint").alias("top_k"),
+        F.col("min_score").cast("double").alias("min_score"),
+    )
+
+
 def top_k(
     queries: DataFrame,
     items: DataFrame,
@@ -313,18 +332,80 @@ def top_k(
         queries = queries.join(reached, "q_id", "left").withColumn(
             "min_score", F.greatest("min_score", full)
         )
-    finite = F.forall("embedding", lambda v: F.coalesce(F.abs(v) < math.inf, F.lit(False)))
     named = queries.schema["q_id"].dataType == T.StringType()
-    usable = queries.filter(
-        (F.size("embedding") == dim)
-        & F.exists("embedding", lambda v: v != 0)
-        & finite
-        & F.col("top_k").between(MIN_TOP_K, MAX_TOP_K)
-    ).select(
-        F.col("q_id").cast("string" if named else "bigint").alias("q_id"),
-        "embedding",
-        F.col("top_k").cast("bigint").alias("top_k"),
-        F.col("min_score").cast("double").alias("min_score"),
-    )
+    usable = usable_queries(queries, dim)
     sent = _sent_blocks(usable, dim, max(1, block_bytes // (8 * dim)))
     return _hits(sent, items, item_id, vector, dim, encoder, carry, named, MAX_TOP_K)
+
+
+def _ranked(found: DataFrame, item_id: str, carry: tuple[str, ...]) -> DataFrame:
+    """The best of all partial results of each query."""
+    by_score = Window.partitionBy("q_id").orderBy(F.desc("score"), F.asc(item_id))
+    ranked = found.withColumn("rk", F.row_number().over(by_score))
+    ranked = ranked.filter((F.col("rk") <= MAX_TOP_K) & (F.col("rk") <= F.col("top_k")))
+    return ranked.select("q_id", item_id, "score", "rk", *carry)
+
+
+def partial_hits(queries: pa.Table, items: pa.Table, dim: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The best items of one block for each query of another: at most ``top_k`` rows a query.
+
+    ``names`` are those of the result: ``q_id, top_k, score``, the item's id and what it carries.
+    """
+    ids, matrix, k, floor = _arrays(queries, dim)
+    q = _Queries(ids, matrix, k, floor)
+    rank = pc.rank(items.column(names[3]), "ascending", tiebreaker="first").to_numpy()
+    x = vec.list_matrix(items.column("vector").combine_chunks(), dim)
+    best = np.full((len(q.k), int(q.k.max(initial=1))), -math.inf)
+    for qi, xi, scores in _best_of_batch(q, best, x, rank):
+        if len(qi):
+            part = items.take(pa.array(xi)).combine_chunks()
+            kept = [part.column(c).chunk(0) for c in names[3:]]
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(qi)), pa.array(q.k[qi]), pa.array(scores), *kept], names
+            )
+
+
+def _item_rows(items: DataFrame, item_id: str, vector: str, dim: int, carry: tuple[str, ...]) -> DataFrame:
+    """Items that can be found, with their vectors as ``vector`` (array of float)."""
+    found = items.filter(F.size(vector) == dim)
+    return found.select(item_id, *carry, F.col(vector).alias("vector"))
+
+
+def _hit_schema(queries: DataFrame, items: DataFrame, item_id: str, carry: tuple[str, ...]) -> T.StructType:
+    own = [queries.schema["q_id"], T.StructField("top_k", T.LongType()), T.StructField("score", T.DoubleType())]
+    return T.StructType([*own, *[items.schema[name] for name in (item_id, *carry)]])
+
+
+def top_k_two_sided(
+    queries: DataFrame,
+    items: DataFrame,
+    item_id: str = "chunk_id",
+    vector: str = "embedding",
+    dim: int = vec.DIMENSION,
+    carry: tuple[str, ...] = (),
+    query_block_bytes: int = 8 << 20,
+    item_block_bytes: int = 16 << 20,
+) -> DataFrame:
+    """``top_k`` for queries that are as many as the items: the same rows, another way.
+
+    Both sides are packed into blocks and stored; each block of one meets each of the other by a
+    join on group numbers (``blocks.meet``), so no query passes the driver and none is sent to all
+    tasks. A pair of blocks hands on at most ``top_k`` rows a query, and a window ranks what
+    is left. What is moved is each side once for every block of the other.
+    """
+    usable = usable_queries(queries, dim)
+    rows = _item_rows(items, item_id, vector, dim, carry)
+    schema = _hit_schema(usable, items, item_id, carry)
+    names = [f.name for f in schema]
+    ours = stored(blocks.packed(usable, max(1, query_block_bytes // (8 * dim))), "query-blocks")
+    theirs = stored(blocks.packed(rows, max(1, item_block_bytes // (4 * dim))), "item-blocks")
+    left, right = max(1, theirs.count()), max(1, ours.count())
+
+    def work(block: pa.Table, asked: pa.Table) -> Iterator[pa.RecordBatch]:
+        return partial_hits(asked, block, dim, names)
+
+    def numbered(frame: DataFrame, groups: int) -> DataFrame:
+        return frame.withColumn("block_group", F.pmod("block_group", F.lit(groups)))
+
+    found = blocks.meet(numbered(theirs, left), numbered(ours, right), left, right, work, schema)
+    return _ranked(found, item_id, carry)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from citemill.functions import text as tx
 from citemill.functions.joins import same_key
 from citemill.operators import validate as val
+from citemill.operators.asof import as_of_join
 from citemill.operators.embed import HASH_MODEL
 
 
@@ -135,6 +136,20 @@ def lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFram
     return traced.join(origin, "doc_id", "left")
 
 
+def version_lineage(chunks: DataFrame, documents: DataFrame, log: DataFrame) -> DataFrame:
+    """Each chunk with the version of its document that was the newest when its own snapshot came.
+
+    Both carry ``snapshot_id``; a document may have come in several snapshots. Each chunk comes
+    out once, with nulls where no version had come by then. No version meets a chunk but its own.
+    """
+    own = ["source_file", "file_size", "file_hash", "document_snapshot"]
+    versions = _origin(documents).withColumn("document_snapshot", F.col("snapshot_id"))
+    traced = chunks.select("chunk_id", "doc_id", "chunk_index", "chunking_strategy", "snapshot_id")
+    found = as_of_join(traced, versions, "doc_id", "snapshot_id", "file_hash", tuple(own))
+    commits = log.select(F.col("snapshot_id").alias("commit_id"), "committed_at", "operation")
+    return found.join(commits, F.col("document_snapshot") == F.col("commit_id"), "left").drop("commit_id")
+
+
 def hits_with_lineage(
     hits: DataFrame, documents: DataFrame, log: DataFrame, model: str = HASH_MODEL
 ) -> DataFrame:

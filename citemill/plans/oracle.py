@@ -349,6 +349,34 @@ ORACLE: dict[str, str] = {
             strftime(l.committed_at, '%Y-%m-%d') AS committed_at, l.operation
         FROM chunks c LEFT JOIN versioned v ON v.doc_id = c.doc_id
             LEFT JOIN log l ON l.snapshot_id = v.snapshot_id""",
+    "chunk_version_lineage": f"""WITH {DOCS},
+        versions AS (
+            SELECT doc_id, filename, content, CAST(doc_id AS BIGINT) % 10 + 1 AS snapshot_id FROM docs
+            UNION ALL
+            SELECT doc_id, filename, content || ' Revised.', CAST(doc_id AS BIGINT) % 10 + 6 FROM docs),
+        {_windows('chunks', 500, 100)},
+        cut AS (SELECT *, CAST(chunk_index % 4 * 4 + 1 AS BIGINT) AS snapshot_id FROM chunks)
+        SELECT c.chunk_id, c.doc_id, c.chunk_index, c.chunking_strategy, c.snapshot_id,
+            v.filename AS source_file, CAST(coalesce(length(v.content), -1) AS INTEGER) AS file_size,
+            md5(v.content) AS file_hash, coalesce(v.snapshot_id, -1) AS document_snapshot,
+            strftime(TIMESTAMP '2024-01-01' + to_days(CAST(v.snapshot_id - 1 AS INTEGER)), '%Y-%m-%d') AS committed_at,
+            CASE WHEN v.snapshot_id = 4 THEN 'overwrite' WHEN v.snapshot_id IS NOT NULL THEN 'append' END AS operation
+        FROM cut c ASOF LEFT JOIN versions v ON c.doc_id = v.doc_id AND c.snapshot_id >= v.snapshot_id""",
+    "reingest_changes": f"""WITH {DOCS},
+        before AS (SELECT * FROM docs WHERE CAST(doc_id AS BIGINT) % 10 <> 2),
+        after AS (
+            SELECT * REPLACE (CASE WHEN CAST(doc_id AS BIGINT) % 10 = 1 THEN content || ' Revised.'
+                ELSE content END AS content)
+            FROM docs WHERE CAST(doc_id AS BIGINT) % 10 <> 0),
+        {_windows('old', 200, 50, 'before')}, {_windows('cut', 200, 50, 'after')},
+        compared AS (
+            SELECT CASE WHEN o.chunk_id IS NULL THEN 'new' WHEN c.chunk_id IS NULL THEN 'gone'
+                WHEN o.chunk_text = c.chunk_text THEN 'same' ELSE 'changed' END AS change
+            FROM old o FULL JOIN cut c ON o.chunk_id = c.chunk_id AND o.doc_id = c.doc_id)
+        SELECT change, (SELECT count(*) FROM compared x WHERE x.change = k.change) AS chunks
+        FROM (VALUES ('new'), ('changed'), ('gone'), ('same')) AS k(change)
+        UNION ALL SELECT 'live', count(*) FROM cut
+        UNION ALL SELECT 'written', count(*) FROM compared WHERE change IN ('new', 'changed')""",
     "reingest_stats": f"""{SMART}, {_weights('cw', 'chunk_id', 'chunk_text', 'smart')}
         SELECT 'success' AS status, (SELECT count(*) FROM docs) AS documents,
             (SELECT count(*) FROM smart) AS chunks,
@@ -356,6 +384,15 @@ ORACLE: dict[str, str] = {
             'documents' AS collection""",
     "hash_embedding": f"""WITH {DOCS}, {_weights('w', 'doc_id', 'content', 'docs')}
         SELECT doc_id, CAST(dim AS INTEGER) AS dim, weight FROM w""",
+    **dict.fromkeys(("search_two_sided", "search_cells", "search_coded"), """WITH v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        pairs AS (
+            SELECT a.vec_id AS q_id, b.vec_id, b.label, list_cosine_similarity(a.x, b.x) AS score
+            FROM v a JOIN v b ON a.vec_id % 2 = 0 AND b.vec_id % 2 = 1),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, vec_id) AS INTEGER) AS rk
+            FROM pairs)
+        SELECT q_id, rk, vec_id, label, round(score, 6) AS score FROM ranked WHERE rk <= 5"""),
     "topk_cosine": _nearest(5, -2),
     "topk_min_score": _nearest(20, CENTROID_MIN_SCORE),
     "cosine_own_centroid": f"""WITH {CENTROIDS}

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from citemill import schemas
 from citemill.functions import ids, vectors as vec
 from citemill.operators import chunk, context as ctx, embed, search, validate as val
+from citemill.session import stored
 from citemill.sources import files, lake
 from citemill.sources.lake import SnapshotTable
 
@@ -25,14 +26,26 @@ POINTS = T.StructType(
 # How vectors of a collection are compared.
 METRIC = "cosine"
 
+# A collection is renewed by whole documents, unless it declares that it is by chunks.
+UNIT = {"unit": "chunk"}
+WITHDRAWN = "withdrawn"
+
 INGEST_STATS = "status string, documents bigint, chunks bigint, vectors bigint, collection string"
 
 
 def collection(
-    spark: SparkSession, folder: str, dim: int = vec.DIMENSION, metric: str = METRIC
+    spark: SparkSession, folder: str, dim: int = vec.DIMENSION, metric: str = METRIC, by_chunk: bool = False
 ) -> SnapshotTable:
-    """A table of points that declares its dimension and metric, and refuses other vectors."""
-    return SnapshotTable(spark, folder, POINTS, {"dimension": dim, "metric": metric})
+    """A table of points that declares its dimension and metric, and refuses other vectors.
+
+    One that is kept ``by_chunk`` is brought up to date by ``reingest_changed``.
+    """
+    declared = {"dimension": dim, "metric": metric} | (UNIT if by_chunk else {})
+    return SnapshotTable(spark, folder, POINTS, declared)
+
+
+def _is_by_chunk(store: SnapshotTable) -> bool:
+    return store.properties.get("unit") == UNIT["unit"]
 
 
 def _held_to_contract(made: DataFrame, dim: int) -> DataFrame:
@@ -128,14 +141,91 @@ def upsert(
     **options,
 ) -> int | None:
     """Add documents to a collection; earlier points of the same documents are outdated."""
+    if _is_by_chunk(store):
+        raise ValueError("this collection is renewed by chunks")
     dim = int(store.properties.get("dimension", vec.DIMENSION))
     made = points(documents, indexed_at, **{"dim": dim, **options})
     return store.commit(made, "append", indexed_at, stream_id, batch_id)
 
 
 def searchable(store: SnapshotTable, at: dt.datetime | None = None) -> DataFrame:
-    """Points that can be found: the newest of each document that have a vector."""
-    return store.current(at).filter(F.col("embedding").isNotNull())
+    """Points that can be found: the newest of each document, or chunk, that have a vector."""
+    shown = live_points(store, at) if _is_by_chunk(store) else store.current(at)
+    return shown.filter(F.col("embedding").isNotNull())
+
+
+def live_points(store: SnapshotTable, at: dt.datetime | None = None) -> DataFrame:
+    """The newest point of each chunk of a collection kept by chunks, without withdrawn ones."""
+    return store.current(at, key="chunk_id").filter(~F.col("strategy").eqNullSafe(F.lit(WITHDRAWN)))
+
+
+def chunk_changes(cut: DataFrame, live: DataFrame) -> DataFrame:
+    """What tells ``cut`` chunks from ``live`` points: ``chunk_id, doc_id, change``.
+
+    ``change`` is ``new``, ``changed`` (another text, place, name, type or strategy), ``gone`` or
+    ``same``. Digests are compared; what is moved is an id and a digest for each chunk.
+    """
+    text = lambda *columns: F.md5(F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{k}") for k, c in enumerate(columns)]))).alias("digest")
+    ours = cut.select("chunk_id", "doc_id", text("chunk_text", "chunk_index", "filename", "file_type", "chunking_strategy"))
+    theirs = live.select(
+        F.col("chunk_id").alias("live_id"), F.col("doc_id").alias("live_doc"),
+        text("text", "chunk_index", "filename", "file_type", "strategy").alias("live_digest"),
+    )
+    both = ours.join(theirs, (F.col("chunk_id") == F.col("live_id")) & (F.col("doc_id") == F.col("live_doc")), "full")
+    change = (
+        F.when(F.col("live_id").isNull(), "new")
+        .when(F.col("chunk_id").isNull(), "gone")
+        .when(F.col("digest") == F.col("live_digest"), "same")
+        .otherwise("changed")
+    )
+    return both.select(
+        F.coalesce("chunk_id", "live_id").alias("chunk_id"), F.coalesce("doc_id", "live_doc").alias("doc_id"), change.alias("change")
+    )
+
+
+CHANGES = ("new", "changed", "gone", "same")
+
+
+def reingest_changed(
+    documents: DataFrame,
+    store: SnapshotTable,
+    indexed_at: dt.datetime,
+    chunker: Callable[..., DataFrame] = chunk.chunk_fixed,
+    load: Callable[[], embed.Encoder] | None = None,
+) -> DataFrame:
+    """Bring a collection kept by chunks up to date with ``documents``; returns ``change, chunks``.
+
+    Only chunks that are new or changed are encoded and written; those whose document or
+    place is gone are withdrawn. All of it is one snapshot, or none if nothing differs. Whether
+    the chunks to encode are told by a broadcast or a join is Spark's choice by their number; where
+    it joins, its runtime bloom filter leaves out unchanged chunks ahead of the shuffle.
+    """
+    if not _is_by_chunk(store):
+        raise ValueError("this collection is renewed by documents")
+    dim = int(store.properties.get("dimension", vec.DIMENSION))
+    cut = chunker(documents, carry=("filename", "file_type"))
+    seen = Observation()
+    counted = [F.count_if(F.col("change") == name).alias(name) for name in CHANGES]
+    compared = chunk_changes(cut, live_points(store)).observe(seen, *counted)
+    changes = stored(compared.filter("change <> 'same'"), "chunk-changes")
+    totals = seen.get
+    if sum(totals[name] for name in CHANGES[:3]):
+        wanted = changes.filter("change <> 'gone'").select("chunk_id", "doc_id")
+
+        def only_wanted(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+            return chunker(rows, carry=carry).join(wanted, ["chunk_id", "doc_id"], "left_semi")
+
+        made = points(documents, indexed_at, only_wanted, load, dim)
+        gone = changes.filter("change = 'gone'").select(
+            *[
+                {"point_id": ids.point_id(F.col("chunk_id")), "chunk_id": F.col("chunk_id"), "doc_id": F.col("doc_id"),
+                 "strategy": F.lit(WITHDRAWN), "indexed_at": F.lit(indexed_at).cast("timestamp")}
+                .get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
+                for f in POINTS
+            ]
+        )
+        store.commit(made.unionByName(gone), "append", indexed_at)
+    return documents.sparkSession.createDataFrame([(name, totals[name]) for name in CHANGES], "change string, chunks bigint")
 
 
 def embed_queries(

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from citemill.functions import ids, scores as sc, text as tx
 from citemill.functions.joins import same_key
 from citemill.operators import (
+    cells,
     chunk,
+    codes,
     context as ctx,
     embed,
     metrics as mt,
@@ -22,7 +24,7 @@ from citemill.operators import (
     validate as val,
 )
 from citemill.plans import pipeline
-from citemill.session import work_dir
+from citemill.session import stored, work_dir
 from citemill.sources import files, lake, querylog, tables as src
 from citemill.sources.lake import SnapshotTable
 from citemill.streaming import ingest as stream_ingest, metrics as stream_metrics
@@ -394,6 +396,22 @@ def chunk_lineage(spark, sf):
     return traced.withColumn("committed_at", _day("committed_at"))
 
 
+@query
+def chunk_version_lineage(spark, sf):
+    """Each document comes twice, the second time longer; chunks are cut with several snapshots."""
+    documents = src.raw_documents(spark, sf)
+    number = F.col("doc_id").cast("bigint") % 10 + 1
+    longer = F.concat("content", F.lit(" Revised."))
+    first = documents.withColumn("snapshot_id", number)
+    second = documents.withColumns({"content": longer, "snapshot_id": number + 5})
+    versions = first.unionByName(second).withColumn("file_size", F.length("content"))
+    log = _log(versions)
+    cut = chunk.chunk_fixed(documents, 500, 100)
+    cut = cut.withColumn("snapshot_id", F.col("chunk_index") % 4 * 4 + F.lit(1).cast("bigint"))
+    traced = tb.version_lineage(cut, versions, log).fillna(-1, ["document_snapshot", "file_size"])
+    return traced.withColumn("committed_at", _day("committed_at"))
+
+
 @query
 def reingest_stats(spark, sf):
     documents = src.raw_documents(spark, sf).withColumn("file_type", F.lit("txt"))
@@ -402,6 +420,23 @@ def reingest_stats(spark, sf):
     )
 
 
+@query
+def reingest_changes(spark, sf):
+    """A tenth of the documents comes later, a tenth is gone by then, and a tenth has changed."""
+    documents = src.raw_documents(spark, sf).withColumn("file_type", F.lit("txt"))
+    tenth = F.col("doc_id").cast("bigint") % 10
+    store = pipeline.collection(spark, work_dir(spark, "by-chunk"), by_chunk=True)
+    pipeline.reingest_changed(documents.filter(tenth != 2), store, FIRST_COMMIT)
+    revised = F.when(tenth == 1, F.concat("content", F.lit(" Revised."))).otherwise(F.col("content"))
+    again = documents.filter(tenth != 0).withColumn("content", revised)
+    changes = pipeline.reingest_changed(again, store, FIRST_COMMIT + dt.timedelta(days=1))
+    live = pipeline.live_points(store).agg(F.lit("live").alias("change"), F.count("*").alias("chunks"))
+    written = store.rows().filter("snapshot_id = 2").agg(
+        F.lit("written").alias("change"), F.count("text").alias("chunks")
+    )
+    return changes.unionByName(live).unionByName(written)
+
+
 @query
 def files_round_trip(spark, sf):
     """Documents written as text files, a line each, then found and loaded as files."""
@@ -506,6 +541,41 @@ def topk_cosine(spark, sf):
     return _centroid_hits(spark, sf, 5)
 
 
+def _half_queries(spark, sf, top_k: int = 5) -> tuple[DataFrame, DataFrame]:
+    """One half of all vectors as queries, the other half to be searched."""
+    vectors = src.dealt(src.table(spark, sf, "embeddings"))
+    none = F.lit(None).cast("double")
+    asked = vectors.filter("vec_id % 2 = 0").select(
+        F.col("vec_id").alias("q_id"), "embedding", F.lit(top_k).alias("top_k"), none.alias("min_score")
+    )
+    return asked, vectors.filter("vec_id % 2 = 1")
+
+
+@query
+def search_two_sided(spark, sf):
+    """As many queries as items: neither side passes the driver."""
+    asked, items = _half_queries(spark, sf)
+    hits = search.top_k_two_sided(asked, items, "vec_id", dim=GIVEN_DIMENSION, carry=("label",))
+    return hits.select("q_id", "rk", "vec_id", "label", _score())
+
+
+@query
+def search_cells(spark, sf):
+    """The same over an index of cells, of which those out of reach are not read."""
+    asked, items = _half_queries(spark, sf)
+    index = cells.build(items, "vec_id", dim=GIVEN_DIMENSION, carry=("label",))
+    return cells.top_k(asked, index).select("q_id", "rk", "vec_id", "label", _score())
+
+
+@query
+def search_coded(spark, sf):
+    """The same over codes of one byte a component; what they leave open is scored again."""
+    asked, items = _half_queries(spark, sf)
+    coded = stored(codes.encode(items, "vec_id", dim=GIVEN_DIMENSION), "codes")
+    hits = codes.top_k(asked, coded, items, "vec_id", dim=GIVEN_DIMENSION, carry=("label",))
+    return hits.select("q_id", "rk", "vec_id", "label", _score())
+
+
 @query
 def topk_min_score(spark, sf):
     return _centroid_hits(spark, sf, 20, CENTROID_MIN_SCORE)

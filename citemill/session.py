@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,3 +53,10 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     store.mkdirs(path)
     store.deleteOnExit(path)
     return f"{own}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """``frame`` written to the shared folder and read back; it no longer depends on what made it."""
+    folder = work_dir(frame.sparkSession, purpose)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
