@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import itertools
 import math
+import struct
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PERCENTILE = 0.95
-# Values that part what is still open into this many cells in each round.
-_CELLS, _ACCURACY = 256, 10_000
+# Bits that a round of a selection decides, and how many open rows are counted by value.
+_DIGIT, _FEW = 18, 20_000
 
 
 def query_log(queries: DataFrame, hits: DataFrame) -> DataFrame:
@@ -46,81 +47,99 @@ def summary_columns(n: str | None = None) -> list[Column]:
     ]
 
 
+def _ordered_bits(value: Column) -> Column:
+    """A double as a long of the same order: all bits of a positive one, of a negative one flipped.
+
+    Both zeros are one; what is no number comes last.
+    """
+    spelled = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0))
+    bits = spelled.cast("bigint")
+    return F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
+
+
+def _from_bits(bits: Column) -> Column:
+    own = F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1)))
+    return F.call_function("reflect", F.lit("java.lang.Double"), F.lit("longBitsToDouble"), own).cast("double")
+
+
+def _double(bits: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", bits if bits >= 0 else bits ^ ((1 << 63) - 1)))[0]
+
+
 def percentile(rows: DataFrame, column: str, p: float) -> float | None:
     """The exact, linearly interpolated percentile of ``column``; None without values.
 
-    The aggregate ``percentile`` holds all distinct values in one task. Here each round takes
-    some values from a sketch of what is still open, counts the rows of the cells between
-    them exactly, and goes on inside the cells that hold the two ranks in question. The
-    sketch only makes cells even; the counts decide. A round is one pass with partial
-    aggregates, its result a row for each cell, and the rows still open shrink by a factor
-    of some hundred.
+    Radix selection: values are counted by their leading bits, then, inside the one or two
+    cells that hold the ranks in question, by the bits that follow, until what is open is few
+    enough to be counted by value. A round is one pass with partial aggregates, and its
+    result at most ``2 ** _DIGIT`` rows for each open cell, as a rule some hundred.
     """
-    inside = rows.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    grid = F.percentile_approx("v", [k / _CELLS for k in range(_CELLS + 1)], _ACCURACY)
-    total, edges = inside.agg(F.count("*"), grid).first()
-    if not total:
-        return None
-    at = p * (total - 1)
-    ranks = math.floor(at), math.ceil(at)
-    before = 0
+    inside = rows.select(F.col(column).cast("double").alias("v")).filter("v is not null").select(_ordered_bits(F.col("v")).alias("v"))
+    ranks, before, known = None, 0, 0
     while True:
-        listed = F.array(*[F.lit(e) for e in sorted(set(edges))])
-        cell = F.size(F.filter(listed, lambda e: e < F.col("v")))
-        cells = inside.groupBy(cell.alias("cell")).agg(
-            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        cells = sorted(cells.collect(), key=lambda r: r["cell"])
-        upto = list(itertools.accumulate((r["n"] for r in cells), initial=before))[1:]
+        shift = max(64 - known - _DIGIT, 0)
+        found = inside.groupBy(F.shiftright("v", shift).alias("cell")).agg(F.count("*").alias("n")).collect()
+        cells = sorted((r["cell"], r["n"]) for r in found)
+        if ranks is None:
+            total = sum(n for _, n in cells)
+            if not total:
+                return None
+            at = p * (total - 1)
+            ranks = math.floor(at), math.ceil(at)
+        upto = list(itertools.accumulate((n for _, n in cells), initial=before))[1:]
         first, last = (next(k for k, n in enumerate(upto) if rank < n) for rank in ranks)
-        if all(cells[k]["low"] == cells[k]["high"] for k in (first, last)):
+        if not shift:
             break
         before = upto[first - 1] if first else before
-        inside = inside.filter(F.col("v").between(cells[first]["low"], cells[last]["high"]))
-        edges = inside.agg(grid).first()[0]
+        open_ = sorted({cells[first][0], cells[last][0]})
+        inside = inside.filter(F.shiftright("v", shift).isin(open_))
+        held = sum(n for c, n in cells if c in open_)
+        known = 64 if held <= _FEW else known + _DIGIT
+    low, high = (_double(cells[k][0]) for k in (first, last))
     if ranks[0] == ranks[1]:
-        return cells[first]["low"]
-    return (ranks[1] - at) * cells[first]["low"] + (at - ranks[0]) * cells[last]["low"]
+        return low
+    return (ranks[1] - at) * low + (at - ranks[0]) * high
 
 
 def percentiles(rows: DataFrame, p: float) -> DataFrame:
     """The exact percentile of ``v`` for each ``key`` (string), as ``key, value``.
 
-    Each row counts ``n`` times. Works as ``percentile`` does, for all keys at once: what is
-    moved is a row for each cell, key and task, and a row for each key comes to the driver.
+    Each row counts ``n`` times. Radix selection for all keys at once: three rounds of counts by
+    key and cell, the bounds of each round a table that the next is joined with. Nothing comes to the
+    driver, no key's values have to fit a task, and no job runs before the result is asked for.
     Keys without values are left out.
     """
-    spark, bounds = rows.sparkSession, "key string, first long, last long, before long, low double, high double"
-    rows = rows.filter("v is not null")
-    grid = F.percentile_approx("v", [k / _CELLS for k in range(_CELLS + 1)], _ACCURACY)
-    at, still, found = {}, [], []
-    for key, total, low, high in rows.groupBy("key").agg(F.sum("n"), F.min("v"), F.max("v")).collect():
-        at[key] = p * (total - 1)
-        still.append((key, math.floor(at[key]), math.ceil(at[key]), 0, low, high))
-    while still:
-        inside = rows.join(F.broadcast(spark.createDataFrame(still, bounds)), "key")
-        inside = inside.filter(F.col("v").between(F.col("low"), F.col("high"))).drop("low", "high")
-        edges = inside.groupBy("key").agg(F.array_distinct(grid).alias("edges"))
-        placed = inside.join(F.broadcast(edges), "key")
-        cell = F.size(F.filter("edges", lambda e: e < F.col("v")))
-        cells = placed.groupBy("key", "first", "last", "before", cell.alias("cell")).agg(
-            F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+    rows = rows.filter("v is not null").select("key", _ordered_bits(F.col("v")).alias("v"), "n")
+    by_key = Window.partitionBy("key")
+    shift = 64 - _DIGIT
+    cells = rows.groupBy("key", F.shiftright("v", shift).alias("cell")).agg(F.sum("n").alias("n"))
+    cells = cells.withColumn("total", F.sum("n").over(by_key)).withColumn("upto", F.sum("n").over(by_key.orderBy("cell")))
+    at = F.lit(p) * (F.col("total") - 1)
+    ranks = F.array(F.floor(at), F.ceil(at))
+    sought = cells.select("*", at.alias("at"), F.posexplode(ranks).alias("which", "rank"))
+
+    def hit(placed: DataFrame) -> DataFrame:
+        before = F.col("upto") - F.col("n")
+        inside = placed.filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= before))
+        return inside.select("key", "which", "at", (F.col("rank") - before).alias("rank"), F.col("cell").alias("prefix"))
+
+    sought = hit(sought)
+    for width in (_DIGIT, 64 - 2 * _DIGIT):
+        above, shift = shift, shift - width
+        open_ = sought.select(F.col("key").alias("key_"), F.col("prefix").alias("prefix_")).distinct()
+        within = rows.join(open_, (F.col("key") == F.col("key_")) & (F.shiftright("v", above) == F.col("prefix_")), "left_semi")
+        cells = within.groupBy(F.col("key").alias("of"), F.shiftright("v", shift).alias("cell")).agg(F.sum("n").alias("n"))
+        cells = cells.withColumn("in", F.shiftright("cell", width)).withColumn(
+            "upto", F.sum("n").over(Window.partitionBy("of", "in").orderBy("cell"))
         )
-        upto = F.col("before") + F.sum("n").over(Window.partitionBy("key").orderBy("cell"))
-        cells = cells.withColumn("upto", upto).withColumn("of", F.struct("cell", "n", "upto", "low", "high"))
-        holding = [F.min(F.when(F.col("upto") > F.col(rank), F.col("of"))).alias(rank) for rank in ("first", "last")]
-        still_open = {x[0]: x for x in still}
-        still = []
-        for key, one, two in cells.groupBy("key").agg(*holding).collect():
-            _, first, last, *_ = still_open[key]
-            if one["cell"] == two["cell"] and one["low"] != one["high"]:
-                still.append((key, first, last, one["upto"] - one["n"], one["low"], one["high"]))
-            elif first == last:
-                found.append((key, one["high"]))
-            else:
-                # Neighbouring ranks: in two cells they are the end of one and the start of the next.
-                found.append((key, (last - at[key]) * one["high"] + (at[key] - first) * two["low"]))
-    return spark.createDataFrame(found, "key string, value double")
+        same = (F.col("key") == F.col("of")) & (F.col("prefix") == F.col("in"))
+        sought = hit(sought.join(cells, same))
+    ends = sought.groupBy("key").agg(
+        F.first("at").alias("at"), *[F.max(F.when(F.col("which") == k, F.col("prefix"))).alias(name) for k, name in enumerate(("low", "high"))]
+    )
+    low, high, part = _from_bits(F.col("low")), _from_bits(F.col("high")), F.col("at") - F.floor("at")
+    between = (F.ceil("at") - F.col("at")) * low + part * high
+    return ends.select("key", F.when(part == 0, low).otherwise(between).alias("value"))
 
 
 def _rounded(value: Column) -> Column:
@@ -161,8 +180,8 @@ def total_figures(counts: DataFrame, p: float = PERCENTILE) -> DataFrame:
     """``query_metrics`` from ``latency_counts``."""
     values = percentiles(_values(counts, F.lit("")), p)
     totals = counts.agg(*summary_columns("n"))
-    found = totals.join(F.broadcast(values), F.col("key") == "", "left")
-    return found.select(*totals.columns, _rounded(F.coalesce("value", F.lit(0.0))).alias("p95_latency_ms"))
+    value = F.coalesce(values.agg(F.first("value")).scalar(), F.lit(0.0))  # of the only key
+    return totals.select("*", _rounded(value).alias("p95_latency_ms"))
 
 
 def daily_figures(counts: DataFrame, p: float = PERCENTILE) -> DataFrame:
@@ -170,7 +189,7 @@ def daily_figures(counts: DataFrame, p: float = PERCENTILE) -> DataFrame:
     start = F.col("window.start").cast("string")
     values = percentiles(_values(counts, start), p)
     grouped = counts.groupBy("window").agg(*summary_columns("n"))
-    found = grouped.join(F.broadcast(values), start == F.col("key"), "left")
+    found = grouped.join(values, start == F.col("key"), "left")
     return found.select(
         F.date_format("window.start", "yyyy-MM-dd").alias("day"),
         *[c for c in grouped.columns if c != "window"],
@@ -183,5 +202,5 @@ def _values(counts: DataFrame, key: Column) -> DataFrame:
 
 
 def daily_metrics(log: DataFrame) -> DataFrame:
-    """The same figures for each day of ``ts``; the percentiles are found first, by a few jobs."""
+    """The same figures for each day of ``ts``."""
     return daily_figures(log.select(day_of().alias("window"), "failed", "latency_ms", F.lit(1).alias("n")))

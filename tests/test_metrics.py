@@ -38,26 +38,27 @@ def test_percentile_equals_numpy(spark, p, kind):
 
 def test_percentile_of_nothing_and_of_wild_values(spark):
     assert mt.percentile(spark.createDataFrame([(None,)], "v double"), "v", 0.5) is None
-    wild = [(x,) for x in (-1e300, 1e-300, 0.0, 5e-324, 1e300, 2.0, None)] * 3
+    wild = [(x,) for x in (-1e300, 1e-300, -0.0, 0.0, 5e-324, -5e-324, 1e300, 2.0, None)] * 3
     rows = spark.createDataFrame(wild, "v double")
     want = np.quantile([x for (x,) in wild if x is not None], 0.4)
     assert mt.percentile(rows, "v", 0.4) == pytest.approx(want)
 
 
-def test_cells_far_coarser_than_the_sketch_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(mt, "_CELLS", 2)
+def test_few_bits_a_round_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(mt, "_DIGIT", 3)
+    monkeypatch.setattr(mt, "_FEW", 0)
     rows = spark.range(5000).select((F.pmod(F.xxhash64("id"), F.lit(997)) / 3.0).alias("v"))
     want = np.quantile(rows.toPandas()["v"].to_numpy(), 0.95)
     assert mt.percentile(rows, "v", 0.95) == pytest.approx(want, rel=1e-12)
 
 
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])
-@pytest.mark.parametrize("cells", [2, 256])
-def test_percentiles_by_key_equal_numpy(spark, monkeypatch, p, cells):
-    monkeypatch.setattr(mt, "_CELLS", cells)
+@pytest.mark.parametrize("digit", [6, 18])
+def test_percentiles_by_key_equal_numpy(spark, monkeypatch, p, digit):
+    monkeypatch.setattr(mt, "_DIGIT", digit)
     hash = F.pmod(F.xxhash64("id"), F.lit(10_007))
     key = F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") < 9, "few").otherwise(F.concat(F.lit("k"), hash % 5))
-    value = F.when(F.col("id") % 7 == 0, F.lit(42.0)).when(F.col("id") % 1001 > 0, hash / 7.0)
+    value = F.when(F.col("id") % 7 == 0, F.lit(42.0)).when(F.col("id") % 1001 > 0, hash / 7.0 - 300)
     rows = spark.range(20_000).select(key.alias("key"), value.alias("v"), (F.col("id") % 3 + 1).alias("n"))
     given = rows.toPandas().dropna()
     want = {k: np.quantile(np.repeat(g["v"].to_numpy(), g["n"]), p) for k, g in given.groupby("key")}
