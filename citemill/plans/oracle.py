@@ -457,6 +457,14 @@ ORACLE: dict[str, str] = {
     "query_metrics_daily": DAILY,
     "stream_query_metrics": f"SELECT {METRICS} FROM events",
     "stream_query_metrics_daily": DAILY,
+    "query_metrics_sketched": f"""SELECT * EXCLUDE (p95_latency_ms), true AS p95_within_bound
+        FROM ({DAILY})""",
+    "stream_days_sketched": f"SELECT * EXCLUDE (p95_latency_ms) FROM ({DAILY})",
+    "collection_estimates": f"""WITH {CHUNKS}, parts AS (
+            SELECT count(*) FILTER (WHERE CAST(doc_id AS BIGINT) % 2 = 0) AS even, count(*) AS n FROM chunks)
+        SELECT CAST(step AS INTEGER) AS step, CASE step WHEN 0 THEN even WHEN 1 THEN n ELSE n + even END AS total_vectors,
+            true AS documents_within_bound
+        FROM parts, (VALUES (0), (1), (2)) AS t(step)""",
     "stream_ingest_documents": f"""WITH {CHUNKS},
             {_weights('cw', 'chunk_id', 'chunk_text', 'chunks')}
         SELECT c.doc_id, count(*) AS chunks, count(w.chunk_id) AS vectors

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from citemill import schemas
 from citemill.functions import ids, vectors as vec
-from citemill.operators import chunk, context as ctx, embed, search, validate as val
+from citemill.operators import chunk, context as ctx, embed, search, sketches, validate as val
 from citemill.session import stored
 from citemill.sources import files, lake
 from citemill.sources.lake import SnapshotTable
@@ -183,6 +183,25 @@ def chunk_changes(cut: DataFrame, live: DataFrame) -> DataFrame:
     )
 
 
+def counted(store: SnapshotTable, folder: str, at: dt.datetime | None = None) -> DataFrame:
+    """Vectors and documents of a collection, from a sketch kept for each commit below ``folder``.
+
+    Only commits without a sketch are read; what was counted once is never read again. The number
+    of vectors is that of all visible rows, documents are within ``sketches.distinct_error``.
+    """
+    spark, schema = store.spark, "total_vectors bigint, documents binary, snapshot_id bigint"
+    spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+    known = spark.read.schema(schema).parquet(folder)
+    shown = lake.visible(store.log(), at).select("snapshot_id")
+    missing = [r["snapshot_id"] for r in shown.join(known, "snapshot_id", "left_anti").collect()]
+    if missing:
+        rows = store.rows().filter(F.col("snapshot_id").isin(missing))
+        made = sketches.document_sketches(rows, F.col("snapshot_id"))
+        made.select("total_vectors", "documents", "snapshot_id").write.mode("append").parquet(folder)
+    every = spark.read.schema(schema).parquet(folder).dropDuplicates(["snapshot_id"])
+    return sketches.document_estimate(every.join(shown, "snapshot_id", "left_semi"))
+
+
 CHANGES = ("new", "changed", "gone", "same")
 
 

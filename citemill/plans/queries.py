@@ -20,6 +20,7 @@ from citemill.operators import (
     embed,
     metrics as mt,
     search,
+    sketches as sk,
     tables as tb,
     validate as val,
 )
@@ -713,6 +714,49 @@ def query_metrics_daily(spark, sf):
     return mt.daily_metrics(src.query_events(spark, sf))
 
 
+@query
+def query_metrics_sketched(spark, sf):
+    """Days from sketches of each day and type of event, merged; their ranks are held against the log."""
+    events = src.table(spark, sf, "events")
+    log = src.as_query_log(events).withColumn("kind", events["event_type"])
+    parts = stored(sk.daily_sketches(log, F.col("kind")), "sketches")
+    days = sk.merged(parts, F.col("window"))
+    found = sk.figures(days, "window")
+    value = days.select(F.col("window.start").alias("start"), sk.quantile().alias("value"))
+    ranked = log.select(mt.day_of()["start"].alias("start"), "latency_ms").join(value, "start")
+    ranks = ranked.groupBy("start").agg(
+        F.avg((F.col("latency_ms") < F.col("value")).cast("double")).alias("below"),
+        F.avg((F.col("latency_ms") <= F.col("value")).cast("double")).alias("upto"),
+    )
+    # Three times the bound that holds for one value with 99 %.
+    most, p = 3 * sk.rank_error(), mt.PERCENTILE
+    near = (F.col("below") <= p + most) & (F.col("upto") >= p - most)
+    return found.join(ranks, F.col("window.start") == F.col("start")).select(
+        F.date_format("start", "yyyy-MM-dd").alias("day"), "total_queries", "successful_queries", "failed_queries",
+        "success_rate", "avg_latency_ms", near.alias("p95_within_bound"),
+    )
+
+
+@query
+def collection_estimates(spark, sf):
+    """Three commits, the last one brings documents again; counts come from a sketch of each commit."""
+    points = src.dealt(src.table(spark, sf, "documents")).select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    cut = chunk.chunk_fixed(points.withColumnRenamed("text", "content")).select("chunk_id", "doc_id")
+    store, folder = SnapshotTable(spark, work_dir(spark, "counted"), cut.schema), work_dir(spark, "sketches")
+    odd = F.col("doc_id").cast("bigint") % 2
+    seen = None
+    for step, part in enumerate((cut.filter(odd == 0), cut.filter(odd == 1), cut.filter(odd == 0))):
+        store.commit(part, at=FIRST_COMMIT + dt.timedelta(days=step))
+        exact = store.read().agg(F.count_distinct("doc_id")).scalar()
+        off = F.abs(F.col("documents") - exact) / exact
+        found = pipeline.counted(store, folder).select(
+            F.lit(step).alias("step"), "total_vectors", (off <= 4 * sk.distinct_error()).alias("documents_within_bound")
+        )
+        found = stored(found, "counted-step")
+        seen = found if seen is None else seen.unionByName(found)
+    return seen
+
+
 # --- streams ---------------------------------------------------------------------------
 
 
@@ -740,6 +784,15 @@ def stream_query_metrics_daily(spark, sf):
     return _run_metrics(spark, stream_metrics.running_daily(log))
 
 
+@query
+def stream_days_sketched(spark, sf):
+    """Days by a state of one sketch each; counts are exact, and every day is there once."""
+    folder = work_dir(spark, "days")
+    days = stream_metrics.running_sketches(src.as_query_log(_stream(spark, sf, "events")), "60 days")
+    stream_metrics.start_days(days, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return stream_metrics.latest_days(spark, f"{folder}/out").drop("p95_latency_ms")
+
+
 @query
 def stream_ingest_documents(spark, sf):
     """Documents as a stream: checked, chunked, embedded and stored."""
