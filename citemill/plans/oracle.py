@@ -401,6 +401,8 @@ ORACLE: dict[str, str] = {
         FROM embeddings JOIN means USING (label)""",
     "search_chunks": f"""WITH {HITS} SELECT q_id, rk, round(score, 6) AS score, chunk_id, doc_id,
             chunk_index, filename, text FROM hits WHERE rk <= 3""",
+    "search_postings": f"""WITH {HITS} SELECT q_id, rk, round(score, 6) AS score, chunk_id, doc_id,
+            chunk_index, filename, text FROM hits WHERE rk <= 3""",
     "confidence_levels": f"""WITH {HITS} SELECT q_id, rk, chunk_id,
             CASE WHEN score >= 0.8 THEN 'HIGH' WHEN score >= 0.6 THEN 'MEDIUM' ELSE 'LOW' END
                 AS confidence_level

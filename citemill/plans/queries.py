@@ -19,6 +19,7 @@ from citemill.operators import (
     context as ctx,
     embed,
     metrics as mt,
+    postings,
     search,
     sketches as sk,
     tables as tb,
@@ -605,6 +606,18 @@ def search_chunks(spark, sf):
     )
 
 
+@query
+def search_postings(spark, sf):
+    """The same hits from an inverted index over the hashed vectors."""
+    chunks = chunk.chunk_fixed(src.raw_documents(spark, sf), carry=("filename",))
+    carry = ("doc_id", "chunk_index", "filename", "chunk_text")
+    index = postings.build(embed.embed_chunks(chunks), carry=carry)
+    hits = postings.top_k(pipeline.embed_queries(src.questions(spark, sf)), index)
+    return hits.select(
+        "q_id", "rk", _score(), "chunk_id", "doc_id", "chunk_index", "filename", F.col("chunk_text").alias("text")
+    )
+
+
 @query
 def confidence_levels(spark, sf):
     hits = ctx.with_confidence(_text_hits(spark, sf, 20))

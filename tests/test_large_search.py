@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from citemill.operators import cells, codes, search
+from citemill.operators import cells, codes, embed, postings, search
+from citemill.plans import pipeline
 from tests.test_search import DIM, ITEMS, REQUESTS, data, exact
 
 
@@ -46,6 +47,8 @@ def test_all_ways_find_the_same(spark, name, queries, items):
     assert rows(cells.top_k(asked, index, read)) == want
     if name == "clusters":
         assert 0 < read.value < len(queries) * len(items) / 2
+    listed = postings.build(held, dim=DIM)
+    assert rows(postings.top_k(asked, listed, DIM)) == want
     coded = codes.encode(held, dim=DIM)
     assert rows(codes.top_k(asked, coded, held, dim=DIM, block_bytes=small)) == want
 
@@ -78,3 +81,26 @@ def test_codes_take_a_quarter_and_their_intervals_hold(spark):
     low, high = codes.intervals(q, coded, DIM)
     true = q @ unit(np.array([x[i] for i in coded.column("chunk_id").to_pylist()])).T
     assert (low <= true).all() and (true <= high).all() and (high - low).max() < 0.05
+
+
+def test_limits_leave_no_item_out():
+    rng = np.random.default_rng(8)
+    sparse = lambda n: rng.normal(size=(n, 30)) * (rng.random((n, 30)) < 0.2)
+    unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    x, q = unit(sparse(800)), unit(sparse(60))
+    q = q[np.abs(q).sum(axis=1) > 0]
+    high, count = np.abs(x).max(axis=0), (x != 0).sum(axis=0)
+    for floor in (0.1, 0.5, 0.9):
+        wanted = postings.limits(q, np.full(len(q), floor), high, count)
+        row, item = np.nonzero(q @ x.T >= floor)
+        assert (np.abs(x[item]) >= wanted[row]).any(axis=1).all()
+
+
+def test_few_postings_are_read_for_texts(spark, small):
+    asked = spark.read.parquet(f"{small}/benchmark.parquet").selectExpr("item_id q_id", "text query")
+    texts = spark.read.parquet(f"{small}/documents.parquet").selectExpr("cast(doc_id as string) chunk_id", "text chunk_text")
+    held = embed.embed_chunks(texts)
+    index, read = postings.build(held), spark.sparkContext.accumulator(0)
+    requests = pipeline.embed_queries(asked, 4)
+    found, want = rows(postings.top_k(requests, index, read=read)), rows(search.top_k(requests, held))
+    assert found == want and len(want) == 160
