@@ -1,13 +1,14 @@
 """Exact search over sparse vectors by an inverted index with upper bounds.
 
-For every dimension the index lists the items that have a weight there, largest weight first, in
+For every dimension the index lists the items that have a weight there, largest weight first (whatever its sign), in
 blocks that know their largest. Weights are relative to the item's length, so with a query of
 length 1 the sum of products is the cosine. A query that has to beat a score leaves out its longest
 lists as long as all they could add stays below the score; an item it still wants must then have, in
 one of the other lists, a weight of at least what is left of the score over the sum of the
-query's own weights there. Only blocks that reach that are read, and only items found in them are
-scored, from their whole vectors. The score to beat is the query's own limit or the k-th best
-of the items in the first blocks of its lists.
+query's own weights there. Only blocks that reach that are read. What an item gains in them, over
+the most that an item not seen there could have, tells whether it can still reach the score; only
+such items are scored, from their whole vectors. The score to beat is the query's own limit or the k-th best
+of some items from the first blocks of its lists.
 
 The rows are those of ``search.top_k``. Queries with nothing to beat, for which items without a
 common dimension may count, are searched in full.
@@ -21,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.accumulators import Accumulator
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from citemill.functions import scores as sc, vectors as vec
 from citemill.operators import search
@@ -29,6 +30,7 @@ from citemill.session import stored
 
 BLOCK = 512
 _SLACK = 1e-9  # for sums in double precision
+_TRIED = 4  # times k items are scored for the score to beat
 
 
 @dataclass
@@ -65,12 +67,12 @@ def build(
                 x /= np.maximum(np.sqrt((x**2).sum(axis=1)), 1e-300)[:, None]
             row, at = np.nonzero(x)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), batch.column(0).take(pa.array(row)), pa.array(np.abs(x[row, at]))],
+                [pa.array(at.astype(np.int32)), batch.column(0).take(pa.array(row)), pa.array(x[row, at])],
                 names=["dim", "id", "weight"],
             )
 
     postings = kept.select(item_id, "vector").mapInArrow(post, f"dim int, id {kind}, weight double")
-    order = ["dim", F.desc("weight"), "id"]
+    order = ["dim", F.desc(F.abs("weight")), "id"]
     ordered = postings.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +89,7 @@ def build(
                     lists = [
                         pa.ListArray.from_arrays(bounds, pa.concat_arrays([part.column(c)])) for c in ("id", "weight")
                     ]
-                    high = pa.array([part.column("weight")[0].as_py()])
+                    high = pa.array([abs(part.column("weight")[0].as_py())])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([at[s]]), pa.array([nth], pa.int32()), high, *lists], names=["dim", "nth", "high", "ids", "weights"]
                     )
@@ -118,7 +120,7 @@ def limits(x: np.ndarray, floor: np.ndarray, high: np.ndarray, count: np.ndarray
 
 
 def _candidates(queries: DataFrame, index: Index, dim: int, first: bool, read: Accumulator | None) -> DataFrame:
-    """Pairs of a query and an item to be scored, from the first blocks or from all that reach."""
+    """Pairs of a query and an item to be scored: some from the first blocks, or all that can reach ``floor``."""
     high, count = index.high, index.count
     kind = queries.schema["q_id"].dataType.simpleString()
     item = index.items.schema[index.item_id].dataType.simpleString()
@@ -129,33 +131,47 @@ def _candidates(queries: DataFrame, index: Index, dim: int, first: bool, read: A
                 continue
             x = vec.list_matrix(batch.column(1), dim).astype(np.float64)
             x /= np.sqrt((x**2).sum(axis=1))[:, None]
-            if first:
-                wanted = np.where(x != 0, 0.0, np.inf)
-            else:
-                wanted = limits(x, batch.column(2).to_numpy(), high, count)
+            floor = batch.column(2).to_numpy()
+            wanted = np.where(x != 0, 0.0, np.inf) if first else limits(x, floor, high, count)
+            # The most that an item can have in a list in which it was not seen.
+            unseen = np.abs(x) * np.minimum(wanted, high)
+            need = floor - unseen.sum(axis=1) - 2 * _SLACK
             row, at = np.nonzero(wanted <= high)
+            columns = [pa.array(v) for v in (at.astype(np.int32), wanted[row, at], x[row, at], unseen[row, at], need[row])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(wanted[row, at])],
-                names=["q_id", "dim", "wanted"],
+                [batch.column(0).take(pa.array(row)), *columns], names=["q_id", "dim", "wanted", "own", "unseen", "need"]
             )
 
-    asked = queries.select("q_id", "embedding", "floor").mapInArrow(ask, f"q_id {kind}, dim int, wanted double")
+    asked = queries.select("q_id", "embedding", "floor").mapInArrow(
+        ask, f"q_id {kind}, dim int, wanted double, own double, unseen double, need double"
+    )
     blocks = index.blocks.filter("nth = 0") if first else index.blocks
     met = asked.join(blocks, (asked["dim"] == blocks["dim"]) & (F.col("high") >= F.col("wanted")))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(4)
+            weight = lists.flatten().to_numpy()
             if read is not None:
-                read.add(len(lists.flatten()))
-            size = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), size)
-            good = lists.flatten().to_numpy() >= batch.column(1).to_numpy()[row]
-            ids = batch.column(3).flatten().filter(pa.array(good))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[good])), ids], names=["q_id", "item"])
-
-    pairs = met.select("q_id", "wanted", "weights", "ids").mapInArrow(found, f"q_id {kind}, item {item}")
-    return pairs.distinct()
+                read.add(len(weight))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            wanted, own, unseen = (batch.column(k).to_numpy()[row] for k in (1, 2, 3))
+            good = np.abs(weight) >= wanted
+            row, gain = row[good], (own * weight - unseen)[good]
+            ids = batch.column(5).flatten().filter(pa.array(good))
+            needs = batch.column(6).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), ids, pa.array(gain), needs], names=["q_id", "item", "gain", "need"]
+            )
+
+    pairs = met.select("q_id", "wanted", "own", "unseen", "weights", "ids", "need").mapInArrow(
+        found, f"q_id {kind}, item {item}, gain double, need double"
+    )
+    pairs = pairs.groupBy("q_id", "item").agg(F.sum("gain").alias("gain"), F.first("need").alias("need"))
+    if not first:
+        return pairs.filter("gain >= need").select("q_id", "item")
+    nth = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("gain"), "item"))
+    return pairs.withColumn("nth", nth).filter(F.col("nth") <= _TRIED * search.MAX_TOP_K).select("q_id", "item")
 
 
 def _scored(pairs: DataFrame, queries: DataFrame, index: Index) -> DataFrame:

@@ -731,7 +731,7 @@ def query_metrics_daily(spark, sf):
 def query_metrics_sketched(spark, sf):
     """Days from sketches of each day and type of event, merged; their ranks are held against the log."""
     events = src.table(spark, sf, "events")
-    log = src.as_query_log(events).withColumn("kind", events["event_type"])
+    log = events.select("ts", F.col("event_type").alias("kind"), (F.col("event_type") == "error").alias("failed"), F.col("value").alias("latency_ms"))
     parts = stored(sk.daily_sketches(log, F.col("kind")), "sketches")
     days = sk.merged(parts, F.col("window"))
     found = sk.figures(days, "window")
