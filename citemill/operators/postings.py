@@ -132,18 +132,23 @@ def _candidates(queries: DataFrame, index: Index, dim: int, first: bool, read: A
             x = vec.list_matrix(batch.column(1), dim).astype(np.float64)
             x /= np.sqrt((x**2).sum(axis=1))[:, None]
             floor = batch.column(2).to_numpy()
-            wanted = np.where(x != 0, 0.0, np.inf) if first else limits(x, floor, high, count)
+            all_lists = np.where(x != 0, 0.0, np.inf)
+            wanted = all_lists if first else limits(x, floor, high, count)
+            # Where most would be read anyway, all is: then sums leave hardly anything to be scored.
+            spared = (count * (np.isinf(wanted) & (x != 0))).sum(axis=1)
+            wanted = np.where((2 * spared < (count * (x != 0)).sum(axis=1))[:, None], all_lists, wanted)
             # The most that an item can have in a list in which it was not seen.
             unseen = np.abs(x) * np.minimum(wanted, high)
-            need = floor - unseen.sum(axis=1) - 2 * _SLACK
+            most = unseen.sum(axis=1)
             row, at = np.nonzero(wanted <= high)
-            columns = [pa.array(v) for v in (at.astype(np.int32), wanted[row, at], x[row, at], unseen[row, at], need[row])]
+            columns = [pa.array(v) for v in (at.astype(np.int32), wanted[row, at], x[row, at], unseen[row, at], most[row], floor[row])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), *columns], names=["q_id", "dim", "wanted", "own", "unseen", "need"]
+                [batch.column(0).take(pa.array(row)), *columns, batch.column(3).take(pa.array(row))],
+                names=["q_id", "dim", "wanted", "own", "unseen", "most", "floor", "top_k"],
             )
 
-    asked = queries.select("q_id", "embedding", "floor").mapInArrow(
-        ask, f"q_id {kind}, dim int, wanted double, own double, unseen double, need double"
+    asked = queries.select("q_id", "embedding", "floor", "top_k").mapInArrow(
+        ask, f"q_id {kind}, dim int, wanted double, own double, unseen double, most double, floor double, top_k bigint"
     )
     blocks = index.blocks.filter("nth = 0") if first else index.blocks
     met = asked.join(blocks, (asked["dim"] == blocks["dim"]) & (F.col("high") >= F.col("wanted")))
@@ -157,21 +162,29 @@ def _candidates(queries: DataFrame, index: Index, dim: int, first: bool, read: A
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             wanted, own, unseen = (batch.column(k).to_numpy()[row] for k in (1, 2, 3))
             good = np.abs(weight) >= wanted
-            row, gain = row[good], (own * weight - unseen)[good]
+            row, part, known = row[good], (own * weight)[good], unseen[good]
             ids = batch.column(5).flatten().filter(pa.array(good))
-            needs = batch.column(6).take(pa.array(row))
+            given = [batch.column(k).take(pa.array(row)) for k in (0, 6, 7, 8)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), ids, pa.array(gain), needs], names=["q_id", "item", "gain", "need"]
+                [given[0], ids, pa.array(part), pa.array(known), *given[1:]],
+                names=["q_id", "item", "part", "known", "most", "floor", "top_k"],
             )
 
-    pairs = met.select("q_id", "wanted", "own", "unseen", "weights", "ids", "need").mapInArrow(
-        found, f"q_id {kind}, item {item}, gain double, need double"
+    pairs = met.select("q_id", "wanted", "own", "unseen", "weights", "ids", "most", "floor", "top_k").mapInArrow(
+        found, f"q_id {kind}, item {item}, part double, known double, most double, floor double, top_k bigint"
     )
-    pairs = pairs.groupBy("q_id", "item").agg(F.sum("gain").alias("gain"), F.first("need").alias("need"))
-    if not first:
-        return pairs.filter("gain >= need").select("q_id", "item")
-    nth = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("gain"), "item"))
-    return pairs.withColumn("nth", nth).filter(F.col("nth") <= _TRIED * search.MAX_TOP_K).select("q_id", "item")
+    constant = [F.first(c).alias(c) for c in ("most", "floor", "top_k")]
+    pairs = pairs.groupBy("q_id", "item").agg(F.sum("part").alias("part"), F.sum("known").alias("known"), *constant)
+    if first:
+        nth = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("part"), "item"))
+        return pairs.withColumn("nth", nth).filter(F.col("nth") <= _TRIED * search.MAX_TOP_K).select("q_id", "item")
+    # What was not seen adds or takes at most so much, so each score has two ends.
+    open_ = F.col("most") - F.col("known") + 2 * _SLACK
+    pairs = pairs.withColumns({"low": F.col("part") - open_, "high": F.col("part") + open_}).filter("high >= floor")
+    by_low = Window.partitionBy("q_id").orderBy(F.desc("low"))
+    pairs = pairs.withColumn("nth", F.row_number().over(by_low))
+    kth = F.max(F.when(F.col("nth") == F.col("top_k"), F.col("low"))).over(Window.partitionBy("q_id"))
+    return pairs.withColumn("kth", kth).filter("kth is null or high >= kth").select("q_id", "item")
 
 
 def _scored(pairs: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
