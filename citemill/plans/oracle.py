@@ -205,6 +205,20 @@ USER = _quoted(USER_PROMPT).replace("%s", "' || context || '", 1).replace("%s",
 
 ORACLE: dict[str, str] = {
     "chunk_fixed": f"WITH {CHUNKS} SELECT {CHUNK_COLUMNS} FROM chunks",
+    # Steps of 150 characters, each with the 50 that follow it: linear in a long text.
+    "chunk_large_texts": f"""WITH texts AS (
+            SELECT source AS doc_id, string_agg(text, '' ORDER BY doc_id) AS content FROM documents
+            WHERE source IS NOT NULL AND doc_id IS NOT NULL GROUP BY source),
+        steps AS (SELECT doc_id, regexp_extract_all(content, '(?s).{{1,150}}') AS steps FROM texts),
+        cut AS (
+            SELECT doc_id, i, trim(steps[i] || coalesce(left(steps[i + 1], 50), ''), {WS}) AS chunk_text
+            FROM (SELECT *, unnest(range(1, len(steps) + 1)) AS i FROM steps)),
+        numbered AS (
+            SELECT doc_id, chunk_text, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS chunk_index
+            FROM cut WHERE chunk_text <> '')
+        SELECT substr(md5(doc_id || '-' || chunk_index), 1, 16) AS chunk_id, doc_id, chunk_index, chunk_text,
+            CAST(length(chunk_text) AS INTEGER) AS chunk_size, 'fixed-200-overlap-50' AS chunking_strategy
+        FROM numbered""",
     "chunk_fixed_keep_empty": f"""WITH {BLANKED}, {_windows('chunks', 60, 10, keep=True)}
         SELECT {CHUNK_COLUMNS} FROM chunks""",
     "chunk_fixed_drop_empty": f"""WITH {BLANKED}, {_windows('chunks', 60, 10)}

@@ -19,6 +19,7 @@ from citemill.operators import (
     context as ctx,
     embed,
     metrics as mt,
+    parts as pt,
     postings,
     search,
     sketches as sk,
@@ -78,6 +79,15 @@ def chunk_fixed_drop_empty(spark, sf):
     return chunk.chunk_fixed(_blanked_pages(spark, sf), 60, 10)
 
 
+@query
+def chunk_large_texts(spark, sf):
+    """All documents of a source, one after the other, as one text that is given in parts."""
+    parts = src.dealt(src.table(spark, sf, "documents")).select(
+        F.col("source").alias("doc_id"), F.col("doc_id").alias("part"), F.col("text").alias("content")
+    )
+    return pt.chunk_fixed_parts(parts)
+
+
 @query
 def chunk_sentences(spark, sf):
     return chunk.chunk_sentences(src.raw_documents(spark, sf))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citemill import schemas
@@ -13,6 +16,8 @@ from citemill.operators import validate as val
 TEXT_FILES = "*.{[tT][xX][tT],[mM][dD]}"
 PARSER_FILES = "*.[pP][dD][fF]"
 
+PART_BYTES = 8 << 20
+
 
 def scan(spark: SparkSession, folder: str) -> DataFrame:
     """All files below ``folder`` with an accepted suffix, in either case.
@@ -95,3 +100,58 @@ def uploaded(files: DataFrame) -> DataFrame:
         "created_at",
         val.reject_reason(F.col("filename"), F.col("content")).alias("reject_reason"),
     )
+
+
+def text_parts(spark: SparkSession, folder: str, part_bytes: int = PART_BYTES) -> DataFrame:
+    """Text files in parts of about ``part_bytes``, however large the files are.
+
+    Columns ``doc_id, filename, part, content``, to be chunked by ``parts.chunk_fixed_parts``.
+    Spark cuts the files into byte ranges (``spark.sql.files.maxPartitionBytes``) and reads each in
+    a task of its own; no row holds a whole file, but a line has to fit into one. Parts end at
+    lines, so no character is cut. Texts, ids and names are those of ``loaded``, but for a byte
+    order mark at the start and the line end at the very end, which are left out. ``content``
+    is null where a part is no UTF-8.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", TEXT_FILES)
+    path = F.regexp_replace("_metadata.file_path", "^[a-z0-9]+:(//[^/]*)?", "")
+    bare = F.translate(F.regexp_replace("value", "\r\\z", ""), "\r", "\n")
+    lines = reader.option("lineSep", "\n").text(folder).select(
+        F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.when(F.is_valid_utf8("value"), bare.cast("binary")).alias("line"),
+    )
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nth, held, size = None, 0, [], 0
+
+        def flush() -> pa.RecordBatch:
+            columns = [[at[0]], [at[1] + nth], [None if None in held else b"".join(held)]]
+            kinds = [pa.string(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["path", "part", "content"]
+            )
+
+        for batch in batches:
+            for path, start, line in zip(*[c.to_pylist() for c in batch.columns]):
+                if (path, start) != at:
+                    if held:
+                        yield flush()
+                    # A line end comes before each line but the first of a file.
+                    first, at, nth, held, size = start == 0, (path, start), 0, [], 0
+                else:
+                    first = False
+                held.append(line if first or line is None else b"\n" + line)
+                size += len(line or b"") + 1
+                if size >= part_bytes:
+                    yield flush()
+                    nth, held, size = nth + 1, [], 0
+        if held:
+            yield flush()
+
+    read = lines.mapInArrow(joined, "path string, part long, content binary")
+    return read.select(
+        ids.name_id(F.col("path")).alias("doc_id"),
+        tx.file_name(F.col("path")).alias("filename"),
+        "part",
+        F.col("content").cast("string").alias("content"),
+    )
