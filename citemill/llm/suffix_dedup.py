@@ -9,8 +9,8 @@ hash occurs again:
 1. records with equal content at different places are repeated as a whole;
 2. of different records under one hash, one of each content goes, with its bytes, to a task
    that sorts their suffixes and compares neighbours;
-3. hashes with more than ``CROWDED`` different records file each single window by a 128-bit
-   checksum instead, so no task has to hold them together.
+3. hashes whose different records are more than ``CROWDED`` or 2 MB file each single window by
+   a 128-bit checksum instead, so no task has to hold them together.
 
 Suffixes are put in order in two stages: those smaller than their successors are sorted
 directly, the others are induced from them in one scan over the buckets of first bytes.
@@ -34,6 +34,7 @@ LENGTH, GRAM = 200, 64
 CROWDED = 4096
 _WINDOW = LENGTH - GRAM + 1
 _PIECE = 1 << 20
+_CROWDED_BYTES = 2 << 20  # sorting takes up to 200 bytes for each
 _FAR = 255  # stands between records; no byte of UTF-8
 _NOISE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -136,25 +137,6 @@ def _filed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in the order of ``h``, those that are not alone. Holds back one row at a time."""
-    held, kept = None, False
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        h = batch.column("h").to_numpy()
-        keep = batch.column("places").to_numpy() > 1
-        keep[1:] |= h[1:] == h[:-1]
-        keep[:-1] |= h[1:] == h[:-1]
-        keep[0] |= kept
-        yield batch.slice(0, len(h) - 1).filter(pa.array(keep[:-1]))
-        held, kept = batch.slice(len(h) - 1), bool(keep[-1])
-    if held is not None and kept:
-        yield held
-
-
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` but its last ``depth``, by the ``depth`` bytes that follow each.
 
@@ -296,8 +278,12 @@ def repeated_spans(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
     filed = texts.filter(F.col("size") >= LENGTH).select("k", "size", "body").mapInArrow(
         each_batch(_filed), "h long, rec long, k long, size long, a long, n long, places long"
     )
-    filed = filed.repartition("h").sortWithinPartitions("h").mapInArrow(_recurring, filed.schema)
-    filed = stored(filed, "recurring-records")
+    # Hashes are counted in the tasks first and records looked up by a join, which splits the
+    # records of a passage that is in many texts.
+    filed = stored(filed, "records")
+    again = filed.groupBy("h").agg(F.count("*").alias("records"), F.max("places").alias("most"))
+    again = again.filter("records > 1 or most > 1").select(F.col("h").alias("h_"))
+    filed = stored(filed.join(again, same_key("h", "h_"), "left_semi"), "recurring-records")
 
     place = F.xxhash64("k", "size", "a")
     contents = filed.groupBy("h", "rec").agg(
@@ -313,9 +299,12 @@ def repeated_spans(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
         "k", "size", F.col("a").alias("start"), (F.col("a") + F.col("n") + LENGTH - 1).alias("end")
     )
 
-    mixed = contents.groupBy("h").agg(F.count("*").alias("contents"), F.max("places").alias("most"))
+    mixed = contents.groupBy("h").agg(
+        F.count("*").alias("contents"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"), F.max("places").alias("most")
+    )
+    much = (F.col("contents") > 1) & (F.col("bytes") > _CROWDED_BYTES)
     mixed = mixed.filter("contents > 1 or most > 1").select(
-        F.col("h").alias("h_"), (F.col("contents") > crowded).alias("crowded")
+        F.col("h").alias("h_"), ((F.col("contents") > crowded) | much).alias("crowded")
     )
     mixed = stored(mixed, "mixed-hashes")
     wanted = contents.join(mixed, same_key("h", "h_")).groupBy("k", "size").agg(

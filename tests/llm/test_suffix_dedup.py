@@ -102,3 +102,14 @@ def test_null_and_equal_ids(spark):
     rows = [(None, t), (None, t[:250] + "#" * 50), (7, t), (7, "other text"), (7, t)]
     got = sd.repeat_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x.n_bytes, x.n_removed) for x in got) == [(10, 0), (300, 250), (400, 400), (400, 400), (400, 400)]
+
+
+@pytest.mark.parametrize("most", [2 << 20, 3000])
+def test_long_runs_in_many_texts(spark, monkeypatch, most):
+    """Long different runs of one byte, all under one hash, by sorting and where they are too many bytes."""
+    monkeypatch.setattr(sd, "_CROWDED_BYTES", most)
+    given = ["-" * (250 + 7 * n) + f"{n} end" for n in range(60)] + ["=" * 400 + "x", "=" * 210 + "y"]
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(5)
+    want = brute([t.encode() for t in given])
+    for x in sd.repeat_report(frame).collect():
+        assert tuple(x)[1:] == want[x.doc_id], given[x.doc_id]
