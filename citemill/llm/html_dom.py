@@ -25,7 +25,10 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 # Their text is never part of what a page says. What is inside the first kind is no markup, and without
 # a closing tag they go on to the end of the page.
 RAW = frozenset("script style iframe title textarea".split())
-SILENT = frozenset("template noscript svg math object button select option canvas audio video datalist".split())
+# Formulas and what stands in for an object are text, but not a formula's source in another notation.
+SILENT = frozenset(
+    "template noscript svg annotation annotation-xml button select option canvas audio video datalist".split()
+)
 _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"},

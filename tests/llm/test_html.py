@@ -44,7 +44,7 @@ def test_main_text(model, name):
     assert html_extract.extract(model, [html]) == [want]
 
 
-SILENT = "button select option object svg math video audio canvas template noscript datalist".split()
+SILENT = "button select option svg annotation video audio canvas template noscript datalist".split()
 
 
 @pytest.mark.parametrize("tag", SILENT)
@@ -66,6 +66,15 @@ def test_silent_elements_end_where_they_do(model, tag):
         assert html_extract.extract(model, [f"<body>{article}<{raw}>zzz<p>{PROSE}</p>"]) == [want]
 
 
+def test_formulas_and_objects_are_text(model):
+    formula = (
+        "<math><semantics><mrow><mi>E</mi> <mo>=</mo> <mi>mc</mi></mrow>"
+        "<annotation encoding='application/x-tex'>zzz</annotation></semantics></math>"
+    )
+    page = f"<body><article><h1>Head</h1><p>{PROSE}</p><p>So {formula} <object data='a.b'>as drawn</object> holds. {PROSE}</p></article>"
+    assert html_extract.extract(model, [page]) == [f"Head\n{PROSE}\nSo E = mc as drawn holds. {PROSE}"]
+
+
 def test_many_open_silent_elements_take_linear_time():
     start = time.time()
     for page in ("<svg>" * 100_000, "<div><svg></div>" * 50_000, "<svg></p>" * 50_000, "<select><option>x" * 50_000):
