@@ -279,8 +279,7 @@ def repeated_spans(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
         each_batch(_filed), "h long, rec long, k long, size long, a long, n long, places long"
     )
     # Hashes are counted in the tasks first and records looked up by a join, which splits the
-    # records of a passage that is in many texts.
-    filed = stored(filed, "records")
+    # records of a passage that is in many texts. Making records twice is cheaper than keeping them.
     again = filed.groupBy("h").agg(F.count("*").alias("records"), F.max("places").alias("most"))
     again = again.filter("records > 1 or most > 1").select(F.col("h").alias("h_"))
     filed = stored(filed.join(again, same_key("h", "h_"), "left_semi"), "recurring-records")
