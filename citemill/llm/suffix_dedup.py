@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from citemill.functions.joins import same_key
 from citemill.llm.common import byte_buffer, each_batch, stored, unused
@@ -358,26 +358,26 @@ def remove(body: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, number
 
 
+def _left(body: bytes, spans: list[dict]) -> tuple[bytes, int, int]:
+    return remove(body, [(s["start"], s["end"]) for s in spans])
+
+
 def _cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    starts = batch.column("spans").to_pylist()
     found = [
-        remove(body, [(s["start"], s["end"]) for s in spans])
-        for body, spans in zip(batch.column("body").to_pylist(), starts)
+        _left(body, spans) for body, spans in zip(batch.column("body").to_pylist(), batch.column("spans").to_pylist())
     ]
     yield pa.RecordBatch.from_arrays(
         [
             batch.column("k"), batch.column("size"),
-            pa.array([len(x[0]) for x in found], pa.int64()),
             pa.array([x[1] for x in found], pa.int64()),
             pa.array([x[2] for x in found], pa.int64()),
             pa.array([hashlib.sha256(x[0]).hexdigest() for x in found], pa.string()),
-            pa.array([x[0] for x in found], pa.binary()),
         ],
-        names=["k", "size", "n_kept", "n_removed", "n_spans", "kept_sha256", "kept"],
+        names=["k", "size", "n_removed", "n_spans", "kept_sha256"],
     )
 
 
-_CUT = "k long, size long, n_kept long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+_CUT = "k long, size long, n_removed long, n_spans long, kept_sha256 string"
 
 
 def _kept(rows: DataFrame, spans: DataFrame, row_id: str, text: str) -> DataFrame:
@@ -397,7 +397,7 @@ def repeat_report(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
     Other columns are ignored; an empty table gives an empty one.
     """
     spans = repeated_spans(rows, row_id, text, crowded)
-    kept = _kept(rows, spans, row_id, text).drop("kept", "n_kept")
+    kept = _kept(rows, spans, row_id, text)
     whole = spans.filter("whole").select(
         "k", "size", F.col("size").alias("n_removed"), F.lit(1).cast("bigint").alias("n_spans"),
         F.sha2(F.lit(b""), 256).alias("kept_sha256"),
@@ -420,18 +420,30 @@ def without_repeats(rows: DataFrame, row_id: str = "doc_id", text: str = "text",
     """``rows`` with what is left of ``text``; all rows and columns stay.
 
     Bytes are removed, so a character that loses some of its bytes loses all of them.
-    A null text stays null; a text that loses all becomes empty.
+    A null text stays null; a text that loses all becomes empty. Texts move once, to their
+    spans, and are cut where they meet them; columns are of types Arrow can hold.
     """
     given = rows.columns
-    spans = repeated_spans(rows, row_id, text, crowded)
-    kept = _kept(rows, spans, row_id, text).select("k", "size", "kept")
-    whole = spans.filter("whole").select("k", "size", F.lit(b"").alias("kept"))
-    k, size, left = unused(rows, "k", "size", "kept")
-    changed = stored(kept.unionByName(whole), "changed-texts")
-    changed = changed.withColumnsRenamed({"k": k, "size": size, "kept": left})
-    body = F.col(text).cast("binary")
-    joined = rows.join(changed, (F.xxhash64(body) == F.col(k)) & (F.octet_length(body) == F.col(size)), "left")
-    return joined.select(*[
+    k, size, whole, spans, body, left = unused(rows, "k", "size", "whole", "spans", "body", "left")
+    found = repeated_spans(rows, row_id, text, crowded)
+    found = found.withColumnsRenamed({"k": k, "size": size, "whole": whole, "spans": spans})
+    content = F.col(text).cast("binary")
+    joined = rows.join(found, (F.xxhash64(content) == F.col(k)) & (F.octet_length(content) == F.col(size)), "left")
+    part = F.col(spans).isNotNull()
+    other = F.when(F.col(whole), F.lit("")).when(~part, F.col(text)).alias(text)
+    joined = joined.select(
+        *[other if c == text else F.col(c) for c in given], F.when(part, content).alias(body), spans
+    )
+
+    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bodies, places = batch.column(body).to_pylist(), batch.column(spans).to_pylist()
+        rest = [None if p is None else _left(b, p)[0] for b, p in zip(bodies, places)]
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in given), pa.array(rest, pa.binary())], names=[*given, left]
+        )
+
+    schema = T.StructType([*joined.select(*given).schema, T.StructField(left, T.BinaryType())])
+    return joined.mapInArrow(each_batch(cut), schema).select(*[
         F.coalesce(valid_text(F.col(left)), F.col(c)).alias(c) if c == text else F.col(c) for c in given
     ])
 
