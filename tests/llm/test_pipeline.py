@@ -105,7 +105,7 @@ def test_repeated_rows_null_ids_and_other_columns(spark):
 def test_registered(small):
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.QUERIES) <= set(contract.queries())
+    assert numbers == list(range(1, 14)) and set(queries.QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) & set(queries.QUERIES)))
@@ -113,14 +113,15 @@ def test_query_equals_sql(spark, small, name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     got = queries.QUERIES[name](spark, small).toPandas()
     want = db.execute(contract.oracle_sql()[name]).df()
     assert comparable(got) == comparable(want) and len(got)
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+# Hard negatives are found for some rows only; their rows are compared with SQL above.
+@pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if not n.startswith("op12")))
 def test_every_row_of_the_table(spark, small, name):
     table, column = ("pages", "page_id") if name[2:].split("_")[0] in ("4", "9") else ("documents", "doc_id")
     given = spark.read.parquet(f"{small}/{table}.parquet")
