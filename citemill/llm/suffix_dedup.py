@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from citemill.functions.joins import same_key
-from citemill.llm.common import byte_buffer, each_batch, stored, unused
+from citemill.llm.common import byte_buffer, each_batch, runs, stored, unused
 
 LENGTH, GRAM = 200, 64
 CROWDED = 4096
 _WINDOW = LENGTH - GRAM + 1
 _PIECE = 1 << 20
-_CROWDED_BYTES = 2 << 20  # sorting takes up to 200 bytes for each
+_CROWDED_BYTES = 2 << 20
+_AT_ONCE = 1 << 14  # windows written out to be sorted; more only if all begin alike
 _FAR = 255  # stands between records; no byte of UTF-8
 _NOISE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -137,6 +138,28 @@ def _filed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _sort_directly(text: np.ndarray, starts: np.ndarray, depth: int) -> None:
+    """Sort ``starts`` in place by the ``depth`` bytes from each.
+
+    First by a word of 8 bytes, then whole windows of a few words at a time, so that not all
+    windows are written out at once.
+    """
+    if not len(starts):
+        return
+    width = min(8, depth)
+    words = np.zeros((len(starts), 8), np.uint8)
+    words[:, :width] = np.lib.stride_tricks.sliding_window_view(text, width)[starts]
+    words = words.view(">u8").ravel().astype(np.uint64)
+    order = np.argsort(words, kind="stable")
+    starts[:] = starts[order]
+    words = words[order]
+    edges = np.concatenate(([0], np.flatnonzero(words[1:] != words[:-1]) + 1, [len(words)]))
+    windows = np.lib.stride_tricks.sliding_window_view(text, depth)
+    for first, last in runs(edges, _AT_ONCE, len(edges)):
+        part = starts[edges[first] : edges[last]]
+        part[:] = part[np.argsort(windows[part].view(f"S{depth}").ravel(), kind="stable")]
+
+
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions of ``text`` but its last ``depth``, by the ``depth`` bytes that follow each.
 
@@ -149,9 +172,7 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     turn = np.minimum.accumulate(turn[::-1])[::-1]
     small = (text[turn] < text[turn + 1]) | (turn == n - 1)
     direct = np.flatnonzero(small)
-    windows = np.lib.stride_tricks.sliding_window_view(text, depth)[direct]
-    direct = direct[np.argsort(windows.view(f"S{depth}").ravel(), kind="stable")]
-    del windows
+    _sort_directly(text, direct, depth)
     counts = np.bincount(here, minlength=256)
     small_counts = np.bincount(here[direct], minlength=256)
     bucket = np.concatenate(([0], np.cumsum(counts)))
