@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, functions as F
 
 # Size of a vector, and the characters of which tokens consist.
 DIMENSION = 384
@@ -41,14 +43,28 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.repeat(np.arange(len(texts)), per_row), found
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """Texts in lower case as Python has it; those of ASCII alone, as most are, all at once."""
+    plain = pc.string_is_ascii(texts)
+    low, other = pc.ascii_lower(texts), pc.fill_null(pc.invert(plain), False)
+    if not pc.any(other).as_py():
+        return low
+    fixed = pa.array([t.lower() for t in texts.filter(other).to_pylist()], texts.type)
+    return pc.replace_with_mask(low, other, fixed)
+
+
+@functools.lru_cache(1 << 18)
+def _digest(token: str) -> bytes:
+    return hashlib.md5(token.encode()).digest()
+
+
 def _hash_cells(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(cell of row * dim + dimension, sign) of every token of the lower-cased texts."""
     rows, found = tokens(texts)
     coded = found.dictionary_encode()
-    # Each distinct token of the batch is hashed once: the first four bytes of its digest
-    # choose the dimension, the top bit of the fifth the sign.
-    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
-    digests = b"".join([hashlib.md5(token.encode()).digest() for token in distinct])
+    # The first four bytes of a token's digest choose the dimension, the top bit of the fifth
+    # the sign. Common tokens are hashed once for all batches of a worker.
+    digests = b"".join(map(_digest, coded.dictionary.to_pylist()))
     dims = np.frombuffer(digests, ">u4")[::4].astype(np.int64) % dim
     signs = np.where(np.frombuffer(digests, np.uint8)[4::16] < 128, 1.0, -1.0)
     codes = coded.indices.to_numpy()
@@ -78,6 +94,65 @@ def list_matrix(vectors: pa.Array, dim: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), dim)
 
 
+def packed_matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Matrix of a column of packed vectors, each of ``dim`` elements and none null."""
+    _, ends, data = vectors.buffers()
+    wide = pa.types.is_large_binary(vectors.type)
+    first = int(np.frombuffer(ends, np.int64 if wide else np.int32)[vectors.offset]) if len(vectors) else 0
+    values = np.frombuffer(data or b"", np.uint8)[first : first + 4 * dim * len(vectors)]
+    return values.view(np.float32).reshape(len(vectors), dim)
+
+
+def matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    """Matrix of a column of lists or of packed vectors."""
+    return list_matrix(vectors, dim) if pa.types.is_list(vectors.type) else packed_matrix(vectors, dim)
+
+
+def _as_binary(values: np.ndarray, lengths: np.ndarray, valid: pa.Array) -> pa.Array:
+    ends = np.append(0, np.cumsum(lengths, dtype=np.int64) * 4)
+    if ends[-1] >= 1 << 31:
+        raise ValueError("a batch of vectors is too large")
+    buffers = [valid.buffers()[1], pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values, np.float32))]
+    return pa.Array.from_buffers(pa.binary(), len(lengths), buffers)
+
+
+def matrix_packed(matrix: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Packed vectors of a matrix, null where ``matrix_lists`` has null, and what is wrong with them."""
+    rows, dim = matrix.shape
+    with np.errstate(over="ignore"):
+        values = np.ascontiguousarray(matrix, dtype=np.float32)
+    finite = np.isfinite(values).all(axis=1)
+    broken = pa.array(np.full(rows, "not_finite", object), pa.string(), mask=finite)
+    return _as_binary(values.ravel(), np.full(rows, dim), pa.array(matrix.any(axis=1))), broken
+
+
+def pack(vectors: Column) -> Column:
+    """Lists of floats as bytes, four an element; a list with a null in it has no such form."""
+
+    @F.arrow_udf("binary")
+    def packed(lists: pa.Array) -> pa.Array:
+        values = lists.flatten()
+        if values.null_count:
+            raise ValueError("vector with a null element")
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        return _as_binary(values.to_numpy(), lengths, lists.is_valid())
+
+    return packed(vectors)
+
+
+def unpack(vectors: Column) -> Column:
+    """The lists of floats that ``pack`` was given."""
+
+    @F.arrow_udf("array<float>")
+    def unpacked(column: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy() // 4
+        values = np.frombuffer(b"".join(v for v in column.to_pylist() if v is not None), np.float32)
+        ends = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
+        return pa.ListArray.from_arrays(ends, pa.array(values), mask=pc.is_null(column))
+
+    return unpacked(vectors)
+
+
 def matrix_lists(matrix: np.ndarray) -> pa.Array:
     """List column of a matrix; null for rows without length, which have no direction."""
     rows, dim = matrix.shape

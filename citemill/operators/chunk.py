@@ -111,19 +111,26 @@ def chunk_sentences(
     text: str = "content",
     carry: tuple[str, ...] = (),
     load: Callable[[], Callable[[pa.Array], np.ndarray]] | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Chunks of whole sentences; each repeats the last ``overlap`` words before it.
 
     Where a chunk ends depends on all earlier sentences of the text, so texts are cut in
     Arrow batches. Ids and labels are added by Spark. ``chunk_size`` counts the chunk before
     stripping, as its length decided where to cut. With ``load``, which gives an encoder, a
-    column ``embedding`` is made in the same pass, null where the encoder finds nothing.
+    column ``embedding`` is made in the same pass, null where the encoder finds nothing; with
+    ``packed`` it holds bytes, and a column ``broken`` says what is wrong with a vector.
     """
     if overlap < 1:
         raise ValueError("sentence chunks need an overlap of at least one word")
 
     names = ["doc_id", *carry]
     source = documents.select(F.col("doc_id").cast("string").alias("doc_id"), *carry, text)
+    if packed:
+        made_fields = [T.StructField("embedding", T.BinaryType()), T.StructField("broken", T.StringType())]
+    else:
+        made_fields = [T.StructField("embedding", T.ArrayType(T.FloatType()))]
+    made_fields = made_fields if load else []
     schema = T.StructType(
         [source.schema[name] for name in names]
         + [
@@ -131,7 +138,7 @@ def chunk_sentences(
             T.StructField("chunk_text", T.StringType()),
             T.StructField("chunk_size", T.IntegerType()),
         ]
-        + ([T.StructField("embedding", T.ArrayType(T.FloatType()))] if load else [])
+        + made_fields
     )
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +159,8 @@ def chunk_sentences(
                     pa.array(sizes, pa.int32()),
                 ]
                 if encoder:
-                    made.append(vec.matrix_lists(np.asarray(encoder(made[1]))))
+                    matrix = np.asarray(encoder(made[1]))
+                    made += vec.matrix_packed(matrix) if packed else [vec.matrix_lists(matrix)]
                 return pa.RecordBatch.from_arrays(kept + made, [f.name for f in schema])
 
             for row in range(batch.num_rows):
@@ -171,8 +179,8 @@ def chunk_sentences(
             if rows:
                 yield flush()
 
-    packed = source.mapInArrow(fold, schema)
-    return packed.select(
+    cut = source.mapInArrow(fold, schema)
+    return cut.select(
         ids.chunk_id(F.col("doc_id"), F.col("chunk_index")).alias("chunk_id"),
         "doc_id",
         "chunk_index",
@@ -180,7 +188,7 @@ def chunk_sentences(
         "chunk_size",
         F.lit(tx.strategy_label("smart", size, overlap)).alias("chunking_strategy"),
         *carry,
-        *(["embedding"] if load else []),
+        *[f.name for f in made_fields],
     )
 
 

@@ -30,9 +30,7 @@ def hash_encoder(dim: int = vec.DIMENSION) -> Encoder:
 
 def hash_text_encoder(dim: int = vec.DIMENSION) -> Encoder:
     """The same for texts that are not yet in lower case."""
-    return lambda texts: vec.hash_counts(
-        pa.array([t.lower() for t in texts.to_pylist()], pa.string()), dim
-    )
+    return lambda texts: vec.hash_counts(vec.lowered(texts), dim)
 
 
 def encode_column(
@@ -56,18 +54,42 @@ def encode_column(
     return encode(text)
 
 
+def encode_packed(
+    text: Column, load: Callable[[], Encoder] = hash_encoder, dim: int = vec.DIMENSION
+) -> Column:
+    """The vectors of ``encode_column`` as bytes: ``vector``, and ``broken``, what is wrong with it.
+
+    An element of a list is handled by itself wherever Spark moves or writes it; bytes are copied.
+    """
+
+    @F.arrow_udf("vector binary, broken string")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = load()
+        for texts in batches:
+            matrix = np.asarray(encoder(texts))
+            if matrix.shape != (len(texts), dim):
+                raise ValueError(f"encoder gave {matrix.shape}, need {(len(texts), dim)}")
+            yield pa.StructArray.from_arrays(list(vec.matrix_packed(matrix)), ["vector", "broken"])
+
+    return encode(text)
+
+
 def embed_chunks(
     chunks: DataFrame,
     load: Callable[[], Encoder] | None = None,
     dim: int = vec.DIMENSION,
     text: str = "chunk_text",
+    packed: bool = False,
 ) -> DataFrame:
-    """``chunks`` with a column ``embedding``; hashed tokens unless ``load`` is given."""
-    if load is None:
-        vector = encode_column(F.lower(F.col(text)), lambda: hash_encoder(dim), dim)
-    else:
-        vector = encode_column(F.col(text), load, dim)
-    return chunks.withColumn("embedding", vector)
+    """``chunks`` with a column ``embedding``; hashed tokens unless ``load`` is given.
+
+    With ``packed`` it holds bytes, and a column ``broken`` says of vectors what is wrong with them.
+    """
+    source, made = (F.lower(F.col(text)), lambda: hash_encoder(dim)) if load is None else (F.col(text), load)
+    if packed:
+        coded = chunks.withColumn("embedding", encode_packed(source, made, dim))
+        return coded.select(*chunks.columns, "embedding.broken", F.col("embedding.vector").alias("embedding"))
+    return chunks.withColumn("embedding", encode_column(source, made, dim))
 
 
 def hash_weights(

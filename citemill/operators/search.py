@@ -230,8 +230,9 @@ def _hits(
     first, so that a block is not opened for a handful of items.
     """
     source = items.select(vector, item_id, *carry)
+    packed = source.schema[vector].dataType == T.BinaryType()
     if encoder is None:
-        source = source.filter(F.size(vector) == dim)
+        source = source.filter(F.octet_length(vector) == 4 * dim if packed else F.size(vector) == dim)
     id_field = T.StructField("q_id", T.StringType() if named else T.LongType())
     kept = [source.schema[name] for name in (item_id, *carry)]
     schema = T.StructType(
@@ -241,7 +242,7 @@ def _hits(
     names = [f.name for f in schema]
 
     def local_best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_matrix = encoder() if encoder else lambda lists: vec.list_matrix(lists, dim)
+        to_matrix = encoder() if encoder else lambda vectors: vec.matrix(vectors, dim)
         found = [_Found(block, names) for block in sent]
         one = _Queries(*sent[0].value) if len(sent) == 1 else None
         gathered: list[tuple] = []
@@ -310,7 +311,7 @@ def top_k(
 
     ``queries`` has ``q_id, embedding, top_k, min_score``; a null ``min_score`` keeps all.
     Rows of ``queries`` without a vector of ``dim`` finite elements, not all 0, find
-    nothing, and such items cannot be found. With ``encoder``, column ``vector`` of ``items`` holds
+    nothing, and such items cannot be found. Those of ``items`` may be packed. With ``encoder``, column ``vector`` of ``items`` holds
     texts that are turned into vectors on the fly and never stored. ``carry`` columns
     come back with each hit.
 

@@ -41,7 +41,7 @@ def collection(
     One that is kept ``by_chunk`` is brought up to date by ``reingest_changed``.
     """
     declared = {"dimension": dim, "metric": metric} | (UNIT if by_chunk else {})
-    return SnapshotTable(spark, folder, POINTS, declared)
+    return SnapshotTable(spark, folder, POINTS, declared, ("embedding",))
 
 
 def _is_by_chunk(store: SnapshotTable) -> bool:
@@ -53,7 +53,11 @@ def _held_to_contract(made: DataFrame, dim: int) -> DataFrame:
 
     Points without a vector are kept, as they are when an encoder finds nothing in a text.
     """
-    checked = val.check_vectors(made, dim)
+    if made.schema["embedding"].dataType == T.BinaryType():
+        wrong = F.when(F.octet_length("embedding") != 4 * dim, F.lit("wrong_dimension"))
+        checked = made.withColumn("reject_reason", F.coalesce(wrong, "broken")).drop("broken")
+    else:
+        checked = val.check_vectors(made, dim)
     broken = F.col("embedding").isNotNull() & F.col("reject_reason").isNotNull()
     message = F.concat(F.lit("vector of "), F.col("chunk_id"), F.lit(": "), F.col("reject_reason"))
     held = F.when(broken, F.raise_error(message)).otherwise(F.col("embedding"))
@@ -66,18 +70,21 @@ def points(
     chunker: Callable[..., DataFrame] = chunk.chunk_fixed,
     load: Callable[[], embed.Encoder] | None = None,
     dim: int = vec.DIMENSION,
+    packed: bool = False,
 ) -> DataFrame:
     """Chunks of documents as points of a collection. One pass, no shuffle.
 
     A chunker that can make vectors (it takes ``load``) does so in its own pass. Chunks without
-    a vector keep a null and are left out when the points are indexed.
+    a vector keep a null and are left out when the points are indexed. With ``packed`` vectors are
+    bytes, unless the chunker makes them and cannot give them so.
     """
     carry = ("filename", "file_type")
-    if "load" in inspect.signature(chunker).parameters:
+    takes = inspect.signature(chunker).parameters
+    if "load" in takes:
         encoder = load or partial(embed.hash_text_encoder, dim)
-        made = chunker(documents, carry=carry, load=encoder)
+        made = chunker(documents, carry=carry, load=encoder, **({"packed": True} if packed and "packed" in takes else {}))
     else:
-        made = embed.embed_chunks(chunker(documents, carry=carry), load, dim)
+        made = embed.embed_chunks(chunker(documents, carry=carry), load, dim, packed=packed)
     made = made.select(
         ids.point_id(F.col("chunk_id")).alias("point_id"),
         "chunk_id",
@@ -90,6 +97,7 @@ def points(
         F.col("chunking_strategy").alias("strategy"),
         F.lit(indexed_at).cast("timestamp").alias("indexed_at"),
         "embedding",
+        *(["broken"] if "broken" in made.columns else []),
     )
     return _held_to_contract(made, dim)
 
@@ -114,10 +122,11 @@ def reingest(
     spark = documents.sparkSession
     read, made = Observation(), Observation()
     source = documents.observe(read, F.count(F.lit(1)).alias("documents"))
-    indexed = points(source, indexed_at, chunker, load, dim).observe(
+    store = _open_collection(spark, folder, dim)
+    indexed = points(source, indexed_at, chunker, load, dim, bool(store.packed)).observe(
         made, F.count(F.lit(1)).alias("chunks"), F.count("embedding").alias("vectors")
     )
-    _open_collection(spark, folder, dim).commit(indexed, "overwrite", indexed_at)
+    store.commit(indexed, "overwrite", indexed_at)
     totals = {**read.get, **made.get}
     return spark.createDataFrame(
         [("success", totals["documents"], totals["chunks"], totals["vectors"], collection)],
@@ -144,19 +153,22 @@ def upsert(
     if _is_by_chunk(store):
         raise ValueError("this collection is renewed by chunks")
     dim = int(store.properties.get("dimension", vec.DIMENSION))
-    made = points(documents, indexed_at, **{"dim": dim, **options})
+    made = points(documents, indexed_at, **{"dim": dim, "packed": bool(store.packed), **options})
     return store.commit(made, "append", indexed_at, stream_id, batch_id)
 
 
-def searchable(store: SnapshotTable, at: dt.datetime | None = None) -> DataFrame:
-    """Points that can be found: the newest of each document, or chunk, that have a vector."""
-    shown = live_points(store, at) if _is_by_chunk(store) else store.current(at)
+def searchable(store: SnapshotTable, at: dt.datetime | None = None, packed: bool = False) -> DataFrame:
+    """Points that can be found: the newest of each document, or chunk, that have a vector.
+
+    ``packed`` gives vectors as they are stored, which a search reads with less work.
+    """
+    shown = live_points(store, at, packed) if _is_by_chunk(store) else store.current(at, packed=packed)
     return shown.filter(F.col("embedding").isNotNull())
 
 
-def live_points(store: SnapshotTable, at: dt.datetime | None = None) -> DataFrame:
+def live_points(store: SnapshotTable, at: dt.datetime | None = None, packed: bool = False) -> DataFrame:
     """The newest point of each chunk of a collection kept by chunks, without withdrawn ones."""
-    return store.current(at, key="chunk_id").filter(~F.col("strategy").eqNullSafe(F.lit(WITHDRAWN)))
+    return store.current(at, "chunk_id", packed).filter(~F.col("strategy").eqNullSafe(F.lit(WITHDRAWN)))
 
 
 def chunk_changes(cut: DataFrame, live: DataFrame) -> DataFrame:
@@ -234,13 +246,13 @@ def reingest_changed(
         def only_wanted(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
             return chunker(rows, carry=carry).join(wanted, ["chunk_id", "doc_id"], "left_semi")
 
-        made = points(documents, indexed_at, only_wanted, load, dim)
+        made = points(documents, indexed_at, only_wanted, load, dim, bool(store.packed))
         gone = changes.filter("change = 'gone'").select(
             *[
                 {"point_id": ids.point_id(F.col("chunk_id")), "chunk_id": F.col("chunk_id"), "doc_id": F.col("doc_id"),
                  "strategy": F.lit(WITHDRAWN), "indexed_at": F.lit(indexed_at).cast("timestamp")}
                 .get(f.name, F.lit(None).cast(f.dataType)).alias(f.name)
-                for f in POINTS
+                for f in store.kept
             ]
         )
         store.commit(made.unionByName(gone), "append", indexed_at)

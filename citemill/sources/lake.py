@@ -21,6 +21,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from citemill import schemas
+from citemill.functions import vectors as vec
 from citemill.functions.joins import same_key
 
 # Names of the database and its tables.
@@ -129,6 +130,10 @@ class SnapshotTable:
 
     ``properties`` are stored when the table is made. Whoever opens it later gets those that
     are stored, and is refused if they differ from what is asked for.
+
+    Columns ``packed``, vectors of floats without nulls, are kept as bytes, since Spark takes far
+    longer to write or read the elements of a list. A table made otherwise stays as it is, and
+    readers get lists unless they ask for the bytes.
     """
 
     def __init__(
@@ -137,32 +142,41 @@ class SnapshotTable:
         folder: str,
         schema: T.StructType,
         properties: dict[str, str] | None = None,
+        packed: tuple[str, ...] = (),
     ) -> None:
         self.spark, self.schema = spark, schema
         folder = folder.rstrip("/")
         self._data, self._log, self._claims = f"{folder}/data", f"{folder}/log", f"{folder}/claims"
         asked = {name: str(value) for name, value in (properties or {}).items()}
         for made, kind, lines in (
-            (f"{self._data}/snapshot_id=0", schema, []),
+            (f"{self._data}/snapshot_id=0", self._kept_as(packed), []),
             (f"{self._log}/entry=0", schemas.SNAPSHOT_LOG, []),
-            (f"{folder}/properties", schemas.PROPERTIES, list(asked.items())),
+            (f"{folder}/properties", schemas.PROPERTIES, list((asked | ({"packed": ",".join(packed)} if packed else {})).items())),
         ):
             spark.createDataFrame(lines, kind).coalesce(1).write.mode("ignore").parquet(made)
         stored = spark.read.schema(schemas.PROPERTIES).parquet(f"{folder}/properties")
         self.properties = {row["name"]: row["value"] for row in stored.collect()}
+        self.packed = tuple(filter(None, self.properties.pop("packed", "").split(",")))
+        self.kept = self._kept_as(self.packed)
         for name, value in asked.items():
             if self.properties.get(name) != value:
                 raise ValueError(f"{name} is {self.properties.get(name)}, not {value}")
 
+    def _kept_as(self, packed: tuple[str, ...]) -> T.StructType:
+        return T.StructType([T.StructField(f.name, T.BinaryType()) if f.name in packed else f for f in self.schema])
+
+    def _given(self, rows: DataFrame, packed: bool) -> DataFrame:
+        return rows if packed or not self.packed else rows.withColumns({c: vec.unpack(F.col(c)) for c in self.packed})
+
     def log(self) -> DataFrame:
         entries = self.spark.read.schema(schemas.SNAPSHOT_LOG).parquet(self._log)
         return entries.select(*schemas.SNAPSHOT_LOG.names)
 
-    def rows(self) -> DataFrame:
+    def rows(self, packed: bool = False) -> DataFrame:
         """Everything stored, also what no snapshot shows any more."""
         number = T.StructField("snapshot_id", T.LongType())
-        schema = T.StructType([*self.schema.fields, number])
-        return self.spark.read.schema(schema).parquet(self._data)
+        schema = T.StructType([*self.kept.fields, number])
+        return self._given(self.spark.read.schema(schema).parquet(self._data), packed)
 
     def _seen(self, at: dt.datetime | str | None) -> list:
         """Entries of the snapshots seen at ``at``: ``snapshot_id, nth``, one for each commit."""
@@ -174,8 +188,8 @@ class SnapshotTable:
     def _rows_of(self, seen: list) -> DataFrame:
         """Rows of some snapshots; no other folder is listed or read."""
         if not seen:
-            return self.rows().filter(F.lit(False))
-        schema = T.StructType([*self.schema.fields, T.StructField("snapshot_id", T.LongType())])
+            return self.rows(packed=True).filter(F.lit(False))
+        schema = T.StructType([*self.kept.fields, T.StructField("snapshot_id", T.LongType())])
         places = [f"{self._data}/snapshot_id={entry['snapshot_id']}" for entry in seen]
         return self.spark.read.schema(schema).option("basePath", self._data).parquet(*places)
 
@@ -216,11 +230,11 @@ class SnapshotTable:
 
     def read(self, at: dt.datetime | str | None = None) -> DataFrame:
         """All visible rows, those of later snapshots beside those they outdate."""
-        return self._rows_of(self._seen(at))
+        return self._given(self._rows_of(self._seen(at)), False)
 
-    def current(self, at: dt.datetime | str | None = None, key: str = "doc_id") -> DataFrame:
+    def current(self, at: dt.datetime | str | None = None, key: str = "doc_id", packed: bool = False) -> DataFrame:
         """Visible rows without those a later snapshot outdates."""
-        return self._current(self._seen(at), key)
+        return self._given(self._current(self._seen(at), key), packed)
 
     def _current(self, seen: list, key: str) -> DataFrame:
         rows = self._rows_of(seen)
@@ -257,8 +271,10 @@ class SnapshotTable:
 
     def _write(self, rows, snapshot, operation, at=None, stream_id=None, batch_id=None, covers=None) -> int:
         place = f"{self._data}/snapshot_id={snapshot}"
+        lists = [c for c in self.packed if rows.schema[c].dataType != T.BinaryType()]
+        rows = rows.withColumns({c: vec.pack(F.col(c).cast("array<float>")) for c in lists})
         rows.select(*self.schema.names).write.mode("overwrite").parquet(place)
-        added = self.spark.read.schema(self.schema).parquet(place).count()
+        added = self.spark.read.schema(self.kept).parquet(place).count()
         at = at or dt.datetime.now(dt.timezone.utc)
         entry = [(snapshot, at, operation, added, stream_id, batch_id, covers)]
         line = self.spark.createDataFrame(entry, schemas.SNAPSHOT_LOG)
