@@ -1,17 +1,18 @@
 """Exact search over sparse vectors by an inverted index with upper bounds.
 
-For every dimension the index lists the items that have a weight there, largest weight first (whatever its sign), in
-blocks that know their largest. Weights are relative to the item's length, so with a query of
-length 1 the sum of products is the cosine. A query that has to beat a score leaves out its longest
+The index is parted by items: a shard holds some thousand of them with the rows they carry, their
+vectors, and for every dimension the list of its items that have a weight there, largest weight
+first (whatever its sign). Weights are relative to the item's length, so with a query of length 1
+the sum of products is the cosine. A query that has to beat a score leaves out a shard's longest
 lists as long as all they could add stays below the score; an item it still wants must then have, in
 one of the other lists, a weight of at least what is left of the score over the sum of the
-query's own weights there. Only blocks that reach that are read. What an item gains in them, over
-the most that an item not seen there could have, tells whether it can still reach the score; only
-such items are scored, from their whole vectors. The score to beat is the query's own limit or the k-th best
-of some items from the first blocks of its lists.
+query's own weights there. Only the beginnings of lists that reach that are read. What an item gains
+in them, over the most that an item not seen there could have, tells whether it can still reach the
+score; only such items are scored, from their whole vectors. The score to beat is the query's own
+limit or the k-th best that the task has found so far.
 
-The rows are those of ``search.top_k``. Queries with nothing to beat, for which items without a
-common dimension may count, are searched in full.
+Sums are made where a shard lies, so no posting is ever shuffled: a task hands on at most ``top_k``
+rows for each query. The rows are those of ``search.top_k``.
 """
 
 from __future__ import annotations
@@ -21,86 +22,116 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.accumulators import Accumulator
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from citemill.functions import scores as sc, vectors as vec
-from citemill.operators import search
+from citemill.functions import vectors as vec
+from citemill.operators import blocks, search
 from citemill.session import stored
 
-BLOCK = 512
+# A shard ends with the first of these.
+SHARD_ROWS, SHARD_WEIGHTS, SHARD_BYTES = 1 << 14, 1 << 21, 32 << 20
+_SLICE_ROWS = 1024
+_QUERIES_AT_ONCE = 256
 _SLACK = 1e-9  # for sums in double precision
-_TRIED = 4  # times k items are scored for the score to beat
 
 
 @dataclass
 class Index:
-    """Blocks ``dim, nth, high, ids, weights``; longest lists and largest weights by dimension; all items."""
+    """Shards ``rows, starts, numbers, weights, ends, dims, values``, all binary.
 
-    blocks: DataFrame
+    ``rows`` are the item ids and what they carry; ``starts, numbers, weights`` the lists by dimension,
+    ``ends, dims, values`` the vectors by item.
+    """
+
+    shards: DataFrame
     items: DataFrame
-    high: np.ndarray
-    count: np.ndarray
     item_id: str
     carry: tuple[str, ...]
 
 
+_COLUMNS = ("rows", "starts", "numbers", "weights", "ends", "dims", "values")
+
+
+class _Shard:
+    """Lists and vectors of some items, as used inside a task."""
+
+    def __init__(self, parts: list[bytes], dim: int):
+        rows, *arrays = parts
+        self.rows = blocks.read_stream(rows).to_batches()[0]
+        exact = np.float32 if len(arrays[5]) == len(arrays[4]) else np.float64
+        kinds = (np.int64, np.uint16, np.float64, np.int64, np.int32, exact)
+        self.starts, self.numbers, self.weights, self.ends, self.dims, self.values = (
+            np.frombuffer(a, kind) for a, kind in zip(arrays, kinds)
+        )
+        self.rank = pc.rank(self.rows.column(0), "ascending", tiebreaker="first").to_numpy()
+        self.dim, self.size, self.count = dim, np.abs(self.weights), np.diff(self.starts)
+        self.high = np.zeros(dim)
+        self.high[self.count > 0] = self.size[self.starts[:-1][self.count > 0]]
+
+    def vectors(self, items: np.ndarray) -> np.ndarray:
+        found = np.zeros((len(items), self.dim), self.values.dtype)
+        for k, item in enumerate(items.tolist()):
+            part = slice(self.ends[item], self.ends[item + 1])
+            found[k, self.dims[part]] = self.values[part]
+        return found
+
+
+def _made(rows: list[pa.RecordBatch], item: list[np.ndarray], dims: list[np.ndarray], values: list[np.ndarray], dim: int) -> pa.RecordBatch:
+    """One shard of items whose weights are given in their order."""
+    item, at, x = np.concatenate(item), np.concatenate(dims), np.concatenate(values)
+    table = pa.Table.from_batches(rows).combine_chunks()
+    ends = np.searchsorted(item, np.arange(table.num_rows + 1))
+    # Scaled by the largest element first, so that no square leaves the range.
+    wide, first = x.astype(np.float64), ends[:-1]
+    wide /= np.repeat(np.maximum.reduceat(np.abs(wide), first), np.diff(ends))
+    wide /= np.repeat(np.sqrt(np.add.reduceat(wide**2, first)), np.diff(ends))
+    order = np.lexsort((item, -np.abs(wide), at))
+    starts = np.searchsorted(at[order], np.arange(dim + 1))
+    arrays = [starts.astype(np.int64), item[order].astype(np.uint16), wide[order], ends.astype(np.int64), at.astype(np.int32), x if x.dtype == np.float32 else x.astype(np.float64)]
+    parts = [blocks.write_stream(table), *[a.tobytes() for a in arrays]]
+    return pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], list(_COLUMNS))
+
+
 def build(
     items: DataFrame, item_id: str = "chunk_id", vector: str = "embedding", dim: int = vec.DIMENSION, carry: tuple[str, ...] = ()
 ) -> Index:
-    """An index of all items with a direction; stored in the shared folder.
+    """An index of all items with a direction, in one pass; stored in the shared folder.
 
-    A list of any length is spread: rows are sorted by range of dimension, weight and id. The
-    driver gets one row a dimension. Item ids must be one for each item.
+    Vectors may be packed. Shards are bounded in rows, weights and bytes. Nothing
+    is shuffled and the driver gets nothing.
     """
-    kept = stored(items.filter(F.size(vector) == dim).select(item_id, *carry, F.col(vector).alias("vector")), "sparse-items")
-    kind = kept.schema[item_id].dataType.simpleString()
+    packed = items.schema[vector].dataType == T.BinaryType()
+    right = F.octet_length(vector) == 4 * dim if packed else F.size(vector) == dim
+    source = items.filter(right).select(item_id, *carry, F.col(vector).alias("vector"))
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = vec.list_matrix(batch.column(1), dim).astype(np.float64)
-            with np.errstate(all="ignore"):
-                top = np.abs(x).max(axis=1)
-                x = np.where((np.isfinite(top) & (top > 0))[:, None], x / top[:, None], 0)
-                x /= np.maximum(np.sqrt((x**2).sum(axis=1)), 1e-300)[:, None]
-            row, at = np.nonzero(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at.astype(np.int32)), batch.column(0).take(pa.array(row)), pa.array(x[row, at])],
-                names=["dim", "id", "weight"],
-            )
-
-    postings = kept.select(item_id, "vector").mapInArrow(post, f"dim int, id {kind}, weight double")
-    order = ["dim", F.desc(F.abs("weight")), "id"]
-    ordered = postings.repartitionByRange(*order).sortWithinPartitions(*order)
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, nth = -1, 0
+    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, item, dims, values = [], [], [], []
+        held = weights = size = 0
         for batch in batches:
-            at = batch.column("dim").to_numpy()
-            starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, int)
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(at)]):
-                for a in range(s, e, BLOCK):
-                    part = batch.slice(a, min(BLOCK, e - a))
-                    nth = nth + 1 if at[s] == last else 0
-                    last = at[s]
-                    bounds = pa.array([0, part.num_rows], pa.int32())
-                    lists = [
-                        pa.ListArray.from_arrays(bounds, pa.concat_arrays([part.column(c)])) for c in ("id", "weight")
-                    ]
-                    high = pa.array([abs(part.column("weight")[0].as_py())])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([at[s]]), pa.array([nth], pa.int32()), high, *lists], names=["dim", "nth", "high", "ids", "weights"]
-                    )
-
-    made = stored(
-        ordered.mapInArrow(pack, f"dim int, nth int, high double, ids array<{kind}>, weights array<double>"), "postings"
-    )
-    high, count = np.zeros(dim), np.zeros(dim, np.int64)
-    for row in made.groupBy("dim").agg(F.max("high").alias("high"), F.sum(F.size("ids")).alias("n")).collect():
-        high[row["dim"]], count[row["dim"]] = row["high"], row["n"]
-    return Index(made, kept, high, count, item_id, carry)
+            for a in range(0, batch.num_rows, _SLICE_ROWS):
+                part = batch.slice(a, _SLICE_ROWS)
+                x = vec.matrix(part.column(part.num_columns - 1), dim)
+                good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+                if not good.any():
+                    continue
+                kept, x = part.filter(pa.array(good)), x[good]
+                row, at = np.nonzero(x)
+                if held and (held + len(x) > SHARD_ROWS or weights + len(row) > SHARD_WEIGHTS or size > SHARD_BYTES):
+                    yield _made(rows, item, dims, values, dim)
+                    rows, item, dims, values = [], [], [], []
+                    held = weights = size = 0
+                rows.append(pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1]))
+                item.append(row + held)
+                dims.append(at)
+                values.append(x[row, at])
+                held, weights, size = held + len(x), weights + len(row), size + rows[-1].nbytes
+        if held:
+            yield _made(rows, item, dims, values, dim)
+
+    made = stored(source.mapInArrow(shard, ", ".join(f"{c} binary" for c in _COLUMNS)), "postings")
+    return Index(made, source.drop("vector"), item_id, carry)
 
 
 def limits(x: np.ndarray, floor: np.ndarray, high: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -119,94 +150,98 @@ def limits(x: np.ndarray, floor: np.ndarray, high: np.ndarray, count: np.ndarray
     return np.where(left_out | (x == 0), np.inf, wanted[:, None])
 
 
-def _candidates(queries: DataFrame, index: Index, dim: int, first: bool, read: Accumulator | None) -> DataFrame:
-    """Pairs of a query and an item to be scored: some from the first blocks, or all that can reach ``floor``."""
-    high, count = index.high, index.count
-    kind = queries.schema["q_id"].dataType.simpleString()
-    item = index.items.schema[index.item_id].dataType.simpleString()
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = vec.list_matrix(batch.column(1), dim).astype(np.float64)
-            x /= np.sqrt((x**2).sum(axis=1))[:, None]
-            floor = batch.column(2).to_numpy()
-            all_lists = np.where(x != 0, 0.0, np.inf)
-            wanted = all_lists if first else limits(x, floor, high, count)
-            # Where most would be read anyway, all is: then sums leave hardly anything to be scored.
-            spared = (count * (np.isinf(wanted) & (x != 0))).sum(axis=1)
-            wanted = np.where((2 * spared < (count * (x != 0)).sum(axis=1))[:, None], all_lists, wanted)
-            # The most that an item can have in a list in which it was not seen.
-            unseen = np.abs(x) * np.minimum(wanted, high)
-            most = unseen.sum(axis=1)
-            row, at = np.nonzero(wanted <= high)
-            columns = [pa.array(v) for v in (at.astype(np.int32), wanted[row, at], x[row, at], unseen[row, at], most[row], floor[row])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), *columns, batch.column(3).take(pa.array(row))],
-                names=["q_id", "dim", "wanted", "own", "unseen", "most", "floor", "top_k"],
-            )
-
-    asked = queries.select("q_id", "embedding", "floor", "top_k").mapInArrow(
-        ask, f"q_id {kind}, dim int, wanted double, own double, unseen double, most double, floor double, top_k bigint"
-    )
-    blocks = index.blocks.filter("nth = 0") if first else index.blocks
-    met = asked.join(blocks, (asked["dim"] == blocks["dim"]) & (F.col("high") >= F.col("wanted")))
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(4)
-            weight = lists.flatten().to_numpy()
-            if read is not None:
-                read.add(len(weight))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            wanted, own, unseen = (batch.column(k).to_numpy()[row] for k in (1, 2, 3))
-            good = np.abs(weight) >= wanted
-            row, part, known = row[good], (own * weight)[good], unseen[good]
-            ids = batch.column(5).flatten().filter(pa.array(good))
-            given = [batch.column(k).take(pa.array(row)) for k in (0, 6, 7, 8)]
-            yield pa.RecordBatch.from_arrays(
-                [given[0], ids, pa.array(part), pa.array(known), *given[1:]],
-                names=["q_id", "item", "part", "known", "most", "floor", "top_k"],
-            )
-
-    pairs = met.select("q_id", "wanted", "own", "unseen", "weights", "ids", "most", "floor", "top_k").mapInArrow(
-        found, f"q_id {kind}, item {item}, part double, known double, most double, floor double, top_k bigint"
-    )
-    constant = [F.first(c).alias(c) for c in ("most", "floor", "top_k")]
-    pairs = pairs.groupBy("q_id", "item").agg(F.sum("part").alias("part"), F.sum("known").alias("known"), *constant)
-    if first:
-        nth = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc("part"), "item"))
-        return pairs.withColumn("nth", nth).filter(F.col("nth") <= _TRIED * search.MAX_TOP_K).select("q_id", "item")
-    # What was not seen adds or takes at most so much, so each score has two ends.
-    open_ = F.col("most") - F.col("known") + 2 * _SLACK
-    pairs = pairs.withColumns({"low": F.col("part") - open_, "high": F.col("part") + open_}).filter("high >= floor")
-    by_low = Window.partitionBy("q_id").orderBy(F.desc("low"))
-    pairs = pairs.withColumn("nth", F.row_number().over(by_low))
-    kth = F.max(F.when(F.col("nth") == F.col("top_k"), F.col("low"))).over(Window.partitionBy("q_id"))
-    return pairs.withColumn("kth", kth).filter("kth is null or high >= kth").select("q_id", "item")
-
-
-def _scored(pairs: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
-    asked = queries.select(F.col("q_id").alias("a_id"), F.col("embedding").alias("asked"), "top_k", "min_score")
-    found = pairs.join(index.items, F.col("item") == F.col(index.item_id)).join(asked, F.col("q_id") == F.col("a_id"))
-    found = found.withColumn("score", sc.cosine(F.col("asked"), F.col("vector")))
-    return found.filter("min_score is null or score >= min_score")
+def _candidates(x: np.ndarray, floor: np.ndarray, shard: _Shard, read: Accumulator | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a unit query and an item of the shard that can reach the query's ``floor``."""
+    high, count = shard.high, shard.count
+    all_lists = np.where((x != 0) & (count > 0), 0.0, np.inf)
+    wanted = np.where(np.isneginf(floor)[:, None], all_lists, limits(x, np.maximum(floor, -2.0), high, count))
+    # Where most would be read anyway, all is: then sums leave hardly anything to be scored.
+    spared = (count * (np.isinf(wanted) & (x != 0))).sum(axis=1)
+    wanted = np.where((2 * spared < (count * (x != 0)).sum(axis=1))[:, None], all_lists, wanted)
+    # The most that an item can have in a list in which it was not seen.
+    unseen = np.abs(x) * np.minimum(wanted, high)
+    most = unseen.sum(axis=1)
+    items, seen = shard.rows.num_rows, 0
+    qi, xi = [], []
+    for k in range(len(x)):
+        lists = np.flatnonzero(wanted[k] <= high)
+        ends = [
+            int(shard.starts[d] + np.searchsorted(-shard.size[shard.starts[d] : shard.starts[d + 1]], -wanted[k, d], "right"))
+            if wanted[k, d] > 0 else int(shard.starts[d + 1])
+            for d in lists
+        ]
+        part, open_ = np.zeros(items), np.full(items, most[k])
+        for d, end in zip(lists.tolist(), ends):
+            # An item is in a list once, so no place is added to twice.
+            where = shard.numbers[shard.starts[d] : end]
+            part[where] += x[k, d] * shard.weights[shard.starts[d] : end]
+            if unseen[k, d]:
+                open_[where] -= unseen[k, d]
+            seen += len(where)
+        upto = part + open_ + 2 * _SLACK
+        found = np.flatnonzero(upto >= floor[k])
+        qi.append(np.full(len(found), k))
+        xi.append(found)
+    if read is not None:
+        read.add(seen)
+    return np.concatenate(qi), np.concatenate(xi)
+
+
+class _Found(search._Found):
+    """The best rows of a block of queries, found by lists."""
+
+    def pairs(self, q: search._Queries, shard: _Shard, read: Accumulator | None) -> Iterator[tuple]:
+        unit = q.matrix / q.norm[:, None]
+        for start in range(0, len(q.k), _QUERIES_AT_ONCE):
+            block = slice(start, start + _QUERIES_AT_ONCE)
+            rows = np.arange(len(q.k[block]))
+            floor = np.maximum(self.best[block][rows, q.k[block] - 1], q.floor[block])
+            if np.isneginf(floor).any() and shard.rows.num_rows > self.best.shape[1]:
+                # With nothing to beat yet, the k-th best of the sums stands for it.
+                floor = np.where(np.isneginf(floor), self._begun(unit[block], q.k[block], shard), floor)
+            qi, xi = _candidates(unit[block], floor - _SLACK, shard, read)
+            for a in range(0, len(qi), search._PAIRS_PER_PRODUCT):
+                some = slice(a, a + search._PAIRS_PER_PRODUCT)
+                used, place = np.unique(xi[some], return_inverse=True)
+                scores = search._exact(q, qi[some] + start, shard.vectors(used), place)
+                yield search._admitted(q, self.best, block, qi[some], xi[some], scores, shard.rank)
+
+    def _begun(self, x: np.ndarray, k: np.ndarray, shard: _Shard) -> np.ndarray:
+        floor = np.empty(len(x))
+        for row in range(len(x)):
+            part = np.zeros(shard.rows.num_rows)
+            for d in np.flatnonzero(x[row]):
+                where = slice(shard.starts[d], shard.starts[d + 1])
+                part[shard.numbers[where]] += x[row, d] * shard.weights[where]
+            floor[row] = np.partition(part, len(part) - k[row])[len(part) - k[row]] - _SLACK
+        return floor
+
+    def look(self, q: search._Queries, shard: _Shard, read: Accumulator | None) -> None:
+        self.begin(q)
+        self.keep(q, self.pairs(q, shard, read), shard.rows)
 
 
 def top_k(queries: DataFrame, index: Index, dim: int = vec.DIMENSION, read: Accumulator | None = None) -> DataFrame:
-    """What ``search.top_k`` finds. ``read`` is increased by the postings that were looked at."""
-    usable = stored(search.usable_queries(queries, dim).withColumn("floor", F.lit(0.0)), "sparse-queries")
-    first = _scored(_candidates(usable, index, dim, True, read), usable, index)
-    best = search._ranked(first, index.item_id, index.carry)
-    kth = best.groupBy(F.col("q_id").alias("k_id")).agg(F.count("*").alias("n"), F.min("score").alias("kth"))
-    reached = F.when(F.col("n") >= F.col("top_k"), F.col("kth"))
-    floor = F.coalesce(F.greatest("min_score", reached), F.lit(0.0))
-    known = usable.drop("floor").join(kth, F.col("q_id") == F.col("k_id"), "left").withColumn("floor", floor)
-    known = stored(known.select(*usable.columns), "sparse-floors")
-    some, rest = known.filter(F.col("floor") > 0.0), known.filter(F.col("floor") <= 0.0)
-    hits = search._ranked(_scored(_candidates(some, index, dim, False, read), some, index), index.item_id, index.carry)
-    if rest.isEmpty():
-        return hits
-    plain = search.top_k_two_sided(rest.drop("floor"), index.items, index.item_id, "vector", dim, index.carry)
-    return hits.unionByName(plain)
+    """What ``search.top_k`` finds. ``read`` is increased by the postings that were looked at.
+
+    Queries are sent to the tasks in blocks, as there.
+    """
+    usable = search.usable_queries(queries, dim)
+    sent = search._sent_blocks(usable, dim, max(1, search.QUERY_BLOCK_BYTES // (8 * dim)))
+    schema = search._hit_schema(usable, index.items, index.item_id, index.carry)
+    names = [f.name for f in schema]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [_Found(block, names) for block in sent]
+        one = search._Queries(*sent[0].value) if len(sent) == 1 else None
+        for batch in batches:
+            for parts in zip(*[c.to_pylist() for c in batch.columns]) if sent else ():
+                shard = _Shard(list(parts), dim)
+                for each in found:
+                    each.look(one or search._Queries(*each.block.value), shard, read)
+                    if one is None:
+                        vars(each.block).pop("_value", None)  # this worker's copy; read again when needed
+        for each in found:
+            yield from each.hand_on(each.block.value[0])
+
+    return search._ranked(index.shards.select(*_COLUMNS).mapInArrow(look, schema), index.item_id, index.carry)

@@ -120,19 +120,27 @@ def _best_of_batch(q: _Queries, best: np.ndarray, x: np.ndarray, rank: np.ndarra
             limit = np.maximum(limit, kth - 2 * error)
         qi, xi = np.nonzero(~(near < limit[:, None].astype(np.float32)))
         scores = _exact(q, qi + start, x, xi)
-        good = scores >= seen[qi]
-        qi, xi, scores = qi[good], xi[good], scores[good]
-        order = np.lexsort((rank[xi], -scores, qi))
-        qi, xi, scores = qi[order], xi[order], scores[order]
-        first = np.searchsorted(qi, np.arange(len(near)))
-        place = np.arange(len(qi)) - first[qi]
-        kept = place < q.k[block][qi]
-        qi, xi, scores, place = qi[kept], xi[kept], scores[kept], place[kept]
-        fresh = np.full((len(near), width), -math.inf)
-        fresh[qi, place] = scores
-        merged = np.concatenate([best[block], fresh], axis=1)
-        best[block] = -np.sort(-merged, axis=1)[:, :width]
-        yield qi + start, usable[xi], scores
+        found, xi, scores = _admitted(q, best, block, qi, xi, scores, rank)
+        yield found, usable[xi], scores
+
+
+def _admitted(q: _Queries, best: np.ndarray, block: slice, qi: np.ndarray, xi: np.ndarray, scores: np.ndarray, rank: np.ndarray):
+    """Scored pairs of some queries and items that are among a query's best; ``best`` is brought up to date."""
+    here, width = best[block], best.shape[1]
+    seen = np.maximum(here[np.arange(len(here)), q.k[block] - 1], q.floor[block])
+    good = scores >= seen[qi]
+    qi, xi, scores = qi[good], xi[good], scores[good]
+    order = np.lexsort((rank[xi], -scores, qi))
+    qi, xi, scores = qi[order], xi[order], scores[order]
+    first = np.searchsorted(qi, np.arange(len(here)))
+    place = np.arange(len(qi)) - first[qi]
+    kept = place < q.k[block][qi]
+    qi, xi, scores, place = qi[kept], xi[kept], scores[kept], place[kept]
+    fresh = np.full((len(here), width), -math.inf)
+    fresh[qi, place] = scores
+    merged = np.concatenate([here, fresh], axis=1)
+    best[block] = -np.sort(-merged, axis=1)[:, :width]
+    return qi + block.start, xi, scores
 
 
 def _pack(usable: DataFrame, block_rows: int) -> DataFrame:
@@ -179,14 +187,20 @@ class _Found:
         self.rows: list[pa.RecordBatch] = []
         self.held = 0
 
-    def add(self, q: _Queries, x: np.ndarray, rank: np.ndarray, batch: pa.RecordBatch) -> None:
+    def begin(self, q: _Queries) -> None:
         if self.best is None:
             self.best = np.full((len(q.k), int(q.k.max(initial=1))), -math.inf)
-        for qi, xi, scores in _best_of_batch(q, self.best, x, rank):
+
+    def add(self, q: _Queries, x: np.ndarray, rank: np.ndarray, batch: pa.RecordBatch) -> None:
+        self.begin(q)
+        self.keep(q, _best_of_batch(q, self.best, x, rank), batch.select(batch.schema.names[1:]))
+
+    def keep(self, q: _Queries, pairs: Iterator[tuple], batch: pa.RecordBatch) -> None:
+        for qi, xi, scores in pairs:
             if not len(qi):
                 continue
             at = pa.array(xi)
-            kept = [batch.column(i).take(at) for i in range(1, batch.num_columns)]
+            kept = [column.take(at) for column in batch.columns]
             found = [pa.array(qi), pa.array(q.k[qi]), pa.array(scores), *kept]
             self.rows.append(pa.RecordBatch.from_arrays(found, self.names))
             self.held += len(qi)

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from citemill.functions import vectors as vec
 from citemill.operators import cells, codes, embed, postings, search
 from citemill.plans import pipeline
 from tests.test_search import DIM, ITEMS, REQUESTS, data, exact
@@ -104,3 +105,30 @@ def test_few_postings_are_read_for_texts(spark, small):
     requests = pipeline.embed_queries(asked, 4)
     found, want = rows(postings.top_k(requests, index, read=read)), rows(search.top_k(requests, held))
     assert found == want and len(want) == 160
+
+
+def test_postings_are_summed_where_they_lie(spark):
+    """No row for a pair of a query and an item: what is moved is some rows a task for each query."""
+    queries, items = data(400, 30, 3, k=3)
+    held = spark.createDataFrame([(i, v) for i, v in items], ITEMS).repartition(2)
+    index = postings.build(held, dim=DIM)
+    hits = postings.top_k(spark.createDataFrame(queries, REQUESTS), index, DIM)
+    assert rows(hits) == exact(queries, items)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("HashAggregate") == 0
+
+
+@pytest.mark.parametrize("limit", ["SHARD_ROWS", "SHARD_WEIGHTS", "SHARD_BYTES"])
+def test_packed_vectors_copies_and_many_shards(spark, monkeypatch, limit):
+    monkeypatch.setattr(postings, limit, 40)
+    monkeypatch.setattr(postings, "_SLICE_ROWS", 16)
+    queries, items = data(90, 12, 2, k=4)
+    held = spark.createDataFrame(odd_items(items), ITEMS)
+    held = held.filter("chunk_id <> 'z6'").unionByName(held.filter("chunk_id < 'i2'")).coalesce(1)
+    asked = spark.createDataFrame(queries, REQUESTS)
+    packed = held.withColumn("embedding", vec.pack(held["embedding"].cast("array<float>")))
+    want = sorted(map(tuple, search.top_k(asked, held, dim=DIM).collect()))
+    index = postings.build(packed, dim=DIM)
+    assert index.shards.count() > 1
+    assert sorted(map(tuple, postings.top_k(asked, index, DIM).collect())) == want
+    assert sorted(map(tuple, search.top_k(asked, packed, dim=DIM).collect())) == want
