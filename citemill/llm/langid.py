@@ -98,6 +98,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(length, 1e-12)
 
 
+def _weighted(dense: np.ndarray, weights: np.ndarray) -> None:
+    """Turn counts into damped, weighted unit rows in place: a language's sample is held once."""
+    for a in range(0, len(dense), _RUN_ROWS):
+        rows = dense[a : a + _RUN_ROWS]
+        rows[:] = _unit(np.log1p(rows) * weights)
+
+
+def _total(rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Sum of the wanted rows, added in their order, without a copy of all of them."""
+    total = None
+    for a in range(0, len(wanted), _RUN_ROWS):
+        part = rows[wanted[a : a + _RUN_ROWS]]
+        total = (part if total is None else np.concatenate((total[None], part))).sum(axis=0)
+    return total
+
+
 def cluster(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
     """Unit centroids of unit rows: farthest first, then spherical k-means; none is empty."""
     chosen = _unit(rows.mean(axis=0, keepdims=True))
@@ -108,7 +124,7 @@ def cluster(rows: np.ndarray, k: int, rounds: int) -> np.ndarray:
     centroids = rows[list(dict.fromkeys(seeds))]
     for _ in range(rounds):
         nearest = np.argmax(rows @ centroids.T, axis=1)
-        sums = [rows[nearest == c].sum(axis=0) for c in range(len(centroids)) if (nearest == c).any()]
+        sums = [_total(rows, np.flatnonzero(nearest == c)) for c in range(len(centroids)) if (nearest == c).any()]
         centroids = _unit(np.array(sums, np.float32))
     return centroids
 
@@ -168,9 +184,9 @@ def fit(rows: DataFrame, row_id: str, text: str, lang: str, sample: int = SAMPLE
         dense = np.zeros((len(group), DIMS), np.float32)
         for k, (place, times) in enumerate(zip(group["place"], group["times"])):
             dense[k, place] = times
-        vectors = _unit(np.log1p(dense) * weights)
-        middle = cluster(vectors, centroids, ROUNDS)
-        nearest = (vectors @ middle.T).max(axis=1)
+        _weighted(dense, weights)
+        middle = cluster(dense, centroids, ROUNDS)
+        nearest = (dense @ middle.T).max(axis=1)
         lowest = float(np.quantile(nearest, 0.001)) * SLACK
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "centroid": list(middle.astype(np.float32)), "lowest": lowest}

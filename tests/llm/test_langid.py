@@ -109,3 +109,21 @@ def test_predictions_equal_plain_ones(spark, documents, model):
         lang, score, rejected = plain_prediction(model, x.text)
         assert (x.lang_pred, x.rejected) == (lang, rejected), x.doc_id
         assert abs(x.score - score) < 1e-5
+
+
+def test_a_sample_is_weighted_and_summed_without_copies():
+    """What stays small as the sample grows is what a worker holds beside it; the numbers are the same."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 3, (1500, langid.DIMS)).astype(np.float32)
+    weights = rng.random(langid.DIMS).astype(np.float32) + 1
+    want = langid._unit(np.log1p(counts) * weights)
+    wanted = np.flatnonzero(rng.random(1500) < 0.9)
+    tracemalloc.start()
+    langid._weighted(counts, weights)
+    total = langid._total(counts, wanted)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(counts, want) and np.array_equal(total, want[wanted].sum(axis=0))
+    assert peak < 0.8 * counts.nbytes
