@@ -244,7 +244,10 @@ def reingest_changed(
         wanted = changes.filter("change <> 'gone'").select("chunk_id", "doc_id")
 
         def only_wanted(rows: DataFrame, carry: tuple[str, ...]) -> DataFrame:
-            return chunker(rows, carry=carry).join(wanted, ["chunk_id", "doc_id"], "left_semi")
+            cut = chunker(rows, carry=carry)
+            if not totals["same"]:  # all that has both ids, as in a first ingest: nothing to be told apart
+                return cut.dropna(subset=["chunk_id", "doc_id"])
+            return cut.join(wanted, ["chunk_id", "doc_id"], "left_semi")
 
         made = points(documents, indexed_at, only_wanted, load, dim, bool(store.packed))
         gone = changes.filter("change = 'gone'").select(
