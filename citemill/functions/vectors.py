@@ -61,6 +61,12 @@ def _digest(token: str) -> bytes:
 def _hash_cells(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(cell of row * dim + dimension, sign) of every token of the lower-cased texts."""
     rows, found = tokens(texts)
+    dims, signs = _hashed(found, dim)
+    return rows * dim + dims, signs
+
+
+def _hashed(found: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(dimension, sign) of each token."""
     coded = found.dictionary_encode()
     # The first four bytes of a token's digest choose the dimension, the top bit of the fifth
     # the sign. Common tokens are hashed once for all batches of a worker.
@@ -68,7 +74,7 @@ def _hash_cells(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     dims = np.frombuffer(digests, ">u4")[::4].astype(np.int64) % dim
     signs = np.where(np.frombuffer(digests, np.uint8)[4::16] < 128, 1.0, -1.0)
     codes = coded.indices.to_numpy()
-    return rows * dim + dims[codes], signs[codes]
+    return dims[codes], signs[codes]
 
 
 def hash_counts(texts: pa.Array, dim: int = DIMENSION) -> np.ndarray:
@@ -81,6 +87,21 @@ def hash_counts(texts: pa.Array, dim: int = DIMENSION) -> np.ndarray:
     return counts.astype(np.float32).reshape(len(texts), dim)
 
 
+def hash_windows(words: pa.Array, first: np.ndarray, last: np.ndarray, dim: int = DIMENSION) -> np.ndarray:
+    """``hash_counts`` of texts that are runs of ``words`` between blanks, ``first`` up to ``last``.
+
+    However many runs a word is in, its tokens are hashed once.
+    """
+    rows, found = tokens(words)
+    dims, signs = _hashed(found, dim)
+    a, b = np.searchsorted(rows, first), np.searchsorted(rows, last)
+    count = b - a
+    place = np.arange(count.sum()) + np.repeat(a - (np.cumsum(count) - count), count)
+    cells = np.repeat(np.arange(len(first)) * dim, count) + dims[place]
+    counts = np.bincount(cells, weights=signs[place], minlength=len(first) * dim)
+    return counts.astype(np.float32).reshape(len(first), dim)
+
+
 def hash_weights(texts: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same counts as (row, dimension, weight) triples; a weight may cancel to 0."""
     cells, signs = _hash_cells(texts, dim)

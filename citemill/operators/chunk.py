@@ -72,7 +72,12 @@ def chunk_fixed(
 
 
 def _packed(text: str, size: int, overlap: int) -> Iterator[tuple[str, int]]:
-    """Chunks of one text and their lengths, cut out of it by offsets.
+    """Chunks of one text and their lengths."""
+    return ((chunk, length) for chunk, length, *_ in _cut(text, size, overlap))
+
+
+def _cut(text: str, size: int, overlap: int) -> Iterator[tuple[str, int, int, int, list[str]]]:
+    """Chunks of one text, their lengths, first and last words (excluded), and all its words.
 
     The words of a chunk follow each other in the text, so a chunk is given by its first
     word, its first new sentence and the sentence after its last. That one is found by
@@ -89,7 +94,8 @@ def _packed(text: str, size: int, overlap: int) -> Iterator[tuple[str, int]]:
     raw = " ".join(sentences)
     at = list(itertools.accumulate((n + 1 for n in lengths), initial=0))
     word = list(itertools.accumulate(map(len, words), initial=0))
-    plain = " ".join(itertools.chain.from_iterable(words))
+    flat = list(itertools.chain.from_iterable(words))
+    plain = " ".join(flat)
     starts = [0, *(m.end() for m in _BLANK.finditer(plain)), len(plain) + 1]
     first, last, tail = 0, 0, ""
     while last < len(sentences):
@@ -99,7 +105,7 @@ def _packed(text: str, size: int, overlap: int) -> Iterator[tuple[str, int]]:
         room = size - (len(lead) + extra + lengths[new]) + at[new + 1] + 1
         last = max(new + 1, bisect.bisect_right(at, room) - 1)
         chunk = lead + raw[at[new] : at[last] - 1]
-        yield chunk, len(chunk) + extra
+        yield chunk, len(chunk) + extra, first, word[last], flat
         first = max(first, word[last] - overlap)
         tail = plain[starts[first] : starts[word[last]] - 1]
 
@@ -149,7 +155,8 @@ def chunk_sentences(
             index: list[int] = []
             chunks: list[str] = []
             sizes: list[int] = []
-            chars = 0
+            chars, words, runs, here = 0, [], [], 0
+            in_runs = getattr(encoder, "windows", None)
 
             def flush() -> pa.RecordBatch:
                 kept = [batch.column(i).take(pa.array(rows, pa.int32())) for i in range(len(names))]
@@ -159,7 +166,8 @@ def chunk_sentences(
                     pa.array(sizes, pa.int32()),
                 ]
                 if encoder:
-                    matrix = np.asarray(encoder(made[1]))
+                    ends = np.array(runs, np.int64).reshape(-1, 2)
+                    matrix = in_runs(pa.array(words, pa.string()), *ends.T) if in_runs else np.asarray(encoder(made[1]))
                     made += vec.matrix_packed(matrix) if packed else [vec.matrix_lists(matrix)]
                 return pa.RecordBatch.from_arrays(kept + made, [f.name for f in schema])
 
@@ -167,7 +175,13 @@ def chunk_sentences(
                 content = texts[row].as_py()
                 if content is None:
                     continue
-                for i, (chunk, length) in enumerate(_packed(content, size, overlap)):
+                here = 0
+                for i, (chunk, length, first, last, own) in enumerate(_cut(content, size, overlap)):
+                    if in_runs:  # words of the text that are not yet among those of the batch
+                        here = max(here, first) if words else first
+                        words += own[here:last]
+                        runs.append((len(words) - (last - first), len(words)))
+                        here = last
                     rows.append(row)
                     index.append(i)
                     chunks.append(chunk)
@@ -175,7 +189,7 @@ def chunk_sentences(
                     chars += len(chunk)
                     if len(rows) >= _ROWS_PER_BATCH or chars >= _CHARS_PER_BATCH:
                         yield flush()
-                        rows, index, chunks, sizes, chars = [], [], [], [], 0
+                        rows, index, chunks, sizes, chars, words, runs = [], [], [], [], 0, [], []
             if rows:
                 yield flush()
 

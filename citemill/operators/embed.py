@@ -29,8 +29,13 @@ def hash_encoder(dim: int = vec.DIMENSION) -> Encoder:
 
 
 def hash_text_encoder(dim: int = vec.DIMENSION) -> Encoder:
-    """The same for texts that are not yet in lower case."""
-    return lambda texts: vec.hash_counts(vec.lowered(texts), dim)
+    """The same for texts that are not yet in lower case; ``windows`` takes them as runs of words."""
+
+    def encode(texts: pa.Array) -> np.ndarray:
+        return vec.hash_counts(vec.lowered(texts), dim)
+
+    encode.windows = lambda words, first, last: vec.hash_windows(vec.lowered(words), first, last, dim)
+    return encode
 
 
 def encode_column(

@@ -144,3 +144,19 @@ def test_chunk_ids_do_not_depend_on_partitioning(spark, small):
     one = chunk.chunk_fixed(docs.coalesce(1)).select("chunk_id", "chunk_text")
     many = chunk.chunk_fixed(docs.repartition(13)).select("chunk_id", "chunk_text")
     assert one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
+def test_chunks_encoded_by_words_have_the_vectors_of_their_texts(monkeypatch, spark):
+    """Every word is hashed once, whatever the number of chunks that repeat it."""
+    from citemill.functions import vectors as vec
+    from citemill.operators import chunk, embed
+
+    texts = [" ".join(f"Wo{i}rd{k % 7}-xİK {k * i} end." if k % 9 else f"S{k}! " for k in range(300)) for i in range(5)]
+    texts += ["", "...", "aΣ b. CΣ d", "one"]
+    for rows in (7, 2048):
+        monkeypatch.setattr(chunk, "_ROWS_PER_BATCH", rows)
+        rows_in = spark.createDataFrame([(str(n), t) for n, t in enumerate(texts)], "doc_id string, content string").coalesce(1)
+        made = chunk.chunk_sentences(rows_in, 80, 20, load=embed.hash_text_encoder, packed=True).toArrow()
+        want = vec.hash_counts(vec.pa.array([t.lower() for t in made["chunk_text"].to_pylist()]))
+        assert made["embedding"].to_pylist() == vec.matrix_packed(want)[0].to_pylist()
+        assert set(made["broken"].to_pylist()) == {None}
