@@ -291,3 +291,14 @@ def test_requests_are_checked_before_they_are_searched(spark):
     assert {r.q_id: r.reject_reason for r in rejected.collect()} == {
         2: "empty_query", 3: "top_k_out_of_range", 4: "min_score_out_of_range"
     }
+
+
+def test_vectors_of_a_collection_are_stored_as_bytes_and_read_as_lists(spark, tmp_path):
+    store = pipeline.collection(spark, str(tmp_path / "c"), 2)
+    row = {f.name: None for f in pipeline.POINTS} | {"doc_id": "d"}
+    given = [[1.0, -2.5], None, [float("inf"), 0.0]]
+    store.commit(spark.createDataFrame([tuple((row | {"embedding": v}).values()) for v in given], pipeline.POINTS))
+    assert dict(store.rows(packed=True).dtypes)["embedding"] == "binary"
+    for rows in (store.rows(), store.read(), store.current()):
+        assert rows.schema["embedding"] == pipeline.POINTS["embedding"]
+        assert sorted(map(str, (r.embedding for r in rows.collect()))) == sorted(map(str, given))
