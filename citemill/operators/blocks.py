@@ -18,14 +18,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BLOCK_BYTES = 4 << 20
 
 
-def write_stream(table: pa.Table | pa.RecordBatch) -> bytes:
+def write_stream(table: pa.Table | pa.RecordBatch, compression: str | None = None) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as stream:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=compression)) as stream:
         stream.write(table)
     return sink.getvalue().to_pybytes()
 
 
-def read_stream(block: bytes) -> pa.Table:
+def read_stream(block: bytes | pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(block).read_all().combine_chunks()
 
 

@@ -1,8 +1,8 @@
 """Exact search over sparse vectors by an inverted index with upper bounds.
 
-The index is parted by items: a shard holds some thousand of them with the rows they carry, their
-vectors, and for every dimension the list of its items that have a weight there, largest weight
-first (whatever its sign). Weights are relative to the item's length, so with a query of length 1
+The index is parted by items: a shard holds some thousand of them with the rows they carry and, for
+every dimension, the list of its items that have a weight there, largest weight first (whatever its
+sign); from the lists come the items' whole vectors. Weights are relative to the item's length, so with a query of length 1
 the sum of products is the cosine. A query that has to beat a score leaves out a shard's longest
 lists as long as all they could add stays below the score; an item it still wants must then have, in
 one of the other lists, a weight of at least what is left of the score over the sum of the
@@ -24,25 +24,28 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.accumulators import Accumulator
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from citemill.functions import vectors as vec
 from citemill.operators import blocks, search
 from citemill.session import stored
 
 # A shard ends with the first of these.
-SHARD_ROWS, SHARD_WEIGHTS, SHARD_BYTES = 1 << 14, 1 << 21, 32 << 20
+SHARD_ROWS, SHARD_WEIGHTS, SHARD_BYTES = 1 << 14, 1 << 20, 8 << 20
+# A task that writes or reads shards has about so many bytes of them in memory at a time.
+GROUP_BYTES = 8 << 20
 _SLICE_ROWS = 1024
 _QUERIES_AT_ONCE = 256
+_PAIRS_AT_ONCE = 2048
 _SLACK = 1e-9  # for sums in double precision
 
 
 @dataclass
 class Index:
-    """Shards ``rows, starts, numbers, weights, ends, dims, values``, all binary.
+    """Shards ``rows, starts, lists``, all binary.
 
-    ``rows`` are the item ids and what they carry; ``starts, numbers, weights`` the lists by dimension,
-    ``ends, dims, values`` the vectors by item.
+    ``rows`` are the item ids and what they carry; ``lists`` the places and elements of the items'
+    vectors by dimension, ``starts`` where each dimension's list begins. Both are compressed.
     """
 
     shards: DataFrame
@@ -51,30 +54,51 @@ class Index:
     carry: tuple[str, ...]
 
 
-_COLUMNS = ("rows", "starts", "numbers", "weights", "ends", "dims", "values")
+_COLUMNS = ("rows", "starts", "lists")
+
+
+def _relative(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Elements by item over the lengths of their items, each of which has one that is not 0."""
+    # Scaled by the largest element first, so that no square leaves the range.
+    wide, first, count = x.astype(np.float64), ends[:-1], np.diff(ends)
+    wide /= np.repeat(np.maximum.reduceat(np.abs(wide), first), count)
+    wide /= np.repeat(np.sqrt(np.add.reduceat(wide**2, first)), count)
+    return wide
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same numbers in a byte each if all are small and whole, as counts are."""
+    if np.abs(x).max(initial=0) <= 127:
+        small = x.astype(np.int8)
+        if (small == x).all():
+            return small
+    return x if x.dtype == np.float32 else x.astype(np.float64)
 
 
 class _Shard:
     """Lists and vectors of some items, as used inside a task."""
 
-    def __init__(self, parts: list[bytes], dim: int):
-        rows, *arrays = parts
+    def __init__(self, rows: pa.Buffer, starts: pa.Buffer, lists: pa.Buffer, dim: int):
         self.rows = blocks.read_stream(rows).to_batches()[0]
-        exact = np.float32 if len(arrays[5]) == len(arrays[4]) else np.float64
-        kinds = (np.int64, np.uint16, np.float64, np.int64, np.int32, exact)
-        self.starts, self.numbers, self.weights, self.ends, self.dims, self.values = (
-            np.frombuffer(a, kind) for a, kind in zip(arrays, kinds)
-        )
+        self.starts = np.frombuffer(starts, np.int64)
+        self.numbers, values = (c.chunk(0).to_numpy() for c in blocks.read_stream(lists).columns)
+        self.dim, self.count = dim, np.diff(self.starts)
+        by_item = np.argsort(self.numbers, kind="stable")
+        self.ends = np.searchsorted(self.numbers[by_item], np.arange(self.rows.num_rows + 1))
+        self.dims = np.repeat(np.arange(dim, dtype=np.int32), self.count)[by_item]
+        self.values = values[by_item].astype(np.promote_types(values.dtype, np.float32))
+        self.weights = np.empty(len(values))
+        self.weights[by_item] = _relative(self.values, self.ends)
+        self.size = np.abs(self.weights)
         self.rank = pc.rank(self.rows.column(0), "ascending", tiebreaker="first").to_numpy()
-        self.dim, self.size, self.count = dim, np.abs(self.weights), np.diff(self.starts)
         self.high = np.zeros(dim)
         self.high[self.count > 0] = self.size[self.starts[:-1][self.count > 0]]
 
     def vectors(self, items: np.ndarray) -> np.ndarray:
         found = np.zeros((len(items), self.dim), self.values.dtype)
-        for k, item in enumerate(items.tolist()):
-            part = slice(self.ends[item], self.ends[item + 1])
-            found[k, self.dims[part]] = self.values[part]
+        first, count = self.ends[items], self.ends[items + 1] - self.ends[items]
+        at = np.arange(count.sum()) + np.repeat(first - (np.cumsum(count) - count), count)
+        found[np.repeat(np.arange(len(items)), count), self.dims[at]] = self.values[at]
         return found
 
 
@@ -82,29 +106,32 @@ def _made(rows: list[pa.RecordBatch], item: list[np.ndarray], dims: list[np.ndar
     """One shard of items whose weights are given in their order."""
     item, at, x = np.concatenate(item), np.concatenate(dims), np.concatenate(values)
     table = pa.Table.from_batches(rows).combine_chunks()
-    ends = np.searchsorted(item, np.arange(table.num_rows + 1))
-    # Scaled by the largest element first, so that no square leaves the range.
-    wide, first = x.astype(np.float64), ends[:-1]
-    wide /= np.repeat(np.maximum.reduceat(np.abs(wide), first), np.diff(ends))
-    wide /= np.repeat(np.sqrt(np.add.reduceat(wide**2, first)), np.diff(ends))
-    order = np.lexsort((item, -np.abs(wide), at))
-    starts = np.searchsorted(at[order], np.arange(dim + 1))
-    arrays = [starts.astype(np.int64), item[order].astype(np.uint16), wide[order], ends.astype(np.int64), at.astype(np.int32), x if x.dtype == np.float32 else x.astype(np.float64)]
-    parts = [blocks.write_stream(table), *[a.tobytes() for a in arrays]]
+    size = -np.abs(_relative(x, np.searchsorted(item, np.arange(table.num_rows + 1))))
+    order = np.argsort(size, kind="stable")
+    order = order[np.argsort(at[order], kind="stable")]
+    starts = np.append(0, np.cumsum(np.bincount(at, minlength=dim)))
+    lists = pa.RecordBatch.from_arrays([pa.array(item[order]), pa.array(_narrow(x)[order])], ["number", "value"])
+    parts = [blocks.write_stream(table, "zstd"), starts.astype(np.int64).tobytes(), blocks.write_stream(lists, "zstd")]
     return pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], list(_COLUMNS))
 
 
+def _has_size(vectors: pa.Array, dim: int) -> pa.Array:
+    """Which vectors have ``dim`` elements; null ones have none."""
+    listed = pa.types.is_list(vectors.type)
+    size = pc.list_value_length(vectors) if listed else pc.binary_length(vectors)
+    return pc.fill_null(pc.equal(size, dim if listed else 4 * dim), False)
+
+
 def build(
     items: DataFrame, item_id: str = "chunk_id", vector: str = "embedding", dim: int = vec.DIMENSION, carry: tuple[str, ...] = ()
 ) -> Index:
     """An index of all items with a direction, in one pass; stored in the shared folder.
 
-    Vectors may be packed. Shards are bounded in rows, weights and bytes. Nothing
-    is shuffled and the driver gets nothing.
+    Vectors may be packed. Shards are bounded in rows, weights and bytes, and so is what a task
+    holds of them while it writes or reads. Nothing is shuffled and the driver gets nothing.
     """
-    packed = items.schema[vector].dataType == T.BinaryType()
-    right = F.octet_length(vector) == 4 * dim if packed else F.size(vector) == dim
-    source = items.filter(right).select(item_id, *carry, F.col(vector).alias("vector"))
+    # Vectors of another size are left out below: a filter here would have Spark make vectors twice that a function makes.
+    source = items.select(item_id, *carry, F.col(vector).alias("vector"))
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, item, dims, values = [], [], [], []
@@ -112,25 +139,30 @@ def build(
         for batch in batches:
             for a in range(0, batch.num_rows, _SLICE_ROWS):
                 part = batch.slice(a, _SLICE_ROWS)
+                part = part.filter(_has_size(part.column(part.num_columns - 1), dim))
                 x = vec.matrix(part.column(part.num_columns - 1), dim)
                 good = np.isfinite(x).all(axis=1) & x.any(axis=1)
                 if not good.any():
                     continue
-                kept, x = part.filter(pa.array(good)), x[good]
+                kept = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1]).filter(pa.array(good))
+                x = x if good.all() else x[good]
                 row, at = np.nonzero(x)
                 if held and (held + len(x) > SHARD_ROWS or weights + len(row) > SHARD_WEIGHTS or size > SHARD_BYTES):
                     yield _made(rows, item, dims, values, dim)
                     rows, item, dims, values = [], [], [], []
                     held = weights = size = 0
-                rows.append(pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1]))
-                item.append(row + held)
-                dims.append(at)
+                rows.append(kept)
+                item.append((row + held).astype(np.uint16))
+                dims.append(at.astype(np.min_scalar_type(dim)))
                 values.append(x[row, at])
-                held, weights, size = held + len(x), weights + len(row), size + rows[-1].nbytes
+                held, weights, size = held + len(x), weights + len(row), size + kept.nbytes
         if held:
             yield _made(rows, item, dims, values, dim)
 
-    made = stored(source.mapInArrow(shard, ", ".join(f"{c} binary" for c in _COLUMNS)), "postings")
+    shards = source.mapInArrow(shard, ", ".join(f"{c} binary" for c in _COLUMNS))
+    # Shards are large rows and already compressed; by default a hundred are gathered before their bytes count.
+    options = {"compression": "uncompressed", "parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
+    made = stored(shards, "postings", **options)
     return Index(made, source.drop("vector"), item_id, carry)
 
 
@@ -200,8 +232,8 @@ class _Found(search._Found):
                 # With nothing to beat yet, the k-th best of the sums stands for it.
                 floor = np.where(np.isneginf(floor), self._begun(unit[block], q.k[block], shard), floor)
             qi, xi = _candidates(unit[block], floor - _SLACK, shard, read)
-            for a in range(0, len(qi), search._PAIRS_PER_PRODUCT):
-                some = slice(a, a + search._PAIRS_PER_PRODUCT)
+            for a in range(0, len(qi), _PAIRS_AT_ONCE):
+                some = slice(a, a + _PAIRS_AT_ONCE)
                 used, place = np.unique(xi[some], return_inverse=True)
                 scores = search._exact(q, qi[some] + start, shard.vectors(used), place)
                 yield search._admitted(q, self.best, block, qi[some], xi[some], scores, shard.rank)
@@ -235,8 +267,8 @@ def top_k(queries: DataFrame, index: Index, dim: int = vec.DIMENSION, read: Accu
         found = [_Found(block, names) for block in sent]
         one = search._Queries(*sent[0].value) if len(sent) == 1 else None
         for batch in batches:
-            for parts in zip(*[c.to_pylist() for c in batch.columns]) if sent else ():
-                shard = _Shard(list(parts), dim)
+            for k in range(batch.num_rows if sent else 0):
+                shard = _Shard(*[column[k].as_buffer() for column in batch.columns], dim)
                 for each in found:
                     each.look(one or search._Queries(*each.block.value), shard, read)
                     if one is None:

@@ -1,10 +1,11 @@
 """Searches that read less, or take queries as many as items: all equal the plain one."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from citemill.functions import vectors as vec
-from citemill.operators import cells, codes, embed, postings, search
+from citemill.operators import blocks, cells, codes, embed, postings, search
 from citemill.plans import pipeline
 from tests.test_search import DIM, ITEMS, REQUESTS, data, exact
 
@@ -132,3 +133,58 @@ def test_packed_vectors_copies_and_many_shards(spark, monkeypatch, limit):
     assert index.shards.count() > 1
     assert sorted(map(tuple, postings.top_k(asked, index, DIM).collect())) == want
     assert sorted(map(tuple, search.top_k(asked, packed, dim=DIM).collect())) == want
+
+
+def test_shards_in_memory_are_bounded_by_bytes(spark, monkeypatch):
+    """A task that writes or reads an index holds some of its shards, however many there are."""
+    monkeypatch.setattr(postings, "SHARD_ROWS", 10)
+    monkeypatch.setattr(postings, "_SLICE_ROWS", 10)
+    monkeypatch.setattr(postings, "GROUP_BYTES", 4096, raising=False)
+    queries, items = data(600, 5, 3, k=4)
+    index = postings.build(spark.createDataFrame(items, ITEMS).coalesce(1), dim=DIM)
+    held = [pq.read_metadata(f.removeprefix("file://")) for f in index.shards.inputFiles()]
+    groups = [m.row_group(k) for m in held for k in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 60
+    most = max(sum(map(len, r)) for r in index.shards.collect())
+    assert max(g.total_byte_size for g in groups) < 4096 + 2 * most
+    assert rows(postings.top_k(spark.createDataFrame(queries, REQUESTS), index, DIM)) == exact(queries, items)
+
+
+def test_vectors_for_an_index_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def load():
+        def encode(texts):
+            made.add(len(texts))
+            return np.array([[len(t), 1.0, t.count("a")] for t in texts.to_pylist()], np.float32)
+
+        return encode
+
+    texts = spark.range(50).selectExpr("cast(id as string) chunk_id", "repeat('ab', cast(id as int)) chunk_text")
+    for packed in (False, True):
+        index = postings.build(embed.embed_chunks(texts, load, 3, packed=packed), dim=3)
+        assert sum(blocks.read_stream(r.rows).num_rows for r in index.shards.collect()) == 50
+        assert made.value == 50
+        made.add(-50)
+
+
+def test_shards_give_the_vectors_back(spark):
+    rng = np.random.default_rng(9)
+    sparse = rng.integers(1, 9, size=(70, DIM)) * (rng.random((70, DIM)) < 0.3)
+    sparse[:, 0] = 1
+    for kind, x, width in (("float", sparse, 1), ("float", sparse * 100, 4), ("float", sparse / 3, 4), ("double", sparse / 3, 8)):
+        x = x.astype(np.float32 if kind == "float" else np.float64)
+        items = spark.createDataFrame([(f"{n:03d}", v.tolist()) for n, v in enumerate(x)], f"chunk_id string, embedding array<{kind}>")
+        found = {}
+        for r in postings.build(items, dim=DIM).shards.collect():
+            shard = postings._Shard(r.rows, r.starts, r.lists, DIM)
+            assert blocks.read_stream(r.lists).schema.field("value").type.bit_width == 8 * width
+            ids = shard.rows.column(0).to_pylist()
+            some = np.arange(len(ids))[::-1]
+            found |= {ids[i]: v for i, v in zip(some, shard.vectors(some))}
+            unit = x[[int(i) for i in ids]].astype(np.float64)
+            unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+            at = np.repeat(np.arange(DIM), np.diff(shard.starts))
+            assert np.allclose(unit[shard.numbers, at], shard.weights, atol=1e-12)
+            assert all((np.diff(shard.size[a:b]) <= 0).all() for a, b in zip(shard.starts, shard.starts[1:]))
+        assert (np.array([found[f"{n:03d}"] for n in range(len(x))]) == x).all()
