@@ -14,6 +14,8 @@ from pyspark.sql import Column, functions as F
 DIMENSION = 384
 TOKEN_CHARACTERS = b"abcdefghijklmnopqrstuvwxyz0123456789"
 
+_ROWS_SUMMED = 1024
+
 _IN_TOKEN = np.zeros(256, dtype=bool)
 _IN_TOKEN[list(TOKEN_CHARACTERS)] = True
 
@@ -53,7 +55,7 @@ def lowered(texts: pa.Array) -> pa.Array:
     return pc.replace_with_mask(low, other, fixed)
 
 
-@functools.lru_cache(1 << 18)
+@functools.lru_cache(1 << 16)
 def _digest(token: str) -> bytes:
     return hashlib.md5(token.encode()).digest()
 
@@ -82,9 +84,16 @@ def hash_counts(texts: pa.Array, dim: int = DIMENSION) -> np.ndarray:
 
     Counts are whole numbers, so dot products and norms of them are exact.
     """
-    cells, signs = _hash_cells(texts, dim)
-    counts = np.bincount(cells, weights=signs, minlength=len(texts) * dim)
-    return counts.astype(np.float32).reshape(len(texts), dim)
+    rows, found = tokens(texts)
+    dims, signs = _hashed(found, dim)
+    counts = np.empty((len(texts), dim), np.float32)
+    # Sums in double precision are made for some rows at a time, as those of a whole batch are many MB.
+    for a in range(0, len(texts), _ROWS_SUMMED):
+        part = counts[a : a + _ROWS_SUMMED]
+        some = slice(*np.searchsorted(rows, (a, a + len(part))))
+        cells = (rows[some] - a) * dim + dims[some]
+        part[:] = np.bincount(cells, weights=signs[some], minlength=part.size).reshape(part.shape)
+    return counts
 
 
 def hash_windows(words: pa.Array, first: np.ndarray, last: np.ndarray, dim: int = DIMENSION) -> np.ndarray:

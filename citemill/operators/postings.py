@@ -122,6 +122,34 @@ def _has_size(vectors: pa.Array, dim: int) -> pa.Array:
     return pc.fill_null(pc.equal(size, dim if listed else 4 * dim), False)
 
 
+def _shards(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.RecordBatch]:
+    """Shards of the items of a task; their vectors are the last column."""
+    rows, item, dims, values = [], [], [], []
+    held = weights = size = 0
+    for batch in batches:
+        for a in range(0, batch.num_rows, _SLICE_ROWS):
+            part = batch.slice(a, _SLICE_ROWS)
+            part = part.filter(_has_size(part.column(part.num_columns - 1), dim))
+            x = vec.matrix(part.column(part.num_columns - 1), dim)
+            good = np.isfinite(x).all(axis=1) & x.any(axis=1)
+            if not good.any():
+                continue
+            kept = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1]).filter(pa.array(good))
+            x = x if good.all() else x[good]
+            row, at = np.nonzero(x)
+            if held and (held + len(x) > SHARD_ROWS or weights + len(row) > SHARD_WEIGHTS or size > SHARD_BYTES):
+                yield _made(rows, item, dims, values, dim)
+                rows, item, dims, values = [], [], [], []
+                held = weights = size = 0
+            rows.append(kept)
+            item.append((row + held).astype(np.uint16))
+            dims.append(at.astype(np.min_scalar_type(dim)))
+            values.append(x[row, at])
+            held, weights, size = held + len(x), weights + len(row), size + kept.nbytes
+    if held:
+        yield _made(rows, item, dims, values, dim)
+
+
 def build(
     items: DataFrame, item_id: str = "chunk_id", vector: str = "embedding", dim: int = vec.DIMENSION, carry: tuple[str, ...] = ()
 ) -> Index:
@@ -132,34 +160,7 @@ def build(
     """
     # Vectors of another size are left out below: a filter here would have Spark make vectors twice that a function makes.
     source = items.select(item_id, *carry, F.col(vector).alias("vector"))
-
-    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, item, dims, values = [], [], [], []
-        held = weights = size = 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, _SLICE_ROWS):
-                part = batch.slice(a, _SLICE_ROWS)
-                part = part.filter(_has_size(part.column(part.num_columns - 1), dim))
-                x = vec.matrix(part.column(part.num_columns - 1), dim)
-                good = np.isfinite(x).all(axis=1) & x.any(axis=1)
-                if not good.any():
-                    continue
-                kept = pa.RecordBatch.from_arrays(part.columns[:-1], part.schema.names[:-1]).filter(pa.array(good))
-                x = x if good.all() else x[good]
-                row, at = np.nonzero(x)
-                if held and (held + len(x) > SHARD_ROWS or weights + len(row) > SHARD_WEIGHTS or size > SHARD_BYTES):
-                    yield _made(rows, item, dims, values, dim)
-                    rows, item, dims, values = [], [], [], []
-                    held = weights = size = 0
-                rows.append(kept)
-                item.append((row + held).astype(np.uint16))
-                dims.append(at.astype(np.min_scalar_type(dim)))
-                values.append(x[row, at])
-                held, weights, size = held + len(x), weights + len(row), size + kept.nbytes
-        if held:
-            yield _made(rows, item, dims, values, dim)
-
-    shards = source.mapInArrow(shard, ", ".join(f"{c} binary" for c in _COLUMNS))
+    shards = source.mapInArrow(lambda batches: _shards(batches, dim), ", ".join(f"{c} binary" for c in _COLUMNS))
     # Shards are large rows and already compressed; by default a hundred are gathered before their bytes count.
     options = {"compression": "uncompressed", "parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
     made = stored(shards, "postings", **options)

@@ -80,3 +80,16 @@ def test_metadata(spark):
     assert [(r.chunk_id, r.embedding_model, r.vector_dimension, r.snapshot_id) for r in rows] == [
         ("c1", embed.HASH_MODEL, 384, 7)
     ]
+
+
+def test_sums_in_runs_of_rows_are_those_of_the_batch(monkeypatch):
+    texts = pa.array(["", "one two", None, "two two 2", "...", "a b c d e f g", "one", "é one", ""])
+    whole = vec.hash_counts(texts, 7)
+    rows, dims, weights = vec.hash_weights(texts, 7)
+    want = np.zeros((len(texts), 7))
+    want[rows, dims] = weights
+    assert (whole == want).all() and whole.dtype == np.float32
+    for run in (1, 2, 4, 9):
+        monkeypatch.setattr(vec, "_ROWS_SUMMED", run, raising=False)
+        assert (vec.hash_counts(texts, 7) == whole).all()
+    assert vec.hash_counts(texts[:0], 7).shape == (0, 7)
