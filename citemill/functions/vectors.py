@@ -55,7 +55,7 @@ def lowered(texts: pa.Array) -> pa.Array:
     return pc.replace_with_mask(low, other, fixed)
 
 
-@functools.lru_cache(1 << 16)
+@functools.lru_cache(1 << 17)
 def _digest(token: str) -> bytes:
     return hashlib.md5(token.encode()).digest()
 
